@@ -6,6 +6,7 @@ import importlib
 
 MODULES = (
     "strata.plans.catalog_core",
+    "strata.plans.catalog_models",
 )
 
 

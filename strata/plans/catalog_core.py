@@ -209,10 +209,11 @@ def j05(spark, sf):
 
 @register("j07_m03_high_water_filter", with_("orders_raw") + """
 SELECT order_id, line_no, loaded_at FROM orders_raw
-WHERE loaded_at > (SELECT MAX(loaded_at) FROM orders_raw WHERE status = 'SHIPPED')""")
+WHERE loaded_at > (SELECT MAX(loaded_at) FROM orders_raw WHERE loaded_at <= TIMESTAMP '1996-06-30 00:00:00')""")
 def j07(spark, sf):
     o = D.orders_raw(spark, sf)
-    return R.with_high_water(o, o.filter(F.col("status") == "SHIPPED"), "loaded_at").select(
+    target = o.filter(F.col("loaded_at") <= F.lit("1996-06-30 00:00:00").cast("timestamp_ntz"))
+    return R.with_high_water(o, target, "loaded_at").select(
         "order_id", "line_no", "loaded_at")
 
 
