@@ -7,6 +7,7 @@ import importlib
 MODULES = (
     "strata.plans.catalog_core",
     "strata.plans.catalog_models",
+    "strata.plans.catalog_io",
 )
 
 
