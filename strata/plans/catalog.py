@@ -8,6 +8,7 @@ MODULES = (
     "strata.plans.catalog_core",
     "strata.plans.catalog_models",
     "strata.plans.catalog_io",
+    "strata.plans.catalog_gov",
 )
 
 
