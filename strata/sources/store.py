@@ -14,13 +14,16 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BUCKET = "_b"
 
 
 class BucketedTable:
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 16):
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 16,
+                 schema: T.StructType | None = None):
         self.spark, self.path, self.keys, self.buckets = spark, path.rstrip("/"), list(keys), buckets
+        self.schema = schema
 
     # -- layout --------------------------------------------------------
     def bucket_of(self) -> F.Column:
@@ -36,12 +39,22 @@ class BucketedTable:
         return fs.exists(jvm.org.apache.hadoop.fs.Path(self.path + "/_SUCCESS"))
 
     # -- read / write ----------------------------------------------------
+    def _scan(self) -> DataFrame:
+        if self.schema is None:
+            return self.spark.read.parquet(self.path)
+        full = T.StructType(self.schema.fields + [T.StructField(BUCKET, T.IntegerType())])
+        return self.spark.read.schema(full).parquet(self.path)
+
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.path).drop(BUCKET)
+        return self._scan().drop(BUCKET)
 
     def write(self, df: DataFrame) -> None:
-        """Full overwrite; one shuffle by bucket so each bucket is one file."""
-        (df.withColumn(BUCKET, self.bucket_of()).repartition(self.buckets, BUCKET)
+        """Full overwrite, clustered by bucket.
+
+        ``rebalance`` (not ``repartition``) lets AQE split a bucket that holds
+        a hot key over several writer tasks instead of one.
+        """
+        (df.withColumn(BUCKET, self.bucket_of()).hint("rebalance", BUCKET)
          .write.mode("overwrite").option("partitionOverwriteMode", "static")
          .partitionBy(BUCKET).parquet(self.path))
 
@@ -67,9 +80,9 @@ class BucketedTable:
         if not touched:
             self._mark(batch_id)
             return True
-        part = self.spark.read.parquet(self.path).filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
+        part = self._scan().filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
         merged = fn(part, src.drop(BUCKET)).withColumn(BUCKET, self.bucket_of())
-        merged = merged.repartition(len(touched), BUCKET).checkpoint(eager=True)
+        merged = merged.hint("rebalance", BUCKET).checkpoint(eager=True)
         present = {r[0] for r in merged.select(BUCKET).distinct().collect()}
         (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(BUCKET).parquet(self.path))
