@@ -27,3 +27,9 @@ def register_classify_udf(spark, name: str = "classify_order_value"):
     udf = F.pandas_udf(classify_batch, "string")
     spark.udf.register(name, udf)
     return udf
+
+
+def prompt_length_stub(prompts: pd.Series) -> pd.Series:
+    """A deterministic stand-in for a hosted completion model (N17 tests):
+    answers with the prompt's length in characters."""
+    return prompts.str.len().astype("Int64").astype(str) + " chars"

@@ -10,6 +10,7 @@ MODULES = (
     "strata.plans.catalog_io",
     "strata.plans.catalog_gov",
     "strata.plans.catalog_stream",
+    "strata.plans.catalog_text",
 )
 
 
