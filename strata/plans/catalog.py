@@ -11,6 +11,7 @@ MODULES = (
     "strata.plans.catalog_gov",
     "strata.plans.catalog_stream",
     "strata.plans.catalog_text",
+    "strata.plans.catalog_ml",
 )
 
 
