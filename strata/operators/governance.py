@@ -217,7 +217,8 @@ def effective_privileges(closure: DataFrame, grants: DataFrame, tables: DataFram
     granted_at. ``tables``: schema_name, table_name, created_at. ALL covers
     tables existing at grant time, FUTURE the ones created later.
     """
-    holders = closure.select(F.col("child").alias("role"), F.col("parent").alias("via")).unionByName(
+    # GRANT ROLE child TO ROLE parent: the parent holds what the child was granted
+    holders = closure.select(F.col("parent").alias("role"), F.col("child").alias("via")).unionByName(
         grants.select(F.col("role"), F.col("role").alias("via")).distinct())
     g = holders.join(grants.withColumnRenamed("role", "via"), "via")
     covered = ((F.col("scope") == "ALL") & (F.col("created_at") <= F.col("granted_at"))) | \
