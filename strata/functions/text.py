@@ -15,6 +15,26 @@ TOKEN_SPLIT = r"[^\p{L}]+"
 SENTENCE_SPLIT = r"[.!?\n]+"
 
 
+def spread(df: DataFrame, factor: int = 2) -> DataFrame:
+    """Give CPU-heavy per-row text work at least the cluster's parallelism.
+
+    Only repartitions when the input has fewer partitions than
+    ``defaultParallelism`` (a small table, or one file with one row group);
+    a large scan already has many splits and is left alone.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target * factor)
+    return df
+
+
+def token_rows(df: DataFrame, text: str, keep: Sequence[str], out: str = "term") -> DataFrame:
+    """One row per token of the whole text (empty pieces dropped after the
+    explode, which keeps the filter inside generated code)."""
+    return (df.select(*keep, F.explode(F.split(F.lower(F.col(text)), TOKEN_SPLIT)).alias(out))
+            .filter(F.col(out) != ""))
+
+
 def tokens(text: str | Column) -> Column:
     """Array of lower-case letter runs of the whole text."""
     t = F.col(text) if isinstance(text, str) else text

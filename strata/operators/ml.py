@@ -53,7 +53,12 @@ def split_flag(key: str, train_percent: int = 80) -> F.Column:
 
 def train_gbt(train: DataFrame, max_iter: int = 100, max_depth: int = 3, step: float = 0.1,
               seed: int = 42) -> PipelineModel:
-    """X11: gradient-boosted trees on the three features."""
+    """X11: gradient-boosted trees on the three features.
+
+    The training frame is checkpointed first: boosting makes many passes and
+    would otherwise re-run the metrics lineage (joins and aggregates).
+    """
+    train = train.checkpoint(eager=True)
     asm = VectorAssembler(inputCols=list(FEATURES), outputCol="features", handleInvalid="keep")
     gbt = GBTClassifier(featuresCol="features", labelCol=LABEL, maxIter=max_iter, maxDepth=max_depth,
                         stepSize=step, seed=seed)

@@ -19,14 +19,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.functions.text import ordered_join, tokens
+from strata.functions.text import ordered_join, spread, token_rows, tokens
 
 RANK_DIGITS = 9  # scores are ranked after rounding so float summation order cannot flip ties
 
 
 def postings(corpus: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(term, doc, tf) plus document length, from whole texts."""
-    toks = corpus.select(id_col, F.explode(tokens(text_col)).alias("term"))
+    """(term, doc, tf) from whole texts: the lexical index."""
+    toks = token_rows(spread(corpus.select(id_col, text_col)), text_col, [id_col])
     return toks.groupBy("term", id_col).agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -37,7 +37,9 @@ def bm25_scores(corpus: DataFrame, questions: DataFrame, id_col: str = "doc_id",
     idf = ln(1 + (N - df + 0.5) / (df + 0.5)); query terms are distinct.
     Hot terms make the term join skewed; AQE's skew join splits them.
     """
-    post = postings(corpus, id_col, text_col)
+    # the index is written once (reliable checkpoint): lengths, document
+    # frequencies, corpus statistics and the scoring join all read it
+    post = postings(corpus, id_col, text_col).checkpoint(eager=True)
     dl = post.groupBy(id_col).agg(F.sum("tf").alias("dl"))
     stats = dl.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"))
     n, avgdl = stats.select("n").scalar(), stats.select("avgdl").scalar()

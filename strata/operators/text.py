@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.scalar import first_matching_rule, threshold_label
-from strata.functions.text import SENTENCE_SPLIT, ordered_join, tokens
+from strata.functions.text import SENTENCE_SPLIT, ordered_join, spread, token_rows, tokens
 
 # The reference's ordered keyword rules and label list.
 FEEDBACK_RULES = (
@@ -122,9 +122,10 @@ def summarize(docs: DataFrame, id_col: str, text_col: str, k: int = 2) -> DataFr
     step is a grouped aggregate or a join on (doc, term); the per-document
     top-k keeps at most k sentences before they are joined.
     """
-    sents = (docs.select(id_col, F.posexplode(F.split(F.col(text_col), SENTENCE_SPLIT)).alias("pos", "sentence"))
+    sents = (spread(docs.select(id_col, text_col))
+             .select(id_col, F.posexplode(F.split(F.col(text_col), SENTENCE_SPLIT)).alias("pos", "sentence"))
              .withColumn("sentence", F.trim(F.col("sentence"), F.lit(" "))).filter(F.length("sentence") > 0))
-    toks = sents.select(id_col, "pos", F.explode(tokens("sentence")).alias("term"))
+    toks = token_rows(sents, "sentence", [id_col, "pos"])
     tf = toks.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
     df_ = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))

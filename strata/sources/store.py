@@ -3,8 +3,8 @@
 There is no transactional table format on the classpath, so a MERGE on a
 file table is: find the buckets the source touches (at most ``buckets``
 values, a proven bound), read only those (partition pruning), merge them
-with ``strata.operators.merge``, checkpoint the result (it is written over
-the files it was read from), and overwrite those partitions dynamically.
+with ``strata.operators.merge`` and overwrite those partitions dynamically
+(Spark commits them only after every task has read the old files).
 Every applied batch id is recorded so a replayed micro-batch is skipped.
 """
 
@@ -68,9 +68,12 @@ class BucketedTable:
         fs, jvm = self._fs()
         fs.create(jvm.org.apache.hadoop.fs.Path(f"{self.path}/_batches/{batch_id}"), True).close()
 
-    def merge(self, source: DataFrame, fn: Callable[[DataFrame, DataFrame], DataFrame], batch_id=None) -> bool:
+    def merge(self, source: DataFrame, fn: Callable[[DataFrame, DataFrame], DataFrame], batch_id=None,
+              may_delete: bool = True) -> bool:
         """Rewrite the buckets touched by ``source`` with ``fn(target_part, source)``.
 
+        ``may_delete=False`` promises that ``fn`` never removes a key (upserts),
+        so no touched bucket can end up empty and that check is skipped.
         Returns False when ``batch_id`` was applied before (idempotent replay).
         """
         if self.applied(batch_id):
@@ -81,9 +84,17 @@ class BucketedTable:
             self._mark(batch_id)
             return True
         part = self._scan().filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
-        merged = fn(part, src.drop(BUCKET)).withColumn(BUCKET, self.bucket_of())
-        merged = merged.hint("rebalance", BUCKET).checkpoint(eager=True)
-        present = {r[0] for r in merged.select(BUCKET).distinct().collect()}
+        merged = fn(part, src.drop(BUCKET)).withColumn(BUCKET, self.bucket_of()).hint("rebalance", BUCKET)
+        if may_delete:
+            # which touched buckets end up empty must be known before the write;
+            # pin the merge result so it is computed once
+            merged = merged.checkpoint(eager=True)
+            present = {r[0] for r in merged.select(BUCKET).distinct().collect()}
+        else:
+            # upserts: every touched bucket keeps rows. Dynamic overwrite commits only
+            # after all tasks finished reading the old files, so retries still see
+            # them, and a batch replayed after a partial commit is a no-op upsert.
+            present = set(touched)
         (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(BUCKET).parquet(self.path))
         # buckets emptied by deletes are not in the output: remove them

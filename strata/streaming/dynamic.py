@@ -75,8 +75,9 @@ class DynamicTables:
             F.struct(*[F.col(f"t.{c}") for c in ORDERS_LATEST])
         values = {c: F.col(f"s.{c}") for c in self.bronze_cols}
         clauses = [When(True, "update", order_key, values), When(False, "insert", None, values)]
-        self.bronze.merge(latest, lambda t, s: merge_into(t, s, ["order_id"], clauses), batch_id=tag)
-        self._refresh_orders(latest.select("order_id").distinct(), tag)
+        self.bronze.merge(latest, lambda t, s: merge_into(t, s, ["order_id"], clauses), batch_id=tag,
+                          may_delete=False)
+        self._refresh_orders(latest.select("order_id"), tag)  # one row per order already
 
     def _refresh_orders(self, order_ids: DataFrame, tag: str) -> None:
         """Recompute silver rows of ``order_ids`` and the gold groups they touch.
@@ -85,7 +86,7 @@ class DynamicTables:
         the batch tag before silver is rewritten, so a batch replayed after a
         failure between the silver and gold writes still refreshes them.
         """
-        ids = order_ids.checkpoint(eager=True)
+        ids = order_ids
         groups_path = f"{self.root}/_groups/{tag}"
         bronze_now = self.bronze.read().join(ids, "order_id", "left_semi").select(*M.BRONZE_COLS)
         silver_new = M.silver(bronze_now, self.dim).checkpoint(eager=True)
@@ -94,7 +95,7 @@ class DynamicTables:
             (before.unionByName(silver_new.select(*GROUP)).distinct()
              .write.mode("overwrite").parquet(groups_path))
         self.silver.merge(silver_new, lambda t, s: t.join(s.select("order_id"), "order_id", "left_anti")
-                          .unionByName(s), batch_id=f"silver-{tag}")
+                          .unionByName(s), batch_id=f"silver-{tag}", may_delete=False)
         self._refresh_groups(self.spark.read.parquet(groups_path), f"gold-{tag}")
 
     def _refresh_groups(self, groups: DataFrame, tag: str) -> None:
@@ -120,7 +121,8 @@ class DynamicTables:
         changed = feed.select("customer_id").distinct()
         self.dim = new_dim
         ids = self.bronze.read().join(changed, "customer_id", "left_semi").select("order_id")
-        self._refresh_orders(ids, f"dim-{change_id}")
+        # bronze does not change below, but pin the id list before silver is rewritten
+        self._refresh_orders(ids.checkpoint(eager=True), f"dim-{change_id}")
 
     # -- the stream --------------------------------------------------------
     def run(self, source_dir: str, checkpoint: str, available_now: bool = True,
