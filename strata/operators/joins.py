@@ -7,18 +7,25 @@ from pyspark.sql import functions as F
 
 # Above this many rows a side is never broadcast by us; AQE still may, but
 # only after measuring it against spark.sql.autoBroadcastJoinThreshold.
-BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_ROWS = 100_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
+def row_count_at_most(df: DataFrame, n: int) -> bool:
+    """True when ``df`` has at most ``n`` rows, reading as little as possible.
 
-    The check is ``limit(max_rows + 1).count()``: it stops reading once the
-    bound is exceeded, so it is cheap on big inputs too. Beyond the bound the
-    frame is returned unchanged and the planner picks a shuffle join.
+    ``select(lit).limit(n + 1).collect()`` is a collect-limit: Spark scans
+    partitions incrementally and stops once n + 1 rows are found, and at most
+    n + 1 one-int rows reach the driver. (``limit().count()`` would instead
+    gather up to n rows of every partition into one task.)
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return len(df.select(F.lit(1).alias("_one")).limit(n + 1).collect()) <= n
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows;
+    beyond the bound it is returned unchanged and the planner picks a
+    shuffle join."""
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
 
 
 def semi_join_or_null(left: DataFrame, mapping: DataFrame, left_col: str, map_col: str) -> DataFrame:

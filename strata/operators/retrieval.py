@@ -107,9 +107,10 @@ def vector_top_k(spark: SparkSession, docs: DataFrame, queries: DataFrame, k: in
     """
     q = queries.select(F.col(q_id).alias("_q"), F.col(q_vec).alias("_v"))
     chunk = F.pmod(F.xxhash64("_q"), F.lit(1 << 30))
-    n = q.limit(max_broadcast + 1).count()
+    from strata.operators.joins import row_count_at_most
+
     # hashing into twice as many chunks as needed keeps each under the bound
-    n_chunks = 1 if n <= max_broadcast else 2 * -(-q.count() // max_broadcast)
+    n_chunks = 1 if row_count_at_most(q, max_broadcast) else 2 * -(-q.count() // max_broadcast)
     parts = []
     for c in range(n_chunks):
         sel = q if n_chunks == 1 else q.filter(chunk % n_chunks == c)
