@@ -53,9 +53,13 @@ def parse(text: str | Column, strict: bool = False) -> Column:
 def order_documents(orders: DataFrame, customer: DataFrame, lineitem: DataFrame) -> DataFrame:
     """The document lab's table: one order document per **line item**.
 
-    Three-way inner join (J01), then one VARIANT per joined row.
+    Three-way inner join (J01), then one VARIANT per joined row; the
+    customer dimension is left to AQE's size-checked broadcast.
     """
-    o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_totalprice", "o_orderpriority")
+    # orders and line items are both fact tables: join them by shuffle (the plan
+    # they get at any real scale) rather than broadcasting whichever looks small
+    o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_totalprice",
+                      "o_orderpriority").hint("merge")
     c = customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     li = lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_linenumber")
     j = o.join(c, o.o_custkey == c.c_custkey).join(li, o.o_orderkey == li.l_orderkey)

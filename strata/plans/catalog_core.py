@@ -178,8 +178,8 @@ FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 def j01(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
-    j = o.join(c, o.o_custkey == c.c_custkey).join(li, o.o_orderkey == li.l_orderkey)
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity").hint("merge")
+    j = o.join(c, o.o_custkey == c.c_custkey).join(li, o.o_orderkey == li.l_orderkey)  # fact-fact: shuffle
     return j.select(F.col("o_orderkey").alias("order_id"), F.col("c_name").alias("customer_name"),
                     F.col("c_mktsegment").alias("segment"), F.col("l_partkey").alias("part_key"),
                     F.col("l_linenumber").alias("line_no"), F.col("l_quantity").alias("qty"))

@@ -2,7 +2,7 @@
 
 Each function is a pure DataFrame expression over the given tables, so its
 work grows with them. The same derivations exist as SQL in
-``strata.plans.oracle`` for the DuckDB oracle.
+``strata.plans.sqlbase`` for the DuckDB oracle.
 """
 
 from __future__ import annotations
@@ -21,7 +21,8 @@ def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_shipdate")
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    # fact-to-fact join: shuffle both sides (never broadcast a fact table)
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate").hint("merge")
     j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     status = (F.when(F.col("o_orderkey") % 10 == 0, "CANCELLED")
               .when(F.col("o_orderstatus") == "O", "PAID")
