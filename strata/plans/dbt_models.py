@@ -63,7 +63,7 @@ def materialize(spark: SparkSession, df: DataFrame, name: str, mode: str, path:
         return spark.read.parquet(path)
     if mode != "incremental":
         raise ValueError(mode)
-    store = BucketedTable(spark, path, unique_key)
+    store = BucketedTable(spark, path, unique_key, default_schema=df.schema)
     if not store.exists():
         store.write(df)
         return store.read()
@@ -82,7 +82,8 @@ def fct_orders_run(spark: SparkSession, stg_o: DataFrame, stg_c: DataFrame, path
     ``dedup`` resolves repeated order ids in the new slice (the model itself
     does not, Q04); without it a repeat raises.
     """
-    store = BucketedTable(spark, path, ("order_id",))
+    store = BucketedTable(spark, path, ("order_id",),
+                          default_schema=fct_orders_enrich(stg_o.limit(0), stg_c).schema)
     orders = stg_o
     if store.exists():
         orders = with_high_water(stg_o, store.read(), "loaded_at")

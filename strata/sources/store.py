@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,9 +22,12 @@ BUCKET = "_b"
 
 class BucketedTable:
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 16,
-                 schema: T.StructType | None = None):
+                 schema: T.StructType | None = None, default_schema: T.StructType | None = None):
+        """``schema`` fixes the read schema; otherwise it is taken from the files,
+        or from ``default_schema`` while the table has no data files yet."""
         self.spark, self.path, self.keys, self.buckets = spark, path.rstrip("/"), list(keys), buckets
         self.schema = schema
+        self.default_schema = default_schema
 
     # -- layout --------------------------------------------------------
     def bucket_of(self) -> F.Column:
@@ -40,9 +44,15 @@ class BucketedTable:
 
     # -- read / write ----------------------------------------------------
     def _scan(self) -> DataFrame:
-        if self.schema is None:
-            return self.spark.read.parquet(self.path)
-        full = T.StructType(self.schema.fields + [T.StructField(BUCKET, T.IntegerType())])
+        schema = self.schema
+        if schema is None:
+            try:
+                return self.spark.read.parquet(self.path)
+            except AnalysisException:
+                if self.default_schema is None or not self.exists():
+                    raise
+                schema = self.default_schema
+        full = T.StructType(schema.fields + [T.StructField(BUCKET, T.IntegerType())])
         return self.spark.read.schema(full).parquet(self.path)
 
     def read(self) -> DataFrame:
