@@ -98,3 +98,25 @@ def test_quality_checks(spark):
     res = {(r.check_name, r.column_name): (r.failures, r.status) for r in
            run_checks({"t": df}, [("not_null", "t", "id"), ("unique", "t", "id")]).collect()}
     assert res == {("not_null", "id"): (1, "fail"), ("unique", "id"): (1, "fail")}
+
+
+def test_merge_procedure_gate_and_message(spark, tmp):
+    from strata.operators import cdc
+    from strata.plans.catalog_models import lab_merge_clauses, lab_merge_defaults
+
+    dim_rows = [(1, "A", "a@x", "gold", True, dt.datetime(2024, 1, 1)),
+                (2, "B", "b@x", "standard", True, dt.datetime(2024, 1, 1))]
+    schema = "customer_id long, name string, email string, tier string, is_active boolean, loaded_at timestamp_ntz"
+    dim = BucketedTable(spark, os.path.join(tmp, "dim"), ["customer_id"], buckets=4)
+    dim.write(spark.createDataFrame(dim_rows, schema))
+    old = spark.createDataFrame([(1, "A", "a@x", "gold"), (2, "B", "b@x", "standard")],
+                                "customer_id long, name string, email string, tier string")
+    assert dbt.merge_customers(spark, cdc.change_feed(old, old, ["customer_id"]), dim, lab_merge_clauses(),
+                               lab_merge_defaults()) == "No new data in stream"
+    new = spark.createDataFrame([(2, "B", "b@x", "platinum"), (3, "C", "c@x", "gold")],
+                                "customer_id long, name string, email string, tier string")
+    msg = dbt.merge_customers(spark, cdc.change_feed(old, new, ["customer_id"]), dim, lab_merge_clauses(),
+                              lab_merge_defaults(), batch_id="m1")
+    assert msg == "Merge complete: 3 rows affected"  # 1 deactivated, 2 updated, 3 inserted
+    assert rows(dim.read(), "customer_id", "tier", "is_active") == [(1, "gold", False), (2, "platinum", True),
+                                                                  (3, "gold", True)]
