@@ -59,7 +59,7 @@ def c07(spark, sf):
 
 @register("c08_c10_c11_stream_gold", with_("gold") + "SELECT * FROM gold")
 def c08(spark, sf):
-    return drained_pipeline(spark, sf).gold.read()
+    return drained_pipeline(spark, sf).gold_table()
 
 
 _CHANGED_DIM_SQL = """
@@ -79,4 +79,4 @@ SELECT customer_name, customer_tier, COUNT(DISTINCT order_id) AS total_orders,
        MAX(order_date) AS last_order_date
 FROM silver2 WHERE status <> 'CANCELLED' GROUP BY customer_name, customer_tier""")
 def c12(spark, sf):
-    return drained_pipeline(spark, sf, change_dimension=True).gold.read()
+    return drained_pipeline(spark, sf, change_dimension=True).gold_table()

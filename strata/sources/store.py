@@ -58,6 +58,12 @@ class BucketedTable:
     def read(self) -> DataFrame:
         return self._scan().drop(BUCKET)
 
+    def read_touched(self, keys_df: DataFrame) -> DataFrame:
+        """Only the buckets holding the keys of ``keys_df`` (partition pruning);
+        the bucket ids are at most ``buckets`` values."""
+        touched = [r[0] for r in keys_df.select(self.bucket_of().alias(BUCKET)).distinct().collect()]
+        return self._scan().filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
+
     def write(self, df: DataFrame) -> None:
         """Full overwrite, clustered by bucket.
 

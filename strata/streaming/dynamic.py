@@ -7,9 +7,14 @@ micro-batch that refreshes bronze, silver and gold incrementally:
   into the bucketed bronze table only where it is newer than the stored row
   (batches need not arrive in event order);
 * silver: re-enriched for the orders of the batch only;
-* gold: the (name, tier) groups those orders belonged to before and after
-  the change are recomputed exactly (COUNT DISTINCT cannot be maintained by
-  deltas) and replaced; groups left empty disappear.
+* gold: maintained exactly from deltas. Silver holds one row per order, so
+  COUNT(DISTINCT order_id) of a group is its row count and, like the sums,
+  changes by +1/-1 rows of the orders that entered or left the group. MAX
+  is not invertible, so a per-(group, date) count table keeps the latest
+  date exact under retractions. A batch therefore reads and rewrites only
+  the buckets its keys touch — never the whole silver table. Groups whose
+  count drops to zero disappear from the published table (the store keeps a
+  zero row, so no bucket is ever emptied by a batch).
 
 Gold runs inside silver's batch (``TARGET_LAG = DOWNSTREAM``). Every table
 write is keyed by the batch id, so a replayed batch is skipped (C05), and a
@@ -23,6 +28,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.operators.cdc import change_feed
 from strata.operators.merge import When, merge_into
@@ -32,6 +38,7 @@ from strata.sources.derived import ORDERS_LATEST
 from strata.sources.store import BucketedTable
 
 GROUP = ("customer_name", "customer_tier")
+SUM, CNT = "_sum_line_total", "_count_line_total"
 
 
 def _null_safe_on(a: DataFrame, b: DataFrame, cols: Sequence[str]):
@@ -42,6 +49,21 @@ def _null_safe_on(a: DataFrame, b: DataFrame, cols: Sequence[str]):
     return cond
 
 
+def _full_join(t: DataFrame, s: DataFrame, keys: Sequence[str]):
+    """Null-safe full outer join of target ``t`` and delta ``s`` on ``keys``.
+
+    Returns the joined frame (sides reachable as ``t.*`` / ``s.*``) and the
+    key columns coalesced from both sides (exact, since a NULL key value is
+    NULL on both sides).
+    """
+    cond = None
+    for k in keys:
+        c = F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}"))
+        cond = c if cond is None else cond & c
+    j = t.alias("t").join(s.alias("s"), cond, "full_outer")
+    return j, [F.coalesce(F.col(f"t.{k}"), F.col(f"s.{k}")).alias(k) for k in keys]
+
+
 class DynamicTables:
     """Bronze/silver/gold tables under ``root``, refreshed from a raw-orders stream."""
 
@@ -56,13 +78,26 @@ class DynamicTables:
         b_schema = raw0.select(*keep).schema
         s_schema = M.silver(M.bronze(raw0), dim_customers).schema
         g_schema = M.gold(M.silver(M.bronze(raw0), dim_customers)).schema
+        self.gold_columns = g_schema.fieldNames()
+        # gold rows carry the exact decimal sum and the non-null count behind the averages
+        gs_schema = T.StructType(g_schema.fields + [T.StructField(SUM, T.DecimalType(38, 2)),
+                                                    T.StructField(CNT, T.LongType())])
+        d_schema = T.StructType([s_schema[c] for c in GROUP] + [s_schema["order_date"],
+                                                                T.StructField("n", T.LongType())])
         self.bronze = BucketedTable(spark, f"{self.root}/bronze_orders", ["order_id"], buckets, b_schema)
         self.silver = BucketedTable(spark, f"{self.root}/silver_orders_enriched", ["order_id"], buckets, s_schema)
-        self.gold = BucketedTable(spark, f"{self.root}/gold_customer_metrics", list(GROUP), buckets, g_schema)
-        for t, sch in ((self.bronze, b_schema), (self.silver, s_schema), (self.gold, g_schema)):
+        self.gold = BucketedTable(spark, f"{self.root}/gold_customer_metrics", list(GROUP), buckets, gs_schema)
+        # bucketed by group (not date), so one group's dates sit in one bucket
+        self.dates = BucketedTable(spark, f"{self.root}/_gold_dates", list(GROUP), buckets, d_schema)
+        for t, sch in ((self.bronze, b_schema), (self.silver, s_schema), (self.gold, gs_schema),
+                       (self.dates, d_schema)):
             if not t.exists():
                 t.write(spark.createDataFrame([], sch))
 
+    def gold_table(self) -> DataFrame:
+        """The published gold table: non-empty groups, without bookkeeping columns."""
+        return self.gold.read().filter(F.col("total_orders") > 0).select(*self.gold_columns)
+
     # -- one micro-batch ----------------------------------------------------
     def refresh(self, batch: DataFrame, batch_id: int) -> None:
         """Apply one micro-batch of raw order rows to all three layers."""
@@ -80,38 +115,69 @@ class DynamicTables:
         self._refresh_orders(latest.select("order_id"), tag)  # one row per order already
 
     def _refresh_orders(self, order_ids: DataFrame, tag: str) -> None:
-        """Recompute silver rows of ``order_ids`` and the gold groups they touch.
+        """Re-enrich ``order_ids`` into silver and apply the gold deltas.
 
-        The groups the orders belonged to *before* the change are saved under
-        the batch tag before silver is rewritten, so a batch replayed after a
-        failure between the silver and gold writes still refreshes them.
+        The delta (old silver rows of the orders with -1, new rows with +1)
+        is written under the batch tag *before* silver changes, so a batch
+        replayed after a failure between the silver and gold writes still
+        applies it.
         """
-        ids = order_ids
-        groups_path = f"{self.root}/_groups/{tag}"
-        bronze_now = self.bronze.read().join(ids, "order_id", "left_semi").select(*M.BRONZE_COLS)
+        delta_path = f"{self.root}/_delta/{tag}"
+        bronze_now = self.bronze.read().join(order_ids, "order_id", "left_semi").select(*M.BRONZE_COLS)
         silver_new = M.silver(bronze_now, self.dim).checkpoint(eager=True)
         if not self.silver.applied(f"silver-{tag}"):
-            before = self.silver.read().join(ids, "order_id", "left_semi").select(*GROUP)
-            (before.unionByName(silver_new.select(*GROUP)).distinct()
-             .write.mode("overwrite").parquet(groups_path))
+            before = self.silver.read().join(order_ids, "order_id", "left_semi")
+            cols = [*GROUP, "order_date", "line_total"]
+
+            def counted(df: DataFrame, sign: int) -> DataFrame:
+                # gold only counts non-cancelled orders; NULL status is dropped too
+                return df.filter(F.col("status") != "CANCELLED").select(*cols, F.lit(sign).alias("sign"))
+
+            counted(silver_new, 1).unionByName(counted(before, -1)).write.mode("overwrite").parquet(delta_path)
         self.silver.merge(silver_new, lambda t, s: t.join(s.select("order_id"), "order_id", "left_anti")
                           .unionByName(s), batch_id=f"silver-{tag}", may_delete=False)
-        self._refresh_groups(self.spark.read.parquet(groups_path), f"gold-{tag}")
-
-    def _refresh_groups(self, groups: DataFrame, tag: str) -> None:
-        s = self.silver.read()
-        rows = s.join(groups, _null_safe_on(s, groups, GROUP), "left_semi")
-        fresh = M.gold(rows)
-        # one row per affected group; aggregates NULL when the group is now empty
-        src = groups.join(fresh, _null_safe_on(groups, fresh, GROUP), "left").select(
-            *[groups[c] for c in GROUP], *[fresh[c] for c in fresh.columns if c not in GROUP])
-        src = src.checkpoint(eager=True)
-
-        def replace(t: DataFrame, s2: DataFrame) -> DataFrame:
-            keep = t.join(s2, _null_safe_on(t, s2, GROUP), "left_anti")
-            return keep.unionByName(s2.filter(F.col("total_orders").isNotNull()))
-
-        self.gold.merge(src, replace, batch_id=tag)
+        self._apply_gold_delta(self.spark.read.parquet(delta_path), tag)
+
+    def _apply_gold_delta(self, delta: DataFrame, tag: str) -> None:
+        keys = list(GROUP)
+        # 1) per (group, date) order counts: the exact MAX(order_date) under retractions
+        dd = delta.groupBy(*keys, "order_date").agg(F.sum("sign").cast("long").alias("dn"))
+
+        def add_dates(t: DataFrame, s2: DataFrame) -> DataFrame:
+            j, kcols = _full_join(t, s2, keys + ["order_date"])
+            n = F.coalesce(F.col("t.n"), F.lit(0)) + F.coalesce(F.col("s.dn"), F.lit(0))
+            # zero counts stay as rows (filtered on read), so no bucket ever empties
+            return j.select(*kcols, n.cast("long").alias("n"))
+
+        self.dates.merge(dd, add_dates, batch_id=f"dates-{tag}", may_delete=False)
+        # 2) per group: row count (= distinct orders), exact sum and non-null count
+        gd = delta.groupBy(*keys).agg(
+            F.sum("sign").cast("long").alias("dc"),
+            F.sum(F.col("sign") * F.col("line_total")).cast("decimal(38,2)").alias("ds"),
+            F.sum(F.when(F.col("line_total").isNotNull(), F.col("sign")).otherwise(0)).cast("long").alias("dcnt"))
+        dates = self.dates.read_touched(gd)
+        dates = dates.filter(F.col("n") > 0)
+        latest = dates.join(gd.select(*keys), _null_safe_on(dates, gd, keys), "left_semi").groupBy(*keys).agg(
+            F.max("order_date").alias("latest_date"))
+        src = gd.join(latest, _null_safe_on(gd, latest, keys), "left").select(
+            *[gd[k] for k in keys], "dc", "ds", "dcnt", "latest_date").checkpoint(eager=True)
+
+        def add_groups(t: DataFrame, s2: DataFrame) -> DataFrame:
+            j, kcols = _full_join(t, s2, keys)
+            total = F.coalesce(F.col("t.total_orders"), F.lit(0)) + F.coalesce(F.col("s.dc"), F.lit(0))
+            ssum = (F.coalesce(F.col(f"t.{SUM}"), F.lit(0)) + F.coalesce(F.col("s.ds"), F.lit(0))).cast(
+                "decimal(38,2)")
+            cnt = F.coalesce(F.col(f"t.{CNT}"), F.lit(0)) + F.coalesce(F.col("s.dcnt"), F.lit(0))
+            touched = F.col("s.dc").isNotNull()
+            last = F.when(touched, F.col("s.latest_date")).otherwise(F.col("t.last_order_date"))
+            return j.select(
+                *kcols, total.cast("long").alias("total_orders"),
+                F.when(cnt > 0, ssum.cast("double")).alias("lifetime_value"),
+                F.when(cnt > 0, ssum.cast("double") / cnt).alias("avg_order_value"),
+                last.alias("last_order_date"), ssum.alias(SUM), cnt.cast("long").alias(CNT),
+            )  # emptied groups keep a zero row; gold_table() hides them
+
+        self.gold.merge(src, add_groups, batch_id=f"gold-{tag}", may_delete=False)
 
     # -- dimension changes ----------------------------------------------------
     def on_dimension_change(self, new_dim: DataFrame, change_id: str) -> None:

@@ -26,11 +26,11 @@ def test_stream_slices_equal_batch_and_replay_is_noop(spark, tmp):
     for i in (2, 0, 1):  # out of event order
         raw.filter(part == i).write.mode("append").parquet(src)
         dt.run(src, ckpt, available_now=True, max_files_per_trigger=1000)
-    assert rows(dt.gold.read()) == _gold_batch(spark, raw, dim)
+    assert rows(dt.gold_table()) == _gold_batch(spark, raw, dim)
     assert rows(dt.bronze.read().select(*M.BRONZE_COLS)) == rows(M.bronze(raw))
-    before = rows(dt.gold.read())
+    before = rows(dt.gold_table())
     dt.refresh(raw.filter(part == 0), 0)  # batch 0 replayed: recorded, skipped
-    assert rows(dt.gold.read()) == before
+    assert rows(dt.gold_table()) == before
 
 
 def test_dimension_change_refreshes_gold(spark, tmp):
@@ -41,7 +41,7 @@ def test_dimension_change_refreshes_gold(spark, tmp):
     new_dim = dim.withColumn("is_active", F.col("is_active") & (F.col("customer_id") % 3 != 0)) \
                  .withColumn("tier", F.when(F.col("customer_id") % 4 == 0, "gold").otherwise(F.col("tier")))
     dt.on_dimension_change(new_dim, "a")
-    assert rows(dt.gold.read()) == _gold_batch(spark, raw, new_dim)
+    assert rows(dt.gold_table()) == _gold_batch(spark, raw, new_dim)
     assert rows(dt.silver.read()) == rows(M.silver(M.bronze(raw), new_dim))
 
 
