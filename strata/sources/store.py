@@ -18,21 +18,51 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BUCKET = "_b"
+PERIOD = "_p"
 
 
 class BucketedTable:
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 16,
-                 schema: T.StructType | None = None, default_schema: T.StructType | None = None):
+                 schema: T.StructType | None = None, default_schema: T.StructType | None = None,
+                 period: tuple[str, str] | None = None):
         """``schema`` fixes the read schema; otherwise it is taken from the files,
-        or from ``default_schema`` while the table has no data files yet."""
+        or from ``default_schema`` while the table has no data files yet.
+
+        ``period=(date_column, grain)`` adds a leading partition level
+        ``trunc(date_column, grain)``: a batch of recent rows then rewrites only
+        the buckets of its periods, not of the whole table. The date column must
+        never change for a key (an order keeps its order date).
+        """
         self.spark, self.path, self.keys, self.buckets = spark, path.rstrip("/"), list(keys), buckets
         self.schema = schema
         self.default_schema = default_schema
+        self.period = period
+        self.parts = [PERIOD, BUCKET] if period else [BUCKET]
 
     # -- layout --------------------------------------------------------
     def bucket_of(self) -> F.Column:
         return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
 
+    def _with_parts(self, df: DataFrame) -> DataFrame:
+        out = df.withColumn(BUCKET, self.bucket_of())
+        if self.period:
+            out = out.withColumn(PERIOD, F.trunc(F.col(self.period[0]), self.period[1]))
+        return out
+
+    def _touched(self, df: DataFrame) -> list[tuple]:
+        """Distinct partition values of ``df`` (at most periods x buckets)."""
+        return [tuple(r) for r in self._with_parts(df).select(*self.parts).distinct().collect()]
+
+    def _prune(self, touched: list[tuple]) -> F.Column:
+        cond = F.col(BUCKET).isin(sorted({t[-1] for t in touched}))
+        if self.period:
+            periods = {t[0] for t in touched}
+            pc = F.col(PERIOD).isin(sorted((p for p in periods if p is not None), key=str))
+            if None in periods:  # a NULL date lives in the default partition; isin never matches NULL
+                pc = pc | F.col(PERIOD).isNull()
+            cond = cond & pc
+        return cond
+
     def _fs(self):
         jvm = self.spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(self.path)
@@ -44,25 +74,34 @@ class BucketedTable:
 
     # -- read / write ----------------------------------------------------
     def _scan(self) -> DataFrame:
+        schema = self._read_schema()
+        if schema is None:
+            return self.spark.read.parquet(self.path)
+        return self.spark.read.schema(schema).parquet(self.path)
+
+    def _read_schema(self) -> T.StructType | None:
+        """Explicit read schema (data columns + partition columns), or None to infer."""
         schema = self.schema
         if schema is None:
             try:
-                return self.spark.read.parquet(self.path)
+                self.spark.read.parquet(self.path).schema
+                return None
             except AnalysisException:
                 if self.default_schema is None or not self.exists():
                     raise
                 schema = self.default_schema
-        full = T.StructType(schema.fields + [T.StructField(BUCKET, T.IntegerType())])
-        return self.spark.read.schema(full).parquet(self.path)
+        extra = [T.StructField(PERIOD, T.DateType())] if self.period else []
+        return T.StructType(schema.fields + extra + [T.StructField(BUCKET, T.IntegerType())])
 
     def read(self) -> DataFrame:
-        return self._scan().drop(BUCKET)
+        return self._scan().drop(*self.parts)
 
     def read_touched(self, keys_df: DataFrame) -> DataFrame:
-        """Only the buckets holding the keys of ``keys_df`` (partition pruning);
-        the bucket ids are at most ``buckets`` values."""
-        touched = [r[0] for r in keys_df.select(self.bucket_of().alias(BUCKET)).distinct().collect()]
-        return self._scan().filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
+        """Only the partitions holding the keys of ``keys_df`` (partition pruning)."""
+        touched = self._touched(keys_df)
+        if not touched:
+            return self.read().limit(0)
+        return self._scan().filter(self._prune(touched)).drop(*self.parts)
 
     def write(self, df: DataFrame) -> None:
         """Full overwrite, clustered by bucket.
@@ -70,9 +109,9 @@ class BucketedTable:
         ``rebalance`` (not ``repartition``) lets AQE split a bucket that holds
         a hot key over several writer tasks instead of one.
         """
-        (df.withColumn(BUCKET, self.bucket_of()).hint("rebalance", BUCKET)
+        (self._with_parts(df).hint("rebalance", *self.parts)
          .write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .partitionBy(BUCKET).parquet(self.path))
+         .partitionBy(*self.parts).parquet(self.path))
 
     def applied(self, batch_id) -> bool:
         fs, jvm = self._fs()
@@ -94,28 +133,28 @@ class BucketedTable:
         """
         if self.applied(batch_id):
             return False
-        src = source.withColumn(BUCKET, self.bucket_of())
-        touched = [r[0] for r in src.select(BUCKET).distinct().collect()]  # <= self.buckets rows
+        touched = self._touched(source)  # <= periods x buckets values
         if not touched:
             self._mark(batch_id)
             return True
-        part = self._scan().filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
-        merged = fn(part, src.drop(BUCKET)).withColumn(BUCKET, self.bucket_of()).hint("rebalance", BUCKET)
+        part = self._scan().filter(self._prune(touched)).drop(*self.parts)
+        merged = self._with_parts(fn(part, source)).hint("rebalance", *self.parts)
         if may_delete:
-            # which touched buckets end up empty must be known before the write;
+            # which touched partitions end up empty must be known before the write;
             # pin the merge result so it is computed once
             merged = merged.checkpoint(eager=True)
-            present = {r[0] for r in merged.select(BUCKET).distinct().collect()}
+            present = {tuple(r) for r in merged.select(*self.parts).distinct().collect()}
         else:
-            # upserts: every touched bucket keeps rows. Dynamic overwrite commits only
+            # upserts: every touched partition keeps rows. Dynamic overwrite commits only
             # after all tasks finished reading the old files, so retries still see
             # them, and a batch replayed after a partial commit is a no-op upsert.
             present = set(touched)
         (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BUCKET).parquet(self.path))
-        # buckets emptied by deletes are not in the output: remove them
+         .partitionBy(*self.parts).parquet(self.path))
+        # partitions emptied by deletes are not in the output: remove them
         fs, jvm = self._fs()
-        for b in set(touched) - present:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{BUCKET}={b}"), True)
+        for t in set(touched) - present:
+            sub = "/".join(f"{n}={v}" for n, v in zip(self.parts, t))
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{sub}"), True)
         self._mark(batch_id)
         return True

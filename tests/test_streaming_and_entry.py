@@ -36,8 +36,12 @@ def test_stream_slices_equal_batch_and_replay_is_noop(spark, tmp):
 def test_dimension_change_refreshes_gold(spark, tmp):
     raw = D.orders_raw(spark, SF001)
     dim = D.customers(spark, SF001)
-    dt = DynamicTables(spark, os.path.join(tmp, "dyn2"), dim, raw.schema, buckets=4)
-    dt.refresh(raw, 0)
+    # also exercises period partitions (order year x bucket) for bronze and silver
+    dt = DynamicTables(spark, os.path.join(tmp, "dyn2"), dim, raw.schema, buckets=4, period_grain="year")
+    half = F.pmod(F.xxhash64("order_id", "line_no"), F.lit(2))
+    dt.refresh(raw.filter(half == 0), 0)
+    dt.refresh(raw.filter(half == 1), 1)
+    assert rows(dt.gold_table()) == _gold_batch(spark, raw, dim)
     new_dim = dim.withColumn("is_active", F.col("is_active") & (F.col("customer_id") % 3 != 0)) \
                  .withColumn("tier", F.when(F.col("customer_id") % 4 == 0, "gold").otherwise(F.col("tier")))
     dt.on_dimension_change(new_dim, "a")
