@@ -66,6 +66,7 @@ def bm25_top_k(corpus, questions, k: int = 3, **kw) -> DataFrame:
 
 
 MAX_BROADCAST_QUERIES = 4096
+QUERY_BLOCK = 256
 
 
 def _vector_partials(docs: DataFrame, qids: np.ndarray, qmat: np.ndarray, qnorm: np.ndarray,
@@ -80,15 +81,22 @@ def _vector_partials(docs: DataFrame, qids: np.ndarray, qmat: np.ndarray, qnorm:
             dm = np.stack(pdf[vec_col].to_numpy()).astype(np.float64)
             dn = np.linalg.norm(dm, axis=1)
             dn[dn == 0] = np.inf
-            sims = np.round((qm @ dm.T) / (qn[:, None] * dn[None, :]), RANK_DIGITS)
             doc_ids = pdf[id_col].to_numpy()
             kk = min(k, len(doc_ids))
             out_q, out_d, out_s = [], [], []
-            for i in range(len(ids_q)):
-                order = np.lexsort((doc_ids, -sims[i]))[:kk]
-                out_q.append(np.full(kk, ids_q[i]))
-                out_d.append(doc_ids[order])
-                out_s.append(sims[i][order])
+            # query blocks keep the similarity matrix at QUERY_BLOCK x batch rows
+            for lo in range(0, len(ids_q), QUERY_BLOCK):
+                sims = np.round((qm[lo:lo + QUERY_BLOCK] @ dm.T) / (qn[lo:lo + QUERY_BLOCK, None] * dn[None, :]),
+                                RANK_DIGITS)
+                for i, row in enumerate(sims):
+                    # every score >= the k-th largest is a candidate (ties at the cut included),
+                    # then (score desc, id asc) decides exactly
+                    cut = -np.partition(-row, kk - 1)[kk - 1]
+                    cand = np.nonzero(row >= cut)[0]
+                    order = cand[np.lexsort((doc_ids[cand], -row[cand]))][:kk]
+                    out_q.append(np.full(kk, ids_q[lo + i]))
+                    out_d.append(doc_ids[order])
+                    out_s.append(row[order])
             yield pd.DataFrame({q_id: np.concatenate(out_q), id_col: np.concatenate(out_d),
                                 "score": np.concatenate(out_s)})
 

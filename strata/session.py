@@ -64,7 +64,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/strata/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def cut_lineage(df):
-    """Reliable checkpoint (written to the shared checkpoint dir)."""
-    return df.checkpoint(eager=True)

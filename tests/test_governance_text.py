@@ -183,3 +183,12 @@ def test_rrf_and_corpus_context(spark):
     texts = [(i, ("x" * (i % 7)) + str(i)) for i in range(2000)]
     c = spark.createDataFrame(texts, "doc_id long, content string")
     assert RT.corpus_context(c, "doc_id", "content", 500).first().context == " ".join(t for _, t in texts)[:500]
+
+
+def test_vector_top_k_ties_break_by_id(spark):
+    same = [1.0, 0.0, 0.0]
+    docs = [(10, same), (3, same), (7, same), (5, [0.0, 1.0, 0.0]), (1, same)]
+    d = spark.createDataFrame(docs, "doc_id long, embedding array<float>").repartition(2)
+    q = spark.createDataFrame([(0, same)], "q_id long, embedding array<float>")
+    got = sorted(tuple(r) for r in RT.vector_top_k(spark, d, q, k=3).select("doc_id", "rank").collect())
+    assert got == [(1, 1), (3, 2), (7, 3)]
