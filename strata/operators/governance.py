@@ -140,14 +140,18 @@ def usage_by_warehouse(metering: DataFrame, as_of: Column, days: int = 7) -> Dat
             .orderBy(F.col("total_credits").desc_nulls_first()))
 
 
-def running_total(df: DataFrame, group: str, order: Sequence[str], value: str, partitions: int = 64) -> DataFrame:
+def running_total(df: DataFrame, group: str, order: Sequence[str], value: str,
+                  partitions: int | None = None) -> DataFrame:
     """Per-``group`` running sum in ``order`` without one task per group.
 
     Range-partition on (group, order) so even a group holding a third of all
     rows is split evenly; sum each (range partition, group) slice; prefix-sum
     the slice totals (a table of partitions x groups rows); add that offset
-    to the running sum inside each slice.
+    to the running sum inside each slice. ``partitions`` defaults to
+    ``spark.sql.shuffle.partitions`` (sized for the data like any shuffle).
     """
+    if partitions is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keyed = (df.repartitionByRange(partitions, group, *order)
              .withColumn("_pid", F.spark_partition_id()))
     keyed = keyed.checkpoint(eager=True)  # fixes the partition ids against recomputation
@@ -160,8 +164,9 @@ def running_total(df: DataFrame, group: str, order: Sequence[str], value: str, p
             .withColumn("running_total", F.col("_off") + F.col("_run")).drop("_pid", "_off", "_run"))
 
 
-def budget_alerts(metering: DataFrame, daily_quota: float, triggers: Sequence[tuple[int, str]] = ((80, "NOTIFY"), (100, "SUSPEND")),
-                  partitions: int = 64) -> DataFrame:
+def budget_alerts(metering: DataFrame, daily_quota: float,
+                  triggers: Sequence[tuple[int, str]] = ((80, "NOTIFY"), (100, "SUSPEND")),
+                  partitions: int | None = None) -> DataFrame:
     """First metering row of each day at which the running credit total
     reaches each trigger percentage of ``daily_quota``.
 

@@ -57,3 +57,21 @@ def test_entry_contract(spark):
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
     assert len(qs) >= 90
+
+
+def test_processing_time_trigger_refreshes(spark, tmp):
+    """The production trigger (a freshness target) keeps refreshing as files land."""
+    raw = D.orders_raw(spark, SF001)
+    dim = D.customers(spark, SF001)
+    dt = DynamicTables(spark, os.path.join(tmp, "dyn3"), dim, raw.schema, buckets=4)
+    src, ckpt = os.path.join(tmp, "src3"), os.path.join(tmp, "ckpt3")
+    half = F.pmod(F.xxhash64("order_id", "line_no"), F.lit(2))
+    raw.filter(half == 0).write.parquet(src)
+    q = dt.run(src, ckpt, available_now=False, freshness="1 second", max_files_per_trigger=1000)
+    try:
+        q.processAllAvailable()
+        raw.filter(half == 1).write.mode("append").parquet(src)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert rows(dt.gold_table()) == _gold_batch(spark, raw, dim)
