@@ -49,7 +49,7 @@ class BucketedTable:
             out = out.withColumn(PERIOD, F.trunc(F.col(self.period[0]), self.period[1]))
         return out
 
-    def _touched(self, df: DataFrame) -> list[tuple]:
+    def touched_partitions(self, df: DataFrame) -> list[tuple]:
         """Distinct partition values of ``df`` (at most periods x buckets)."""
         return [tuple(r) for r in self._with_parts(df).select(*self.parts).distinct().collect()]
 
@@ -96,9 +96,10 @@ class BucketedTable:
     def read(self) -> DataFrame:
         return self._scan().drop(*self.parts)
 
-    def read_touched(self, keys_df: DataFrame) -> DataFrame:
+    def read_touched(self, keys_df: DataFrame, touched: list[tuple] | None = None) -> DataFrame:
         """Only the partitions holding the keys of ``keys_df`` (partition pruning)."""
-        touched = self._touched(keys_df)
+        if touched is None:
+            touched = self.touched_partitions(keys_df)
         if not touched:
             return self.read().limit(0)
         return self._scan().filter(self._prune(touched)).drop(*self.parts)
@@ -124,19 +125,22 @@ class BucketedTable:
         fs.create(jvm.org.apache.hadoop.fs.Path(f"{self.path}/_batches/{batch_id}"), True).close()
 
     def merge(self, source: DataFrame, fn: Callable[[DataFrame, DataFrame], DataFrame], batch_id=None,
-              may_delete: bool = True) -> bool:
-        """Rewrite the buckets touched by ``source`` with ``fn(target_part, source)``.
+              may_delete: bool = True, touched: list[tuple] | None = None) -> int | None:
+        """Rewrite the partitions touched by ``source`` with ``fn(target_part, source)``.
 
         ``may_delete=False`` promises that ``fn`` never removes a key (upserts),
-        so no touched bucket can end up empty and that check is skipped.
-        Returns False when ``batch_id`` was applied before (idempotent replay).
+        so no touched partition can end up empty and that check is skipped.
+        ``touched`` may pass partitions already computed for the same keys.
+        Returns the number of touched partitions (0: empty source), or None
+        when ``batch_id`` was applied before (idempotent replay).
         """
         if self.applied(batch_id):
-            return False
-        touched = self._touched(source)  # <= periods x buckets values
+            return None
+        if touched is None:
+            touched = self.touched_partitions(source)  # <= periods x buckets values
         if not touched:
             self._mark(batch_id)
-            return True
+            return 0
         part = self._scan().filter(self._prune(touched)).drop(*self.parts)
         merged = self._with_parts(fn(part, source)).hint("rebalance", *self.parts)
         if may_delete:
@@ -157,4 +161,4 @@ class BucketedTable:
             sub = "/".join(f"{n}={v}" for n, v in zip(self.parts, t))
             fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{sub}"), True)
         self._mark(batch_id)
-        return True
+        return len(touched)

@@ -112,14 +112,14 @@ class DynamicTables:
         tag = f"orders-{batch_id}"
         latest = latest_per_key(batch.select(*self.bronze_cols), ["order_id"], ORDERS_LATEST)
         latest = latest.checkpoint(eager=True)
-        if latest.isEmpty():
-            return
         order_key = F.struct(*[F.col(f"s.{c}") for c in ORDERS_LATEST]) > \
             F.struct(*[F.col(f"t.{c}") for c in ORDERS_LATEST])
         values = {c: F.col(f"s.{c}") for c in self.bronze_cols}
         clauses = [When(True, "update", order_key, values), When(False, "insert", None, values)]
-        self.bronze.merge(latest, lambda t, s: merge_into(t, s, ["order_id"], clauses), batch_id=tag,
-                          may_delete=False)
+        n = self.bronze.merge(latest, lambda t, s: merge_into(t, s, ["order_id"], clauses), batch_id=tag,
+                              may_delete=False)
+        if n == 0:  # empty batch
+            return
         self._refresh_orders(latest.select("order_id"), tag)  # one row per order already
 
     def _refresh_orders(self, order_ids: DataFrame, tag: str) -> None:
@@ -163,7 +163,9 @@ class DynamicTables:
             F.sum("sign").cast("long").alias("dc"),
             F.sum(F.col("sign") * F.col("line_total")).cast("decimal(38,2)").alias("ds"),
             F.sum(F.when(F.col("line_total").isNotNull(), F.col("sign")).otherwise(0)).cast("long").alias("dcnt"))
-        dates = self.dates.read_touched(gd)
+        # gold and the dates table share keys and bucket count: one touched list for both
+        touched = self.gold.touched_partitions(gd)
+        dates = self.dates.read_touched(gd, touched)
         dates = dates.filter(F.col("n") > 0)
         latest = dates.join(gd.select(*keys), _null_safe_on(dates, gd, keys), "left_semi").groupBy(*keys).agg(
             F.max("order_date").alias("latest_date"))
@@ -185,7 +187,7 @@ class DynamicTables:
                 last.alias("last_order_date"), ssum.alias(SUM), cnt.cast("long").alias(CNT),
             )  # emptied groups keep a zero row; gold_table() hides them
 
-        self.gold.merge(src, add_groups, batch_id=f"gold-{tag}", may_delete=False)
+        self.gold.merge(src, add_groups, batch_id=f"gold-{tag}", may_delete=False, touched=touched)
 
     # -- dimension changes ----------------------------------------------------
     def on_dimension_change(self, new_dim: DataFrame, change_id: str) -> None:
