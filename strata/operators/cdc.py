@@ -63,7 +63,7 @@ def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str] | None) -> D
 
 
 def has_data(feed: DataFrame) -> DataFrame:
-    """``SYSTEM$STREAM_HAS_DATA`` as a one-row frame (C03); reads one row at most."""
+    """Has-data test of a change stream as a one-row frame (C03); reads one row at most."""
     return feed.limit(1).agg((F.count(F.lit(1)) > 0).alias("has_data"))
 
 
