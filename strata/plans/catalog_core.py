@@ -65,7 +65,7 @@ def p01(spark, sf):
 
 
 @register("p02_line_total", with_("orders_raw") + """
-SELECT order_id, line_no, quantity, unit_price, quantity * unit_price AS line_total FROM orders_raw""")
+SELECT order_id, line_no, quantity, unit_price, CAST(quantity * unit_price AS DECIMAL(23,2)) AS line_total FROM orders_raw""")
 def p02(spark, sf):
     return D.orders_raw(spark, sf).select(
         "order_id", "line_no", "quantity", "unit_price",
@@ -286,9 +286,9 @@ def w02(spark, sf):
 
 @register("w03_rank_in_month", with_("orders_raw") + """
 SELECT order_id, line_no, date_trunc('month', order_date)::DATE AS order_month,
-       quantity * unit_price AS line_total,
-       rank() OVER (PARTITION BY date_trunc('month', order_date)::DATE
-                    ORDER BY quantity * unit_price DESC) AS revenue_rank
+       CAST(quantity * unit_price AS DECIMAL(23,2)) AS line_total,
+       CAST(rank() OVER (PARTITION BY date_trunc('month', order_date)::DATE
+                         ORDER BY quantity * unit_price DESC) AS INTEGER) AS revenue_rank
 FROM orders_raw WHERE status IN ('PAID', 'SHIPPED')""")
 def w03(spark, sf):
     o = (D.orders_raw(spark, sf).filter(F.col("status").isin("PAID", "SHIPPED"))
@@ -325,7 +325,7 @@ def o04(spark, sf):
 @register("o05_top_k_per_group", """
 SELECT p_brand, p_partkey, p_retailprice, rank FROM (
   SELECT p_brand, p_partkey, p_retailprice,
-         row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey) AS rank
+         CAST(row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey) AS INTEGER) AS rank
   FROM part) WHERE rank <= 3""")
 def o05(spark, sf):
     p = table(spark, sf, "part").select("p_brand", "p_partkey", "p_retailprice")

@@ -245,7 +245,7 @@ def m08(spark, sf):
 @register("m09_j03_fct_orders_incremental",
           with_("orders_raw", "customers", extra={**_RAW_CUSTOMERS_SQL, **_STG_SQL}) + """
 SELECT o.order_id, o.order_date, o.customer_id, c.customer_name, c.customer_tier, o.quantity, o.unit_price,
-       o.quantity * o.unit_price AS line_total, o.status, o.loaded_at
+       CAST(o.quantity * o.unit_price AS DECIMAL(23,2)) AS line_total, o.status, o.loaded_at
 FROM (SELECT * FROM orders_raw QUALIFY row_number() OVER (
         PARTITION BY order_id ORDER BY loaded_at DESC, line_no DESC, product_id DESC, supp_id DESC) = 1) o
 LEFT JOIN stg_customers c ON o.customer_id = c.customer_id""")

@@ -178,7 +178,7 @@ def _bm25_sql(corpus_filter: str = "") -> dict[str, str]:
                  FROM qt q JOIN idf i USING (term) JOIN post p USING (term) JOIN dl d ON d.doc_id = p.doc_id
                  GROUP BY 1, 2""",
         "bm_rank": """SELECT q_id, doc_id, score,
-                             row_number() OVER (PARTITION BY q_id ORDER BY score DESC, doc_id) AS rank FROM bm""",
+                             CAST(row_number() OVER (PARTITION BY q_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM bm""",
     }
 
 
@@ -192,7 +192,7 @@ _VEC_SQL = {
                             9) AS score
                FROM qv q CROSS JOIN dv d""",
     "vec_rank": """SELECT q_id, doc_id, score,
-                          row_number() OVER (PARTITION BY q_id ORDER BY score DESC, doc_id) AS rank FROM sims""",
+                          CAST(row_number() OVER (PARTITION BY q_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM sims""",
 }
 
 
@@ -233,7 +233,7 @@ _HYBRID_SQL = {
                    UNION ALL
                    SELECT q_id, doc_id, rank FROM vec_rank WHERE rank <= {HYBRID_DEPTH}) GROUP BY 1, 2""",
     "hybrid": """SELECT q_id, doc_id, score,
-                        row_number() OVER (PARTITION BY q_id ORDER BY score DESC, doc_id) AS rank FROM fused""",
+                        CAST(row_number() OVER (PARTITION BY q_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM fused""",
 }
 
 

@@ -46,7 +46,7 @@ QUALIFY row_number() OVER (PARTITION BY order_id
                            ORDER BY loaded_at DESC, line_no DESC, product_id DESC, supp_id DESC) = 1""",
     "silver": """
 SELECT o.order_id, o.order_date, o.status, o.quantity, o.unit_price,
-       o.quantity * o.unit_price AS line_total,
+       CAST(o.quantity * o.unit_price AS DECIMAL(23,2)) AS line_total,
        c.name AS customer_name, c.tier AS customer_tier, o.customer_id
 FROM bronze o LEFT JOIN customers c ON o.customer_id = c.customer_id AND c.is_active = TRUE""",
     "gold": """
