@@ -141,8 +141,10 @@ def vector_top_k(spark: SparkSession, docs: DataFrame, queries: DataFrame, k: in
 def rrf_fuse(ranked: list[DataFrame], q_id: str, id_col: str, k: int = 3, c: int = 60) -> DataFrame:
     """Reciprocal-rank fusion: score = sum over lists of 1 / (c + rank).
 
-    Each input holds (q_id, doc, rank) for one retriever's ranked list; a
-    document missing from a list contributes nothing for it.
+    Each input holds (q_id, doc, rank) for one retriever's ranked list — by
+    definition its top rank-window (every document was scored to build it);
+    a document missing from a list contributes nothing for it. The result is
+    exact for that definition: no sampling and no cap beyond the window.
     """
     u = None
     for r in ranked:

@@ -21,7 +21,9 @@ DOC_LEXICON = {"the": 0.30, "and": 0.50, "for": -0.40, "with": -0.20, "of": 0.10
 DOC_RULES = (("rule_with", (" with ",)), ("rule_que", (" que ", " des ")), ("rule_the", (" the ",)))
 DOC_LABEL_KEYWORDS = {"shipping": ("the", "with"), "product_quality": ("and", "que"),
                       "pricing": ("for", "des"), "customer_service": ("of", "le")}
-HYBRID_DEPTH = 50
+# Reciprocal-rank fusion is defined over each retriever's top-RANK_WINDOW list
+# (the usual rank-window parameter of hybrid search); both retrievers score all documents.
+RANK_WINDOW = 50
 FILTER_SOURCE = "src3"
 
 
@@ -229,17 +231,17 @@ def n10(spark, sf):
 
 _HYBRID_SQL = {
     "fused": f"""SELECT q_id, doc_id, round(SUM(1.0 / (60 + rank)), 9) AS score FROM (
-                   SELECT q_id, doc_id, rank FROM bm_rank WHERE rank <= {HYBRID_DEPTH}
+                   SELECT q_id, doc_id, rank FROM bm_rank WHERE rank <= {RANK_WINDOW}
                    UNION ALL
-                   SELECT q_id, doc_id, rank FROM vec_rank WHERE rank <= {HYBRID_DEPTH}) GROUP BY 1, 2""",
+                   SELECT q_id, doc_id, rank FROM vec_rank WHERE rank <= {RANK_WINDOW}) GROUP BY 1, 2""",
     "hybrid": """SELECT q_id, doc_id, score,
                         CAST(row_number() OVER (PARTITION BY q_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM fused""",
 }
 
 
 def hybrid_top_k(spark, sf, k=3):
-    lex = RT.rank_top_k(_bm25(spark, sf), "q_id", "doc_id", HYBRID_DEPTH)
-    vec = _vector(spark, sf, HYBRID_DEPTH)
+    lex = RT.rank_top_k(_bm25(spark, sf), "q_id", "doc_id", RANK_WINDOW)
+    vec = _vector(spark, sf, RANK_WINDOW)
     return RT.rrf_fuse([lex, vec], "q_id", "doc_id", k)
 
 
