@@ -177,16 +177,19 @@ def budget_alerts(metering: DataFrame, daily_quota: float,
     m = metering.select(F.to_date("start_time").alias("usage_day"), "start_time", "event_id",
                         F.col("credits_used").cast("decimal(18,4)").alias("credits"))
     run = running_total(m, "usage_day", ["start_time", "event_id"], "credits", partitions)
-    out = None
-    for pct, action in triggers:
+    # one grouped pass for all levels: per level, the smallest (time, id) at or above it
+    firsts = []
+    for i, (pct, _) in enumerate(triggers):
         level = F.lit(daily_quota * pct / 100.0).cast("decimal(18,4)")
-        first = (run.filter(F.col("running_total") >= level).groupBy("usage_day")
-                 .agg(F.min(F.struct("start_time", "event_id", "running_total")).alias("f"))
-                 .select("usage_day", F.lit(pct).alias("trigger_percent"), F.lit(action).alias("action"),
-                         F.col("f.start_time").alias("start_time"), F.col("f.event_id").alias("event_id"),
-                         F.col("f.running_total").cast("double").alias("running_credits")))
-        out = first if out is None else out.unionByName(first)
-    return out
+        hit = F.when(F.col("running_total") >= level, F.struct("start_time", "event_id", "running_total"))
+        firsts.append(F.min(hit).alias(f"_f{i}"))
+    per_day = run.groupBy("usage_day").agg(*firsts)
+    cells = F.array(*[F.struct(F.lit(pct).alias("trigger_percent"), F.lit(action).alias("action"),
+                               F.col(f"_f{i}").alias("f")) for i, (pct, action) in enumerate(triggers)])
+    return (per_day.select("usage_day", F.explode(cells).alias("c")).filter(F.col("c.f").isNotNull())
+            .select("usage_day", "c.trigger_percent", "c.action", F.col("c.f.start_time").alias("start_time"),
+                    F.col("c.f.event_id").alias("event_id"),
+                    F.col("c.f.running_total").cast("double").alias("running_credits")))
 
 
 # ----------------------------------------------------------------- grants --
