@@ -120,21 +120,25 @@ class DynamicTables:
                               may_delete=False)
         if n == 0:  # empty batch
             return
-        self._refresh_orders(latest.select("order_id"), tag)  # one row per order already
+        self._refresh_orders(latest.select("order_id", "order_date"), tag)  # one row per order already
 
-    def _refresh_orders(self, order_ids: DataFrame, tag: str) -> None:
-        """Re-enrich ``order_ids`` into silver and apply the gold deltas.
+    def _refresh_orders(self, orders: DataFrame, tag: str) -> None:
+        """Re-enrich ``orders`` (order_id, order_date) into silver and apply the gold deltas.
 
-        The delta (old silver rows of the orders with -1, new rows with +1)
-        is written under the batch tag *before* silver changes, so a batch
+        Bronze and silver are read only in the partitions those orders live
+        in. The delta (old silver rows of the orders with -1, new rows with
+        +1) is written under the batch tag *before* silver changes, so a batch
         replayed after a failure between the silver and gold writes still
         applies it.
         """
         delta_path = f"{self.root}/_delta/{tag}"
-        bronze_now = self.bronze.read().join(order_ids, "order_id", "left_semi").select(*M.BRONZE_COLS)
+        order_ids = orders.select("order_id")
+        touched = self.bronze.touched_partitions(orders)  # bronze and silver share the layout
+        bronze_now = (self.bronze.read_touched(orders, touched).join(order_ids, "order_id", "left_semi")
+                      .select(*M.BRONZE_COLS))
         silver_new = M.silver(bronze_now, self.dim).checkpoint(eager=True)
         if not self.silver.applied(f"silver-{tag}"):
-            before = self.silver.read().join(order_ids, "order_id", "left_semi")
+            before = self.silver.read_touched(orders, touched).join(order_ids, "order_id", "left_semi")
             cols = [*GROUP, "order_date", "line_total"]
 
             def counted(df: DataFrame, sign: int) -> DataFrame:
@@ -143,7 +147,7 @@ class DynamicTables:
 
             counted(silver_new, 1).unionByName(counted(before, -1)).write.mode("overwrite").parquet(delta_path)
         self.silver.merge(silver_new, lambda t, s: t.join(s.select("order_id"), "order_id", "left_anti")
-                          .unionByName(s), batch_id=f"silver-{tag}", may_delete=False)
+                          .unionByName(s), batch_id=f"silver-{tag}", may_delete=False, touched=touched)
         self._apply_gold_delta(self.spark.read.parquet(delta_path), tag)
 
     def _apply_gold_delta(self, delta: DataFrame, tag: str) -> None:
@@ -178,8 +182,8 @@ class DynamicTables:
             ssum = (F.coalesce(F.col(f"t.{SUM}"), F.lit(0)) + F.coalesce(F.col("s.ds"), F.lit(0))).cast(
                 "decimal(38,2)")
             cnt = F.coalesce(F.col(f"t.{CNT}"), F.lit(0)) + F.coalesce(F.col("s.dcnt"), F.lit(0))
-            touched = F.col("s.dc").isNotNull()
-            last = F.when(touched, F.col("s.latest_date")).otherwise(F.col("t.last_order_date"))
+            in_batch = F.col("s.dc").isNotNull()
+            last = F.when(in_batch, F.col("s.latest_date")).otherwise(F.col("t.last_order_date"))
             return j.select(
                 *kcols, total.cast("long").alias("total_orders"),
                 F.when(cnt > 0, ssum.cast("double")).alias("lifetime_value"),
@@ -196,7 +200,8 @@ class DynamicTables:
         feed = change_feed(self.dim.select(*cols), new_dim.select(*cols), ["customer_id"])
         changed = feed.select("customer_id").distinct()
         self.dim = new_dim
-        ids = self.bronze.read().join(changed, "customer_id", "left_semi").select("order_id")
+        # no index by customer: a dimension change scans bronze once for its orders
+        ids = self.bronze.read().join(changed, "customer_id", "left_semi").select("order_id", "order_date")
         # bronze does not change below, but pin the id list before silver is rewritten
         self._refresh_orders(ids.checkpoint(eager=True), f"dim-{change_id}")
 
