@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.operators.joins import semi_join_or_null
+from strata.operators.relational import running_total  # noqa: F401  (re-exported)
 
 # Role names and mask texts of the reference's policies.
 FULL_ACCESS_ROLES = ("DATA_ENGINEER_FR", "SYSADMIN", "ACCOUNTADMIN")
@@ -140,30 +141,6 @@ def usage_by_warehouse(metering: DataFrame, as_of: Column, days: int = 7) -> Dat
             .orderBy(F.col("total_credits").desc_nulls_first()))
 
 
-def running_total(df: DataFrame, group: str, order: Sequence[str], value: str,
-                  partitions: int | None = None) -> DataFrame:
-    """Per-``group`` running sum in ``order`` without one task per group.
-
-    Range-partition on (group, order) so even a group holding a third of all
-    rows is split evenly; sum each (range partition, group) slice; prefix-sum
-    the slice totals (a table of partitions x groups rows); add that offset
-    to the running sum inside each slice. ``partitions`` defaults to
-    ``spark.sql.shuffle.partitions`` (sized for the data like any shuffle).
-    """
-    if partitions is None:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = (df.repartitionByRange(partitions, group, *order)
-             .withColumn("_pid", F.spark_partition_id()))
-    keyed = keyed.checkpoint(eager=True)  # fixes the partition ids against recomputation
-    slice_tot = keyed.groupBy("_pid", group).agg(F.sum(value).alias("_slice"))
-    w_off = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slice_tot.select("_pid", group, F.coalesce(F.sum("_slice").over(w_off), F.lit(0)).alias("_off"))
-    w_in = Window.partitionBy("_pid", group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = keyed.withColumn("_run", F.sum(value).over(w_in))
-    return (local.join(offsets, ["_pid", group])
-            .withColumn("running_total", F.col("_off") + F.col("_run")).drop("_pid", "_off", "_run"))
-
-
 def budget_alerts(metering: DataFrame, daily_quota: float,
                   triggers: Sequence[tuple[int, str]] = ((80, "NOTIFY"), (100, "SUSPEND")),
                   partitions: int | None = None) -> DataFrame:

@@ -38,9 +38,62 @@ def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column]
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
 
 
-def rank_within(df: DataFrame, partition: Sequence[str], order: Sequence[Column], name: str) -> DataFrame:
-    """Rank with gaps."""
-    return df.withColumn(name, F.rank().over(Window.partitionBy(*partition).orderBy(*order)))
+def running_total(df: DataFrame, group: str | Sequence[str], order: Sequence[str | Column], value: str,
+                  partitions: int | None = None) -> DataFrame:
+    """Per-group running sum in ``order`` without one task per group.
+
+    Range-partition on (group, order) so even a group holding a third of all
+    rows is split evenly; sum each (range partition, group) slice; prefix-sum
+    the slice totals (a table of partitions x groups rows); add that offset
+    to the running sum inside each slice. ``partitions`` defaults to
+    ``spark.sql.shuffle.partitions`` (sized for the data like any shuffle).
+    """
+    groups = [group] if isinstance(group, str) else list(group)
+    if partitions is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = (df.repartitionByRange(partitions, *groups, *order)
+             .withColumn("_pid", F.spark_partition_id()))
+    keyed = keyed.checkpoint(eager=True)  # fixes the partition ids against recomputation
+    slice_tot = keyed.groupBy("_pid", *groups).agg(F.sum(value).alias("_slice"))
+    w_off = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    keys = ["_pid", *groups]
+    offsets = slice_tot.select(*[F.col(k).alias(f"_o{i}") for i, k in enumerate(keys)],
+                               F.coalesce(F.sum("_slice").over(w_off), F.lit(0)).alias("_off"))
+    w_in = Window.partitionBy("_pid", *groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = keyed.withColumn("_run", F.sum(value).over(w_in))
+    on = None
+    for i, k in enumerate(keys):
+        c = F.col(k).eqNullSafe(F.col(f"_o{i}"))
+        on = c if on is None else on & c
+    return (local.join(offsets, on).drop(*[f"_o{i}" for i in range(len(keys))])
+            .withColumn("running_total", F.col("_off") + F.col("_run")).drop("_pid", "_off", "_run"))
+
+
+def rank_within(df: DataFrame, partition: Sequence[str], value: str, name: str, descending: bool = True,
+                skew_safe: bool = True) -> DataFrame:
+    """``RANK() OVER (PARTITION BY partition ORDER BY value [DESC])``.
+
+    A plain window sorts a whole partition in one task, so one partition
+    holding a third of all rows would be one task. The skew-safe form uses
+    rank = 1 + rows that sort strictly before the value: count rows per
+    (partition, value) (map-side partial counts), take a range-partitioned
+    running total of those counts, and join the ranks back on (partition,
+    value). NULL values sort last, as in the window.
+    """
+    order = F.col("_v").desc_nulls_last() if descending else F.col("_v").asc_nulls_first()
+    if not skew_safe:
+        w_order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_first()
+        return df.withColumn(name, F.rank().over(Window.partitionBy(*partition).orderBy(w_order)))
+    counts = df.groupBy(*partition, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    run = running_total(counts, list(partition), [order], "_n")
+    keys = [*partition, "_v"]
+    ranks = run.select(*[F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)],
+                       (F.col("running_total") - F.col("_n") + 1).cast("int").alias(name))
+    on = None
+    for i, k in enumerate([*partition, value]):
+        c = F.col(k).eqNullSafe(F.col(f"_r{i}"))
+        on = c if on is None else on & c
+    return df.join(ranks, on).drop(*[f"_r{i}" for i in range(len(keys))])
 
 
 # ---------------------------------------------------------------- joins ----

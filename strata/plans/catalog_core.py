@@ -294,7 +294,7 @@ def w03(spark, sf):
     o = (D.orders_raw(spark, sf).filter(F.col("status").isin("PAID", "SHIPPED"))
          .withColumn("line_total", F.col("quantity") * F.col("unit_price"))
          .withColumn("order_month", S.month_start("order_date")))
-    return R.rank_within(o, ["order_month"], [F.col("line_total").desc()], "revenue_rank").select(
+    return R.rank_within(o, ["order_month"], "line_total", "revenue_rank").select(
         "order_id", "line_no", "order_month", "line_total", "revenue_rank")
 
 

@@ -120,3 +120,17 @@ def test_merge_procedure_gate_and_message(spark, tmp):
     assert msg == "Merge complete: 3 rows affected"  # 1 deactivated, 2 updated, 3 inserted
     assert rows(dim.read(), "customer_id", "tier", "is_active") == [(1, "gold", False), (2, "platinum", True),
                                                                   (3, "gold", True)]
+
+
+def test_skew_safe_rank_equals_window_rank(spark):
+    import random
+
+    from strata.operators.relational import rank_within
+
+    rng = random.Random(5)
+    data = [(0 if rng.random() < 0.7 else rng.randint(1, 3), rng.choice([None, *range(20)]), i) for i in range(600)]
+    df = spark.createDataFrame(data, "g int, v int, id int")
+    for desc in (True, False):
+        safe = rows(rank_within(df, ["g"], "v", "r", descending=desc), "id", "r")
+        plain = rows(rank_within(df, ["g"], "v", "r", descending=desc, skew_safe=False), "id", "r")
+        assert safe == plain
