@@ -96,6 +96,20 @@ def s03(spark, sf):
                       "rows_parsed", "rows_loaded", "errors_seen", "first_error", "status", "last_load_time")
 
 
+@register("s02_s03_copy_into_replay_once", f"""
+SELECT event_id, ts, user_id, event_type, value,
+       CASE WHEN event_id % 13 = 0 OR event_id % 17 = 0 OR event_id % 19 = 0 THEN NULL ELSE props END AS props
+FROM events WHERE NOT {_BAD_SQL}""")
+def s02_replay(spark, sf):
+    """The same landing zone loaded twice: the second run finds every file in
+    the load history and adds nothing."""
+    landing = _landing(spark, sf)
+    table, hist = scratch_path(spark, "events_tbl"), scratch_path(spark, "events_load_history")
+    for _ in range(2):
+        C.copy_into_table(spark, landing, EVENTS_SCHEMA, table, hist, "events")
+    return spark.read.parquet(table)
+
+
 @register("s04_list_landing_zone")
 def s04(spark, sf):
     return C.list_files(spark, _landing(spark, sf), "*.txt")

@@ -33,7 +33,7 @@ class CsvFormat:
     options: dict[str, str] = field(default_factory=dict)
 
 
-def read_tokens(spark: SparkSession, path: str, columns: list[str], fmt: CsvFormat) -> DataFrame:
+def read_tokens(spark: SparkSession, path: str | list[str], columns: list[str], fmt: CsvFormat) -> DataFrame:
     """Raw string tokens per row with file name and a corrupt-record column."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns]
                           + [T.StructField(CORRUPT, T.StringType())])
@@ -61,7 +61,7 @@ def _cast_errors(schema: T.StructType) -> tuple[list[Column], Column]:
     return typed, err
 
 
-def copy_into(spark: SparkSession, path: str, schema: T.StructType, fmt: CsvFormat | None = None,
+def copy_into(spark: SparkSession, path: str | list[str], schema: T.StructType, fmt: CsvFormat | None = None,
               on_error: str = "CONTINUE") -> tuple[DataFrame, DataFrame]:
     """``COPY INTO t FROM path ON_ERROR='CONTINUE'`` (S02): ``(good, rejects)``.
 
@@ -85,7 +85,7 @@ def copy_into(spark: SparkSession, path: str, schema: T.StructType, fmt: CsvForm
     return good, rejects
 
 
-def load_history(spark: SparkSession, path: str, schema: T.StructType, table_name: str,
+def load_history(spark: SparkSession, path: str | list[str], schema: T.StructType, table_name: str,
                  fmt: CsvFormat | None = None, load_time: Column | None = None) -> DataFrame:
     """One load record per file (S03): rows parsed/loaded, errors, first error, status.
 
@@ -131,3 +131,48 @@ def read_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
             .option("quote", '"').option("escape", '"').option("mode", "FAILFAST")
             .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
             .load(path))
+
+
+def copy_into_table(spark: SparkSession, landing: str, schema: T.StructType, table_path: str, history_path: str,
+                    table_name: str, fmt: CsvFormat | None = None, force: bool = False,
+                    load_time: Column | None = None) -> DataFrame:
+    """``COPY INTO table FROM landing``, run repeatedly: files already in the
+    load history (same path, size and modification time) are skipped unless
+    ``force``, so replaying a load does not duplicate rows (S02/S03).
+
+    Good rows are appended to ``table_path``, rejects to
+    ``table_path + '_rejects'``, and one record per loaded file to
+    ``history_path``. Returns this run's history records.
+
+    Listing is metadata only (``binaryFile`` with the content column pruned);
+    the new-file list goes to the reader like any file source's listing.
+    """
+    fmt = fmt or CsvFormat()
+    files = list_files(spark, landing).select(F.col("name").alias("file_name"), "size", "last_modified")
+    try:
+        seen = spark.read.parquet(history_path).select("file_name", "size", "last_modified")
+    except Exception:  # no history yet
+        seen = None
+    new = files if (seen is None or force) else files.join(seen, ["file_name", "size", "last_modified"], "left_anti")
+    new = new.checkpoint(eager=True)
+    paths = [r.file_name for r in new.select("file_name").collect()]
+    if not paths:
+        return spark.createDataFrame([], _history_schema())
+    good, rejects = copy_into(spark, paths, schema, fmt)
+    good.write.mode("append").parquet(table_path)
+    rejects.write.mode("append").parquet(table_path.rstrip("/") + "_rejects")
+    hist = load_history(spark, paths, schema, table_name, fmt, load_time).join(
+        new.select("file_name", "size", "last_modified"), "file_name")
+    hist = hist.checkpoint(eager=True)
+    hist.write.mode("append").parquet(history_path)
+    return hist
+
+
+def _history_schema() -> T.StructType:
+    return T.StructType([
+        T.StructField("file_name", T.StringType()), T.StructField("table_name", T.StringType()),
+        T.StructField("rows_parsed", T.LongType()), T.StructField("rows_loaded", T.LongType()),
+        T.StructField("errors_seen", T.LongType()), T.StructField("first_error", T.StringType()),
+        T.StructField("status", T.StringType()), T.StructField("last_load_time", T.TimestampType()),
+        T.StructField("size", T.LongType()), T.StructField("last_modified", T.TimestampType()),
+    ])

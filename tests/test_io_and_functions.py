@@ -133,3 +133,19 @@ def test_dml_helpers_and_defaults(spark):
     assert rows(append_with_defaults(tgt, df.select("id"), {"tier": F.lit("standard")})) == [
         (1, "standard"), (2, "standard"), (3, "standard")]
     assert df.limit(0).count() == 0 and df.limit(0).schema == df.schema  # empty structure copy
+
+
+def test_copy_into_table_skips_loaded_files(spark, tmp):
+    d = _write(tmp, "weather.csv", WEATHER_CSV)
+    table, hist = os.path.join(tmp, "weather_tbl"), os.path.join(tmp, "load_history")
+    first = C.copy_into_table(spark, d, WEATHER, table, hist, "weather_observations")
+    assert [(r.rows_loaded, r.errors_seen, r.status) for r in first.collect()] == [(3, 3, "PARTIALLY_LOADED")]
+    assert C.copy_into_table(spark, d, WEATHER, table, hist, "weather_observations").count() == 0  # replay
+    assert spark.read.parquet(table).count() == 3
+    _write(tmp, "weather2.csv", "station_id,date_recorded,temp_max,temp_min,precipitation,snow,snow_depth\n"
+                                "X,2024-02-01,1,1,1,1,1\n")
+    third = C.copy_into_table(spark, d, WEATHER, table, hist, "weather_observations")
+    assert [os.path.basename(r.file_name) for r in third.collect()] == ["weather2.csv"]
+    assert spark.read.parquet(table).count() == 4
+    assert spark.read.parquet(hist).count() == 2
+    assert spark.read.parquet(table + "_rejects").count() == 3
