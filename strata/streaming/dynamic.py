@@ -116,13 +116,15 @@ class DynamicTables:
             F.struct(*[F.col(f"t.{c}") for c in ORDERS_LATEST])
         values = {c: F.col(f"s.{c}") for c in self.bronze_cols}
         clauses = [When(True, "update", order_key, values), When(False, "insert", None, values)]
-        n = self.bronze.merge(latest, lambda t, s: merge_into(t, s, ["order_id"], clauses), batch_id=tag,
-                              may_delete=False)
-        if n == 0:  # empty batch
+        orders = latest.select("order_id", "order_date")  # one row per order already
+        touched = self.bronze.touched_partitions(orders)  # bronze and silver share the layout
+        if not touched:  # empty batch
             return
-        self._refresh_orders(latest.select("order_id", "order_date"), tag)  # one row per order already
+        self.bronze.merge(latest, lambda t, s: merge_into(t, s, ["order_id"], clauses), batch_id=tag,
+                          may_delete=False, touched=touched)
+        self._refresh_orders(orders, tag, touched)
 
-    def _refresh_orders(self, orders: DataFrame, tag: str) -> None:
+    def _refresh_orders(self, orders: DataFrame, tag: str, touched: list[tuple] | None = None) -> None:
         """Re-enrich ``orders`` (order_id, order_date) into silver and apply the gold deltas.
 
         Bronze and silver are read only in the partitions those orders live
@@ -133,7 +135,8 @@ class DynamicTables:
         """
         delta_path = f"{self.root}/_delta/{tag}"
         order_ids = orders.select("order_id")
-        touched = self.bronze.touched_partitions(orders)  # bronze and silver share the layout
+        if touched is None:
+            touched = self.bronze.touched_partitions(orders)  # bronze and silver share the layout
         bronze_now = (self.bronze.read_touched(orders, touched).join(order_ids, "order_id", "left_semi")
                       .select(*M.BRONZE_COLS))
         silver_new = M.silver(bronze_now, self.dim).checkpoint(eager=True)
@@ -161,7 +164,6 @@ class DynamicTables:
             # zero counts stay as rows (filtered on read), so no bucket ever empties
             return j.select(*kcols, n.cast("long").alias("n"))
 
-        self.dates.merge(dd, add_dates, batch_id=f"dates-{tag}", may_delete=False)
         # 2) per group: row count (= distinct orders), exact sum and non-null count
         gd = delta.groupBy(*keys).agg(
             F.sum("sign").cast("long").alias("dc"),
@@ -169,6 +171,7 @@ class DynamicTables:
             F.sum(F.when(F.col("line_total").isNotNull(), F.col("sign")).otherwise(0)).cast("long").alias("dcnt"))
         # gold and the dates table share keys and bucket count: one touched list for both
         touched = self.gold.touched_partitions(gd)
+        self.dates.merge(dd, add_dates, batch_id=f"dates-{tag}", may_delete=False, touched=touched)
         dates = self.dates.read_touched(gd, touched)
         dates = dates.filter(F.col("n") > 0)
         latest = dates.join(gd.select(*keys), _null_safe_on(dates, gd, keys), "left_semi").groupBy(*keys).agg(
