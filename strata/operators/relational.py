@@ -22,12 +22,14 @@ def _cols(xs: Iterable[str | Column]) -> list[Column]:
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_desc: Sequence[str | Column]) -> DataFrame:
     """Keep one row per key: the greatest by ``order_desc``.
 
-    ``QUALIFY ROW_NUMBER() OVER (PARTITION BY keys ORDER BY ... DESC) = 1``.
+    ``QUALIFY ROW_NUMBER() OVER (PARTITION BY keys ORDER BY ... DESC) = 1``
+    with SQL's default null placement for DESC: NULLS FIRST (Q12), so a row
+    with a NULL ordering value counts as the latest.
     The order list must be total, otherwise the kept row is arbitrary (Q02).
     Spark plans this as a partial WindowGroupLimit before the shuffle, so a
     hot key is cut to one row per map task before it is exchanged.
     """
-    w = Window.partitionBy(*keys).orderBy(*[c.desc() for c in _cols(order_desc)])
+    w = Window.partitionBy(*keys).orderBy(*[c.desc_nulls_first() for c in _cols(order_desc)])
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 

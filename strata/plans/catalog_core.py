@@ -268,7 +268,7 @@ def a09(spark, sf):
 
 @register("w01_latest_per_key", """
 SELECT user_id, event_id, ts, event_type FROM events
-QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS FIRST, event_id DESC NULLS FIRST) = 1""")
 def w01(spark, sf):
     e = table(spark, sf, "events").select("user_id", "event_id", "ts", "event_type")
     return R.latest_per_key(e, ["user_id"], ["ts", "event_id"])
@@ -277,7 +277,7 @@ def w01(spark, sf):
 @register("w02_c04_prefer_insert", with_("changelog") + """
 SELECT customer_id, action, seq FROM changelog
 QUALIFY row_number() OVER (PARTITION BY customer_id
-                           ORDER BY action DESC, updated_at DESC, seq DESC) = 1""")
+                           ORDER BY action DESC NULLS FIRST, updated_at DESC NULLS FIRST, seq DESC NULLS FIRST) = 1""")
 def w02(spark, sf):
     c = D.changelog(spark, sf).select("customer_id", "action", "updated_at", "seq")
     return R.latest_per_key(c, ["customer_id"], ["action", "updated_at", "seq"]).select(

@@ -94,7 +94,7 @@ def c03(spark, sf):
 
 
 _COLLAPSED_SQL = {"src": """
-SELECT * FROM feed QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY metadata_action DESC) = 1"""}
+SELECT * FROM feed QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY metadata_action DESC NULLS FIRST) = 1"""}
 
 
 @register("c04_collapse_feed", with_("customers", extra={**_SNAP_SQL, **_FEED_SQL, **_COLLAPSED_SQL}) +
@@ -247,7 +247,8 @@ def m08(spark, sf):
 SELECT o.order_id, o.order_date, o.customer_id, c.customer_name, c.customer_tier, o.quantity, o.unit_price,
        CAST(o.quantity * o.unit_price AS DECIMAL(23,2)) AS line_total, o.status, o.loaded_at
 FROM (SELECT * FROM orders_raw QUALIFY row_number() OVER (
-        PARTITION BY order_id ORDER BY loaded_at DESC, line_no DESC, product_id DESC, supp_id DESC) = 1) o
+        PARTITION BY order_id ORDER BY loaded_at DESC NULLS FIRST, line_no DESC NULLS FIRST,
+                                     product_id DESC NULLS FIRST, supp_id DESC NULLS FIRST) = 1) o
 LEFT JOIN stg_customers c ON o.customer_id = c.customer_id""")
 def m09(spark, sf):
     raw = D.orders_raw(spark, sf)

@@ -43,7 +43,8 @@ FROM events""",
 SELECT order_id, customer_id, product_id, quantity, unit_price, order_date, status, loaded_at
 FROM orders_raw
 QUALIFY row_number() OVER (PARTITION BY order_id
-                           ORDER BY loaded_at DESC, line_no DESC, product_id DESC, supp_id DESC) = 1""",
+                           ORDER BY loaded_at DESC NULLS FIRST, line_no DESC NULLS FIRST,
+                                    product_id DESC NULLS FIRST, supp_id DESC NULLS FIRST) = 1""",
     "silver": """
 SELECT o.order_id, o.order_date, o.status, o.quantity, o.unit_price,
        CAST(o.quantity * o.unit_price AS DECIMAL(23,2)) AS line_total,

@@ -112,9 +112,10 @@ def load_history(spark: SparkSession, path: str | list[str], schema: T.StructTyp
 
 
 def latest_loads(history: DataFrame, table_name: str, n: int = 10) -> DataFrame:
-    """``... WHERE table_name = t ORDER BY last_load_time DESC LIMIT n``."""
+    """``... WHERE table_name = t ORDER BY last_load_time DESC LIMIT n`` (S03);
+    SQL's default puts NULLs first in a descending sort (Q12)."""
     return (history.filter(F.col("table_name") == table_name.upper())
-            .orderBy(F.col("last_load_time").desc(), F.col("file_name").desc()).limit(n))
+            .orderBy(F.col("last_load_time").desc_nulls_first(), F.col("file_name").desc_nulls_first()).limit(n))
 
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:

@@ -49,6 +49,15 @@ def _null_safe_on(a: DataFrame, b: DataFrame, cols: Sequence[str]):
     return cond
 
 
+def _desc_nulls_first_key(side: str):
+    """Comparable key of the batch dedup order: NULL ranks above any value,
+    as in ``ORDER BY ... DESC`` with SQL's NULLS FIRST (same as latest_per_key)."""
+    parts = []
+    for c in ORDERS_LATEST:
+        parts += [F.col(f"{side}.{c}").isNull(), F.col(f"{side}.{c}")]
+    return F.struct(*parts)
+
+
 def _full_join(t: DataFrame, s: DataFrame, keys: Sequence[str]):
     """Null-safe full outer join of target ``t`` and delta ``s`` on ``keys``.
 
@@ -112,8 +121,7 @@ class DynamicTables:
         tag = f"orders-{batch_id}"
         latest = latest_per_key(batch.select(*self.bronze_cols), ["order_id"], ORDERS_LATEST)
         latest = latest.checkpoint(eager=True)
-        order_key = F.struct(*[F.col(f"s.{c}") for c in ORDERS_LATEST]) > \
-            F.struct(*[F.col(f"t.{c}") for c in ORDERS_LATEST])
+        order_key = _desc_nulls_first_key("s") > _desc_nulls_first_key("t")
         values = {c: F.col(f"s.{c}") for c in self.bronze_cols}
         clauses = [When(True, "update", order_key, values), When(False, "insert", None, values)]
         orders = latest.select("order_id", "order_date")  # one row per order already

@@ -174,3 +174,12 @@ def test_keyless_feed_of_lab_inserts(spark):
                                  (2, "Bob", "platinum")], "customer_id int, name string, tier string")
     f = cdc.change_feed(empty, now, None)
     assert f.count() == 4 and {r[cdc.ACTION] for r in f.collect()} == {"INSERT"}
+
+
+def test_latest_treats_null_as_first_in_desc(spark):
+    """SQL default: DESC puts NULLs first (Q12), so a NULL load time wins."""
+    from strata.operators.relational import latest_per_key
+
+    df = spark.createDataFrame([(1, T(2026, 1, 1), "a"), (1, None, "b"), (2, T(2026, 1, 1), "c")],
+                               "k int, ts timestamp_ntz, v string")
+    assert rows(latest_per_key(df, ["k"], ["ts"]), "k", "v") == [(1, "b"), (2, "c")]
