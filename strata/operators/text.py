@@ -48,8 +48,13 @@ def sentiment_score(text: str | Column, lexicon: Mapping[str, float] = DEFAULT_L
     the evaluation order nor later rounding (ROUND(score, 2)) depends on
     binary floating point.
     """
+    return sentiment_from_tokens(tokens(text), lexicon)
+
+
+def sentiment_from_tokens(toks: Column, lexicon: Mapping[str, float] = DEFAULT_LEXICON) -> Column:
+    """N01 over an already tokenised text (so one tokenisation serves several scores)."""
     m = _lexicon_map(lexicon)
-    hits = F.filter(F.transform(tokens(text), lambda t: F.element_at(m, t)), lambda x: x.isNotNull())
+    hits = F.filter(F.transform(toks, lambda t: F.element_at(m, t)), lambda x: x.isNotNull())
     total = F.aggregate(hits, F.lit(0).cast("decimal(18,4)"), lambda acc, x: (acc + x).cast("decimal(18,4)"))
     return (F.when(F.size(hits) == 0, F.lit(0))
             .otherwise(total / F.size(hits)).cast("decimal(18,6)"))
@@ -74,7 +79,12 @@ def classify(text: str | Column, label_keywords: Mapping[str, Sequence[str]],
     the best score wins and label order breaks ties (so a text with no hit
     gets the first label, as a classifier always answers).
     """
-    toks = tokens(text)
+    return classify_tokens(tokens(text), label_keywords, labels)
+
+
+def classify_tokens(toks: Column, label_keywords: Mapping[str, Sequence[str]],
+                    labels: Sequence[str] = CLASSIFY_LABELS) -> Column:
+    """N04 over an already tokenised text."""
     cands = []
     for i, lab in enumerate(labels):
         kws = [k.lower() for k in label_keywords.get(lab, ())]
@@ -86,8 +96,9 @@ def classify(text: str | Column, label_keywords: Mapping[str, Sequence[str]],
 
 def feedback_analysis(feedback: DataFrame, lexicon=DEFAULT_LEXICON, rules=FEEDBACK_RULES,
                       id_col: str = "feedback_id", text_col: str = "feedback_text") -> DataFrame:
-    """Id, sentiment label, sentiment score, category — one pass, no shuffle."""
-    s = feedback.select(id_col, sentiment_score(text_col, lexicon).alias("sentiment_score"),
+    """Id, sentiment label, sentiment score, category — one pass over the texts."""
+    s = spread(feedback.select(id_col, text_col)).select(
+        id_col, sentiment_score(text_col, lexicon).alias("sentiment_score"),
                         keyword_category(text_col, rules).alias("category"))
     return s.select(id_col, sentiment_label("sentiment_score").alias("sentiment_label"), "sentiment_score",
                     "category")
@@ -96,7 +107,7 @@ def feedback_analysis(feedback: DataFrame, lexicon=DEFAULT_LEXICON, rules=FEEDBA
 def report_metrics(feedback: DataFrame, lexicon=DEFAULT_LEXICON, cut: float = 0.3,
                    text_col: str = "feedback_text") -> DataFrame:
     """Total, positive, negative and rounded mean, scoring each text once."""
-    s = feedback.select(sentiment_score(text_col, lexicon).alias("s"))
+    s = spread(feedback.select(text_col)).select(sentiment_score(text_col, lexicon).alias("s"))
     return s.agg(F.count(F.lit(1)).alias("total"),
                  F.sum(F.when(F.col("s") > cut, 1).otherwise(0)).alias("positive"),
                  F.sum(F.when(F.col("s") < -cut, 1).otherwise(0)).alias("negative"),

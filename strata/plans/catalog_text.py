@@ -92,12 +92,14 @@ SELECT feedback_id, feedback_text, CAST(round(sentiment_score, 2) AS DOUBLE) AS
        {_classify_sql()} AS category
 FROM scores ORDER BY sentiment""")
 def n06(spark, sf):
-    f = D.feedback(spark, sf)
+    from strata.functions.text import spread, tokens
+
+    f = spread(D.feedback(spark, sf)).select("feedback_id", "feedback_text",
+                                               tokens("feedback_text").alias("_tok"))  # tokenised once
     out = f.select("feedback_id", "feedback_text",
-                   F.round(TX.sentiment_score("feedback_text", DOC_LEXICON), 2).cast("double").alias("sentiment"),
-                   TX.classify("feedback_text", DOC_LABEL_KEYWORDS).alias("ai"))
-    return out.select("feedback_id", "feedback_text", "sentiment", F.col("ai.label").alias("category")).orderBy(
-        "sentiment")
+                   F.round(TX.sentiment_from_tokens(F.col("_tok"), DOC_LEXICON), 2).cast("double").alias("sentiment"),
+                   TX.classify_tokens(F.col("_tok"), DOC_LABEL_KEYWORDS)["label"].alias("category"))
+    return out.orderBy("sentiment")
 
 
 _REPORT_SQL = {"metrics": """
