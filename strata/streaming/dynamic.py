@@ -185,7 +185,9 @@ class DynamicTables:
         latest = dates.join(gd.select(*keys), _null_safe_on(dates, gd, keys), "left_semi").groupBy(*keys).agg(
             F.max("order_date").alias("latest_date"))
         src = gd.join(latest, _null_safe_on(gd, latest, keys), "left").select(
-            *[gd[k] for k in keys], "dc", "ds", "dcnt", "latest_date").checkpoint(eager=True)
+            *[gd[k] for k in keys], "dc", "ds", "dcnt", "latest_date")
+        # single consumer below; its inputs (the persisted delta, the merged dates table)
+        # do not change during the gold merge, so no checkpoint is needed
 
         def add_groups(t: DataFrame, s2: DataFrame) -> DataFrame:
             j, kcols = _full_join(t, s2, keys)
