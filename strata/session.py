@@ -38,6 +38,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     )
     for k, v in CLUSTER_DEFAULTS.items():
         builder = builder.config(k, v)
+    event_log = os.environ.get("BENCH_EVENTLOG")  # opt-in: a scratch folder for stage timings
+    if event_log:
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
