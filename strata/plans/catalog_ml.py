@@ -69,7 +69,10 @@ def x12(spark, sf):
 
 @register("x11_x13_gbt_train_and_score")
 def x11(spark, sf):
-    m = customer_metrics(spark, sf)
+    # the metrics table is written once and read by the guard, the training split and the scoring
+    metrics_path = scratch_path(spark, "customer_metrics")
+    customer_metrics(spark, sf).write.mode("overwrite").parquet(metrics_path)
+    m = spark.read.parquet(metrics_path)
     frame = ML.with_synthetic_rows(spark, ML.churn_frame(m, CUTOFF))
     model = ML.train_gbt(frame.filter(ML.split_flag("customer_id")))
     scored = ML.score(model, m, ["customer_id", "name", "tier", "total_orders", "total_spent", "avg_order_value"])
