@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from strata.operators import governance as G
 from strata.plans.registry import register
 from strata.plans.sqlbase import with_
+from strata.session import scratch_path
 from strata.sources import derived as D
 from strata.sources.tables import table
 
@@ -78,7 +79,11 @@ def orders_with_region(spark, sf):
 
 @register("g04_j06_row_access_policy", with_("bronze", "customers", extra=_ORDERS_REGION_SQL) + _row_access_sql())
 def g04(spark, sf):
-    o = orders_with_region(spark, sf).select("order_id", "customer_id", "region", "status")
+    # policies apply to the stored orders table (with its added region column): write it once,
+    # then every role's view reads that table
+    path = scratch_path(spark, "orders_with_region")
+    orders_with_region(spark, sf).select("order_id", "customer_id", "region", "status").write.parquet(path)
+    o = spark.read.parquet(path)
     policy = G.region_access(access_map(spark))
     views = [G.secured(o, r, row_policy=policy).select(F.lit(r).alias("role_name"), "*") for r in ROLES]
     return reduce(DataFrame.unionByName, views)
