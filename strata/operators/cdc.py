@@ -35,6 +35,9 @@ def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str] | None) -> D
     is the two bag differences and ``is_update`` is false.
     """
     cols = [c for c in new.columns]
+    # a column added since the old snapshot (ADD COLUMN) reads as NULL there; dropped ones are ignored
+    old = old.select(*[F.col(c) if c in old.columns else F.lit(None).cast(new.schema[c].dataType).alias(c)
+                       for c in cols])
     if not keys:
         ins = new.exceptAll(old).withColumn(ACTION, F.lit("INSERT")).withColumn(IS_UPDATE, F.lit(False))
         dele = old.exceptAll(new).withColumn(ACTION, F.lit("DELETE")).withColumn(IS_UPDATE, F.lit(False))

@@ -183,3 +183,12 @@ def test_latest_treats_null_as_first_in_desc(spark):
     df = spark.createDataFrame([(1, T(2026, 1, 1), "a"), (1, None, "b"), (2, T(2026, 1, 1), "c")],
                                "k int, ts timestamp_ntz, v string")
     assert rows(latest_per_key(df, ["k"], ["ts"]), "k", "v") == [(1, "b"), (2, "c")]
+
+
+def test_change_feed_across_added_column(spark):
+    """ADD COLUMN between snapshots: rows whose new column got a value are updates."""
+    old = spark.createDataFrame([(1, "Alice"), (2, "Bob")], "customer_id int, name string")
+    new = spark.createDataFrame([(1, "Alice", None), (2, "Bob", "bob@example.com")],
+                                "customer_id int, name string, email_address string")
+    f = cdc.change_feed(old, new, ["customer_id"])
+    assert rows(f, "customer_id", cdc.ACTION) == [(2, "DELETE"), (2, "INSERT")]
