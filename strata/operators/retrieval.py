@@ -179,10 +179,14 @@ def grounded_prompts(top: DataFrame, corpus: DataFrame, questions: DataFrame, q_
         F.transform(F.array_sort(F.collect_list(F.struct("rank", name_col))), lambda x: x[name_col]).alias("sources"),
         F.count(F.lit(1)).alias("docs_retrieved")))
     q = questions.select(q_id, q_text)
-    return (q.join(ctx, q_id).join(srcs, q_id).select(
-        q_id, F.col(q_text).alias("question"), "context",
-        F.concat(F.lit(head), F.col("context"), F.lit(mid), F.col(q_text), F.lit(tail)).alias("prompt"),
-        "sources", "docs_retrieved"))
+    # a question with nothing retrieved still gets a record: empty context and sources, 0 documents
+    j = q.join(ctx, q_id, "left").join(srcs, q_id, "left")
+    context = F.coalesce(F.col("context"), F.lit(""))
+    return j.select(
+        q_id, F.col(q_text).alias("question"), context.alias("context"),
+        F.concat(F.lit(head), context, F.lit(mid), F.col(q_text), F.lit(tail)).alias("prompt"),
+        F.coalesce(F.col("sources"), F.array().cast("array<string>")).alias("sources"),
+        F.coalesce(F.col("docs_retrieved"), F.lit(0)).cast("long").alias("docs_retrieved"))
 
 
 def corpus_context(corpus: DataFrame, order_col: str, text_col: str, n_chars: int = 500, sep: str = " ") -> DataFrame:

@@ -263,13 +263,14 @@ _PROMPT_SQL = {
     "ctx": """SELECT q_id, string_agg(block, chr(10) || chr(10) ORDER BY rank) AS context,
                      string_agg(policy_name, ', ' ORDER BY rank) AS sources, COUNT(*) AS docs_retrieved
               FROM blocks GROUP BY q_id""",
-    "prompts": """SELECT q.q_id, q.question, c.context,
+    "prompts": """SELECT q.q_id, q.question, coalesce(c.context, '') AS context,
        'You are a helpful customer support assistant.' || chr(10) ||
        'Answer the question using ONLY the provided context.' || chr(10) ||
        'If the answer is not in the context, say "I don''t have that information."' || chr(10) || chr(10) ||
-       'Context:' || chr(10) || c.context || chr(10) || chr(10) || 'Question: ' || q.question || chr(10) || chr(10) ||
-       'Answer:' AS prompt, c.sources, c.docs_retrieved
-FROM questions q JOIN ctx c USING (q_id)""",
+       'Context:' || chr(10) || coalesce(c.context, '') || chr(10) || chr(10) || 'Question: ' || q.question ||
+       chr(10) || chr(10) || 'Answer:' AS prompt,
+       coalesce(c.sources, '') AS sources, coalesce(c.docs_retrieved, 0) AS docs_retrieved
+FROM questions q LEFT JOIN ctx c USING (q_id)""",
 }
 
 

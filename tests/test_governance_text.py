@@ -192,3 +192,13 @@ def test_vector_top_k_ties_break_by_id(spark):
     q = spark.createDataFrame([(0, same)], "q_id long, embedding array<float>")
     got = sorted(tuple(r) for r in RT.vector_top_k(spark, d, q, k=3).select("doc_id", "rank").collect())
     assert got == [(1, 1), (3, 2), (7, 3)]
+
+
+def test_grounded_prompt_without_documents(spark):
+    top = spark.createDataFrame([(1, 10, 1)], "q_id long, doc_id long, rank int")
+    corpus = spark.createDataFrame([(10, "returns", "30 days")], "doc_id long, policy_name string, content string")
+    qs = spark.createDataFrame([(1, "Return policy?"), (2, "Apple Pay?")], "q_id long, question string")
+    got = {r.q_id: r for r in RT.grounded_prompts(top, corpus, qs).collect()}
+    assert got[1].context == "[returns]:\n30 days" and list(got[1].sources) == ["returns"]
+    assert got[1].docs_retrieved == 1 and "Question: Return policy?" in got[1].prompt
+    assert (got[2].context, list(got[2].sources), got[2].docs_retrieved) == ("", [], 0)
