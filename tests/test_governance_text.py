@@ -202,3 +202,23 @@ def test_grounded_prompt_without_documents(spark):
     assert got[1].context == "[returns]:\n30 days" and list(got[1].sources) == ["returns"]
     assert got[1].docs_retrieved == 1 and "Question: Return policy?" in got[1].prompt
     assert (got[2].context, list(got[2].sources), got[2].docs_retrieved) == ("", [], 0)
+
+
+def test_corpus_context_empty_and_short(spark):
+    empty = spark.createDataFrame([], "doc_id long, content string")
+    assert RT.corpus_context(empty, "doc_id", "content", 500).first().context == ""
+    two = spark.createDataFrame([(2, "b"), (1, "a")], "doc_id long, content string")
+    assert RT.corpus_context(two, "doc_id", "content", 500).first().context == "a b"
+
+
+def test_synthetic_rows_only_for_one_class(spark):
+    from strata.operators import ml as ML
+
+    one = spark.createDataFrame([(1, 1.0, 2.0, 2.0, 1), (2, 3.0, 4.0, 4.0, 1)],
+                                "customer_id long, total_orders double, total_spent double, "
+                                "avg_order_value double, churned int")
+    assert ML.with_synthetic_rows(spark, one).count() == 6
+    both = one.unionByName(spark.createDataFrame([(3, 1.0, 1.0, 1.0, 0)], one.schema))
+    assert ML.with_synthetic_rows(spark, both).count() == 3
+    split = [r[0] for r in spark.range(2000).select(ML.split_flag("id").alias("t")).collect()]
+    assert 0.75 < sum(split) / len(split) < 0.85  # about 80/20
