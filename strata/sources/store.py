@@ -1,10 +1,12 @@
 """Parquet tables with a hash-bucket column, rewritten one touched bucket at a time.
 
 There is no transactional table format on the classpath, so a MERGE on a
-file table is: find the buckets the source touches (at most ``buckets``
-values, a proven bound), read only those (partition pruning), merge them
-with ``strata.operators.merge`` and overwrite those partitions dynamically
-(Spark commits them only after every task has read the old files).
+file table is: find the partitions the source touches (hash bucket, plus an
+optional period level; at most periods x buckets values, a proven bound),
+read only those (partition pruning), merge them with
+``strata.operators.merge`` and overwrite those partitions dynamically (Spark
+commits them only after every task has read the old files). Merges that may
+delete rows pin their result first, so partitions they empty are removed.
 Every applied batch id is recorded so a replayed micro-batch is skipped.
 """
 
