@@ -32,7 +32,7 @@ from strata.llm.common import slices, with_fields
 
 DIMS = 4096
 UNKNOWN = "und"
-MAX_MODEL_BYTES = 64 << 20
+MAX_LANGS = 1000  # bounds the model: 16 KB per centroid
 
 # bytes that are no letters become a gap; bytes of other scripts stay
 _LETTER = np.array([b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256)], dtype=np.uint8)
@@ -91,8 +91,14 @@ def fit(labelled: DataFrame, sample_per_lang: int = 800, clusters: int = 4, reje
     """Fit on rows with a language. ``sample_per_lang`` is the documented
     bound; the languages' counts are taken over all rows."""
     good = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    share = good.groupBy("lang").count().select(F.col("lang").alias("l"), (F.lit(float(1 << 30)) * sample_per_lang / F.col("count")).alias("share"))
-    chosen = good.join(share, F.col("lang") == F.col("l")).where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.col("share")).select("lang", "text")
+    counts = good.groupBy("lang").count().limit(MAX_LANGS + 1).collect()  # one row per language
+    if len(counts) > MAX_LANGS:
+        raise ValueError("too many languages for a model that travels with the tasks")
+    if not counts:
+        return Model([], np.zeros((0, DIMS), np.float32), np.zeros(DIMS, np.float32), np.zeros(0))
+    # a literal map, so that no text is shuffled to choose the sample
+    share = F.create_map(*(F.lit(x) for r in counts for x in (r["lang"], float(1 << 30) * sample_per_lang / r["count"])))
+    chosen = good.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.element_at(share, F.col("lang")))
 
     def features(batches):
         for batch in batches:
@@ -121,17 +127,14 @@ def fit(labelled: DataFrame, sample_per_lang: int = 800, clusters: int = 4, reje
                 langs.append(name)
                 centroids.append(centre)
                 reject.append(float(np.quantile(own[member == c] @ centre, reject_share)))
-    model = Model(langs, np.array(centroids, np.float32).reshape(-1, DIMS), idf, np.array(reject))
-    if model.centroids.nbytes > MAX_MODEL_BYTES:
-        raise ValueError("too many languages for a model that travels with the tasks")
-    return model
+    return Model(langs, np.array(centroids, np.float32).reshape(-1, DIMS), idf, np.array(reject))
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` and ``rejected``."""
     src = docs.drop("lang_pred", "score", "rejected")
     schema = with_fields(src, ("lang_pred", T.StringType()), ("score", T.DoubleType()), ("rejected", T.BooleanType()))
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_MODEL_BYTES
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MAX_LANGS
 
     def run(batches):
         for batch in batches:
