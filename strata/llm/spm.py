@@ -31,6 +31,7 @@ Defined results
 from __future__ import annotations
 
 import re
+import zlib
 from array import array
 from functools import lru_cache
 
@@ -45,9 +46,10 @@ from strata.llm.common import slices, with_fields
 
 BLANK = "▁"
 NEVER = float("-inf")
+SLICE_BYTES = 2 << 20  # text encoded at a time
 KEEP_CHARS = 64        # longer stretches are encoded each time
-KEEP_ENTRIES = 600_000  # stretches per generation and Python worker (two take about 200 MB)
-KEEP_PAIRS = 1 << 19    # pair tests kept (about 50 MB)
+KEEP_ENTRIES = 300_000  # stretches per generation and Python worker (two take about 120 MB)
+KEEP_PAIRS = 1 << 18    # pair tests kept (about 25 MB)
 
 
 class Vocabulary:
@@ -60,13 +62,13 @@ class Vocabulary:
         n = sp.get_piece_size()
         pieces = [sp.id_to_piece(i) for i in range(n)]
         special = [sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i) for i in range(n)]
-        self.pieces, self.lengths = pieces, list(map(len, pieces))
+        self.pieces = pieces
         self.weights = [sp.get_score(i) for i in range(n)]
         self.scores = {p: self.weights[i] for i, p in enumerate(pieces) if not special[i]}
         finder = ahocorasick.Automaton()
         for i, p in enumerate(pieces):
             if not special[i]:
-                finder.add_word(p, i)
+                finder.add_word(p, (i, len(p)))
         finder.make_automaton()
         self.arcs = finder.iter
         self.bytes = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)] if any(map(sp.is_byte, range(n))) else None
@@ -82,6 +84,7 @@ class Vocabulary:
                 values[i] = " ⁇ ".encode()
         self.values = values
         # characters side by side in some piece: between any others, paths always meet
+        self.characters = frozenset(p for p in self.scores if len(p) == 1)
         self.inside = {p[i:i + 2] for p in self.scores for i in range(len(p) - 1)}
         loose = not any("\n" in x or x[1] == BLANK != x[0] for x in self.inside)
         self.cut = re.compile(r" *[^ \n]+| +|\n") if loose else None
@@ -180,18 +183,18 @@ class Viterbi:
     def _settle(self) -> None:
         """Settle the nodes of the text that has come in."""
         v, back, into, best, pairs = self.v, self.back, self.into, self.best, self.pairs
-        done, lengths, bpe = len(back) - 1, v.lengths, v.bpe
+        done, bpe = len(back) - 1, v.bpe
         more = len(self.text) - done
         back += [-1] * more
         into += [-1] * more
         skip = max(0, done - v.longest + 1)
         if not bpe:
             best += [0.0] * more
-        for end, piece in v.arcs(self.text[skip:] if skip else self.text):  # by end, the longest first
+        for end, (piece, length) in v.arcs(self.text[skip:] if skip else self.text):  # by end, the longest first
             j = end + skip + 1
             if j <= done:
                 continue
-            i = j - lengths[piece]
+            i = j - length
             if bpe:
                 if back[j] < 0:
                     key = into[i] << 32 | piece
@@ -268,11 +271,15 @@ class Encoder(dict):
         ids = self.older.get(stretch)
         if ids is None:
             text, inside = stretch.replace(" ", BLANK), self.v.inside
-            cuts = [i for i in range(1, len(text)) if text[i - 1:i + 1] not in inside]
-            if cuts:
-                ids = b"".join([self[stretch[i:j]] for i, j in zip([0, *cuts], [*cuts, len(text)])])
+            if len(text) > 1 and text[-2:] not in inside:  # a word and its mark, mostly
+                ids = self[stretch[:-1]] + self[stretch[-1:]]
+            elif self.v.characters.issuperset(text):
+                ids = array("i", self.viterbi.encode(text)).tobytes()
+            elif len(text) == 1:
+                ids = array("i", self.v.bytes_of(text)).tobytes()
             else:
-                ids = array("i", self.viterbi.encode(text) if text[0] in self.v.scores else self.v.bytes_of(text)).tobytes()
+                cuts = [i for i in range(1, len(text)) if text[i - 1:i + 1] not in inside]
+                ids = b"".join([self[stretch[i:j]] for i, j in zip([0, *cuts], [*cuts, len(text)])])
         if len(stretch) <= KEEP_CHARS:
             if len(self) >= KEEP_ENTRIES:
                 self.older = dict(self)
@@ -303,6 +310,13 @@ def read_model(path: str) -> bytes:
         return f.read()
 
 
+def _ids_array(done: list[bytes]) -> tuple[pa.Array, pa.Array]:
+    """Ids and their numbers, from the encoder's int32 bytes."""
+    ends = np.cumsum([0, *(len(x) // 4 for x in done)], dtype=np.int32)
+    flat = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(done))])
+    return pa.ListArray.from_arrays(pa.array(ends), flat), pa.array(np.diff(ends).astype(np.int32))
+
+
 def encode(docs: DataFrame, model: bytes, text_col: str = "text") -> DataFrame:
     """``docs`` with ``ids`` (array of int) and ``n_ids``. The model file is
     a parameter of a few hundred KB and travels with the function."""
@@ -312,12 +326,9 @@ def encode(docs: DataFrame, model: bytes, text_col: str = "text") -> DataFrame:
     def run(batches):
         encoder = _encoder(model)
         for batch in batches:
-            for part in slices(batch, text_col, 4 << 20):
-                done = [encoder.encode(t) for t in part.column(text_col).to_pylist()]
-                ends = np.cumsum([0, *(len(x) // 4 for x in done)], dtype=np.int32)
-                flat = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(done))])
-                ids = pa.ListArray.from_arrays(pa.array(ends), flat)
-                yield pa.RecordBatch.from_arrays([*part.columns, ids, pa.array(np.diff(ends).astype(np.int32))], names=schema.names)
+            for part in slices(batch, text_col, SLICE_BYTES):
+                ids, n = _ids_array([encoder.encode(t) for t in part.column(text_col).to_pylist()])
+                yield pa.RecordBatch.from_arrays([*part.columns, ids, n], names=schema.names)
 
     return src.mapInArrow(run, schema)
 
@@ -338,9 +349,23 @@ def decode(rows: DataFrame, model: bytes, ids_col: str = "ids", out: str = "deco
     return src.mapInArrow(run, schema)
 
 
-def round_trip(docs: DataFrame, model: bytes, text_col: str = "text") -> DataFrame:
-    """Encode and decode: ``doc_id, ids, n_ids, decoded_crc32, round_trip``
-    (whether decoding gives the text again)."""
-    src = docs.select("doc_id", F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    both = decode(encode(src, model), model)
-    return both.select("doc_id", "ids", "n_ids", F.crc32("decoded").alias("decoded_crc32"), (F.col("decoded") == F.col("text")).alias("round_trip"))
+def round_trip(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Encode and decode in one pass: ``doc_id, ids, n_ids, decoded_crc32,
+    round_trip`` (whether decoding the ids gives the text again)."""
+    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    schema = T.StructType([src.schema["doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType(), False)), T.StructField("n_ids", T.IntegerType()),
+                           T.StructField("decoded_crc32", T.LongType()), T.StructField("round_trip", T.BooleanType())])
+
+    def run(batches):
+        encoder = _encoder(model)
+        for batch in batches:
+            for part in slices(batch, "text", SLICE_BYTES):
+                texts = part.column("text").to_pylist()
+                done = [encoder.encode(t) for t in texts]
+                ids, n = _ids_array(done)
+                back = [decode_ids(np.frombuffer(x, "<i4").tolist(), encoder.v.values) for x in done]
+                sums = [zlib.crc32(t.encode()) for t in back]
+                same = [a == (b or "") for a, b in zip(back, texts)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids, n, pa.array(sums, pa.int64()), pa.array(same)], names=schema.names)
+
+    return src.mapInArrow(run, schema)
