@@ -271,7 +271,7 @@ class Encoder(dict):
         ids = self.older.get(stretch)
         if ids is None:
             text, inside = stretch.replace(" ", BLANK), self.v.inside
-            if len(text) > 1 and text[-2:] not in inside:  # a word and its mark, mostly
+            if len(text) > 2 and text[-2:] not in inside and text[-3:-1] in inside:  # a word and its mark, mostly
                 ids = self[stretch[:-1]] + self[stretch[-1:]]
             elif self.v.characters.issuperset(text):
                 ids = array("i", self.viterbi.encode(text)).tobytes()
