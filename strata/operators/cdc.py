@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.relational import latest_per_key
@@ -19,50 +19,33 @@ ACTION = "metadata_action"
 IS_UPDATE = "metadata_isupdate"
 
 
-def _row_differs(cols: Sequence[str]) -> Column:
-    out = F.lit(False)
-    for c in cols:
-        out = out | ~F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}"))
-    return out
-
-
-def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str] | None) -> DataFrame:
+def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str] | None,
+                update_key: Sequence[str] | None = None) -> DataFrame:
     """Net change feed from ``old`` to ``new`` with action and is-update columns.
 
-    Keyed: one full-outer join on the key (a single shuffle of both sides),
-    then each joined row emits 0, 1 or 2 change rows through ``explode``;
-    unchanged rows emit nothing. Without a key (duplicates allowed) the feed
-    is the two bag differences and ``is_update`` is false.
+    The bag difference of the two snapshots: whole rows are counted +1 (new)
+    and -1 (old) in one partial aggregate, so rows that both hold cancel
+    whatever their key is (NULL and repeated keys included), and a hot row is
+    pre-aggregated. A change is an update when its key (``update_key``, else
+    ``keys``) has both an INSERT and a DELETE; without any key it is not.
     """
     cols = [c for c in new.columns]
     # a column added since the old snapshot (ADD COLUMN) reads as NULL there; dropped ones are ignored
     old = old.select(*[F.col(c) if c in old.columns else F.lit(None).cast(new.schema[c].dataType).alias(c)
                        for c in cols])
-    if not keys:
-        ins = new.exceptAll(old).withColumn(ACTION, F.lit("INSERT")).withColumn(IS_UPDATE, F.lit(False))
-        dele = old.exceptAll(new).withColumn(ACTION, F.lit("DELETE")).withColumn(IS_UPDATE, F.lit(False))
-        return ins.unionByName(dele)
-    values = [c for c in cols if c not in keys]
-    o = old.select(*cols).withColumn("_present", F.lit(True)).alias("o")
-    n = new.select(*cols).withColumn("_present", F.lit(True)).alias("n")
-    cond = None
-    for k in keys:
-        c = F.col(f"o.{k}") == F.col(f"n.{k}")
-        cond = c if cond is None else cond & c
-    j = o.join(n, cond, "full_outer")
-    in_old = F.col("o._present").isNotNull()
-    in_new = F.col("n._present").isNotNull()
-    changed = in_old & in_new & _row_differs(values)
-    both = in_old & in_new
-
-    def side(alias: str, action: str) -> Column:
-        return F.struct(*[F.col(f"{alias}.{c}").alias(c) for c in cols],
-                        F.lit(action).alias(ACTION), both.alias(IS_UPDATE))
-
-    dele = F.when(in_old & (~in_new | changed), side("o", "DELETE"))
-    ins = F.when(in_new & (~in_old | changed), side("n", "INSERT"))
-    arr = F.filter(F.array(dele, ins), lambda x: x.isNotNull())
-    return j.select(F.explode(arr).alias("_c")).select("_c.*")
+    net = (new.withColumn("_n", F.lit(1)).unionByName(old.withColumn("_n", F.lit(-1)))
+           .groupBy(*cols).agg(F.sum("_n").alias("_n")).filter(F.col("_n") != 0))
+    action = F.when(F.col("_n") > 0, F.lit("INSERT")).otherwise(F.lit("DELETE"))
+    feed = net.withColumn(ACTION, action).withColumn("_n", F.explode(F.sequence(F.lit(1), F.abs("_n")))).drop("_n")
+    by = list(update_key or keys or [])
+    if not by:
+        return feed.withColumn(IS_UPDATE, F.lit(False))
+    flags = feed.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(by)]).agg(
+        (F.min(ACTION) != F.max(ACTION)).alias(IS_UPDATE))
+    cond = F.lit(True)
+    for i, k in enumerate(by):
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return feed.join(flags, cond).select(*cols, ACTION, IS_UPDATE)
 
 
 def has_data(feed: DataFrame) -> DataFrame:

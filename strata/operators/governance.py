@@ -171,20 +171,19 @@ def budget_alerts(metering: DataFrame, daily_quota: float,
 
 # ----------------------------------------------------------------- grants --
 
-def role_closure(edges: DataFrame, child: str = "child", parent: str = "parent", max_depth: int = 64) -> DataFrame:
+def role_closure(edges: DataFrame, child: str = "child", parent: str = "parent") -> DataFrame:
     """All (role, inherited role) pairs of ``GRANT ROLE child TO ROLE parent``.
 
     Semi-naive iteration: join only the pairs found in the last round to the
     edges, keep the ones not yet known, stop when none are new. Each round is
     checkpointed (reliable storage) so lineage stays short. Cycles end
-    because known pairs are never re-added; ``max_depth`` only guards
-    against a runaway and raises instead of returning a partial closure.
+    because known pairs are never re-added, however deep the hierarchy is.
     """
     e = edges.select(F.col(child).alias("child"), F.col(parent).alias("parent")).distinct()
     e = e.checkpoint(eager=True)
     closure = e
     frontier = e
-    for _ in range(max_depth):
+    while True:
         step = (frontier.alias("f").join(e.alias("e"), F.col("f.parent") == F.col("e.child"))
                 .select(F.col("f.child").alias("child"), F.col("e.parent").alias("parent")).distinct())
         new = step.join(closure, ["child", "parent"], "left_anti").checkpoint(eager=True)
@@ -192,7 +191,6 @@ def role_closure(edges: DataFrame, child: str = "child", parent: str = "parent",
             return closure
         closure = closure.unionByName(new).checkpoint(eager=True)
         frontier = new
-    raise RuntimeError("role closure did not converge within max_depth rounds")
 
 
 def effective_privileges(closure: DataFrame, grants: DataFrame, tables: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions.text import ordered_join, spread, token_rows, tokens
 
@@ -132,6 +133,10 @@ def vector_top_k(spark: SparkSession, docs: DataFrame, queries: DataFrame, k: in
         qn = np.linalg.norm(qm, axis=1)
         qn[qn == 0] = np.inf
         parts.append(_vector_partials(docs, qids, qm, qn, spark, k, id_col, vec_col, q_id))
+    if not parts:  # no queries
+        return q.sparkSession.createDataFrame([], T.StructType([
+            T.StructField(q_id, T.LongType()), T.StructField(id_col, docs.schema[id_col].dataType),
+            T.StructField("score", T.DoubleType()), T.StructField("rank", T.IntegerType())]))
     allp = parts[0]
     for p in parts[1:]:
         allp = allp.unionByName(p)
@@ -196,8 +201,9 @@ def corpus_context(corpus: DataFrame, order_col: str, text_col: str, n_chars: in
     ``n_chars + 1`` texts can reach the cut (each adds at least its
     separator), and only their first ``n_chars`` characters.
     """
-    head = (corpus.orderBy(order_col).limit(n_chars + 1)
-            .select(order_col, F.substring(text_col, 1, n_chars).alias("_t")))
+    head = (corpus.filter(F.col(text_col).isNotNull())  # the join skips them, so the limit must too
+            .select(order_col, F.substring(text_col, 1, n_chars).alias("_t"))
+            .orderBy(order_col).limit(n_chars + 1))
     joined = head.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order_col, "_t"))),
                                                lambda x: x["_t"]), sep).alias("_all"))
     return joined.select(F.substring("_all", 1, n_chars).alias("context"))

@@ -147,4 +147,7 @@ def summarize(docs: DataFrame, id_col: str, text_col: str, k: int = 2) -> DataFr
         Window.partitionBy(id_col).orderBy(F.col("score").desc(), F.col("pos").asc())))
            .filter(F.col("r") <= k))
     chosen = top.join(sents, [id_col, "pos"])
-    return ordered_join(chosen, [id_col], "pos", "sentence", " ", "summary")
+    # every text has a summary: one without tokens has an empty one
+    summary = ordered_join(chosen, [id_col], "pos", "sentence", " ", "summary").withColumnRenamed(id_col, "_id")
+    return (docs.select(id_col).join(summary, F.col(id_col) == F.col("_id"), "left")
+            .select(id_col, F.coalesce("summary", F.lit("")).alias("summary")))

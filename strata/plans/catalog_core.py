@@ -131,9 +131,9 @@ def p07(spark, sf):
 
 
 @register("p08_like_underscore", """
-SELECT p_partkey, p_name FROM part WHERE p_name LIKE '%_r'""")
+SELECT p_partkey, p_name FROM part WHERE p_name ILIKE '%_r'""")
 def p08(spark, sf):
-    return table(spark, sf, "part").filter(F.col("p_name").like("%_r")).select("p_partkey", "p_name")
+    return table(spark, sf, "part").filter(F.col("p_name").ilike("%_r")).select("p_partkey", "p_name")
 
 
 @register("p09_relative_time_window", with_("query_log") + f"""

@@ -129,7 +129,7 @@ FROM metering"""}
 
 @register("g11_budget_alerts", with_("metering", extra=_RUN_SQL) + _budget_sql())
 def g11(spark, sf):
-    return G.budget_alerts(D.metering(spark, sf), BUDGET_QUOTA, partitions=16)
+    return G.budget_alerts(D.metering(spark, sf), BUDGET_QUOTA)
 
 
 _EDGES_SQL = {"edges": """

@@ -78,13 +78,14 @@ def c01(spark, sf):
 
 
 @register("c01_keyless_change_feed", with_("customers", extra=_SNAP_SQL) + """
-SELECT *, 'INSERT' AS metadata_action, FALSE AS metadata_isupdate FROM (
+SELECT *, 'INSERT' AS metadata_action, customer_id IN (SELECT customer_id FROM old_snap) AS metadata_isupdate FROM (
   SELECT * FROM new_snap EXCEPT ALL SELECT * FROM old_snap)
 UNION ALL
-SELECT *, 'DELETE', FALSE FROM (SELECT * FROM old_snap EXCEPT ALL SELECT * FROM new_snap)""")
+SELECT *, 'DELETE', customer_id IN (SELECT customer_id FROM new_snap)
+FROM (SELECT * FROM old_snap EXCEPT ALL SELECT * FROM new_snap)""")
 def c01_keyless(spark, sf):
     old, new = _snapshots(spark, sf)
-    return cdc.change_feed(old, new, None)
+    return cdc.change_feed(old, new, None, update_key=["customer_id"])
 
 
 @register("c03_stream_has_data", with_("customers", extra={**_SNAP_SQL, **_FEED_SQL}) +

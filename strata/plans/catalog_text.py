@@ -155,8 +155,9 @@ _SUM_SQL = {
 
 
 @register("n08_extractive_summary", with_(extra=_SUM_SQL) + """
-SELECT t.doc_id, string_agg(s.sentence, ' ' ORDER BY t.pos) AS summary
-FROM top t JOIN sents s USING (doc_id, pos) GROUP BY t.doc_id""")
+SELECT d.doc_id, coalesce(a.summary, '') AS summary FROM documents d LEFT JOIN (
+  SELECT t.doc_id, string_agg(s.sentence, ' ' ORDER BY t.pos) AS summary
+  FROM top t JOIN sents s USING (doc_id, pos) GROUP BY t.doc_id) a USING (doc_id)""")
 def n08(spark, sf):
     from strata.sources.tables import table
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
+RAW = "_raw_record"
 FILE = "_file"
 
 
@@ -49,7 +50,9 @@ def read_tokens(spark: SparkSession, path: str | list[str], columns: list[str],
     df = r.load(path).withColumn(FILE, F.col("_metadata.file_path"))
     # several null tokens: the reader's nullValue takes only one
     out = [F.when(F.col(c).isin(list(fmt.null_if)), None).otherwise(F.col(c)).alias(c) for c in columns]
-    return df.select(*out, CORRUPT, FILE)
+    # the record as it was read, before null tokens are dropped
+    raw = F.coalesce(F.col(CORRUPT), F.concat_ws(fmt.delimiter, *(F.coalesce(F.col(c), F.lit("")) for c in columns)))
+    return df.select(*out, CORRUPT, FILE, raw.alias(RAW))
 
 
 def _cast_errors(schema: T.StructType) -> tuple[list[Column], Column]:
@@ -74,7 +77,7 @@ def copy_into(spark: SparkSession, path: str | list[str], schema: T.StructType,
     typed, err = _cast_errors(schema)
     error = F.when(F.col(CORRUPT).isNotNull(), F.lit("number of columns does not match")).otherwise(err)
     tagged = tok.select(*typed, error.alias("_error"), FILE,
-                        F.coalesce(F.col(CORRUPT), F.concat_ws(fmt.delimiter, *schema.fieldNames())).alias("_raw"))
+                        F.col(RAW).alias("_raw"))
     if on_error.upper() == "ABORT_STATEMENT":
         first = tagged.filter(F.col("_error").isNotNull()).select("_error").limit(1).collect()
         if first:

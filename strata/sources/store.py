@@ -160,7 +160,7 @@ class BucketedTable:
         # partitions emptied by deletes are not in the output: remove them
         fs, jvm = self._fs()
         for t in set(touched) - present:
-            sub = "/".join(f"{n}={v}" for n, v in zip(self.parts, t))
+            sub = "/".join(f"{n}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for n, v in zip(self.parts, t))
             fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{sub}"), True)
         self._mark(batch_id)
         return len(touched)

@@ -39,6 +39,7 @@ from strata.sources.store import BucketedTable
 
 GROUP = ("customer_name", "customer_tier")
 SUM, CNT = "_sum_line_total", "_count_line_total"
+TAG = "_tag"  # the last batch added to a gold or dates row
 
 
 def _null_safe_on(a: DataFrame, b: DataFrame, cols: Sequence[str]):
@@ -95,9 +96,10 @@ class DynamicTables:
         self.gold_columns = g_schema.fieldNames()
         # gold rows carry the exact decimal sum and the non-null count behind the averages
         gs_schema = T.StructType(g_schema.fields + [T.StructField(SUM, T.DecimalType(38, 2)),
-                                                    T.StructField(CNT, T.LongType())])
+                                                    T.StructField(CNT, T.LongType()), T.StructField(TAG, T.StringType())])
         d_schema = T.StructType([s_schema[c] for c in GROUP] + [s_schema["order_date"],
-                                                                T.StructField("n", T.LongType())])
+                                                                T.StructField("n", T.LongType()),
+                                                                T.StructField(TAG, T.StringType())])
         period = ("order_date", period_grain) if period_grain else None
         self.bronze = BucketedTable(spark, f"{self.root}/bronze_orders", ["order_id"], buckets, b_schema,
                                     period=period)
@@ -134,23 +136,31 @@ class DynamicTables:
                           may_delete=False, touched=touched)
         self._refresh_orders(orders, tag, touched)
 
-    def _refresh_orders(self, orders: DataFrame, tag: str, touched: list[tuple] | None = None) -> None:
+    def _done(self, path: str) -> bool:
+        fs, jvm = self.silver._fs()
+        return fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS"))
+
+    def _refresh_orders(self, orders: DataFrame, tag: str, touched: list[tuple] | None = None,
+                        dim: DataFrame | None = None) -> None:
         """Re-enrich ``orders`` (order_id, order_date) into silver and apply the gold deltas.
 
         Bronze and silver are read only in the partitions those orders live
         in. The delta (old silver rows of the orders with -1, new rows with
-        +1) is written under the batch tag *before* silver changes, so a batch
-        replayed after a failure between the silver and gold writes still
-        applies it.
+        +1) is written once under the batch tag *before* silver changes. A
+        replay never rewrites it (silver may hold the new rows by then), and
+        every gold and dates row carries the tag of the last batch added to
+        it, so a replay adds nothing twice.
         """
+        if self.gold.applied(f"gold-{tag}"):
+            return
         delta_path = f"{self.root}/_delta/{tag}"
         order_ids = orders.select("order_id")
         if touched is None:
             touched = self.bronze.touched_partitions(orders)  # bronze and silver share the layout
         bronze_now = (self.bronze.read_touched(orders, touched).join(order_ids, "order_id", "left_semi")
                       .select(*M.BRONZE_COLS))
-        silver_new = M.silver(bronze_now, self.dim).checkpoint(eager=True)
-        if not self.silver.applied(f"silver-{tag}"):
+        silver_new = M.silver(bronze_now, self.dim if dim is None else dim).checkpoint(eager=True)
+        if not self._done(delta_path):
             before = self.silver.read_touched(orders, touched).join(order_ids, "order_id", "left_semi")
             cols = [*GROUP, "order_date", "line_total"]
 
@@ -162,6 +172,8 @@ class DynamicTables:
         self.silver.merge(silver_new, lambda t, s: t.join(s.select("order_id"), "order_id", "left_anti")
                           .unionByName(s), batch_id=f"silver-{tag}", may_delete=False, touched=touched)
         self._apply_gold_delta(self.spark.read.parquet(delta_path), tag)
+        fs, jvm = self.silver._fs()
+        fs.delete(jvm.org.apache.hadoop.fs.Path(delta_path), True)
 
     def _apply_gold_delta(self, delta: DataFrame, tag: str) -> None:
         keys = list(GROUP)
@@ -171,8 +183,10 @@ class DynamicTables:
         def add_dates(t: DataFrame, s2: DataFrame) -> DataFrame:
             j, kcols = _full_join(t, s2, keys + ["order_date"])
             n = F.coalesce(F.col("t.n"), F.lit(0)) + F.coalesce(F.col("s.dn"), F.lit(0))
+            added = F.col(f"t.{TAG}").eqNullSafe(F.lit(tag))
             # zero counts stay as rows (filtered on read), so no bucket ever empties
-            return j.select(*kcols, n.cast("long").alias("n"))
+            return j.select(*kcols, F.when(added, F.col("t.n")).otherwise(n).cast("long").alias("n"),
+                            F.when(F.col("s.dn").isNotNull(), F.lit(tag)).otherwise(F.col(f"t.{TAG}")).alias(TAG))
 
         # 2) per group: row count (= distinct orders), exact sum and non-null count
         gd = delta.groupBy(*keys).agg(
@@ -198,12 +212,17 @@ class DynamicTables:
                 "decimal(38,2)")
             cnt = F.coalesce(F.col(f"t.{CNT}"), F.lit(0)) + F.coalesce(F.col("s.dcnt"), F.lit(0))
             in_batch = F.col("s.dc").isNotNull()
+            added = F.col(f"t.{TAG}").eqNullSafe(F.lit(tag))
+            total = F.when(added, F.col("t.total_orders")).otherwise(total)
+            ssum = F.when(added, F.col(f"t.{SUM}")).otherwise(ssum)
+            cnt = F.when(added, F.col(f"t.{CNT}")).otherwise(cnt)
             last = F.when(in_batch, F.col("s.latest_date")).otherwise(F.col("t.last_order_date"))
             return j.select(
                 *kcols, total.cast("long").alias("total_orders"),
                 F.when(cnt > 0, ssum.cast("double")).alias("lifetime_value"),
                 F.when(cnt > 0, ssum.cast("double") / cnt).alias("avg_order_value"),
                 last.alias("last_order_date"), ssum.alias(SUM), cnt.cast("long").alias(CNT),
+                F.when(in_batch, F.lit(tag)).otherwise(F.col(f"t.{TAG}")).alias(TAG),
             )  # emptied groups keep a zero row; gold_table() hides them
 
         self.gold.merge(src, add_groups, batch_id=f"gold-{tag}", may_delete=False, touched=touched)
@@ -212,22 +231,28 @@ class DynamicTables:
     def on_dimension_change(self, new_dim: DataFrame, change_id: str) -> None:
         """The customer dimension changed; refresh the affected orders."""
         cols = ["customer_id", "name", "tier", "is_active"]
-        feed = change_feed(self.dim.select(*cols), new_dim.select(*cols), ["customer_id"])
-        changed = feed.select("customer_id").distinct()
-        self.dim = new_dim
+        # the changed customers are kept under the change's id: a retry, also by a new process, refreshes the same ones
+        path = f"{self.root}/_dim/{change_id}"
+        if not self._done(path):
+            feed = change_feed(self.dim.select(*cols), new_dim.select(*cols), ["customer_id"])
+            feed.select("customer_id").distinct().write.mode("overwrite").parquet(path)
+        changed = self.spark.read.parquet(path)
         # no index by customer: a dimension change scans bronze once for its orders
         ids = self.bronze.read().join(changed, "customer_id", "left_semi").select("order_id", "order_date")
         # bronze does not change below, but pin the id list before silver is rewritten
-        self._refresh_orders(ids.checkpoint(eager=True), f"dim-{change_id}")
+        self._refresh_orders(ids.checkpoint(eager=True), f"dim-{change_id}", dim=new_dim)
+        self.dim = new_dim
 
     # -- the stream --------------------------------------------------------
     def run(self, source_dir: str, checkpoint: str, available_now: bool = True,
-            freshness: str = "1 minute", max_files_per_trigger: int = 1):
+            freshness: str = "1 minute", max_files_per_trigger: int | None = None):
         """Start the refresh stream. ``available_now`` drains what is there and
         stops (tests, scheduled runs); otherwise a processing-time trigger of
         ``freshness`` is the table's freshness target (C09)."""
-        stream = (self.spark.readStream.schema(self.raw_schema)
-                  .option("maxFilesPerTrigger", max_files_per_trigger).parquet(source_dir))
+        reader = self.spark.readStream.schema(self.raw_schema)
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        stream = reader.parquet(source_dir)
         w = (stream.writeStream.foreachBatch(lambda df, bid: self.refresh(df, bid))
              .option("checkpointLocation", checkpoint))
         w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=freshness)

@@ -222,3 +222,16 @@ def test_synthetic_rows_only_for_one_class(spark):
     assert ML.with_synthetic_rows(spark, both).count() == 3
     split = [r[0] for r in spark.range(2000).select(ML.split_flag("id").alias("t")).collect()]
     assert 0.75 < sum(split) / len(split) < 0.85  # about 80/20
+
+
+def test_every_text_has_a_summary(spark):
+    docs = spark.createDataFrame([(1, "one two. three"), (2, "123 456."), (3, None)], "id long, text string")
+    assert {r.id: r.summary for r in TX.summarize(docs, "id", "text", 2).collect()} == {1: "one two three", 2: "", 3: ""}
+
+
+def test_context_skips_missing_texts_before_its_limit(spark):
+    from strata.operators import retrieval
+
+    rows = [(i, None) for i in range(600)] + [(i, "x") for i in range(600, 1300)]
+    context = retrieval.corpus_context(spark.createDataFrame(rows, "id long, t string"), "id", "t", 500).first().context
+    assert context == ("x " * 300)[:500]

@@ -192,3 +192,11 @@ def test_change_feed_across_added_column(spark):
                                 "customer_id int, name string, email_address string")
     f = cdc.change_feed(old, new, ["customer_id"])
     assert rows(f, "customer_id", cdc.ACTION) == [(2, "DELETE"), (2, "INSERT")]
+
+
+def test_change_feed_null_and_repeated_keys(spark):
+    """Unchanged rows with a NULL or a repeated key give no changes."""
+    old = spark.createDataFrame([(None, "a"), (1, "x"), (1, "y"), (2, "z"), (None, "n")], "k int, v string")
+    new = spark.createDataFrame([(None, "a"), (1, "y"), (1, "x"), (2, "w"), (None, "m")], "k int, v string")
+    feed = {tuple(r) for r in cdc.change_feed(old, new, ["k"]).collect()}
+    assert feed == {(None, "m", "INSERT", True), (None, "n", "DELETE", True), (2, "w", "INSERT", True), (2, "z", "DELETE", True)}

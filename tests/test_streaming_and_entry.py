@@ -5,6 +5,8 @@ from __future__ import annotations
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import SF001, rows
@@ -75,3 +77,41 @@ def test_processing_time_trigger_refreshes(spark, tmp):
     finally:
         q.stop()
     assert rows(dt.gold_table()) == _gold_batch(spark, raw, dim)
+
+
+@pytest.mark.parametrize("table", ["bronze", "silver", "dates", "gold"])
+def test_refresh_replayed_after_a_crash_is_exactly_once(spark, tmp, monkeypatch, table):
+    """A crash between a table's commit and its marker, then the same batch again."""
+    raw, dim = D.orders_raw(spark, SF001), D.customers(spark, SF001)
+    dt = DynamicTables(spark, os.path.join(tmp, "crash"), dim, raw.schema, buckets=2)
+    half = F.pmod(F.xxhash64("order_id", "line_no"), F.lit(2))
+    dt.refresh(raw.filter(half == 0), 0)
+    target = getattr(dt, table)
+    with monkeypatch.context() as m:
+        def crash(batch_id):
+            raise RuntimeError("crash before the marker")
+
+        m.setattr(target, "_mark", crash)
+        with pytest.raises(RuntimeError, match="crash before the marker"):
+            dt.refresh(raw.filter(half == 1), 1)
+    dt.refresh(raw.filter(half == 1), 1)
+    assert rows(dt.gold_table()) == _gold_batch(spark, raw, dim)  # last_order_date included
+    assert rows(dt.silver.read()) == rows(M.silver(M.bronze(raw), dim))
+    assert dt.dates.read().agg(F.sum("n")).first()[0] == dt.gold_table().agg(F.sum("total_orders")).first()[0]
+
+
+def test_failed_dimension_change_is_not_lost(spark, tmp, monkeypatch):
+    raw, dim = D.orders_raw(spark, SF001), D.customers(spark, SF001)
+    dt = DynamicTables(spark, os.path.join(tmp, "dimcrash"), dim, raw.schema, buckets=2)
+    dt.refresh(raw, 0)
+    new_dim = dim.withColumn("tier", F.lit("gold"))
+
+    def crash(*args):
+        raise RuntimeError("crash")
+
+    with monkeypatch.context() as m:
+        m.setattr(dt, "_apply_gold_delta", crash)
+        with pytest.raises(RuntimeError, match="crash"):
+            dt.on_dimension_change(new_dim, "a")
+    dt.on_dimension_change(new_dim, "a")
+    assert rows(dt.gold_table()) == _gold_batch(spark, raw, new_dim)
