@@ -15,13 +15,16 @@ from strata.sources import derived as D
 from strata.streaming.dynamic import DynamicTables
 
 SLICES = 10
+ROWS_PER_BUCKET = 1_000_000
 
 
 def drained_pipeline(spark, sf, change_dimension: bool = False) -> DynamicTables:
     """Build the three layers by streaming ``orders_raw`` in slices."""
     root = scratch_path(spark, "dynamic")
     raw = D.orders_raw(spark, sf)
-    dt = DynamicTables(spark, root, D.customers(spark, sf), raw.schema)
+    # buckets sized from the data, as a deployment would size them from its history
+    buckets = max(2, -(-raw.count() // ROWS_PER_BUCKET))
+    dt = DynamicTables(spark, root, D.customers(spark, sf), raw.schema, buckets=buckets)
     src, ckpt = f"{root}/_source", f"{root}/_checkpoint"
     part = F.pmod(F.xxhash64("order_id", "line_no", "product_id", "supp_id"), F.lit(SLICES))
     for i in range(SLICES):
