@@ -19,6 +19,7 @@ Defined results
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 import pyarrow as pa
@@ -87,8 +88,18 @@ def parse(html: str) -> tuple[Node, list[tuple[Node, Block]]]:
     blocks: list[tuple[Node, Block]] = []
     block: Block | None = None
     dropped: list[str] = []  # open elements inside dropped furniture
+    is_open, is_dropped = Counter(), Counter()  # so that stray end tags cost no search
     link, position, articles = 0, 0, 0
 
+    def leave() -> None:
+        nonlocal here
+        is_open[here.tag] -= 1
+        here = here.parent
+
+    def drop(tag: str) -> None:
+        dropped.append(tag)
+        is_dropped[tag] += 1
+
     def words(text: str) -> None:
         nonlocal block
         if dropped or not text:
@@ -112,11 +123,14 @@ def parse(html: str) -> tuple[Node, list[tuple[Node, Block]]]:
         tag = tag.lower()
         if dropped:
             if closing:
-                if tag in dropped:
-                    while dropped.pop() != tag:
-                        pass
+                if is_dropped[tag]:
+                    while True:
+                        last = dropped.pop()
+                        is_dropped[last] -= 1
+                        if last == tag:
+                            break
             elif tag not in VOID and not (attributes or "").endswith("/"):
-                dropped.append(tag)
+                drop(tag)
             continue
         if tag in ("br", "hr", "wbr", "img"):
             words("" if tag == "wbr" else " ")
@@ -129,25 +143,25 @@ def parse(html: str) -> tuple[Node, list[tuple[Node, Block]]]:
             if tag == "a":
                 link = 0 if closing else 1
             if not closing and _is_furniture(tag, attributes, articles > 0):
-                dropped.append(tag)
+                drop(tag)
             continue
         block, link = None, 0
         if closing:
-            node = here
-            while node is not root and node.tag != tag:
-                node = node.parent
-            if node is not root:
-                here = node.parent
+            if is_open[tag]:
+                while here.tag != tag:
+                    leave()
+                leave()
                 articles -= tag in ("article", "main")
             continue
         if here.tag in CLOSED_BY_BLOCK or here.tag == tag and tag in ("li", "td", "th", "dd", "dt", "tr"):
-            here = here.parent
+            leave()
         if _is_furniture(tag, attributes, articles > 0):
-            dropped.append(tag)
+            drop(tag)
             continue
         node = Node(tag, here, len(blocks))
         here.order.append(node)
         here = node
+        is_open[tag] += 1
         articles += tag in ("article", "main")
     rest = html[position:]
     if "<" in rest:  # a tag that the page breaks off in
@@ -180,6 +194,7 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     root, blocks = parse(html)
+    linked_in: dict[Node, int] = {}
     for node, block in blocks:
         text = block.text()
         if not text:
@@ -187,16 +202,22 @@ def main_text(html: str | None) -> str:
         points, _ = _points(text, block.linked)
         # a paragraph's container is its parent; text right inside a container counts for it
         holder = node.parent if block.paragraph and node.parent is not None else node
-        share = 1.0
-        while holder is not None:
-            holder.score += points * share
-            holder, share = holder.parent, share / 2 if share == 1.0 else share / 3
-    best, todo = root, [root]
+        holder.score += points
+        linked_in[node] = linked_in.get(node, 0) + block.linked
+    nodes, todo = [], [root]
     while todo:
-        node = todo.pop()
+        nodes.append(todo.pop())
+        todo += [x for x in reversed(nodes[-1].order) if isinstance(x, Node)]
+    passed: dict[Node, float] = {}  # what a container has from below its own paragraphs
+    for node in reversed(nodes):  # children come before their parent
+        below = passed.get(node, 0.0)
+        if node.parent is not None:
+            passed[node.parent] = passed.get(node.parent, 0.0) + node.score / 2 + below / 3
+        node.score += below
+    best = root
+    for node in nodes:
         if node.score > best.score:
             best = node
-        todo += [x for x in reversed(node.order) if isinstance(x, Node)]
     if best.parent is None:
         kept: list = [best]
     else:
@@ -209,7 +230,7 @@ def main_text(html: str | None) -> str:
                     texts: list[str] = []
                     _gather(item, texts)
                     text = " ".join(texts)
-                    linked = sum(b.linked for n, b in blocks if n is item)
+                    linked = linked_in.get(item, 0)
                     points, density = _points(text, linked)
                     if text and (density < 0.25 and len(text) > 80 or density == 0 and text[-1:] in ".!?"):
                         kept.append(item)
