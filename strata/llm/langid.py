@@ -7,8 +7,8 @@ cosine names the language; a text whose similarity is below the language's
 rejection distance is reported as rejected.
 
 The model is fitted on a bounded sample: ``sample_per_lang`` texts of each
-language in expectation, chosen by hash among all that are allowed. Prediction
-reads whole texts and nothing but texts.
+language in expectation, chosen by hash among all that are allowed, copies of
+a text once. Prediction reads whole texts and nothing but texts.
 
 Defined results
 * Null texts and texts without a letter: ``und``, score 0, rejected.
@@ -98,23 +98,25 @@ def fit(labelled: DataFrame, sample_per_lang: int = 800, clusters: int = 4, reje
         return Model([], np.zeros((0, DIMS), np.float32), np.zeros(DIMS, np.float32), np.zeros(0))
     # a literal map, so that no text is shuffled to choose the sample
     share = F.create_map(*(F.lit(x) for r in counts for x in (r["lang"], float(1 << 30) * sample_per_lang / r["count"])))
-    chosen = good.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.element_at(share, F.col("lang")))
+    chosen = (good.withColumn("hash", F.xxhash64("text"))
+              .where(F.pmod("hash", F.lit(1 << 30)) < F.element_at(share, F.col("lang"))))
 
     def features(batches):
         for batch in batches:
             for part in slices(batch, "text"):
                 pairs = [trigrams(t) for t in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("lang"), pa.array([p[0] for p in pairs], pa.list_(pa.int32())),
-                                                  pa.array([p[1] for p in pairs], pa.list_(pa.float32()))], names=["lang", "at", "tf"])
+                yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("hash"), pa.array([p[0] for p in pairs], pa.list_(pa.int32())),
+                                                  pa.array([p[1] for p in pairs], pa.list_(pa.float32()))], names=["lang", "hash", "at", "tf"])
 
-    sample = chosen.mapInArrow(features, "lang string, at array<int>, tf array<float>").toArrow()
+    # copies share a hash, so a chosen text comes with all its copies: each counts once
+    sample = (chosen.mapInArrow(features, "lang string, hash bigint, at array<int>, tf array<float>")
+              .groupBy("lang", "hash").agg(F.first("at").alias("at"), F.first("tf").alias("tf")).toArrow()
+              .sort_by([("lang", "ascending"), ("hash", "ascending")]))  # the same model whatever order rows came in
     lang = np.array(sample.column("lang").to_pylist(), dtype=object)
     rows = [(np.array(a, np.int32), np.array(t, np.float32)) for a, t in zip(sample.column("at").to_pylist(), sample.column("tf").to_pylist())]
     x = np.zeros((len(rows), DIMS), np.float32)
     for i, (at, tf) in enumerate(rows):
         x[i, at] = 1 + np.log(tf)
-    order = np.lexsort(x[:, :8].T) if len(rows) else np.zeros(0, int)  # the same model whatever order rows came in
-    x, lang = x[order], lang[order]
     idf = np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0))).astype(np.float32) + 1
     x *= idf
     x /= np.maximum(1e-12, np.sqrt((x**2).sum(axis=1, keepdims=True)))
