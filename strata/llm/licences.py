@@ -239,7 +239,8 @@ def fit(docs: DataFrame, sample_lines: int = 1500, text_col: str = "text") -> Mo
         return train([])
     line = F.split(text, "\n")
     rows = (docs.where(text.isNotNull() & (F.pmod(F.xxhash64(text), F.lit(1 << 30)) < F.lit(float(1 << 30)) * sample_lines / total))
-            .select(F.substring(F.element_at(line, (F.pmod(F.xxhash64(text, F.lit(1)), F.size(line)) + 1).cast("int")), 1, 2000).alias("line")).toArrow())
+            .select(F.substring(F.element_at(line, (F.pmod(F.xxhash64(text, F.lit(1)), F.size(line)) + 1).cast("int")), 1, 2000).alias("line"))
+            .distinct().toArrow())  # copies of a chosen text bring the same line, which counts once
     return train(sorted(rows.column("line").to_pylist()))
 
 
