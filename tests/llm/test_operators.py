@@ -7,6 +7,7 @@ import hashlib
 import html
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -431,3 +432,23 @@ def test_pipeline_stages_keep_columns(spark, awkward):
         assert out.columns == extra.columns, name
         assert out.count() > 0
         assert stage(spark, extra.limit(0), SF).count() == 0
+
+
+def test_html_text_cost_grows_with_the_page():
+    """Many siblings, deep nesting and stray end tags: no step walks the page once per element."""
+    pages = ["<div>" + "<p>word word, word.</p>" * 30_000 + "</div>", "<div>" * 30_000 + "x, y" + "</div>" * 30_000,
+             "<div>" * 30_000 + "</section>" * 30_000, "<nav>" + "<p>" * 30_000 + "</q>" * 30_000]
+    start = time.monotonic()
+    texts = [html_text.main_text(p) for p in pages]
+    assert time.monotonic() - start < 20
+    assert texts[0].count("\n") == 29_999 and texts[1:] == ["x, y", "", ""]
+
+
+def test_training_samples_count_copies_once(spark):
+    """A text with copies in a third of the rows doesn't swell the sample that the driver holds."""
+    words = {"en": "the cat and the dog ran over the hill", "fr": "le chat et le chien dans la rue"}
+    rows = [(f"{words[lang]} {i}", lang) for lang in words for i in range(60)]
+    copies = [("the same text again and again", "en")] * 400
+    once = langid.fit(spark.createDataFrame(rows + copies[:1], "text string, lang string"), sample_per_lang=1 << 20)
+    many = langid.fit(spark.createDataFrame(rows + copies, "text string, lang string"), sample_per_lang=1 << 20)
+    assert once.langs == many.langs and np.allclose(once.centroids, many.centroids, atol=1e-5)
