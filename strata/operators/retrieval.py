@@ -7,7 +7,8 @@
   partition computes its similarities with numpy and keeps only its local
   top-k per question, and a final top-k merges those partials: no cross
   join and never all (question, document) pairs in one place.
-* ``rrf_fuse``: reciprocal-rank fusion of ranked lists.
+* ``hybrid_top_k``: reciprocal-rank fusion of both whole lists; candidates
+  from the head of each, then their exact ranks by a counting pass.
 """
 
 from __future__ import annotations
@@ -20,36 +21,32 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.functions.text import ordered_join, spread, token_rows, tokens
+from strata.functions.text import ordered_join, spread, tokens
 
 RANK_DIGITS = 9  # scores are ranked after rounding so float summation order cannot flip ties
 
 
-def postings(corpus: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(term, doc, tf) from whole texts: the lexical index."""
-    toks = token_rows(spread(corpus.select(id_col, text_col)), text_col, [id_col])
-    return toks.groupBy("term", id_col).agg(F.count(F.lit(1)).alias("tf"))
-
-
 def bm25_scores(corpus: DataFrame, questions: DataFrame, id_col: str = "doc_id", text_col: str = "content",
                 q_id: str = "q_id", q_text: str = "question", k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """BM25 score of every (question, document) sharing at least one term.
 
-    idf = ln(1 + (N - df + 0.5) / (df + 0.5)); query terms are distinct.
+    idf = ln(1 + (N - df + 0.5) / (df + 0.5)); query terms are distinct;
+    document ids are unique. Only the questions' vocabulary is indexed.
     Hot terms make the term join skewed; AQE's skew join splits them.
     """
-    # the index is written once (reliable checkpoint): lengths, document
-    # frequencies, corpus statistics and the scoring join all read it
-    post = postings(corpus, id_col, text_col).checkpoint(eager=True)
-    dl = post.groupBy(id_col).agg(F.sum("tf").alias("dl"))
-    stats = dl.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"))
+    docs = (spread(corpus.select(id_col, text_col)).select(id_col, tokens(text_col).alias("_tokens"))
+            .withColumn("dl", F.size("_tokens")).filter(F.col("dl") > 0))
+    stats = docs.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"))
     n, avgdl = stats.select("n").scalar(), stats.select("avgdl").scalar()
+    qterms = questions.select(q_id, F.explode(F.array_distinct(tokens(q_text))).alias("term"))
+    # written once (reliable checkpoint): document frequencies and the scoring join read it
+    post = (docs.select(id_col, "dl", F.explode("_tokens").alias("term"))
+            .join(qterms.select("term").distinct(), "term", "left_semi")
+            .groupBy("term", id_col, "dl").agg(F.count(F.lit(1)).alias("tf")).checkpoint(eager=True))
     df_ = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = df_.select("term", F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
-    qterms = questions.select(q_id, F.explode(F.array_distinct(tokens(q_text))).alias("term"))
-    p = post.join(dl, id_col)
     norm = F.col("tf") + F.lit(k1) * (1 - b + b * F.col("dl") / avgdl)
-    part = (qterms.join(idf, "term").join(p, "term")
+    part = (qterms.join(idf, "term").join(post, "term")
             .select(q_id, id_col, (F.col("idf") * F.col("tf") * (k1 + 1) / norm).alias("s")))
     return part.groupBy(q_id, id_col).agg(F.round(F.sum("s"), RANK_DIGITS).alias("score"))
 
@@ -66,43 +63,71 @@ def bm25_top_k(corpus, questions, k: int = 3, **kw) -> DataFrame:
     return rank_top_k(bm25_scores(corpus, questions, **kw), kw.get("q_id", "q_id"), id_col, k)
 
 
+def ranks_among(scores: DataFrame, wanted: DataFrame, q_id: str, id_col: str) -> DataFrame:
+    """Exact (q, doc, rank) in the whole list ``scores`` of the ``wanted``
+    (q, doc) pairs that are in it, in one counting pass.
+
+    The wanted documents of a question (a bounded number) cut its list into
+    slices; the rank of the j-th is the size of the slices up to it. No task
+    sorts or holds a question's list.
+    """
+    own = scores.join(wanted.select(q_id, id_col), [q_id, id_col])
+    marks = own.groupBy(q_id).agg(F.array_sort(F.collect_list(
+        F.struct((-F.col("score")).alias("s"), F.col(id_col).alias("d")))).alias("_marks"))
+
+    def before(m):
+        return (m["s"] < -F.col("score")) | ((m["s"] == -F.col("score")) & (m["d"] < F.col(id_col)))
+
+    slices = (scores.join(marks, q_id).select(q_id, F.size(F.filter("_marks", before)).alias("_at"))
+              .groupBy(q_id, "_at").agg(F.count(F.lit(1)).alias("_n")))
+    upto = Window.partitionBy(q_id).orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = slices.select(q_id, "_at", F.sum("_n").over(upto).cast("int").alias("rank"))
+    return (marks.select(q_id, F.posexplode("_marks").alias("_at", "_m")).join(ends, [q_id, "_at"])
+            .select(q_id, F.col("_m.d").alias(id_col), "rank"))
+
+
 MAX_BROADCAST_QUERIES = 4096
 QUERY_BLOCK = 256
 
 
-def _vector_partials(docs: DataFrame, qids: np.ndarray, qmat: np.ndarray, qnorm: np.ndarray,
-                     spark: SparkSession, k: int, id_col: str, vec_col: str, q_id: str) -> DataFrame:
-    bq = spark.sparkContext.broadcast((qids, qmat, qnorm))
+def _cosines(qm: np.ndarray, qn: np.ndarray, dm: np.ndarray) -> np.ndarray:
+    dn = np.linalg.norm(dm, axis=1)
+    dn[dn == 0] = np.inf
+    return np.round((qm @ dm.T) / (qn[:, None] * dn[None, :]), RANK_DIGITS)
 
-    def local_top_k(batches):
-        ids_q, qm, qn = bq.value
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            dm = np.stack(pdf[vec_col].to_numpy()).astype(np.float64)
-            dn = np.linalg.norm(dm, axis=1)
-            dn[dn == 0] = np.inf
-            doc_ids = pdf[id_col].to_numpy()
-            kk = min(k, len(doc_ids))
-            out_q, out_d, out_s = [], [], []
-            # query blocks keep the similarity matrix at QUERY_BLOCK x batch rows
-            for lo in range(0, len(ids_q), QUERY_BLOCK):
-                sims = np.round((qm[lo:lo + QUERY_BLOCK] @ dm.T) / (qn[lo:lo + QUERY_BLOCK, None] * dn[None, :]),
-                                RANK_DIGITS)
-                for i, row in enumerate(sims):
-                    # every score >= the k-th largest is a candidate (ties at the cut included),
-                    # then (score desc, id asc) decides exactly
-                    cut = -np.partition(-row, kk - 1)[kk - 1]
-                    cand = np.nonzero(row >= cut)[0]
-                    order = cand[np.lexsort((doc_ids[cand], -row[cand]))][:kk]
-                    out_q.append(np.full(kk, ids_q[lo + i]))
-                    out_d.append(doc_ids[order])
-                    out_s.append(row[order])
-            yield pd.DataFrame({q_id: np.concatenate(out_q), id_col: np.concatenate(out_d),
-                                "score": np.concatenate(out_s)})
-
-    schema = f"{q_id} long, {id_col} long, score double"
-    return docs.select(id_col, vec_col).mapInPandas(local_top_k, schema)
+
+def _matrix(column: pd.Series) -> np.ndarray:
+    return np.stack(column.to_numpy()).astype(np.float64)
+
+
+def _best_of(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
+    """Positions of the k best by score desc, id asc. Every score from the
+    k-th largest up is looked at, so ties at the cut are decided exactly."""
+    k = min(k, len(ids))
+    cand = np.nonzero(scores >= -np.partition(-scores, k - 1)[k - 1])[0]
+    return cand[np.lexsort((ids[cand], -scores[cand]))][:k]
+
+
+def _query_chunks(queries: DataFrame, q_id: str, q_vec: str, max_broadcast: int):
+    """The queries in chunks of at most ``max_broadcast``: a condition on the
+    query id that selects the chunk, and its ids, vectors and lengths."""
+    from strata.operators.joins import row_count_at_most
+
+    q = queries.select(F.col(q_id).alias("_q"), F.col(q_vec).alias("_v"))
+    # hashing into twice as many chunks as needed keeps each under the bound
+    n_chunks = 1 if row_count_at_most(q, max_broadcast) else 2 * -(-q.count() // max_broadcast)
+    for c in range(n_chunks):
+        def inside(col, c=c):
+            return F.pmod(F.xxhash64(col), F.lit(1 << 30)) % n_chunks == c
+
+        rows = q.filter(inside("_q")).limit(max_broadcast + 1).collect()
+        if len(rows) > max_broadcast:
+            raise RuntimeError("query chunk above the broadcast bound; lower max_broadcast")
+        if rows:
+            qm = np.array([r["_v"] for r in rows], dtype=np.float64)
+            qn = np.linalg.norm(qm, axis=1)
+            qn[qn == 0] = np.inf
+            yield inside, np.array([r["_q"] for r in rows], dtype=np.int64), qm, qn
 
 
 def vector_top_k(spark: SparkSession, docs: DataFrame, queries: DataFrame, k: int = 3, id_col: str = "doc_id",
@@ -112,44 +137,105 @@ def vector_top_k(spark: SparkSession, docs: DataFrame, queries: DataFrame, k: in
 
     The query side goes to the executors as a broadcast of at most
     ``max_broadcast`` vectors at a time; more queries are handled in
-    consecutive chunks, so the result stays exact for any number.
+    consecutive chunks, so the result stays exact for any number. A document
+    partition sends on its best k per query.
     """
-    q = queries.select(F.col(q_id).alias("_q"), F.col(q_vec).alias("_v"))
-    chunk = F.pmod(F.xxhash64("_q"), F.lit(1 << 30))
-    from strata.operators.joins import row_count_at_most
+    out = spark.createDataFrame([], f"{q_id} long, {id_col} long, score double")
+    for _, qids, qm, qn in _query_chunks(queries, q_id, q_vec, max_broadcast):
+        sent = spark.sparkContext.broadcast((qids, qm, qn))
+
+        def local_top_k(batches, sent=sent):
+            ids_q, qm, qn = sent.value
+            best = [(np.zeros(0, np.int64), np.zeros(0))] * len(ids_q)
+            for pdf in batches:
+                if pdf.empty:
+                    continue
+                dm, ids = _matrix(pdf[vec_col]), pdf[id_col].to_numpy()
+                # query blocks keep the similarity matrix at QUERY_BLOCK x batch rows
+                for lo in range(0, len(ids_q), QUERY_BLOCK):
+                    for i, row in enumerate(_cosines(qm[lo:lo + QUERY_BLOCK], qn[lo:lo + QUERY_BLOCK], dm), lo):
+                        top = _best_of(ids, row, k)
+                        d, s = np.concatenate([best[i][0], ids[top]]), np.concatenate([best[i][1], row[top]])
+                        top = _best_of(d, s, k)
+                        best[i] = (d[top], s[top])
+            for q, (d, s) in zip(ids_q, best):
+                if len(d):
+                    yield pd.DataFrame({q_id: np.full(len(d), q), id_col: d, "score": s})
+
+        out = out.unionByName(docs.select(id_col, vec_col).mapInPandas(local_top_k, out.schema))
+    return rank_top_k(out, q_id, id_col, k)
+
+
+def vector_ranks(spark: SparkSession, docs: DataFrame, queries: DataFrame, wanted: DataFrame, id_col: str = "doc_id",
+                 vec_col: str = "embedding", q_id: str = "q_id", q_vec: str = "embedding",
+                 max_broadcast: int = MAX_BROADCAST_QUERIES) -> DataFrame:
+    """Exact (q, doc, rank) in the cosine list over all ``docs`` of the
+    ``wanted`` (q, doc) pairs (a bounded number per query) whose document has
+    a vector: one more pass counts the documents before each."""
+    pairs = (wanted.select(q_id, id_col).join(docs.select(id_col, F.col(vec_col).alias("_d")), id_col)
+             .join(queries.select(q_id, F.col(q_vec).alias("_q")), q_id))
 
-    # hashing into twice as many chunks as needed keeps each under the bound
-    n_chunks = 1 if row_count_at_most(q, max_broadcast) else 2 * -(-q.count() // max_broadcast)
-    parts = []
-    for c in range(n_chunks):
-        sel = q if n_chunks == 1 else q.filter(chunk % n_chunks == c)
-        rows = sel.limit(max_broadcast + 1).collect()
-        if len(rows) > max_broadcast:
-            raise RuntimeError("query chunk above the broadcast bound; lower max_broadcast")
-        if not rows:
-            continue
-        qids = np.array([r["_q"] for r in rows], dtype=np.int64)
-        qm = np.array([r["_v"] for r in rows], dtype=np.float64)
-        qn = np.linalg.norm(qm, axis=1)
-        qn[qn == 0] = np.inf
-        parts.append(_vector_partials(docs, qids, qm, qn, spark, k, id_col, vec_col, q_id))
-    if not parts:  # no queries
-        return q.sparkSession.createDataFrame([], T.StructType([
-            T.StructField(q_id, T.LongType()), T.StructField(id_col, docs.schema[id_col].dataType),
-            T.StructField("score", T.DoubleType()), T.StructField("rank", T.IntegerType())]))
-    allp = parts[0]
-    for p in parts[1:]:
-        allp = allp.unionByName(p)
-    return rank_top_k(allp, q_id, id_col, k)
+    def own_scores(batches):
+        for pdf in batches:
+            if not pdf.empty:
+                d, q = _matrix(pdf["_d"]), _matrix(pdf["_q"])
+                length = np.linalg.norm(q, axis=1) * np.linalg.norm(d, axis=1)
+                length[length == 0] = np.inf
+                pdf["score"] = np.round((d * q).sum(axis=1) / length, RANK_DIGITS)
+                yield pdf[[q_id, id_col, "score"]]
+
+    marks = pairs.mapInPandas(own_scores, f"{q_id} long, {id_col} long, score double").checkpoint(eager=True)
+    counts = spark.createDataFrame([], f"{q_id} long, {id_col} long, n long")
+    for inside, qids, qm, qn in _query_chunks(queries, q_id, q_vec, max_broadcast):
+        mine = marks.filter(inside(q_id)).toPandas()  # a chunk of queries, a bounded number of documents each
+        by_query = {q: (g[id_col].to_numpy(), g["score"].to_numpy()) for q, g in mine.groupby(q_id)}
+        sent = spark.sparkContext.broadcast((qids, qm, qn, by_query))
+
+        def count_before(batches, sent=sent):
+            ids_q, qm, qn, by_query = sent.value
+            at = [i for i, q in enumerate(ids_q) if q in by_query]
+            total = {i: np.zeros(len(by_query[ids_q[i]][0]), np.int64) for i in at}
+            for pdf in batches:
+                if pdf.empty:
+                    continue
+                dm, ids = _matrix(pdf[vec_col]), pdf[id_col].to_numpy()
+                for lo in range(0, len(at), QUERY_BLOCK):
+                    block = at[lo:lo + QUERY_BLOCK]
+                    for i, row in zip(block, _cosines(qm[block], qn[block], dm)):
+                        for j, (d, s) in enumerate(zip(*by_query[ids_q[i]])):
+                            total[i][j] += np.count_nonzero((row > s) & (ids != d)) + np.count_nonzero((row == s) & (ids < d))
+            for i in at:
+                yield pd.DataFrame({q_id: np.full(len(total[i]), ids_q[i]), id_col: by_query[ids_q[i]][0], "n": total[i]})
+
+        counts = counts.unionByName(docs.select(id_col, vec_col).mapInPandas(count_before, counts.schema))
+    return counts.groupBy(q_id, id_col).agg((F.sum("n") + 1).cast("int").alias("rank"))
+
+
+def hybrid_top_k(spark: SparkSession, lexical: DataFrame, docs: DataFrame, queries: DataFrame, k: int = 3, c: int = 60,
+                 q_id: str = "q_id", id_col: str = "doc_id") -> DataFrame:
+    """Top-k of the reciprocal-rank fusion of two whole ranked lists,
+    ``lexical`` scores and the cosines of ``docs`` to ``queries``.
+
+    Only the first ``depth = c + 2k`` of each list can be among the k best: a
+    document beyond it in both scores at most ``2 / (c + depth + 1)``, less
+    than the ``1 / (c + k)`` that the first k of either list reach. Those
+    candidates get their exact rank in both lists. (The two bounds stay apart
+    after rounding for ``c + k`` up to some 10,000.)
+    """
+    depth, pair = c + 2 * k, [q_id, id_col]
+    lexical = lexical.checkpoint(eager=True)  # read by the ranking and by the counting pass
+    lex = rank_top_k(lexical, q_id, id_col, depth).select(*pair, "rank").checkpoint(eager=True)
+    vec = vector_top_k(spark, docs, queries, depth, id_col=id_col, q_id=q_id).select(*pair, "rank").checkpoint(eager=True)
+    lex_more = ranks_among(lexical, vec.join(lex, pair, "left_anti"), q_id, id_col)
+    vec_more = vector_ranks(spark, docs, queries, lex.join(vec, pair, "left_anti"), id_col=id_col, q_id=q_id)
+    return rrf_fuse([lex.unionByName(lex_more), vec.unionByName(vec_more)], q_id, id_col, k, c)
 
 
 def rrf_fuse(ranked: list[DataFrame], q_id: str, id_col: str, k: int = 3, c: int = 60) -> DataFrame:
     """Reciprocal-rank fusion: score = sum over lists of 1 / (c + rank).
 
-    Each input holds (q_id, doc, rank) for one retriever's ranked list — by
-    definition its top rank-window (every document was scored to build it);
-    a document missing from a list contributes nothing for it. The result is
-    exact for that definition: no sampling and no cap beyond the window.
+    Each input holds (q_id, doc, rank); a document missing from a list
+    contributes nothing for it.
     """
     u = None
     for r in ranked:

@@ -21,9 +21,6 @@ DOC_LEXICON = {"the": 0.30, "and": 0.50, "for": -0.40, "with": -0.20, "of": 0.10
 DOC_RULES = (("rule_with", (" with ",)), ("rule_que", (" que ", " des ")), ("rule_the", (" the ",)))
 DOC_LABEL_KEYWORDS = {"shipping": ("the", "with"), "product_quality": ("and", "que"),
                       "pricing": ("for", "des"), "customer_service": ("of", "le")}
-# Reciprocal-rank fusion is defined over each retriever's top-RANK_WINDOW list
-# (the usual rank-window parameter of hybrid search); both retrievers score all documents.
-RANK_WINDOW = 50
 FILTER_SOURCE = "src3"
 
 
@@ -222,30 +219,29 @@ def n12(spark, sf):
     return top.select("q_id", "doc_id", F.round("score", 6).alias("score"), "rank")
 
 
-def _vector(spark, sf, k):
-    return RT.vector_top_k(spark, D.document_vectors(spark, sf), D.question_vectors(spark, sf), k)
-
-
 @register("n10_vector_top_k", with_(extra=_VEC_SQL) +
           "SELECT q_id, doc_id, round(score, 6) AS score, rank FROM vec_rank WHERE rank <= 3")
 def n10(spark, sf):
-    return _vector(spark, sf, 3).select("q_id", "doc_id", F.round("score", 6).alias("score"), "rank")
+    top = RT.vector_top_k(spark, D.document_vectors(spark, sf), D.question_vectors(spark, sf), 3)
+    return top.select("q_id", "doc_id", F.round("score", 6).alias("score"), "rank")
 
 
 _HYBRID_SQL = {
-    "fused": f"""SELECT q_id, doc_id, round(SUM(1.0 / (60 + rank)), 9) AS score FROM (
-                   SELECT q_id, doc_id, rank FROM bm_rank WHERE rank <= {RANK_WINDOW}
+    "fused": """SELECT q_id, doc_id, round(SUM(1.0 / (60 + rank)), 9) AS score FROM (
+                   SELECT q_id, doc_id, rank FROM bm_rank
                    UNION ALL
-                   SELECT q_id, doc_id, rank FROM vec_rank WHERE rank <= {RANK_WINDOW}) GROUP BY 1, 2""",
+                   SELECT q_id, doc_id, rank FROM vec_rank) GROUP BY 1, 2""",
     "hybrid": """SELECT q_id, doc_id, score,
                         CAST(row_number() OVER (PARTITION BY q_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM fused""",
 }
 
 
-def hybrid_top_k(spark, sf, k=3):
-    lex = RT.rank_top_k(_bm25(spark, sf), "q_id", "doc_id", RANK_WINDOW)
-    vec = _vector(spark, sf, RANK_WINDOW)
-    return RT.rrf_fuse([lex, vec], "q_id", "doc_id", k)
+def hybrid_top_k(spark, sf, k=3, source=None):
+    """Both halves read the same documents: all, or those of one source."""
+    corpus, vectors = D.policies(spark, sf), D.document_vectors(spark, sf)
+    if source is not None:
+        corpus, vectors = corpus.filter(F.col("policy_name") == source), vectors.filter(F.col("source") == source)
+    return RT.hybrid_top_k(spark, _bm25(spark, sf, corpus), vectors, D.question_vectors(spark, sf), k)
 
 
 _HYB_ALL = {**_bm25_sql(), **_VEC_SQL, **_HYBRID_SQL}
@@ -257,6 +253,16 @@ def n11(spark, sf):
     return hybrid_top_k(spark, sf).select("q_id", "doc_id", F.round("score", 6).alias("score"), "rank")
 
 
+_FILTERED_VEC = {**_VEC_SQL, "dv": _VEC_SQL["dv"] + f" WHERE d.source = '{FILTER_SOURCE}'"}
+
+
+@register("n11_n12_filtered_hybrid_top_k",
+          with_("policies", "questions", extra={**_bm25_sql(f"WHERE policy_name = '{FILTER_SOURCE}'"), **_FILTERED_VEC, **_HYBRID_SQL}) +
+          "SELECT q_id, doc_id, round(score, 6) AS score, rank FROM hybrid WHERE rank <= 3")
+def n11_filtered(spark, sf):
+    return hybrid_top_k(spark, sf, source=FILTER_SOURCE).select("q_id", "doc_id", F.round("score", 6).alias("score"), "rank")
+
+
 _PROMPT_SQL = {
     "top3": "SELECT * FROM hybrid WHERE rank <= 3",
     "blocks": """SELECT t.q_id, t.rank, p.policy_name, '[' || p.policy_name || ']:' || chr(10) || p.content AS block

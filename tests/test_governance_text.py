@@ -235,3 +235,31 @@ def test_context_skips_missing_texts_before_its_limit(spark):
     rows = [(i, None) for i in range(600)] + [(i, "x") for i in range(600, 1300)]
     context = retrieval.corpus_context(spark.createDataFrame(rows, "id long, t string"), "id", "t", 500).first().context
     assert context == ("x " * 300)[:500]
+
+
+def test_hybrid_top_k_fuses_whole_lists(spark):
+    """Against the fusion of full ranks, with a depth far below the lists' lengths, ties and one-sided documents."""
+    import numpy as np
+
+    rng, k, c = np.random.default_rng(5), 3, 2
+    lexical = [(q, d, float(rng.integers(0, 40))) for q in range(12) for d in range(200) if rng.random() < 0.7]
+    vectors = {d: [float(x) for x in rng.integers(-2, 3, 4)] for d in range(60, 260)}
+    asked = {q: [float(x) for x in rng.integers(-2, 3, 4)] for q in range(12)}
+    got = RT.hybrid_top_k(spark, spark.createDataFrame(lexical, "q_id long, doc_id long, score double").repartition(3),
+                          spark.createDataFrame(list(vectors.items()), "doc_id long, embedding array<double>").repartition(3),
+                          spark.createDataFrame(list(asked.items()), "q_id long, embedding array<double>"), k, c)
+
+    def cosine(a, b):
+        n = np.linalg.norm(a) * np.linalg.norm(b)
+        return round(float(np.dot(a, b) / n), RT.RANK_DIGITS) if n else 0.0
+
+    want = []
+    for q in asked:
+        lists = [sorted((-s, d) for p, d, s in lexical if p == q), sorted((-cosine(asked[q], v), d) for d, v in vectors.items())]
+        total = {}
+        for ranked in lists:
+            for i, (_, d) in enumerate(ranked, 1):
+                total[d] = total.get(d, 0) + 1 / (c + i)
+        best = sorted((-round(s, RT.RANK_DIGITS), d) for d, s in total.items())[:k]
+        want += [(q, d, i) for i, (_, d) in enumerate(best, 1)]
+    assert sorted(tuple(r) for r in got.select("q_id", "doc_id", "rank").collect()) == sorted(want)
