@@ -58,7 +58,7 @@ def region_access(access_map: DataFrame, region_col: str = "region") -> Callable
     them, or every row when their mapping is NULL (wildcard).
 
     ``access_map`` (role_name, region) is filtered to the one role first, then
-    the EXISTS becomes a wildcard test plus a hash semi join on the region.
+    the EXISTS becomes a wildcard test plus an outer hash join on the region.
     A NULL row region is visible only through the wildcard (Q23).
     """
 

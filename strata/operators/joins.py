@@ -31,14 +31,12 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
 def semi_join_or_null(left: DataFrame, mapping: DataFrame, left_col: str, map_col: str) -> DataFrame:
     """Rows of ``left`` with a mapping row whose value equals ``left_col`` or is NULL.
 
-    ``EXISTS (SELECT 1 FROM m WHERE m.v = l.c OR m.v IS NULL)`` split into two
-    equi/constant semi joins so neither becomes a nested-loop join:
-    if the mapping holds a NULL wildcard every row passes, else an ordinary
-    hash semi join on the value. A NULL ``left_col`` only passes via the
-    wildcard (NULL = x is unknown).
+    ``EXISTS (SELECT 1 FROM m WHERE m.v = l.c OR m.v IS NULL)`` as one outer
+    equi-join to the distinct values plus a wildcard test, so it never becomes
+    a nested-loop join and reads ``left`` once. A NULL ``left_col`` only
+    passes via the wildcard (NULL = x is unknown).
     """
     has_wildcard = mapping.filter(F.col(map_col).isNull()).exists()
-    values = mapping.filter(F.col(map_col).isNotNull()).select(F.col(map_col).alias("_v")).distinct()
-    matched = left.join(values, left[left_col] == F.col("_v"), "left_semi")
-    return left.filter(has_wildcard).unionByName(matched.filter(~has_wildcard))
-
+    values = mapping.filter(F.col(map_col).isNotNull()).select(F.col(map_col).alias("_mapped")).distinct()
+    return (left.join(values, left[left_col] == F.col("_mapped"), "left")
+            .filter(F.col("_mapped").isNotNull() | has_wildcard).drop("_mapped"))

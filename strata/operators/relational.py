@@ -112,11 +112,13 @@ def left_join_where(left: DataFrame, right: DataFrame, keys: Sequence[str], righ
 def with_high_water(df: DataFrame, target: DataFrame, ts_col: str) -> DataFrame:
     """Rows strictly newer than ``max(ts_col)`` of the target.
 
-    The max is an uncorrelated scalar subquery; an empty target (NULL max)
-    loads everything (documented deviation Q05).
+    The max is read first and goes into the filter as a literal, so that it
+    reaches the source's scan (and prunes its files or partitions). An empty
+    target (NULL max) loads everything (documented deviation Q05).
     """
-    hw = target.agg(F.max(ts_col)).scalar()
-    return df.filter(hw.isNull() | (F.col(ts_col) > hw))
+    kind = df.schema[ts_col].dataType
+    high = target.agg(F.max(F.col(ts_col).cast(kind)).cast("string")).first()[0]
+    return df if high is None else df.filter(F.col(ts_col) > F.lit(high).cast(kind))
 
 
 # ----------------------------------------------------------- DML snapshots --

@@ -149,11 +149,47 @@ def role_edges(spark, sf):
     return e1.unionByName(e2)
 
 
-@register("g12_role_closure", "WITH RECURSIVE edges AS (" + _EDGES_SQL["edges"] + """),
+_CLOSURE_SQL = "WITH RECURSIVE edges AS (" + _EDGES_SQL["edges"] + """),
 cl(child, parent) AS (
   SELECT child, parent FROM edges
   UNION
-  SELECT cl.child, e.parent FROM cl JOIN edges e ON cl.parent = e.child)
-SELECT child, parent FROM cl""")
+  SELECT cl.child, e.parent FROM cl JOIN edges e ON cl.parent = e.child)"""
+
+
+@register("g12_role_closure", _CLOSURE_SQL + " SELECT child, parent FROM cl")
 def g12(spark, sf):
     return G.role_closure(role_edges(spark, sf))
+
+
+GRANTED_AT = "1995-06-17"
+
+
+def role_grants(spark, sf):
+    """Each customer role may read its segment's schema: the tables there at
+    the grant, or (odd keys) those created later."""
+    return table(spark, sf, "customer").select(
+        F.col("c_name").alias("role"), F.lit("SELECT").alias("privilege"), F.col("c_mktsegment").alias("schema_name"),
+        F.when(F.col("c_custkey") % 2 == 0, "ALL").otherwise("FUTURE").alias("scope"),
+        F.lit(GRANTED_AT).cast("date").alias("granted_at"))
+
+
+def segment_tables(spark, sf):
+    """One table per segment, order priority and year, created with its first order."""
+    c = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    o = table(spark, sf, "orders").select("o_custkey", "o_orderpriority", F.col("o_orderdate").cast("date").alias("day"))
+    name = F.concat_ws("_", "o_orderpriority", F.year("day"))
+    return (o.join(c, o.o_custkey == c.c_custkey).groupBy(F.col("c_mktsegment").alias("schema_name"), name.alias("table_name"))
+            .agg(F.min("day").alias("created_at")))
+
+
+@register("g13_effective_privileges", _CLOSURE_SQL + f""",
+grants AS (SELECT c_name AS role, c_mktsegment AS schema_name, c_custkey % 2 = 0 AS existing FROM customer),
+holders AS (SELECT parent AS role, child AS via FROM cl UNION SELECT role, role FROM grants),
+tabs AS (SELECT c.c_mktsegment AS schema_name, concat_ws('_', o.o_orderpriority, year(o.o_orderdate)) AS table_name,
+                min(CAST(o.o_orderdate AS DATE)) AS created_at
+         FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1, 2)
+SELECT DISTINCT h.role, 'SELECT' AS privilege, t.schema_name, t.table_name
+FROM holders h JOIN grants g ON h.via = g.role JOIN tabs t USING (schema_name)
+WHERE CASE WHEN g.existing THEN t.created_at <= DATE '{GRANTED_AT}' ELSE t.created_at > DATE '{GRANTED_AT}' END""")
+def g13(spark, sf):
+    return G.effective_privileges(G.role_closure(role_edges(spark, sf)), role_grants(spark, sf), segment_tables(spark, sf))

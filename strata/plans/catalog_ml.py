@@ -67,15 +67,28 @@ def x12(spark, sf):
     return ML.classification_report(pred)
 
 
-@register("x11_x13_gbt_train_and_score")
-def x11(spark, sf):
-    # the metrics table is written once and read by the guard, the training split and the scoring
+def _trained(spark, sf):
+    """The metrics table, the labelled frame and the model fitted on its training rows.
+
+    The metrics table is written once and read by the guard, the training split and the scoring."""
     metrics_path = scratch_path(spark, "customer_metrics")
     customer_metrics(spark, sf).write.mode("overwrite").parquet(metrics_path)
     m = spark.read.parquet(metrics_path)
     frame = ML.with_synthetic_rows(spark, ML.churn_frame(m, CUTOFF))
-    model = ML.train_gbt(frame.filter(ML.split_flag("customer_id")))
+    return m, frame, ML.train_gbt(frame.filter(ML.split_flag("customer_id")))
+
+
+@register("x11_x13_gbt_train_and_score")
+def x11(spark, sf):
+    m, _, model = _trained(spark, sf)
     scored = ML.score(model, m, ["customer_id", "name", "tier", "total_orders", "total_spent", "avg_order_value"])
     path = scratch_path(spark, "customer_churn_scores")
     scored.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+@register("x11_x12_trained_model_report")
+def x12_trained(spark, sf):
+    """The trained model's precision, recall, F1 and support on the held-out rows."""
+    _, frame, model = _trained(spark, sf)
+    return ML.classification_report(model.transform(frame.filter(~ML.split_flag("customer_id"))))

@@ -263,3 +263,29 @@ def test_hybrid_top_k_fuses_whole_lists(spark):
         best = sorted((-round(s, RT.RANK_DIGITS), d) for d, s in total.items())[:k]
         want += [(q, d, i) for i, (_, d) in enumerate(best, 1)]
     assert sorted(tuple(r) for r in got.select("q_id", "doc_id", "rank").collect()) == sorted(want)
+
+
+def test_trained_model_is_evaluated_on_rows_it_has_not_seen(spark):
+    from strata.operators import ml as ML
+
+    rows_ = [(i, float(i % 10), float(10 * (i % 10)), 10.0, int(i % 10 < 4)) for i in range(400)]
+    frame = spark.createDataFrame(rows_, "customer_id long, total_orders double, total_spent double, avg_order_value double, churned int")
+    model = ML.train_gbt(frame.filter(ML.split_flag("customer_id")), max_iter=3)
+    held_out = model.transform(frame.filter(~ML.split_flag("customer_id")))
+    n = held_out.groupBy("churned").count().collect()
+    report = {r["class"]: r for r in ML.classification_report(held_out).collect()}
+    assert {c: r.support for c, r in report.items()} == {r["churned"]: r["count"] for r in n}
+    assert all(r.precision == r.recall == r.f1_score == 1.0 for r in report.values())
+    scored = ML.score(model, frame.drop("churned"), ["customer_id"]).collect()
+    assert {r.customer_id: r.churn_prediction for r in scored} == {r[0]: r[4] for r in rows_}
+
+
+def test_high_water_is_a_literal_in_the_scan(spark):
+    from conftest import SF001
+    from strata.operators.relational import with_high_water
+
+    li = spark.read.parquet(f"{SF001}/lineitem.parquet").select("l_orderkey", "l_shipdate")
+    newer = with_high_water(li, li.filter("l_shipdate < timestamp_ntz'1996-06-30 00:00:00'"), "l_shipdate")
+    plan = newer._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "GreaterThan(l_shipdate,1996-06-29" in plan
+    assert newer.count() == li.filter("l_shipdate >= timestamp_ntz'1996-06-30 00:00:00'").count()
