@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MERGE_ACTION = "_merge_action"
 
@@ -36,18 +37,18 @@ def merge_into(target: DataFrame, source: DataFrame, keys: Sequence[str], clause
     """Apply MERGE clauses; the first applicable clause wins for each row.
 
     Plan: one full-outer join of target and source on the keys (both sides
-    shuffle once by key), then per-column CASE expressions. Target rows with
+    shuffle once by key), then per-column CASE expressions. Rows with a NULL
+    key match nothing; a hash of their values spreads them over the tasks. Target rows with
     no source row are kept unchanged; source rows with no applicable clause
     are dropped. Unassigned insert columns take ``defaults`` or NULL.
     """
     defaults = defaults or {}
     tcols = target.columns
-    t = target.withColumn("_t", F.lit(True)).alias("t")
-    s = source.withColumn("_s", F.lit(True)).alias("s")
-    cond = None
+    t = target.withColumn("_t", F.lit(True)).withColumn("_spread", _spread(target, keys)).alias("t")
+    s = source.withColumn("_s", F.lit(True)).withColumn("_spread", _spread(source, keys)).alias("s")
+    cond = F.col("t._spread") == F.col("s._spread")
     for k in keys:
-        c = F.col(f"t.{k}") == F.col(f"s.{k}")
-        cond = c if cond is None else cond & c
+        cond = cond & (F.col(f"t.{k}") == F.col(f"s.{k}"))
     j = t.join(s, cond, "full_outer")
     matched = F.col("t._t").isNotNull() & F.col("s._s").isNotNull()
     src_only = F.col("t._t").isNull()
@@ -88,6 +89,15 @@ def merge_into(target: DataFrame, source: DataFrame, keys: Sequence[str], clause
     return j.filter(keep & ~deleted).select(*out_cols)
 
 
+def _spread(df: DataFrame, keys: Sequence[str]) -> Column:
+    """0 where the key is whole, else a hash of the row's plain values."""
+    has_null = F.lit(False)
+    for k in keys:
+        has_null = has_null | F.col(k).isNull()
+    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, T.AtomicType) and not isinstance(f.dataType, T.VariantType)]
+    return F.when(has_null, F.xxhash64(*plain)).otherwise(F.lit(0).cast("long"))
+
+
 def merge_counts(merged_with_action: DataFrame) -> DataFrame:
     """Rows affected per clause action (M02); ``rows_affected`` = all but unchanged."""
     a = F.col(MERGE_ACTION)

@@ -107,7 +107,7 @@ def s02_replay(spark, sf):
     table, hist = scratch_path(spark, "events_tbl"), scratch_path(spark, "events_load_history")
     for _ in range(2):
         C.copy_into_table(spark, landing, EVENTS_SCHEMA, table, hist, "events")
-    return spark.read.parquet(table)
+    return spark.read.parquet(table).drop("load_id")
 
 
 @register("s04_list_landing_zone")

@@ -16,7 +16,9 @@ from strata.plans.registry import register
 from strata.plans.sqlbase import with_
 from strata.session import scratch_path
 from strata.sources import derived as D
+from strata.sources.change_stream import ChangeStream
 from strata.sources.derived import ORDERS_LATEST
+from strata.sources.store import BucketedTable
 
 T0 = "2024-01-01 00:00:00"      # loaded_at of the initial dimension load
 T1 = "2024-02-01 00:00:00"      # CURRENT_TIMESTAMP() of the merge run
@@ -174,6 +176,27 @@ def m02(spark, sf):
                                             F.lit(" rows affected")))
 
 
+@register("c01_c05_x06_stored_change_stream", with_("customers", extra=_MERGE_ALL) + """
+SELECT customer_id, name, email, tier, is_active, loaded_at,
+       'Merge complete: ' || (SELECT COUNT(*) FILTER (WHERE merge_action <> 'unchanged') FROM merged) || ' rows affected' AS first_call,
+       'No new data in stream' AS second_call
+FROM merged""")
+def c05_stored(spark, sf):
+    """The merge procedure called twice on a stream that stores its offset:
+    the second call finds nothing left to consume."""
+    old, new = _snapshots(spark, sf)
+    root = scratch_path(spark, "customer-stream")
+    dim = BucketedTable(spark, f"{root}/dim", ["customer_id"])
+    dim.write(_dim_target(spark, sf))
+    stream = ChangeStream(spark, f"{root}/stream", ["customer_id"]).create(old)
+
+    def merge(feed, batch_id):
+        return dbt.merge_customers(spark, feed, dim, lab_merge_clauses(), lab_merge_defaults(), batch_id)
+
+    first, second = stream.consume(new, merge), stream.consume(new, merge)
+    return dim.read().select("*", F.lit(first).alias("first_call"), F.lit(second).alias("second_call"))
+
+
 @register("m04_upsert_unique_key", with_("customers", extra={**_SNAP_SQL, **_FEED_SQL}) + """
 SELECT coalesce(s.customer_id, t.customer_id) AS customer_id,
        CASE WHEN s.customer_id IS NOT NULL THEN s.name ELSE t.name END AS name,
@@ -287,13 +310,13 @@ def customer_metrics(spark, sf):
         (F.sum("unit_price").cast("double") / F.count("unit_price")).alias("avg_order_value"),
         F.max("order_date").alias("last_order_date"))
     c = D.customers(spark, sf).select("customer_id", "name", "tier")
-    return m.join(c, on="customer_id", how="left").orderBy(F.col("total_spent").desc())
+    return m.join(c, on="customer_id", how="left")
 
 
 @register("a11_j04_customer_metrics", with_("orders_raw", "customers", extra=_METRICS_SQL) +
           "SELECT * FROM customer_metrics")
 def a11(spark, sf):
-    return customer_metrics(spark, sf)
+    return customer_metrics(spark, sf).orderBy(F.col("total_spent").desc())
 
 
 @register("s07_overwrite_table", with_("orders_raw", "customers", extra=_METRICS_SQL) +

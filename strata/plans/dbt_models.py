@@ -48,12 +48,13 @@ def fct_orders_enrich(orders: DataFrame, stg_c: DataFrame) -> DataFrame:
 
 
 def materialize(spark: SparkSession, df: DataFrame, name: str, mode: str, path: str | None = None,
-                unique_key: tuple[str, ...] = ()) -> DataFrame:
+                unique_key: tuple[str, ...] = (), buckets: int = 16) -> DataFrame:
     """``view`` (temp view), ``table`` (overwrite) or ``incremental``.
 
     Incremental: when the target exists, align it to the incoming columns
     (``sync_all_columns``) and upsert on ``unique_key`` — only the touched
-    buckets are rewritten. Returns the materialised relation.
+    buckets are rewritten. Returns the materialised relation. ``buckets`` of a
+    new table should make a bucket a few hundred MB; the table keeps its count.
     """
     if mode == "view":
         df.createOrReplaceTempView(name)
@@ -63,7 +64,7 @@ def materialize(spark: SparkSession, df: DataFrame, name: str, mode: str, path:
         return spark.read.parquet(path)
     if mode != "incremental":
         raise ValueError(mode)
-    store = BucketedTable(spark, path, unique_key, default_schema=df.schema)
+    store = BucketedTable(spark, path, unique_key, buckets, default_schema=df.schema)
     if not store.exists():
         store.write(df)
         return store.read()
@@ -76,13 +77,13 @@ def materialize(spark: SparkSession, df: DataFrame, name: str, mode: str, path:
 
 
 def fct_orders_run(spark: SparkSession, stg_o: DataFrame, stg_c: DataFrame, path: str,
-                   dedup=None) -> DataFrame:
+                   dedup=None, buckets: int = 16) -> DataFrame:
     """One ``dbt run`` of fct_orders (M09): full load, or the incremental branch.
 
     ``dedup`` resolves repeated order ids in the new slice (the model itself
     does not, Q04); without it a repeat raises.
     """
-    store = BucketedTable(spark, path, ("order_id",),
+    store = BucketedTable(spark, path, ("order_id",), buckets,
                           default_schema=fct_orders_enrich(stg_o.limit(0), stg_c).schema)
     orders = stg_o
     if store.exists():
@@ -90,7 +91,7 @@ def fct_orders_run(spark: SparkSession, stg_o: DataFrame, stg_c: DataFrame, path
     if dedup is not None:
         orders = dedup(orders)
     return materialize(spark, fct_orders_enrich(orders, stg_c), "fct_orders", "incremental", path,
-                       unique_key=("order_id",))
+                       unique_key=("order_id",), buckets=buckets)
 
 
 def merge_customers(spark: SparkSession, feed: DataFrame, dim: BucketedTable, clauses, defaults,

@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.sources import files
+
 BUCKET = "_b"
 PERIOD = "_p"
 
@@ -35,11 +37,14 @@ class BucketedTable:
         the buckets of its periods, not of the whole table. The date column must
         never change for a key (an order keeps its order date).
         """
-        self.spark, self.path, self.keys, self.buckets = spark, path.rstrip("/"), list(keys), buckets
+        self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
         self.schema = schema
         self.default_schema = default_schema
         self.period = period
         self.parts = [PERIOD, BUCKET] if period else [BUCKET]
+        # an existing table keeps the count it was written with
+        stored = files.names(spark, f"{self.path}/_buckets")
+        self.buckets = int(stored[0]) if stored else buckets
 
     # -- layout --------------------------------------------------------
     def bucket_of(self) -> F.Column:
@@ -115,6 +120,7 @@ class BucketedTable:
         (self._with_parts(df).hint("rebalance", *self.parts)
          .write.mode("overwrite").option("partitionOverwriteMode", "static")
          .partitionBy(*self.parts).parquet(self.path))
+        files.touch(self.spark, f"{self.path}/_buckets/{self.buckets}")
 
     def applied(self, batch_id) -> bool:
         fs, jvm = self._fs()

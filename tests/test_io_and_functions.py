@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -149,3 +150,32 @@ def test_copy_into_table_skips_loaded_files(spark, tmp):
     assert spark.read.parquet(table).count() == 4
     assert spark.read.parquet(hist).count() == 2
     assert spark.read.parquet(table + "_rejects").count() == 3
+
+
+def test_copy_into_table_takes_up_a_load_that_broke_off(spark, tmp, monkeypatch):
+    d = _write(tmp, "weather.csv", WEATHER_CSV)
+    _write(tmp, "empty.csv", WEATHER_CSV.split("\n")[0] + "\n")
+    table, hist = os.path.join(tmp, "weather_tbl"), os.path.join(tmp, "load_history")
+
+    def crash(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(C, "_history", crash)  # rows and rejects are written, the history is not
+    with pytest.raises(RuntimeError):
+        C.copy_into_table(spark, d, WEATHER, table, hist, "weather_observations")
+    monkeypatch.undo()
+    _write(tmp, "weather2.csv", "station_id,date_recorded,temp_max,temp_min,precipitation,snow,snow_depth\n"
+                                "X,2024-02-01,1,1,1,1,1\n")
+    again = C.copy_into_table(spark, d, WEATHER, table, hist, "weather_observations")
+    assert sorted((os.path.basename(r.file_name), r.rows_loaded, r.status) for r in again.collect()) == [
+        ("empty.csv", 0, "LOADED"), ("weather.csv", 3, "PARTIALLY_LOADED")]
+    assert spark.read.parquet(table).count() == 3
+    later = C.copy_into_table(spark, d, WEATHER, table, hist, "weather_observations")
+    assert [os.path.basename(r.file_name) for r in later.collect()] == ["weather2.csv"]
+    assert C.copy_into_table(spark, d, WEATHER, table, hist, "weather_observations").count() == 0
+    assert spark.read.parquet(table).count() == 4 and spark.read.parquet(table + "_rejects").count() == 3
+
+
+def test_copy_into_rejects_an_unknown_error_mode(spark, tmp):
+    with pytest.raises(ValueError):
+        C.copy_into(spark, _write(tmp, "w.csv", WEATHER_CSV), WEATHER, on_error="SKIP_FILE")

@@ -134,3 +134,52 @@ def test_skew_safe_rank_equals_window_rank(spark):
         safe = rows(rank_within(df, ["g"], "v", "r", descending=desc), "id", "r")
         plain = rows(rank_within(df, ["g"], "v", "r", descending=desc, skew_safe=False), "id", "r")
         assert safe == plain
+
+
+def test_change_stream_consumes_each_change_once(spark, tmp):
+    from strata.operators import cdc
+    from strata.sources.change_stream import ChangeStream
+
+    schema, path = "id long, v string", os.path.join(tmp, "stream")
+    at = [spark.createDataFrame(r, schema) for r in ([(1, "a"), (None, "n")], [(1, "b"), (None, "n")], [(2, "c"), (None, "n")])]
+    seen = []
+
+    def take(feed, batch_id):
+        seen.append((batch_id, rows(feed, "id", "v", cdc.ACTION, cdc.IS_UPDATE)))
+        return len(seen[-1][1])
+
+    def crash(feed, batch_id):
+        take(feed, batch_id)
+        raise RuntimeError("lost")
+
+    with pytest.raises(ValueError):
+        ChangeStream(spark, path, ["id"]).consume(at[0], take)
+    ChangeStream(spark, path, ["id"]).create(at[0]).create(at[1])  # the second one changes nothing
+    assert ChangeStream(spark, path, ["id"]).consume(at[0], take) == 0
+    with pytest.raises(RuntimeError):
+        ChangeStream(spark, path, ["id"]).consume(at[1], crash)
+    assert ChangeStream(spark, path, ["id"]).consume(at[2], take) == 2  # the snapshot of the call that broke off
+    assert seen[1] == seen[2] == ("offset-2", [(1, "a", "DELETE", True), (1, "b", "INSERT", True)])
+    assert ChangeStream(spark, path, ["id"]).consume(at[2], take) == 2
+    assert seen[-1] == ("offset-3", [(1, "b", "DELETE", False), (2, "c", "INSERT", False)])
+    assert ChangeStream(spark, path, ["id"]).consume(at[2], take) == 0
+
+
+def test_merge_spreads_rows_without_a_key(spark):
+    from strata.operators.merge import When, merge_into
+
+    schema = "id long, v string"
+    t = spark.createDataFrame([(1, "a"), (None, "x"), (None, "y")], schema)
+    s = spark.createDataFrame([(1, "b"), (None, "x"), (2, "c")], schema)
+    both = {c: F.col(f"s.{c}") for c in ("id", "v")}
+    merged = merge_into(t, s, ["id"], [When(True, "update", set=both), When(False, "insert", set=both)])
+    assert sorted(map(str, rows(merged, "id", "v"))) == sorted(map(str, [(1, "b"), (2, "c"), (None, "x"), (None, "x"), (None, "y")]))
+
+
+def test_table_keeps_its_bucket_count(spark, tmp):
+    path, df = os.path.join(tmp, "t"), spark.range(100).withColumnRenamed("id", "k")
+    BucketedTable(spark, path, ["k"], buckets=3).write(df)
+    later = BucketedTable(spark, path, ["k"], buckets=16)
+    later.merge(df.withColumn("k", F.col("k") + 50), lambda t, s: t.unionByName(s).distinct())
+    assert later.buckets == 3 and later.read().count() == 150
+    assert spark.read.parquet(path).select("_b").distinct().count() == 3
