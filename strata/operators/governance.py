@@ -174,22 +174,21 @@ def budget_alerts(metering: DataFrame, daily_quota: float,
 def role_closure(edges: DataFrame, child: str = "child", parent: str = "parent") -> DataFrame:
     """All (role, inherited role) pairs of ``GRANT ROLE child TO ROLE parent``.
 
-    Semi-naive iteration: join only the pairs found in the last round to the
-    edges, keep the ones not yet known, stop when none are new. Each round is
-    checkpointed (reliable storage) so lineage stays short. Cycles end
-    because known pairs are never re-added, however deep the hierarchy is.
+    Semi-naive doubling: the pairs found in the last round are joined to all
+    known ones, so a round reaches twice as far and a hierarchy of depth d
+    takes about log2(d) rounds; it stops when no pair is new. Only new pairs
+    are checkpointed (reliable storage) and the closure is the union of the
+    rounds. Cycles end because known pairs are never re-added.
     """
     e = edges.select(F.col(child).alias("child"), F.col(parent).alias("parent")).distinct()
-    e = e.checkpoint(eager=True)
-    closure = e
-    frontier = e
+    closure = frontier = e.checkpoint(eager=True)
     while True:
-        step = (frontier.alias("f").join(e.alias("e"), F.col("f.parent") == F.col("e.child"))
+        step = (frontier.alias("f").join(closure.alias("e"), F.col("f.parent") == F.col("e.child"))
                 .select(F.col("f.child").alias("child"), F.col("e.parent").alias("parent")).distinct())
         new = step.join(closure, ["child", "parent"], "left_anti").checkpoint(eager=True)
         if new.isEmpty():
             return closure
-        closure = closure.unionByName(new).checkpoint(eager=True)
+        closure = closure.unionByName(new)
         frontier = new
 
 

@@ -58,6 +58,11 @@ def test_tags(spark):
     assert allr == [("CUSTOMERS", "EMAIL_ADDRESS", "EMAIL"), ("CUSTOMERS", "NAME", "NAME"), ("ORDERS", "EMAIL", "EMAIL")]
 
 
+def test_role_closure_of_a_deep_chain(spark):
+    edges = spark.createDataFrame([(f"r{i:02d}", f"r{i + 1:02d}") for i in range(21)], "child string, parent string")
+    assert rows(G.role_closure(edges)) == [(f"r{i:02d}", f"r{j:02d}") for i in range(22) for j in range(i + 1, 22)]
+
+
 def test_role_closure_with_cycle_and_privileges(spark):
     edges = spark.createDataFrame(
         [("db_analytics_read_r", "analyst_fr"), ("wh_xs_usage_r", "analyst_fr"), ("analyst_fr", "sysadmin"),
