@@ -50,8 +50,11 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def sentencepiece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, with the proof that they decode to it."""
-    return spm.round_trip(docs, spm.read_model(SENTENCEPIECE_MODEL))
+    """Token ids of each document, with the proof that they decode to it, and
+    its place in the mix: readers may return files in any order, so the places
+    are worked out again, the same as in the stage before, from the rows."""
+    placed = mixing.with_places(docs.select("doc_id", "text", "source"), TARGET_WEIGHTS)
+    return spm.round_trip(placed, spm.read_model(SENTENCEPIECE_MODEL), carried=["source", "slot", "place"])
 
 
 STAGES = [("quality", quality_stage), ("exact_dedup", exact_dedup_stage), ("simhash", simhash_stage),

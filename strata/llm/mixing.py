@@ -119,13 +119,20 @@ def mix(docs: DataFrame, weights: Mapping[str, int], block_rows: int = 16, seed:
                     (F.col("_start") + div((j + 1) * t + a - 1, a)).alias("deadline")))
 
 
+def with_places(docs: DataFrame, weights: Mapping[str, int], block_rows: int = 16, seed: int = 0, source_col: str = "source",
+                id_col: str = "doc_id", text_col: str = "text", rid: str = "rid", slot: str = "slot", place: str = "place") -> DataFrame:
+    """All rows of ``docs`` with their identity, slot and place in the mix,
+    under the names ``rid``, ``slot`` and ``place``. The same rows get the same
+    places, however they are stored; rows that repeat a document share its first."""
+    first = mix(docs, weights, block_rows, seed, source_col, id_col, text_col).groupBy("rid").agg(F.min(F.struct("slot", "place")).alias("at"))
+    slots = materialize(first.select(F.col("rid").alias(rid), F.col("at.slot").alias(slot), F.col("at.place").alias(place)), "slots")
+    return docs.withColumn(rid, row_id(F.col(id_col), F.col(text_col))).join(slots, rid)
+
+
 def in_mixed_order(docs: DataFrame, weights: Mapping[str, int], block_rows: int = 16, seed: int = 0,
                    source_col: str = "source", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All rows of ``docs``, with their columns as they are, sorted in the
     order of the mix: written, the files read one after another give it."""
-    slots = (mix(docs, weights, block_rows, seed, source_col, id_col, text_col)
-             .groupBy("rid").agg(F.min("slot").alias("slot"), F.min("place").alias("place")))
     rid, slot, place = fresh(docs, "rid"), fresh(docs, "slot"), fresh(docs, "place")
-    slots = materialize(slots.select(F.col("rid").alias(rid), F.col("slot").alias(slot), F.col("place").alias(place)), "slots")
-    placed = docs.withColumn(rid, row_id(F.col(id_col), F.col(text_col))).join(slots, rid)
+    placed = with_places(docs, weights, block_rows, seed, source_col, id_col, text_col, rid, slot, place)
     return placed.orderBy(slot, place, rid).select(*docs.columns)

@@ -33,6 +33,7 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
+from collections.abc import Sequence
 from functools import lru_cache
 
 import ahocorasick
@@ -349,12 +350,14 @@ def decode(rows: DataFrame, model: bytes, ids_col: str = "ids", out: str = "deco
     return src.mapInArrow(run, schema)
 
 
-def round_trip(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def round_trip(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text", carried: Sequence[str] = ()) -> DataFrame:
     """Encode and decode in one pass: ``doc_id, ids, n_ids, decoded_crc32,
-    round_trip`` (whether decoding the ids gives the text again)."""
-    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    round_trip`` (whether decoding the ids gives the text again), and the
+    columns ``carried`` as they are."""
+    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *carried)
     schema = T.StructType([src.schema["doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType(), False)), T.StructField("n_ids", T.IntegerType()),
-                           T.StructField("decoded_crc32", T.LongType()), T.StructField("round_trip", T.BooleanType())])
+                           T.StructField("decoded_crc32", T.LongType()), T.StructField("round_trip", T.BooleanType()),
+                           *src.schema.fields[2:]])
 
     def run(batches):
         encoder = _encoder(model)
@@ -366,6 +369,6 @@ def round_trip(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col:
                 back = [decode_ids(np.frombuffer(x, "<i4").tolist(), encoder.v.values) for x in done]
                 sums = [zlib.crc32(t.encode()) for t in back]
                 same = [a == (b or "") for a, b in zip(back, texts)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids, n, pa.array(sums, pa.int64()), pa.array(same)], names=schema.names)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids, n, pa.array(sums, pa.int64()), pa.array(same), *part.columns[2:]], names=schema.names)
 
     return src.mapInArrow(run, schema)

@@ -425,6 +425,27 @@ def test_pipeline_matches_its_parts(spark, model):
     assert {r.doc_id: r.ids for r in got} == {i: sp.encode(t) for i, t in kept.items()} and all(r.round_trip for r in got)
 
 
+def test_pipeline_rows_tell_the_mix(spark):
+    """Sorted by slot and place, run()'s own rows interleave the sources by the weights, less than one block off."""
+    got = sorted(pipeline.run(spark, "/root/testdata/sf0.01").collect(), key=lambda r: (r.slot, r.place))
+    assert len({(r.slot, r.place) for r in got}) == len(got) > 16
+    rows, of = Counter(), {}
+    for r in got:
+        c = r.source if r.source in pipeline.TARGET_WEIGHTS else mixing.OTHER
+        rows[c] += 1
+        assert of.setdefault(r.slot, c) == c
+    assert sorted(of) == list(range(len(of)))
+    blocks = {c: -(-n // 16) for c, n in rows.items()}
+    weights = {c: w for c, w in pipeline.TARGET_WEIGHTS.items() if c in blocks}
+    seen, total = Counter(), sum(weights.values())
+    for t in range(len(of)):
+        seen[of[t]] += 1
+        assert all(abs(seen[c] - w * (t + 1) / total) < 1 for c, w in weights.items())
+        if any(seen[c] == blocks[c] for c in weights):  # from here on, fewer sources share the channel
+            break
+    assert seen.total() > 1 and Counter(of.values()) == blocks
+
+
 def test_pipeline_stages_keep_columns(spark, awkward):
     extra = awkward.withColumnRenamed("n_chars", "rid")
     for name, stage in pipeline.STAGES[:-1]:
