@@ -26,6 +26,26 @@ from pyspark.sql.window import Window
 from strata.llm.common import blocks_for, materialize, number_in_groups
 
 ROWS_PER_BLOCK = 4096
+NUMPY_LIMIT = 10**9  # fixed value: Generator.hypergeometric takes fewer than this of each kind
+
+
+def hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
+    """How many of ``n`` draws without replacement are good, for any sizes.
+
+    Beyond numpy's limit: two binomial counts of one probability, given that
+    they sum to ``n``, are hypergeometric, so pairs are drawn until one does."""
+    if good < NUMPY_LIMIT and bad < NUMPY_LIMIT:
+        return int(rng.hypergeometric(good, bad, n))
+    total = good + bad
+    if good * bad < n * (total - n):  # drawn and good may change roles; the smaller spread hits sooner
+        good, bad, n = n, total - n, good
+    p = n / total
+    tries = min(1 << 16, int(4 * (n * (1 - p)) ** 0.5) + 16)
+    while True:
+        x = rng.binomial(good, p, tries)
+        hits = np.flatnonzero(x + rng.binomial(bad, p, tries) == n)
+        if len(hits):
+            return int(x[hits[0]])
 
 
 def communication_matrix(sizes: list[int], shard_sizes: list[int], seed: int) -> np.ndarray:
@@ -36,7 +56,7 @@ def communication_matrix(sizes: list[int], shard_sizes: list[int], seed: int) ->
         todo, pool = int(n), int(left.sum())
         for k, m in enumerate(left):  # a chain of hypergeometric draws
             pool -= int(m)
-            out[i, k] = rng.hypergeometric(int(m), pool, todo) if todo and m and pool >= 0 else 0
+            out[i, k] = hypergeometric(rng, int(m), pool, todo) if todo and m and pool >= 0 else 0
             todo -= int(out[i, k])
         left -= out[i]
     return out

@@ -147,6 +147,18 @@ def test_matrix_is_hypergeometric():
     assert np.abs(share - np.array([6, 60, 120, 60, 6]) / 252).max() < 0.03
 
 
+def test_matrix_of_billions_of_rows():
+    """Sizes beyond numpy's own limit of 10^9."""
+    sizes, shards = [1_900_000_000, 40, 1_500_000_000, 1_800_000_000], [1_300_000_010] * 4
+    draws = np.array([sharding.communication_matrix(sizes, shards, seed) for seed in range(60)])
+    assert (draws.sum(axis=1) == shards).all() and (draws.sum(axis=2) == sizes).all() and (draws >= 0).all()
+    rng, total = np.random.default_rng(5), 3_000_000_000
+    for good, n in ((1_200_000_000, 50), (70, 900_000_000), (2_500_000_000, 400_000)):
+        got = np.array([sharding.hypergeometric(rng, good, total - good, n) for _ in range(800)], dtype=float)
+        mean, var = n * good / total, n * good / total * (1 - good / total) * (total - n) / (total - 1)
+        assert abs(got.mean() - mean) < 5 * (var / 800) ** 0.5 and 0.75 < got.var() / var < 1.25
+
+
 def test_every_place_is_as_likely(spark):
     df, seen = spark.range(0, 16, 1, 4), np.zeros((16, 2))
     for seed in range(30):
