@@ -7,8 +7,8 @@ cosine names the language; a text whose similarity is below the language's
 rejection distance is reported as rejected.
 
 The model is fitted on a bounded sample: ``sample_per_lang`` texts of each
-language in expectation, chosen by hash among all that are allowed, copies of
-a text once. Prediction reads whole texts and nothing but texts.
+language in expectation, chosen by hash among all different ones that are
+allowed; a language with fewer is learned from all of them. Prediction reads whole texts and nothing but texts.
 
 Defined results
 * Null texts and texts without a letter: ``und``, score 0, rejected.
@@ -89,9 +89,11 @@ def _clusters(x: np.ndarray, k: int, rounds: int = 12) -> tuple[np.ndarray, np.n
 def fit(labelled: DataFrame, sample_per_lang: int = 800, clusters: int = 4, reject_share: float = 0.005,
         text_col: str = "text", lang_col: str = "lang") -> Model:
     """Fit on rows with a language. ``sample_per_lang`` is the documented
-    bound; the languages' counts are taken over all rows."""
+    bound; the languages' different texts are counted over all rows."""
     good = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    counts = good.groupBy("lang").count().limit(MAX_LANGS + 1).collect()  # one row per language
+    # copies share a hash and count once, here as in the sample
+    counts = (good.select("lang", F.xxhash64("text").alias("hash")).distinct()
+              .groupBy("lang").count().limit(MAX_LANGS + 1).collect())  # one row per language
     if len(counts) > MAX_LANGS:
         raise ValueError("too many languages for a model that travels with the tasks")
     if not counts:

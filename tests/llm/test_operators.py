@@ -183,6 +183,16 @@ def test_language_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_copies_take_no_share_of_the_training_texts(spark):
+    """A language of a few texts with many copies, and rare texts beside hot ones, are learned whole."""
+    once = [(f"le chat et le chien {i}", "fr") for i in range(5)] + [(f"the cat and the dog ran {'up' * i}", "en") for i in range(60)] + [("der hund und die katze", "de")]
+    copies = once[:5] * 400 + once[5:6] * 3000 + once[6:]
+    few, many = (langid.fit(spark.createDataFrame(rows, "text string, lang string"), sample_per_lang=60) for rows in (once, copies))
+    whole = langid.fit(spark.createDataFrame(once, "text string, lang string"), sample_per_lang=1 << 20)
+    for model in (few, many):
+        assert model.langs == whole.langs and np.allclose(model.centroids, whole.centroids, atol=1e-5)
+
+
 def test_language_edges(spark, awkward, nothing):
     empty = langid.fit(nothing)
     assert {r.lang_pred for r in langid.identify(awkward, empty).collect()} == {"und"}
