@@ -3,8 +3,10 @@
 A page is read into a tree of block elements. Every paragraph gives points
 for its length and commas to its parent, half to the grandparent and less to
 ancestors above, discounted by its link density. The container with the best
-score is the article; siblings are kept if they score near it or are plain
-paragraphs of text. Menus, page headers, footers, sidebars, notices, adverts,
+score is the article, or the ``article`` or ``main`` element around it, which
+is taken whole. Siblings with few links are kept if they hold text of some
+length or a sentence, and so are headings, lists and other pieces between or
+next to kept ones. Menus, page headers, footers, sidebars, notices, adverts,
 forms, scripts, styles and reader comments never enter the tree.
 
 Defined results
@@ -33,6 +35,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset("a abbr b bdi bdo big cite code data dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
 PARAGRAPH = frozenset("p pre blockquote li dd dt td th h1 h2 h3 h4 h5 h6 figcaption caption summary".split())
 DROPPED = frozenset("nav footer aside form script style noscript template iframe object svg math button select textarea dialog menu title head video audio canvas map".split())
+LISTS = frozenset("ul ol dl table".split())
 CLOSED_BY_BLOCK = frozenset("p h1 h2 h3 h4 h5 h6".split())
 RAW = ("script", "style", "textarea", "title", "noscript", "template", "iframe", "svg")
 # fixed values: words that name page furniture in class and id attributes, and roles that do
@@ -184,6 +187,19 @@ def _gather(node: Node, out: list[str]) -> None:
             todo.pop()
 
 
+def _joined(items: list[tuple]) -> list:
+    """Of siblings marked as text, piece, other and links: the texts, what has
+    few links between two of them, and the pieces right before and after."""
+    marks = [mark for _, mark in items]
+    first, last = marks.index("text"), len(marks) - 1 - marks[::-1].index("text")
+    start, stop = first, last + 1
+    while start and marks[start - 1] == "piece":
+        start -= 1
+    while stop < len(marks) and marks[stop] == "piece":
+        stop += 1
+    return [item for item, mark in items[start:stop] if mark != "links"]
+
+
 def _points(text: str, linked: int) -> tuple[float, float]:
     density = min(1.0, linked / max(1, len(text)))
     return (0.5 + text.count(",") + min(3.0, len(text) / 100)) * (1 - density), density
@@ -194,7 +210,7 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     root, blocks = parse(html)
-    linked_in: dict[Node, int] = {}
+    sizes: dict[Node, list] = {}  # characters, linked ones and the last character of a node's text
     for node, block in blocks:
         text = block.text()
         if not text:
@@ -203,7 +219,9 @@ def main_text(html: str | None) -> str:
         # a paragraph's container is its parent; text right inside a container counts for it
         holder = node.parent if block.paragraph and node.parent is not None else node
         holder.score += points
-        linked_in[node] = linked_in.get(node, 0) + block.linked
+        own = sizes.setdefault(node, [0, 0, ""])
+        own[0] += len(text)
+        own[1] += block.linked
     nodes, todo = [], [root]
     while todo:
         nodes.append(todo.pop())
@@ -218,27 +236,44 @@ def main_text(html: str | None) -> str:
     for node in nodes:
         if node.score > best.score:
             best = node
+    around = best
+    while around is not None and around.tag not in ("article", "main"):
+        around = around.parent
+    best = around or best
+
+    def sized(item) -> tuple[int, int, str]:
+        out: list[str] = []
+        if isinstance(item, Block):
+            text = item.text()
+            return len(text), item.linked, text[-1:]
+        _gather(item, out)
+        linked, todo = 0, [item]
+        while todo:
+            node = todo.pop()
+            linked += sizes.get(node, (0, 0))[1]
+            todo += [x for x in node.order if isinstance(x, Node)]
+        return sum(map(len, out)) + max(0, len(out) - 1), linked, out[-1][-1:] if out else ""
+
     if best.parent is None:
         kept: list = [best]
     else:
         kept = []
         for item in best.parent.order:
-            if item is best:
-                kept.append(item)
-            elif isinstance(item, Node):
-                if item.tag in PARAGRAPH:
-                    texts: list[str] = []
-                    _gather(item, texts)
-                    text = " ".join(texts)
-                    linked = linked_in.get(item, 0)
-                    points, density = _points(text, linked)
-                    if text and (density < 0.25 and len(text) > 80 or density == 0 and text[-1:] in ".!?"):
-                        kept.append(item)
-                elif item.score >= max(10.0, 0.2 * best.score):
-                    kept.append(item)
+            chars, linked, last = sized(item)
+            density = min(1.0, linked / max(1, chars))
+            if item is best or chars and (density < 0.25 and chars > 80 or density == 0 and last in ".!?"):
+                kept.append((item, "text"))
+            elif chars and density < 0.5:
+                kept.append((item, "piece" if isinstance(item, Block) or item.tag in PARAGRAPH or item.tag in LISTS else "other"))
+            elif chars:
+                kept.append((item, "links"))
+        kept = _joined(kept)
     out: list[str] = []
     for item in kept:
-        _gather(item, out)
+        if isinstance(item, Block):
+            out.append(item.text())
+        else:
+            _gather(item, out)
     return "\n".join(out)
 
 

@@ -317,6 +317,19 @@ def test_tree_scoring_leaves_furniture_out():
         "Title & more", "First paragraph, with bold <words>, and commas, many.", "Second one goes on, and on, after a break.", "one", "two"]
 
 
+def test_articles_are_taken_whole():
+    """Unequal sections, headings, lists and bare text of one article."""
+    long, words = "A long sentence, with commas, and more, and so on, and on. " * 60, "x " * 150
+    first, second = f"<section><p>{long}</p><p>{long}</p></section>", f"<section><p>{words}, and, more</p></section>"
+    inner = f"<h1>Title</h1>{first}<h2>Part two</h2>{second}<ul><li>one</li><li>two</li></ul><table><tr><td>cell</td></tr></table>bare text here<p>End</p>"
+    want = ["Title", long.strip(), long.strip(), "Part two", f"{words.strip()} , and, more", "one", "two", "cell", "bare text here", "End"]
+    for box in ("article", "main", "div"):
+        page = f"<html><body><nav>menu</nav><{box}>{inner}</{box}><footer>imprint</footer></body></html>"
+        assert html_text.main_text(page).split("\n") == want, box
+    links = "<div>" + "<a href=/x>other story, told, here</a> " * 9 + "</div>"
+    assert html_text.main_text(f"<body><div>{first}{links}<p>Tail.</p></div></body>").split("\n") == [long.strip()] * 2 + ["Tail."]
+
+
 def test_html_edges(spark):
     for page in (None, "", "<", "<p", "&", "<html><body></body></html>", "<!-- <p>x</p>", "</div></p>"):
         assert html_text.main_text(page) in ("", "<", "&")
