@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
@@ -37,21 +38,57 @@ PARAGRAPH = frozenset("p pre blockquote li dd dt td th h1 h2 h3 h4 h5 h6 figcapt
 DROPPED = frozenset("nav footer aside form script style noscript template iframe object svg math button select textarea dialog menu title head video audio canvas map".split())
 LISTS = frozenset("ul ol dl table".split())
 CLOSED_BY_BLOCK = frozenset("p h1 h2 h3 h4 h5 h6".split())
+# fixed values: the implied ends of HTML, for what is open inside furniture
+CLOSES_P = frozenset("address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr "
+                     "li main menu nav ol p pre search section summary table ul".split())
+_HEADINGS, _ROWS = CLOSED_BY_BLOCK - {"p"}, frozenset("tr td th".split())
+CLOSES = ({h: _HEADINGS for h in _HEADINGS} | {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": _ROWS}
+          | {t: _ROWS | {"tbody", "thead", "tfoot"} for t in ("tbody", "thead", "tfoot")})
+TABLE_PARTS = frozenset("table tbody thead tfoot tr td th caption".split())
+TABLE_SCOPE = ("table", "template")  # end tags of elements around these don't reach out of them
+SCOPE = ("table", "caption", "td", "th", "object", "template", "select", "math", "svg")
 RAW = ("script", "style", "textarea", "title", "noscript", "template", "iframe", "svg")
 # fixed values: words that name page furniture in class and id attributes, and roles that do
 FURNITURE = re.compile(
-    r"(?i)(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|byline|comments?|commentlist|consent|cookies?|disqus|footer|gdpr|masthead|menu|modal|nav\w*|"
+    r"(?:ads?|advert\w*|banner|breadcrumbs?|byline|comments?|commentlist|consent|cookies?|disqus|footer|gdpr|masthead|menu|modal|nav\w*|"
     r"newsletter|notices?|overlay|paywall|popup|promo\w*|recommended|related|replies|respond|share|sharing|sidebar|signup|site-?header|skip|social|sponsor\w*|"
-    r"subscribe|tags|toolbar|widget)(?=$|[\s_-])")
+    r"subscribe|tags|toolbar|widget)")
+# fixed values: words that say a wrapper has furniture or in which state it is, and plain names of boxes
+MODIFIERS = frozenset("has have with without no non not is are show hide open opened closed enabled disabled active visible layout".split())
+BOXES = frozenset("area bar block box button buttons container content field form group inner item items link links list panel posts section slot text title unit".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar toolbar".split())
 KEEP = frozenset("html body article main".split())
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<(" + "|".join(RAW) + r")\b[^>]*>.*?(?:</\1\s*>|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|"
+    r"<!--.*?(?:-->|$)|<(" + "|".join(RAW) + r")(?=[\s/>])[^>]*(?<!/)>.*?(?:</\1\s*>|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|"
     r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S | re.I)
 _NAMED = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 
 
+_UNQUOTED = re.compile(r"=\s*[^\s\"'>]+/$")  # a slash that ends a value, not the tag
+
+
+def _self_closed(attributes: str | None) -> bool:
+    return bool(attributes) and attributes.endswith("/") and not _UNQUOTED.search(attributes)
+
+
+@lru_cache(maxsize=1 << 14)
+def _names_furniture(value: str) -> bool:
+    """Whether a class or id has a furniture word as a whole token, as its
+    first word or as its head word (before plain names of boxes). A token with
+    a modifier (``has-sidebar``, ``with-comments``) tells of a wrapper."""
+    for token in value.lower().split():
+        words = [w for w in re.split(r"[_-]+", token) if w]
+        if not words or not MODIFIERS.isdisjoint(words):
+            continue
+        head = len(words) - 1
+        while head and words[head] in BOXES:
+            head -= 1
+        if FURNITURE.fullmatch(token) or FURNITURE.fullmatch(words[0]) or FURNITURE.fullmatch(words[head]) or words[head] == "header" and words[head - 1] == "site":
+            return True
+    return False
+
+
 class Node:
     __slots__ = ("tag", "parent", "score", "order", "at")
 
@@ -80,7 +117,7 @@ def _is_furniture(tag: str, attributes: str, inside_article: bool) -> bool:
         return False
     for name, value in _NAMED.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
-        if name in ("class", "id") and FURNITURE.search(value) or name == "role" and value.lower() in ROLES or name == "hidden" or name == "aria-hidden" and value.lower() == "true":
+        if name in ("class", "id") and _names_furniture(value) or name == "role" and value.lower() in ROLES or name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             return True
     return False
 
@@ -99,9 +136,27 @@ def parse(html: str) -> tuple[Node, list[tuple[Node, Block]]]:
         is_open[here.tag] -= 1
         here = here.parent
 
-    def drop(tag: str) -> None:
-        dropped.append(tag)
-        is_dropped[tag] += 1
+    def drop(tag: str, attributes: str | None) -> None:
+        if not _self_closed(attributes):
+            dropped.append(tag)
+            is_dropped[tag] += 1
+
+    def undrop(n: int) -> None:
+        for last in dropped[len(dropped) - n:]:
+            is_dropped[last] -= 1
+        del dropped[len(dropped) - n:]
+
+    def imply_ends(tag: str) -> None:
+        """Ends inside furniture, and of it, that the start of ``tag`` implies."""
+        if tag in CLOSES_P and is_dropped["p"]:
+            n = 1
+            while n < len(dropped) and dropped[-n] in INLINE:
+                n += 1
+            if dropped[-n] == "p":
+                undrop(n)
+        closes = CLOSES.get(tag, ())
+        while dropped and dropped[-1] in closes:
+            undrop(1)
 
     def words(text: str) -> None:
         nonlocal block
@@ -124,17 +179,23 @@ def parse(html: str) -> tuple[Node, list[tuple[Node, Block]]]:
         if tag is None:
             continue
         tag = tag.lower()
+        if dropped and not closing and tag not in INLINE:
+            imply_ends(tag)
         if dropped:
             if closing:
                 if is_dropped[tag]:
-                    while True:
-                        last = dropped.pop()
-                        is_dropped[last] -= 1
-                        if last == tag:
-                            break
-            elif tag not in VOID and not (attributes or "").endswith("/"):
-                drop(tag)
-            continue
+                    n = 1
+                    while dropped[-n] != tag:
+                        n += 1
+                    undrop(n)
+                    continue
+                if not is_open[tag] or any(is_dropped[t] for t in (TABLE_SCOPE if tag in TABLE_PARTS else SCOPE)):
+                    continue
+                undrop(len(dropped))  # an element around the furniture ends, and the furniture with it
+            else:
+                if tag not in VOID:
+                    drop(tag, attributes)
+                continue
         if tag in ("br", "hr", "wbr", "img"):
             words("" if tag == "wbr" else " ")
             if tag == "hr":
@@ -146,7 +207,7 @@ def parse(html: str) -> tuple[Node, list[tuple[Node, Block]]]:
             if tag == "a":
                 link = 0 if closing else 1
             if not closing and _is_furniture(tag, attributes, articles > 0):
-                drop(tag)
+                drop(tag, attributes)
             continue
         block, link = None, 0
         if closing:
@@ -159,7 +220,7 @@ def parse(html: str) -> tuple[Node, list[tuple[Node, Block]]]:
         if here.tag in CLOSED_BY_BLOCK or here.tag == tag and tag in ("li", "td", "th", "dd", "dt", "tr"):
             leave()
         if _is_furniture(tag, attributes, articles > 0):
-            drop(tag)
+            drop(tag, attributes)
             continue
         node = Node(tag, here, len(blocks))
         here.order.append(node)

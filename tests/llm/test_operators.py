@@ -330,6 +330,18 @@ def test_articles_are_taken_whole():
     assert html_text.main_text(f"<body><div>{first}{links}<p>Tail.</p></div></body>").split("\n") == [long.strip()] * 2 + ["Tail."]
 
 
+def test_furniture_ends_where_html_says():
+    for page in ("<div><p class=byline>By <b>X<p>Para 1<p>Para 2</div><p>Para 3</p>", "<ul><li class=share>Share<li>Para 1<li>Para 2</ul><p>Para 3</p>",
+                 "<div><div><span class=ad>Buy</div><p>Para 1</p><p>Para 2</p></div><p>Para 3</p>", "<article><table><tr class=ads><td>Buy<tr><td>Para 1<td>Para 2</table><p>Para 3",
+                 "<p>Para 1<svg class=i /><p>Para 2</p><iframe src=\"/x\"/><p>Para 3</p>", "<svg/><title-bar><p>Para 1</p></title-bar><p>Para 2</p><p>Para 3",
+                 "<div class='site has-sidebar'><div class='content with-comments' id=page_no-sidebar><p>Para 1</p><p>Para 2</p><p>Para 3</p></div><div class=sidebar>Side</div></div>",
+                 "<div class=content-sidebar-wrap><p>Para 1</p><p>Para 2</p><p>Para 3</p><div class='left-sidebar'>Side</div><div class=post-share-buttons>Tell</div></div>"):
+        assert html_text.main_text(page).split("\n") == ["Para 1", "Para 2", "Para 3"], page
+    for box in ("class=ad-box", "class='x cookie-notice'", "id=comments", "class=site-header", "class=widget_area", "role=navigation"):
+        assert html_text.main_text(f"<div {box}><p>Buy, now.<p>More</div><p>Text.</p>") == "Text.", box
+    assert html_text.main_text("<div><nav><table><tr><td>Menu</div>still menu</td></tr></table></nav><p>Text.</p></div>") == "Text."
+
+
 def test_html_edges(spark):
     for page in (None, "", "<", "<p", "&", "<html><body></body></html>", "<!-- <p>x</p>", "</div></p>"):
         assert html_text.main_text(page) in ("", "<", "&")
