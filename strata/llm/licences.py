@@ -1,18 +1,21 @@
 """Licence scan with a trained paragraph classifier.
 
-A paragraph is a line of the text; a long line is read in overlapping windows.
-Sparse word uni- and bigrams go to a multinomial logistic regression over the
+A paragraph is a line of the text. A line of more than 12 words is also read by
+sentences and in overlapping windows of 12, 24 and 48 words, so that prose
+around a statement doesn't dilute it. Sparse word uni- and bigrams go to a multinomial logistic regression over the
 licence families and a class ``unknown``. It is trained on the templates below,
-on statements made from the families' names, and on lines of the corpus (at
-most ``sample_lines`` in expectation, chosen by hash); a held-out fold
+on statements made from the families' names, alone and amid prose, and on
+lines of the corpus (at most ``sample_lines`` in expectation, chosen by hash); a held-out fold
 calibrates the probabilities by temperature. A prediction counts only if its
 calibrated probability reaches ``THRESHOLD`` and the comparison with the
 family's templates confirms it.
 
 Defined results
 * Null and empty texts, and texts without a licence, have empty lists.
-* Neighbouring paragraphs of one family become one span; spans give code
-  point offsets, the highest probability and similarity.
+* Windows of one family that overlap or touch become one span, and so do
+  neighbouring paragraphs; spans give code point offsets, the highest
+  probability and similarity. Where windows of two families overlap, one that
+  its templates confirm clearly less (a statement cut off) doesn't count.
 * Equal probabilities go to the family that sorts first.
 * Repeated rows are separate rows; an empty table gives no rows. Other columns
   are carried along, and ``licences`` and ``spans`` replaced.
@@ -22,6 +25,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from itertools import accumulate, zip_longest
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +39,9 @@ UNKNOWN = "unknown"
 THRESHOLD = 0.6
 SIMILAR = 0.7
 WINDOW, STRIDE = 48, 24
+SCALES = (12, 24, WINDOW)
+CUT_OFF = 0.1  # less similar by this than an overlapping window of another family
+LINE_CHARS = 2000  # of a line of the corpus that is trained on, from a random place of it
 
 # fixed values: names of licence families, and parts of their public texts
 NAMES = {
@@ -82,6 +89,7 @@ OTHER = ["All rights reserved.", "A driving license is required for this job.",
          "This program is on the air at nine.", "Permission to enter is hereby denied.", "She studied at the institute and then moved on.", "The software is sold with a warranty of two years."]
 
 _WORD = re.compile(r"[^\W_]+(?:[.\-][^\W_]+)*")
+_STOP = re.compile(r"[.!?;]")
 
 
 def grams(words: list[str]) -> set:
@@ -117,7 +125,7 @@ class Model:
     bias: np.ndarray
     temperature: float
     margin: dict             # gram -> how much it can speak for a family, against unknown
-    templates: dict          # family -> sets of bigrams
+    templates: dict          # family -> grams of each template, and for statements the words that tell the name
 
     def classify(self, words: list[str]) -> tuple[str, float]:
         """The family and its calibrated probability (or unknown)."""
@@ -135,31 +143,89 @@ class Model:
 
     def __post_init__(self) -> None:
         self.lead = float((self.bias[:-1] - self.bias[-1]).max()) if len(self.bias) else 0.0
+        self.pairs = {g for known in self.templates.values() for t, _ in known for g in t if isinstance(g, tuple)}
+
+    def hopeless(self, total: float, words: list[str]) -> bool:
+        """Whether margins of this sum can't beat unknown: w different words
+        make w - 1 different pairs at least."""
+        return total / max(1, 2 * len(set(words)) - 1) ** 0.5 + self.lead < 0
 
     def similarity(self, family: str, words: list[str]) -> float:
         """Share of words and pairs that the paragraph and the nearest
         template of the family have in common, of the shorter of the two (at
-        least three, so that one common word confirms nothing)."""
+        least three, so that one common word confirms nothing). A statement
+        counts only with a word that tells the name: in a short window, the
+        words around the name alone would confirm it."""
         own = grams(words)
-        return max((len(own & t) / max(3, min(len(own), len(t))) for t in self.templates[family]), default=0.0)
+        return max((len(own & t) / max(3, min(len(own), len(t))) for t, names in self.templates[family] if not names or not names.isdisjoint(own)), default=0.0)
+
+    def hits(self, line: str, words: list[str]) -> list[tuple[int, int, int, int, str, float, float]]:
+        """``first word, word after the last, start, end, family, probability,
+        similarity`` of the windows of a line that hold a licence."""
+        n, whole = len(words), (0, len(words))
+        places: list[tuple[int, int]] = []
+        # without a pair of a template, similarity stays below SIMILAR: words alone are at most two thirds
+        shared = [pair in self.pairs for pair in zip(words, words[1:])]
+        if True not in shared:
+            return []
+        if n <= SCALES[0]:
+            ranges = [whole]
+        else:
+            get = self.margin.get
+            sums = [0.0, *accumulate([get(w, 0.0) + get(pair, 0.0) for w, pair in zip(words, zip_longest(words, words[1:]))])]
+            pairs = [0, *accumulate(shared)]
+            ranges = [whole] if n <= WINDOW else []
+            places = [m.span() for m in _WORD.finditer(line.lower() if len(line.lower()) == len(line) else line)]
+            n = min(n, len(places))
+            ranges += [(i, min(n, i + size)) for size in SCALES if size < n for i in range(0, n - size // 2, size // 2)]
+            ends = [0, *(i + 1 for i in range(n - 1) if _STOP.search(line, places[i][1], places[i + 1][0])), n]
+            ranges += [(i, j) for i, j in zip(ends, ends[1:]) if j - i <= WINDOW]
+            ranges = sorted({(i, j) for i, j in ranges if pairs[j - 1] > pairs[i] and not self.hopeless(sums[j] - sums[i], words[i:j])})
+        out = []
+        for i, j in ranges:
+            family, p = self.classify(words[i:j])
+            if family != UNKNOWN and p >= THRESHOLD and (near := self.similarity(family, words[i:j])) >= SIMILAR:
+                start, end = (0, len(line)) if (i, j) == whole else (places[i][0], places[j - 1][1])
+                out.append((i, j, start, end, family, p, near))
+        return out
 
     def scan(self, text: str | None) -> list[dict]:
         found: list[dict] = []
-        previous = None
-        for number, (start, end, words) in enumerate(paragraphs(text or "")):
-            if not words:
-                continue
-            family, p = self.classify(words)
-            if family == UNKNOWN or p < THRESHOLD or (near := self.similarity(family, words)) < SIMILAR:
-                continue
-            if found and previous == number - 1 and found[-1]["family"] == family:
-                found[-1] |= {"end": end, "probability": max(p, found[-1]["probability"]), "similarity": max(near, found[-1]["similarity"])}
-            else:
-                found.append({"family": family, "start": start, "end": end, "probability": p, "similarity": near})
-            previous = number
+        at, open_before = 0, {}  # spans that end with the line before
+        for line in (text or "").split("\n"):
+            words = words_of(line)
+            hits = self.hits(line, words)
+            spans: dict[str, dict] = {}  # the last span of each family
+            reach: dict[str, int] = {}
+            for k, (i, j, start, end, family, p, near) in enumerate(hits):
+                if _beaten(hits, k):
+                    continue
+                if family in spans and i <= reach[family]:
+                    span = spans[family]
+                elif i == 0 and family in open_before:
+                    span = open_before[family]
+                else:
+                    span = {"family": family, "start": at + start, "end": at + end, "probability": p, "similarity": near}
+                    found.append(span)
+                span |= {"end": max(span["end"], at + end), "probability": max(p, span["probability"]), "similarity": max(near, span["similarity"])}
+                spans[family], reach[family] = span, max(j, reach.get(family, 0))
+            open_before = {f: s for f, s in spans.items() if reach[f] == len(words)}
+            at += len(line) + 1
         return found
 
 
+def _beaten(hits: list[tuple], k: int) -> bool:
+    """Whether a window of another family overlaps and is clearly more similar."""
+    i, j, _, _, family, _, near = hits[k]
+    for step in (-1, 1):
+        m = k + step
+        while 0 <= m < len(hits) and i - WINDOW < hits[m][0] < j:
+            if hits[m][1] > i and hits[m][4] != family and hits[m][6] > near + CUT_OFF:
+                return True
+            m += step
+    return False
+
+
 def examples() -> list[tuple[str, list[str]]]:
     """Labelled paragraphs made from the names, statements and templates."""
     out = []
@@ -176,18 +242,33 @@ def templates() -> dict:
     def pairs(text: str) -> frozenset:
         return frozenset(grams(words_of(text)))
 
-    return {f: [pairs(t) for t in TEMPLATES[f]] + [pairs(s.format(n)) for n in NAMES[f] for s in STATEMENTS] for f in NAMES}
+    plain = {w for t in (*STATEMENTS, *OTHER) for w in words_of(t)}
+    return {f: [(pairs(t), frozenset()) for t in TEMPLATES[f]] + [(pairs(s.format(n)), frozenset(words_of(n)) - plain) for n in NAMES[f] for s in STATEMENTS] for f in NAMES}
+
+
+def amid_prose(prose: list[str], seed: int) -> list[tuple[str, list[str]]]:
+    """Windows with a statement, or a sentence that only resembles one, at any
+    place among words of the corpus."""
+    rng, out = np.random.default_rng(seed), []
+    said = [(f, words_of(s.format(n))) for f, names in NAMES.items() for n in names for s in STATEMENTS] + [(UNKNOWN, words_of(t)) for t in OTHER for _ in range(8)]
+    for number, (family, words) in enumerate(said):
+        room = SCALES[0 if len(words) < SCALES[0] and number % 3 else 1] - len(words)
+        at, before = int(rng.integers(len(prose))), int(rng.integers(room + 1))
+        around = [prose[(at + k) % len(prose)] for k in range(room)]
+        out.append((family, around[:before] + words + around[before:]))
+    return out
 
 
 def train(lines: list[str], epochs: int = 250, seed: int = 11) -> Model:
     """``lines``: paragraphs of the corpus, for the class unknown; those that
-    resemble a template are left out."""
+    resemble a template are left out. They are also the prose around statements."""
     known = templates()
     bag = Model([*sorted(NAMES), UNKNOWN], {}, np.zeros((0, 0)), np.zeros(0), 1.0, {}, known)
     data = examples()
-    for line in lines:
+    for number, line in enumerate(lines):
         read = [words for _, _, words in paragraphs(line) if words]
         words = read[len(line) % len(read)] if read else []
+        words = words[:SCALES[number % len(SCALES)]]
         if words and max(bag.similarity(f, words) for f in known) < 0.5:
             data.append((UNKNOWN, words))
     counts: dict = {}
@@ -195,6 +276,7 @@ def train(lines: list[str], epochs: int = 250, seed: int = 11) -> Model:
         for g in grams(words):
             counts[g] = counts.get(g, 0) + 1
     index = {g: i for i, g in enumerate(sorted((g for g, n in counts.items() if n >= 2), key=str))}
+    data += amid_prose([w for f, words in data if f == UNKNOWN for w in words], seed)
     x = np.zeros((len(data), len(index)), np.float32)
     for r, (_, words) in enumerate(data):
         own = grams(words)
@@ -238,8 +320,10 @@ def fit(docs: DataFrame, sample_lines: int = 1500, text_col: str = "text") -> Mo
     if not total:
         return train([])
     line = F.split(text, "\n")
+    one = F.element_at(line, (F.pmod(F.xxhash64(text, F.lit(1)), F.size(line)) + 1).cast("int"))
+    start = F.pmod(F.xxhash64(text, F.lit(2)), F.greatest(F.char_length(one) - LINE_CHARS, F.lit(0)) + 1) + 1
     rows = (docs.where(text.isNotNull() & (F.pmod(F.xxhash64(text), F.lit(1 << 30)) < F.lit(float(1 << 30)) * sample_lines / total))
-            .select(F.substring(F.element_at(line, (F.pmod(F.xxhash64(text, F.lit(1)), F.size(line)) + 1).cast("int")), 1, 2000).alias("line"))
+            .select(F.substring(one, start.cast("int"), F.lit(LINE_CHARS)).alias("line"))
             .distinct().toArrow())  # copies of a chosen text bring the same line, which counts once
     return train(sorted(rows.column("line").to_pylist()))
 

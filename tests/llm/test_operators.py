@@ -407,6 +407,26 @@ def test_licence_texts_and_strangers(awkward, nothing, spark):
     assert licences.scan(nothing, licences.fit(nothing)).count() == 0
 
 
+def test_statements_amid_prose_are_found(spark):
+    """One sentence of a long line, and of a line of under 48 words."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    m = licences.fit(docs)
+    prose = [w for r in docs.where("lang = 'en'").orderBy("doc_id").limit(40).collect() for w in (r.text or "").replace("\n", " ").split()]
+    cases = {"Released under the MIT License.": "mit", "Licensed under the Apache License, Version 2.0.": "apache", "This work is licensed under CC BY-NC 4.0.": "cc-by-nc",
+             "This project is made available under the GNU Affero General Public License.": "agpl", "released under the GNU Lesser General Public License, version 2.1": "lgpl"}
+    for k, (statement, family) in enumerate(cases.items()):
+        for size in (200, 40):
+            for shift in range(0, 60, 7):
+                words = prose[500 * k + shift:500 * k + shift + size]
+                cut = size // 2 - 6 + shift % 13
+                text = " ".join([*words[:cut], statement, *words[cut:]])
+                got = m.scan(text)
+                assert [s["family"] for s in got] == [family] and statement.rstrip(".") in text[got[0]["start"]:got[0]["end"]], (text, got)
+    both = " ".join([*prose[:70], "Released under the MIT License.", *prose[70:74], "Licensed under the Apache License, Version 2.0.", *prose[74:150]])
+    assert {s["family"] for s in m.scan(both)} == {"mit", "apache"}
+    assert m.scan("The guide said that a prisoner was released under the supervision of a manager, and you may use it under the roof of the hall for free today.") == []
+
+
 # --- mixing ----------------------------------------------------------------
 
 def brute_windows(weights, blocks):
