@@ -1,8 +1,9 @@
 """Quality classifier by attention-based multiple-instance learning.
 
 A document is a bag of passages of ``WORDS`` words. Every passage of the whole
-text is encoded (shares of character classes, word lengths, repetition, case,
-hashed character pairs) and passed through one hidden layer. Gated attention
+text is encoded (shares of byte classes and of single marks, word lengths,
+distinct and repeated words, words that end in a mark, words in capitals, sizes;
+no feature sees which words or character pairs there are) and passed through one hidden layer. Gated attention
 weighs the passages, with weights learned from document labels alone, and a
 logistic unit scores the weighted representation.
 
