@@ -20,6 +20,19 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(p, True).close()
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; nothing happens if ``target`` is there already."""
+    fs, p = _fs(spark, target)
+    if not fs.exists(p):
+        fs.mkdirs(p.getParent())
+        fs.rename(_fs(spark, source)[1], p)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)

@@ -125,16 +125,21 @@ class DynamicTables:
         # pinned once: the bronze merge, the touched partitions and silver all read it
         # (measured: recomputing the batch dedup instead roughly doubles the drain time)
         latest = latest.checkpoint(eager=True)
+        touched = self.upsert_bronze(latest, tag)
+        if touched:  # else an empty batch
+            self._refresh_orders(latest.select("order_id", "order_date"), tag, touched)
+
+    def upsert_bronze(self, latest: DataFrame, tag: str) -> list[tuple]:
+        """Upsert ``latest`` (one row per order) into bronze where it is newer
+        than the stored row; the partitions it touches."""
         order_key = _desc_nulls_first_key("s") > _desc_nulls_first_key("t")
         values = {c: F.col(f"s.{c}") for c in self.bronze_cols}
         clauses = [When(True, "update", order_key, values), When(False, "insert", None, values)]
-        orders = latest.select("order_id", "order_date")  # one row per order already
-        touched = self.bronze.touched_partitions(orders)  # bronze and silver share the layout
-        if not touched:  # empty batch
-            return
-        self.bronze.merge(latest, lambda t, s: merge_into(t, s, ["order_id"], clauses), batch_id=tag,
-                          may_delete=False, touched=touched)
-        self._refresh_orders(orders, tag, touched)
+        touched = self.bronze.touched_partitions(latest.select("order_id", "order_date"))  # silver has the same layout
+        if touched:
+            self.bronze.merge(latest, lambda t, s: merge_into(t, s, ["order_id"], clauses), batch_id=tag,
+                              may_delete=False, touched=touched)
+        return touched
 
     def _done(self, path: str) -> bool:
         fs, jvm = self.silver._fs()
@@ -171,11 +176,11 @@ class DynamicTables:
             counted(silver_new, 1).unionByName(counted(before, -1)).write.mode("overwrite").parquet(delta_path)
         self.silver.merge(silver_new, lambda t, s: t.join(s.select("order_id"), "order_id", "left_anti")
                           .unionByName(s), batch_id=f"silver-{tag}", may_delete=False, touched=touched)
-        self._apply_gold_delta(self.spark.read.parquet(delta_path), tag)
+        self.apply_gold_delta(self.spark.read.parquet(delta_path), tag)
         fs, jvm = self.silver._fs()
         fs.delete(jvm.org.apache.hadoop.fs.Path(delta_path), True)
 
-    def _apply_gold_delta(self, delta: DataFrame, tag: str) -> None:
+    def apply_gold_delta(self, delta: DataFrame, tag: str) -> None:
         keys = list(GROUP)
         # 1) per (group, date) order counts: the exact MAX(order_date) under retractions
         dd = delta.groupBy(*keys, "order_date").agg(F.sum("sign").cast("long").alias("dn"))
@@ -249,7 +254,7 @@ class DynamicTables:
         """Start the refresh stream. ``available_now`` drains what is there and
         stops (tests, scheduled runs); otherwise a processing-time trigger of
         ``freshness`` is the table's freshness target (C09)."""
-        reader = self.spark.readStream.schema(self.raw_schema)
+        reader = self.spark.readStream.schema(self.raw_schema).option("recursiveFileLookup", True)
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
         stream = reader.parquet(source_dir)

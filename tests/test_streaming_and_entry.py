@@ -110,7 +110,7 @@ def test_failed_dimension_change_is_not_lost(spark, tmp, monkeypatch):
         raise RuntimeError("crash")
 
     with monkeypatch.context() as m:
-        m.setattr(dt, "_apply_gold_delta", crash)
+        m.setattr(dt, "apply_gold_delta", crash)
         with pytest.raises(RuntimeError, match="crash"):
             dt.on_dimension_change(new_dim, "a")
     dt.on_dimension_change(new_dim, "a")
