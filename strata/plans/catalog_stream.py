@@ -13,8 +13,11 @@ from strata.plans.sqlbase import with_
 from strata.session import scratch_path
 from strata.sources import derived as D
 from strata.sources import files
+from strata.sources.derived import ORDERS_LATEST
+from strata.sources.store import BucketedTable
 from strata.streaming.dynamic import DynamicTables
 from strata.streaming.layers import LayeredTables
+from strata.streaming.stateful import drain_latest
 
 SLICES = 10
 ROWS_PER_BUCKET = 1_000_000
@@ -165,3 +168,18 @@ def c12_stream(spark, sf):
     land(0, 0)
     layers.refresh_together()
     return layers.read("gold")
+
+
+@register("c06_stateful_latest", with_("bronze") + "SELECT * FROM bronze")
+def c06_stateful(spark, sf):
+    """Bronze kept by a streaming aggregate, restarted between the slices."""
+    from strata.plans.medallion import BRONZE_COLS
+
+    root = scratch_path(spark, "stateful")
+    raw = write_slices(D.orders_raw(spark, sf), F.pmod(F.xxhash64("order_id", "line_no"), F.lit(3)), f"{root}/waiting")
+    table = BucketedTable(spark, f"{root}/bronze", ["order_id"], max(2, -(-raw.count() // ROWS_PER_BUCKET)), raw.schema)
+    for i in (2, 0, 1):
+        files.move(spark, f"{root}/waiting/slice={i}", f"{root}/in/{i}")
+        stream = spark.readStream.schema(raw.schema).option("recursiveFileLookup", True).parquet(f"{root}/in")
+        drain_latest(stream, table, ORDERS_LATEST, f"{root}/checkpoint")
+    return table.read().select(*BRONZE_COLS)

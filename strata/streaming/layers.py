@@ -220,6 +220,11 @@ class LayeredTables:
         self._writer(TOGETHER).trigger(availableNow=True).start().awaitTermination()
 
     # -- what the user reads ---------------------------------------------------
+    def paused(self) -> RLock:
+        """Keeps started streams from rewriting tables, as long as it is held:
+        ``with layers.paused(): layers.read("silver").count()``."""
+        return self._lock
+
     def read(self, layer: str) -> DataFrame:
         if layer == "gold":
             return self.tables.gold_table()
