@@ -9,6 +9,7 @@ MODULES = (
     "strata.plans.catalog_models",
     "strata.plans.catalog_io",
     "strata.plans.catalog_gov",
+    "strata.plans.catalog_session",
     "strata.plans.catalog_stream",
     "strata.plans.catalog_text",
     "strata.plans.catalog_ml",
