@@ -1,12 +1,9 @@
 """Batch retrieval for many questions at once.
 
-* ``bm25_top_k``: lexical scoring as a join of query terms with a posting
-  table, summed per (question, document).
-* ``vector_top_k``: exact cosine search. Question vectors are broadcast
-  after a size check (in chunks when there are many), each document
-  partition computes its similarities with numpy and keeps only its local
-  top-k per question, and a final top-k merges those partials: no cross
-  join and never all (question, document) pairs in one place.
+* ``bm25_top_k`` and ``vector_top_k``: exact search in blocks of documents and
+  questions (``block_search``).
+* ``bm25_scores``: the whole list, a row per question and document that share
+  a term, for those who need all of it.
 * ``hybrid_top_k``: reciprocal-rank fusion of both whole lists; candidates
   from the head of each, then their exact ranks by a counting pass.
 """
@@ -15,15 +12,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from strata.functions.text import ordered_join, spread, tokens
-
-RANK_DIGITS = 9  # scores are ranked after rounding so float summation order cannot flip ties
+from strata.operators import block_search
+from strata.operators.block_search import QUESTIONS_PER_BLOCK, RANK_DIGITS, Lexical, Vectors
 
 
 def bm25_scores(corpus: DataFrame, questions: DataFrame, id_col: str = "doc_id", text_col: str = "content",
@@ -57,12 +52,6 @@ def rank_top_k(scores: DataFrame, q_id: str, id_col: str, k: int) -> DataFrame:
     return scores.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def bm25_top_k(corpus, questions, k: int = 3, **kw) -> DataFrame:
-    """N09."""
-    id_col = kw.get("id_col", "doc_id")
-    return rank_top_k(bm25_scores(corpus, questions, **kw), kw.get("q_id", "q_id"), id_col, k)
-
-
 def ranks_among(scores: DataFrame, wanted: DataFrame, q_id: str, id_col: str) -> DataFrame:
     """Exact (q, doc, rank) in the whole list ``scores`` of the ``wanted``
     (q, doc) pairs that are in it, in one counting pass.
@@ -86,149 +75,49 @@ def ranks_among(scores: DataFrame, wanted: DataFrame, q_id: str, id_col: str) ->
             .select(q_id, F.col("_m.d").alias(id_col), "rank"))
 
 
-MAX_BROADCAST_QUERIES = 4096
-QUERY_BLOCK = 256
-
-
-def _cosines(qm: np.ndarray, qn: np.ndarray, dm: np.ndarray) -> np.ndarray:
-    dn = np.linalg.norm(dm, axis=1)
-    dn[dn == 0] = np.inf
-    return np.round((qm @ dm.T) / (qn[:, None] * dn[None, :]), RANK_DIGITS)
-
+def _ranked(found: DataFrame, k: int, q_id: str, id_col: str) -> DataFrame:
+    return rank_top_k(block_search.top_of(found).select(F.col("q").alias(q_id), F.col("doc").alias(id_col), "score"), q_id, id_col, k)
 
-def _matrix(column: pd.Series) -> np.ndarray:
-    return np.stack(column.to_numpy()).astype(np.float64)
 
+def vector_top_k(docs: DataFrame, queries: DataFrame, k: int = 3, id_col: str = "doc_id", vec_col: str = "embedding",
+                 q_id: str = "q_id", q_vec: str = "embedding", questions_per_block: int = QUESTIONS_PER_BLOCK) -> DataFrame:
+    """Exact cosine top-k per query over all document vectors, in blocks of both."""
+    index = Vectors(docs, queries, id_col, vec_col, q_id, q_vec)
+    return _ranked(block_search.search(index, k, questions_per_block=questions_per_block), k, q_id, id_col)
 
-def _best_of(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the k best by score desc, id asc. Every score from the
-    k-th largest up is looked at, so ties at the cut are decided exactly."""
-    k = min(k, len(ids))
-    cand = np.nonzero(scores >= -np.partition(-scores, k - 1)[k - 1])[0]
-    return cand[np.lexsort((ids[cand], -scores[cand]))][:k]
 
+def bm25_top_k(corpus: DataFrame, questions: DataFrame, k: int = 3, id_col: str = "doc_id", q_id: str = "q_id", **kw) -> DataFrame:
+    """Exact BM25 top-k per question, in blocks: no row per question and document."""
+    return _ranked(block_search.search(Lexical(corpus, questions, id_col=id_col, q_id=q_id, **kw), k), k, q_id, id_col)
 
-def _query_chunks(queries: DataFrame, q_id: str, q_vec: str, max_broadcast: int):
-    """The queries in chunks of at most ``max_broadcast``: a condition on the
-    query id that selects the chunk, and its ids, vectors and lengths."""
-    from strata.operators.joins import row_count_at_most
 
-    q = queries.select(F.col(q_id).alias("_q"), F.col(q_vec).alias("_v"))
-    # hashing into twice as many chunks as needed keeps each under the bound
-    n_chunks = 1 if row_count_at_most(q, max_broadcast) else 2 * -(-q.count() // max_broadcast)
-    for c in range(n_chunks):
-        def inside(col, c=c):
-            return F.pmod(F.xxhash64(col), F.lit(1 << 30)) % n_chunks == c
-
-        rows = q.filter(inside("_q")).limit(max_broadcast + 1).collect()
-        if len(rows) > max_broadcast:
-            raise RuntimeError("query chunk above the broadcast bound; lower max_broadcast")
-        if rows:
-            qm = np.array([r["_v"] for r in rows], dtype=np.float64)
-            qn = np.linalg.norm(qm, axis=1)
-            qn[qn == 0] = np.inf
-            yield inside, np.array([r["_q"] for r in rows], dtype=np.int64), qm, qn
-
-
-def vector_top_k(spark: SparkSession, docs: DataFrame, queries: DataFrame, k: int = 3, id_col: str = "doc_id",
-                 vec_col: str = "embedding", q_id: str = "q_id", q_vec: str = "embedding",
-                 max_broadcast: int = MAX_BROADCAST_QUERIES) -> DataFrame:
-    """Exact cosine top-k per query over all document vectors.
-
-    The query side goes to the executors as a broadcast of at most
-    ``max_broadcast`` vectors at a time; more queries are handled in
-    consecutive chunks, so the result stays exact for any number. A document
-    partition sends on its best k per query.
-    """
-    out = spark.createDataFrame([], f"{q_id} long, {id_col} long, score double")
-    for _, qids, qm, qn in _query_chunks(queries, q_id, q_vec, max_broadcast):
-        sent = spark.sparkContext.broadcast((qids, qm, qn))
-
-        def local_top_k(batches, sent=sent):
-            ids_q, qm, qn = sent.value
-            best = [(np.zeros(0, np.int64), np.zeros(0))] * len(ids_q)
-            for pdf in batches:
-                if pdf.empty:
-                    continue
-                dm, ids = _matrix(pdf[vec_col]), pdf[id_col].to_numpy()
-                # query blocks keep the similarity matrix at QUERY_BLOCK x batch rows
-                for lo in range(0, len(ids_q), QUERY_BLOCK):
-                    for i, row in enumerate(_cosines(qm[lo:lo + QUERY_BLOCK], qn[lo:lo + QUERY_BLOCK], dm), lo):
-                        top = _best_of(ids, row, k)
-                        d, s = np.concatenate([best[i][0], ids[top]]), np.concatenate([best[i][1], row[top]])
-                        top = _best_of(d, s, k)
-                        best[i] = (d[top], s[top])
-            for q, (d, s) in zip(ids_q, best):
-                if len(d):
-                    yield pd.DataFrame({q_id: np.full(len(d), q), id_col: d, "score": s})
-
-        out = out.unionByName(docs.select(id_col, vec_col).mapInPandas(local_top_k, out.schema))
-    return rank_top_k(out, q_id, id_col, k)
-
-
-def vector_ranks(spark: SparkSession, docs: DataFrame, queries: DataFrame, wanted: DataFrame, id_col: str = "doc_id",
-                 vec_col: str = "embedding", q_id: str = "q_id", q_vec: str = "embedding",
-                 max_broadcast: int = MAX_BROADCAST_QUERIES) -> DataFrame:
-    """Exact (q, doc, rank) in the cosine list over all ``docs`` of the
-    ``wanted`` (q, doc) pairs (a bounded number per query) whose document has
-    a vector: one more pass counts the documents before each."""
-    pairs = (wanted.select(q_id, id_col).join(docs.select(id_col, F.col(vec_col).alias("_d")), id_col)
-             .join(queries.select(q_id, F.col(q_vec).alias("_q")), q_id))
-
-    def own_scores(batches):
-        for pdf in batches:
-            if not pdf.empty:
-                d, q = _matrix(pdf["_d"]), _matrix(pdf["_q"])
-                length = np.linalg.norm(q, axis=1) * np.linalg.norm(d, axis=1)
-                length[length == 0] = np.inf
-                pdf["score"] = np.round((d * q).sum(axis=1) / length, RANK_DIGITS)
-                yield pdf[[q_id, id_col, "score"]]
-
-    marks = pairs.mapInPandas(own_scores, f"{q_id} long, {id_col} long, score double").checkpoint(eager=True)
-    counts = spark.createDataFrame([], f"{q_id} long, {id_col} long, n long")
-    for inside, qids, qm, qn in _query_chunks(queries, q_id, q_vec, max_broadcast):
-        mine = marks.filter(inside(q_id)).toPandas()  # a chunk of queries, a bounded number of documents each
-        by_query = {q: (g[id_col].to_numpy(), g["score"].to_numpy()) for q, g in mine.groupby(q_id)}
-        sent = spark.sparkContext.broadcast((qids, qm, qn, by_query))
-
-        def count_before(batches, sent=sent):
-            ids_q, qm, qn, by_query = sent.value
-            at = [i for i, q in enumerate(ids_q) if q in by_query]
-            total = {i: np.zeros(len(by_query[ids_q[i]][0]), np.int64) for i in at}
-            for pdf in batches:
-                if pdf.empty:
-                    continue
-                dm, ids = _matrix(pdf[vec_col]), pdf[id_col].to_numpy()
-                for lo in range(0, len(at), QUERY_BLOCK):
-                    block = at[lo:lo + QUERY_BLOCK]
-                    for i, row in zip(block, _cosines(qm[block], qn[block], dm)):
-                        for j, (d, s) in enumerate(zip(*by_query[ids_q[i]])):
-                            total[i][j] += np.count_nonzero((row > s) & (ids != d)) + np.count_nonzero((row == s) & (ids < d))
-            for i in at:
-                yield pd.DataFrame({q_id: np.full(len(total[i]), ids_q[i]), id_col: by_query[ids_q[i]][0], "n": total[i]})
-
-        counts = counts.unionByName(docs.select(id_col, vec_col).mapInPandas(count_before, counts.schema))
-    return counts.groupBy(q_id, id_col).agg((F.sum("n") + 1).cast("int").alias("rank"))
-
-
-def hybrid_top_k(spark: SparkSession, lexical: DataFrame, docs: DataFrame, queries: DataFrame, k: int = 3, c: int = 60,
+def hybrid_top_k(lexical: DataFrame | Lexical, docs: DataFrame, queries: DataFrame, k: int = 3, c: int = 60,
                  q_id: str = "q_id", id_col: str = "doc_id") -> DataFrame:
-    """Top-k of the reciprocal-rank fusion of two whole ranked lists,
-    ``lexical`` scores and the cosines of ``docs`` to ``queries``.
+    """Top-k of the reciprocal-rank fusion of two whole ranked lists: the
+    ``lexical`` one (an index, or scores q_id, id_col, score) and the cosines of ``docs`` to ``queries``.
 
     Only the first ``depth = c + 2k`` of each list can be among the k best: a
     document beyond it in both scores at most ``2 / (c + depth + 1)``, less
     than the ``1 / (c + k)`` that the first k of either list reach. Those
     candidates get their exact rank in both lists. (The two bounds stay apart
-    after rounding for ``c + k`` up to some 10,000.)
+    after rounding for ``c + k`` up to some 10,000.) The lexical blocks are
+    scored once, for their best and for the ranks of the vectors' candidates;
+    the vectors, which cost less, twice.
     """
-    depth, pair = c + 2 * k, [q_id, id_col]
-    lexical = lexical.checkpoint(eager=True)  # read by the ranking and by the counting pass
-    lex = rank_top_k(lexical, q_id, id_col, depth).select(*pair, "rank").checkpoint(eager=True)
-    vec = vector_top_k(spark, docs, queries, depth, id_col=id_col, q_id=q_id).select(*pair, "rank").checkpoint(eager=True)
-    lex_more = ranks_among(lexical, vec.join(lex, pair, "left_anti"), q_id, id_col)
-    vec_more = vector_ranks(spark, docs, queries, lex.join(vec, pair, "left_anti"), id_col=id_col, q_id=q_id)
-    return rrf_fuse([lex.unionByName(lex_more), vec.unionByName(vec_more)], q_id, id_col, k, c)
+    depth, pair = c + 2 * k, ["q", "doc"]
+    vectors = Vectors(docs, queries, id_col, q_id=q_id)
+    vec = _ranked(block_search.search(vectors, depth), depth, "q", "doc").select(*pair, "rank").checkpoint(eager=True)
+    if isinstance(lexical, Lexical):
+        found = block_search.search(lexical, depth, block_search.scores_of(lexical, vec)).checkpoint(eager=True)
+        lex = _ranked(found, depth, "q", "doc").select(*pair, "rank").checkpoint(eager=True)
+        lex_more = block_search.ranks_of(found).join(lex, pair, "left_anti")
+    else:
+        scores = lexical.select(F.col(q_id).alias("q"), F.col(id_col).alias("doc"), "score").checkpoint(eager=True)
+        lex = rank_top_k(scores, "q", "doc", depth).select(*pair, "rank").checkpoint(eager=True)
+        lex_more = ranks_among(scores, vec.join(lex, pair, "left_anti"), "q", "doc")
+    marks = block_search.scores_of(vectors, lex.join(vec, pair, "left_anti"))
+    vec_more = block_search.ranks_of(block_search.search(vectors, 0, marks))
+    return rrf_fuse([lex.unionByName(lex_more), vec.unionByName(vec_more)], "q", "doc", k, c).withColumnsRenamed({"q": q_id, "doc": id_col})
 
 
 def rrf_fuse(ranked: list[DataFrame], q_id: str, id_col: str, k: int = 3, c: int = 60) -> DataFrame:

@@ -199,14 +199,15 @@ _VEC_SQL = {
 
 
 def _bm25(spark, sf, corpus=None):
+    """BM25 index of the questions' words over all documents, or those of ``corpus``."""
     corpus = corpus if corpus is not None else D.policies(spark, sf)
-    return RT.bm25_scores(corpus, D.questions(spark, sf))
+    return RT.Lexical(corpus, D.questions(spark, sf))
 
 
 @register("n09_bm25_top_k", with_("policies", "questions", extra=_bm25_sql()) +
           "SELECT q_id, doc_id, round(score, 6) AS score, rank FROM bm_rank WHERE rank <= 3")
 def n09(spark, sf):
-    top = RT.rank_top_k(_bm25(spark, sf), "q_id", "doc_id", 3)
+    top = RT.bm25_top_k(D.policies(spark, sf), D.questions(spark, sf), 3)
     return top.select("q_id", "doc_id", F.round("score", 6).alias("score"), "rank")
 
 
@@ -215,14 +216,14 @@ def n09(spark, sf):
           "SELECT q_id, doc_id, round(score, 6) AS score, rank FROM bm_rank WHERE rank <= 3")
 def n12(spark, sf):
     corpus = D.policies(spark, sf).filter(F.col("policy_name") == FILTER_SOURCE)  # before scoring
-    top = RT.rank_top_k(_bm25(spark, sf, corpus), "q_id", "doc_id", 3)
+    top = RT.bm25_top_k(corpus, D.questions(spark, sf), 3)
     return top.select("q_id", "doc_id", F.round("score", 6).alias("score"), "rank")
 
 
 @register("n10_vector_top_k", with_(extra=_VEC_SQL) +
           "SELECT q_id, doc_id, round(score, 6) AS score, rank FROM vec_rank WHERE rank <= 3")
 def n10(spark, sf):
-    top = RT.vector_top_k(spark, D.document_vectors(spark, sf), D.question_vectors(spark, sf), 3)
+    top = RT.vector_top_k(D.document_vectors(spark, sf), D.question_vectors(spark, sf), 3)
     return top.select("q_id", "doc_id", F.round("score", 6).alias("score"), "rank")
 
 
@@ -241,7 +242,7 @@ def hybrid_top_k(spark, sf, k=3, source=None):
     corpus, vectors = D.policies(spark, sf), D.document_vectors(spark, sf)
     if source is not None:
         corpus, vectors = corpus.filter(F.col("policy_name") == source), vectors.filter(F.col("source") == source)
-    return RT.hybrid_top_k(spark, _bm25(spark, sf, corpus), vectors, D.question_vectors(spark, sf), k)
+    return RT.hybrid_top_k(_bm25(spark, sf, corpus), vectors, D.question_vectors(spark, sf), k)
 
 
 _HYB_ALL = {**_bm25_sql(), **_VEC_SQL, **_HYBRID_SQL}

@@ -167,13 +167,45 @@ def test_bm25_matches_brute_force(spark):
                 assert (qid, d) not in got
 
 
+def test_bm25_top_k_in_blocks_equals_the_whole_list(spark, monkeypatch):
+    """Many blocks of both sides, ties, empty texts and questions without a hit."""
+    import random
+
+    from strata.operators import block_search
+
+    monkeypatch.setattr(block_search, "VALUES_PER_BLOCK", 300)
+    rng = random.Random(3)
+    words = [chr(97 + i) * (1 + i % 3) for i in range(26)]
+    c = spark.createDataFrame([(i, " ".join(rng.choices(words, range(1, 27), k=rng.randint(0, 12)))) for i in range(400)] + [(400, None)], "doc_id long, content string")
+    q = spark.createDataFrame([(i, " ".join(rng.sample(words, rng.randint(1, 5)))) for i in range(30)] + [(30, "ζ"), (31, ""), (32, None)], "q_id long, question string")
+    whole = RT.rank_top_k(RT.bm25_scores(c, q), "q_id", "doc_id", 5)
+    assert rows(RT.bm25_top_k(c, q, 5), "q_id", "doc_id", "score", "rank") == rows(whole, "q_id", "doc_id", "score", "rank")
+    index = RT.Lexical(c, q)
+    marks = RT.bm25_scores(c, q).filter("doc_id % 7 = 0").select(F.col("q_id").alias("q"), F.col("doc_id").alias("doc"))
+    found = block_search.search(index, 2, block_search.scores_of(index, marks), questions_per_block=8)
+    ranks = RT.rank_top_k(RT.bm25_scores(c, q), "q_id", "doc_id", 10**6).filter("doc_id % 7 = 0")
+    assert rows(block_search.ranks_of(found), "q", "doc", "rank") == rows(ranks, "q_id", "doc_id", "rank")
+    assert RT.bm25_top_k(c.limit(0), q, 5).isEmpty() and RT.bm25_top_k(c, q.limit(0), 5).isEmpty()
+
+
+def test_hybrid_of_indexes_equals_hybrid_of_whole_lists(spark):
+    rng = np.random.default_rng(9)
+    words = "alpha beta gamma delta eps zeta".split()
+    c = spark.createDataFrame([(i, " ".join(rng.choice(words, rng.integers(0, 9)))) for i in range(300)], "doc_id long, content string")
+    q = spark.createDataFrame([(i, " ".join(rng.choice(words, 2))) for i in range(10)], "q_id long, question string")
+    d = spark.createDataFrame([(i, [float(x) for x in rng.integers(-2, 3, 4)]) for i in range(100, 400)], "doc_id long, embedding array<double>")
+    v = spark.createDataFrame([(i, [float(x) for x in rng.integers(-2, 3, 4)]) for i in range(10)], "q_id long, embedding array<double>")
+    one, other = RT.hybrid_top_k(RT.Lexical(c, q), d, v, 3, 2), RT.hybrid_top_k(RT.bm25_scores(c, q), d, v, 3, 2)
+    assert rows(one) == rows(other) and one.columns == other.columns
+
+
 def test_vector_top_k_matches_brute_force_in_chunks(spark):
     rng = np.random.default_rng(1)
     docs = pd.DataFrame({"doc_id": np.arange(300), "embedding": list(rng.normal(size=(300, 8)).astype("float32"))})
     qs = pd.DataFrame({"q_id": np.arange(25), "embedding": list(rng.normal(size=(25, 8)).astype("float32"))})
     d = spark.createDataFrame(docs.assign(embedding=docs.embedding.map(list)), "doc_id long, embedding array<float>")
     q = spark.createDataFrame(qs.assign(embedding=qs.embedding.map(list)), "q_id long, embedding array<float>")
-    got = RT.vector_top_k(spark, d.repartition(4), q, k=3, max_broadcast=10)  # forces several query chunks
+    got = RT.vector_top_k(d.repartition(4), q, k=3, questions_per_block=10)  # several blocks of questions
     D = np.stack(docs.embedding).astype(float)
     Q = np.stack(qs.embedding).astype(float)
     sims = (Q @ D.T) / np.outer(np.linalg.norm(Q, axis=1), np.linalg.norm(D, axis=1))
@@ -195,7 +227,7 @@ def test_vector_top_k_ties_break_by_id(spark):
     docs = [(10, same), (3, same), (7, same), (5, [0.0, 1.0, 0.0]), (1, same)]
     d = spark.createDataFrame(docs, "doc_id long, embedding array<float>").repartition(2)
     q = spark.createDataFrame([(0, same)], "q_id long, embedding array<float>")
-    got = sorted(tuple(r) for r in RT.vector_top_k(spark, d, q, k=3).select("doc_id", "rank").collect())
+    got = sorted(tuple(r) for r in RT.vector_top_k(d, q, k=3).select("doc_id", "rank").collect())
     assert got == [(1, 1), (3, 2), (7, 3)]
 
 
@@ -250,7 +282,7 @@ def test_hybrid_top_k_fuses_whole_lists(spark):
     lexical = [(q, d, float(rng.integers(0, 40))) for q in range(12) for d in range(200) if rng.random() < 0.7]
     vectors = {d: [float(x) for x in rng.integers(-2, 3, 4)] for d in range(60, 260)}
     asked = {q: [float(x) for x in rng.integers(-2, 3, 4)] for q in range(12)}
-    got = RT.hybrid_top_k(spark, spark.createDataFrame(lexical, "q_id long, doc_id long, score double").repartition(3),
+    got = RT.hybrid_top_k(spark.createDataFrame(lexical, "q_id long, doc_id long, score double").repartition(3),
                           spark.createDataFrame(list(vectors.items()), "doc_id long, embedding array<double>").repartition(3),
                           spark.createDataFrame(list(asked.items()), "q_id long, embedding array<double>"), k, c)
 
