@@ -15,7 +15,6 @@ ties; equal scores are ordered by id.
 from __future__ import annotations
 
 import math
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.text import spread, tokens
+from strata.operators.joins import broadcast_if_small
 
 RANK_DIGITS = 9  # scores are ranked after rounding
 VALUES_PER_BLOCK, QUESTIONS_PER_BLOCK = 4 << 20, 512  # values: vector components, or words
@@ -81,18 +81,20 @@ class Lexical:
     def __init__(self, corpus: DataFrame, questions: DataFrame, id_col: str = "doc_id", text_col: str = "content",
                  q_id: str = "q_id", q_text: str = "question", k1: float = 1.2, b: float = 0.75) -> None:
         words = questions.select(F.col(q_id).cast("long").alias("q"), F.explode(F.array_distinct(tokens(q_text))).alias("term"))
-        vocabulary = words.select("term").distinct().withColumn("t", F.monotonically_increasing_id()).checkpoint(eager=True)
+        # the empty word, which no text has, is number -1: one more of it keeps each document in the join
+        vocabulary = (words.select("term").distinct().withColumn("t", F.monotonically_increasing_id())
+                      .unionByName(words.sparkSession.createDataFrame([("", -1)], "term string, t long")).checkpoint(eager=True))
         texts = spread(corpus.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")))
-        split = texts.select("doc", tokens("text").alias("words")).withColumn("size", F.size("words")).filter("size > 0")
-        # the one shuffle of words: those of the vocabulary, gathered per document; written once
-        known = (split.select("doc", "size", F.explode("words").alias("term")).join(vocabulary, "term")
-                 .groupBy("doc", "size").agg(F.collect_list("t").alias("terms")).checkpoint(eager=True))
-        sizes = split.agg(F.count(F.lit(1)).alias("n"), F.avg("size").alias("mean")).first()  # two numbers
-        n, mean = sizes["n"], sizes["mean"] or 1.0
-        df = known.select(F.explode(F.array_distinct("terms")).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("df"))
+        split = texts.select("doc", tokens("text").alias("words")).select("doc", F.size("words").alias("size"), "words").filter("size > 0")
+        # texts are read once; counts per document and word are gathered per document and written
+        known = (split.select("doc", "size", F.explode(F.concat("words", F.array(F.lit("")))).alias("term"))
+                 .join(broadcast_if_small(vocabulary), "term").groupBy("doc", "size", "t").agg(F.count(F.lit(1)).cast("double").alias("tf"))
+                 .groupBy("doc", "size").agg(F.collect_list(F.when(F.col("t") >= 0, F.struct("t", "tf"))).alias("x")).checkpoint(eager=True))
+        n, mean = known.agg(F.count(F.lit(1)), F.coalesce(F.avg("size"), F.lit(1.0))).first()  # two numbers
+        df = known.select(F.explode("x.t").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("df"))
         idf = F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
         weighed = words.join(vocabulary, "term").join(df, "t").select("q", F.struct("t", idf.alias("idf")).alias("x"))
-        self.docs = known.select("doc", (F.lit(k1) * (1 - b + b * F.col("size") / mean)).alias("norm"), "terms")
+        self.docs = known.select("doc", (F.lit(k1) * (1 - b + b * F.col("size") / mean)).alias("norm"), F.col("x.t").alias("terms"), F.col("x.tf").alias("counts"))
         self.questions = weighed.groupBy("q").agg(F.array_sort(F.collect_list("x")).alias("x")).select(
             "q", F.col("x.t").alias("terms"), F.col("x.idf").alias("idf"), F.lit(k1 + 1).alias("scale"))
         self.values = F.size("terms")  # of a document
@@ -101,14 +103,16 @@ class Lexical:
     def pairs(docs: pa.Table, questions: pa.Table) -> list[float | None]:
         """The scores of row i of both, for each i; None without a common term."""
         d_terms, d_ends = _flat(docs.column("terms"))
+        d_counts, _ = _flat(docs.column("counts"))
         q_terms, q_ends = _flat(questions.column("terms"))
         idf, _ = _flat(questions.column("idf"))
         norm, scale = docs.column("norm").to_numpy(), questions.column("scale").to_numpy()
         out: list[float | None] = []
         for i in range(docs.num_rows):
-            counts, total = Counter(d_terms[d_ends[i]:d_ends[i + 1]].tolist()), None
+            part = slice(d_ends[i], d_ends[i + 1])
+            counts, total = dict(zip(d_terms[part].tolist(), d_counts[part].tolist())), None
             for t, w in zip(q_terms[q_ends[i]:q_ends[i + 1]].tolist(), idf[q_ends[i]:q_ends[i + 1]]):
-                if tf := float(counts[t]):
+                if tf := counts.get(t):
                     total = (total or 0.0) + w * scale[i] * (tf / (tf + norm[i]))
             out.append(None if total is None else round(float(total), RANK_DIGITS))
         return out
@@ -118,11 +122,9 @@ class Lexical:
         """Postings of the block by term, then per question a sum over its terms, in their order."""
         terms, ends = _flat(docs.column("terms"))
         row = np.repeat(np.arange(docs.num_rows), np.diff(ends))
+        counts, _ = _flat(docs.column("counts"))
         order = np.lexsort((row, terms))
-        terms, row = terms[order], row[order]
-        first = np.flatnonzero(np.diff(terms, prepend=-1) | (np.diff(row, prepend=-1) != 0))
-        counts = np.diff(np.append(first, len(terms))).astype(np.float64)
-        terms, row = terms[first], row[first]
+        terms, row, counts = terms[order], row[order], counts[order]
         weight = counts / (counts + docs.column("norm").to_numpy()[row])
 
         def score(questions: pa.Table):

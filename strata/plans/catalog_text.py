@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strata.functions.udfs import prompt_length_stub
+from strata.operators import approx_vectors
 from strata.operators import retrieval as RT
 from strata.operators import text as TX
 from strata.plans.registry import register
@@ -227,6 +228,16 @@ def n10(spark, sf):
     return top.select("q_id", "doc_id", F.round("score", 6).alias("score"), "rank")
 
 
+@register("n10_approximate_recall", with_(extra=_VEC_SQL) + """
+SELECT COUNT(DISTINCT q_id) AS questions, COUNT(*) AS exact_pairs, TRUE AS recall_at_least_90 FROM vec_rank WHERE rank <= 3""")
+def n10_recall(spark, sf):
+    """The approximate search of all questions against the exact one."""
+    docs, questions = D.document_vectors(spark, sf), D.question_vectors(spark, sf)
+    found = approx_vectors.ProjectionTables(docs, 3).top_k(questions)
+    r = approx_vectors.recall(found, RT.vector_top_k(docs, questions, 3))
+    return r.select("questions", "exact_pairs", (F.col("recall") >= 0.9).alias("recall_at_least_90"))
+
+
 _HYBRID_SQL = {
     "fused": """SELECT q_id, doc_id, round(SUM(1.0 / (60 + rank)), 9) AS score FROM (
                    SELECT q_id, doc_id, rank FROM bm_rank

@@ -326,3 +326,23 @@ def test_high_water_is_a_literal_in_the_scan(spark):
     plan = newer._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "GreaterThan(l_shipdate,1996-06-29" in plan
     assert newer.count() == li.filter("l_shipdate >= timestamp_ntz'1996-06-30 00:00:00'").count()
+
+
+def test_approximate_vectors_with_copies_and_fallback(spark):
+    from strata.operators import approx_vectors as AV
+
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(20, 16))
+    data = {i: centres[i % 20] + 0.3 * rng.normal(size=16) for i in range(1500)} | {i: centres[0] for i in range(2000, 2600)}  # and a heap of copies
+    d = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in data.items()], "doc_id long, embedding array<double>").repartition(3)
+    q = spark.createDataFrame([(i, [float(x) for x in centres[i] + 0.2 * rng.normal(size=16)]) for i in range(20)] + [(20, [0.0] * 16)], "q_id long, embedding array<double>")
+    index = AV.ProjectionTables(d, 3)
+    assert index.vectors.count() == 1503 and index.index.count() == 1503 * AV.TABLES
+    exact = RT.vector_top_k(d, q, 3)
+    found = index.top_k(q)
+    assert AV.recall(found, exact).first().recall >= 0.9
+    assert rows(found.filter("q_id = 0"), "doc_id", "rank") == rows(exact.filter("q_id = 0"), "doc_id", "rank")  # ids of copies in order
+    right = {(r.q_id, r.doc_id): r.score for r in RT.vector_top_k(d, q, 3000).collect()}
+    assert all(right[r.q_id, r.doc_id] == pytest.approx(r.score, abs=1e-8) for r in found.collect())
+    tiny = AV.ProjectionTables(d.limit(2), 3)
+    assert tiny.top_k(q).count() == 42 and rows(tiny.top_k(q)) == rows(RT.vector_top_k(d.limit(2), q, 3))  # too few met: searched exactly
