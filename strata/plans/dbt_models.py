@@ -108,9 +108,10 @@ def merge_customers(spark: SparkSession, feed: DataFrame, dim: BucketedTable, cl
     if not has_data(feed).first().has_data:
         return "No new data in stream"
     src = collapse_feed(feed, dim.keys).checkpoint(eager=True)
-    # the count comes from the same join the merge applies (clauses are deterministic)
-    target_part = dim.read().join(src.select(*dim.keys), dim.keys, "left_semi")
+    # the count comes from the same join the merge applies (clauses are deterministic), over the touched buckets only
+    touched = dim.touched_partitions(src)
+    target_part = dim.read_touched(src, touched).join(src.select(*dim.keys), dim.keys, "left_semi")
     n = merge_counts(merge_into(target_part, src, dim.keys, clauses, defaults, with_action=True)) \
         .first().rows_affected
-    dim.merge(src, lambda t, s: merge_into(t, s, dim.keys, clauses, defaults), batch_id=batch_id)
+    dim.merge(src, lambda t, s: merge_into(t, s, dim.keys, clauses, defaults), batch_id=batch_id, touched=touched)
     return f"Merge complete: {n} rows affected"
