@@ -7,7 +7,10 @@ score is the article, or the ``article`` or ``main`` element around it, which
 is taken whole. Siblings with few links are kept if they hold text of some
 length or a sentence, and so are headings, lists and other pieces between or
 next to kept ones. Menus, page headers, footers, sidebars, notices, adverts,
-forms, scripts, styles and reader comments never enter the tree.
+forms, scripts, styles and reader comments don't enter the tree. What is furniture
+by a name only, or is a form, must have less text than the article: if it holds
+the container that scores best without it, it stays. Lists of links in ``main``
+go with their headings.
 
 Defined results
 * Null and empty pages, and pages without text, give the empty text.
@@ -35,7 +38,7 @@ from strata.llm.common import slices, with_fields
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr b bdi bdo big cite code data dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
 PARAGRAPH = frozenset("p pre blockquote li dd dt td th h1 h2 h3 h4 h5 h6 figcaption caption summary".split())
-DROPPED = frozenset("nav footer aside form script style noscript template iframe object svg math button select textarea dialog menu title head video audio canvas map".split())
+DROPPED = frozenset("nav footer aside script style noscript template iframe object svg math button select textarea dialog menu title head video audio canvas map".split())
 LISTS = frozenset("ul ol dl table".split())
 CLOSED_BY_BLOCK = frozenset("p h1 h2 h3 h4 h5 h6".split())
 # fixed values: the implied ends of HTML, for what is open inside furniture
@@ -50,19 +53,24 @@ SCOPE = ("table", "caption", "td", "th", "object", "template", "select", "math",
 RAW = ("script", "style", "textarea", "title", "noscript", "template", "iframe", "svg")
 # fixed values: words that name page furniture in class and id attributes, and roles that do
 FURNITURE = re.compile(
-    r"(?:ads?|advert\w*|banner|breadcrumbs?|byline|comments?|commentlist|consent|cookies?|disqus|footer|gdpr|masthead|menu|modal|nav\w*|"
-    r"newsletter|notices?|overlay|paywall|popup|promo\w*|recommended|related|replies|respond|share|sharing|sidebar|signup|site-?header|skip|social|sponsor\w*|"
+    r"(?:ads?|advert\w*|banner|breadcrumbs?|byline|comments?|commentlist|consent|cookies?|disqus|footer|gdpr|masthead|menu|modal|nav|navbar|navigation|navi|navmenu|"
+    r"newsletter|notices?|overlay|paywall|popup|promo\w*|recommended|related|replies|respond|share|sharing|sidebar|signup|skip|social|sponsor\w*|"
     r"subscribe|tags|toolbar|widget)")
-# fixed values: words that say a wrapper has furniture or in which state it is, and plain names of boxes
+# fixed values: those that name reader comments and consent, however long their text is
+NEVER_TEXT = frozenset("comment comments commentlist consent cookie cookies disqus gdpr replies respond".split())
+# fixed values: words that say a wrapper has furniture or in which state it is; plain names of boxes; where a box stands
 MODIFIERS = frozenset("has have with without no non not is are show hide open opened closed enabled disabled active visible layout".split())
-BOXES = frozenset("area bar block box button buttons container content field form group inner item items link links list panel posts section slot text title unit".split())
+BOXES = frozenset("area articles bar block box button buttons container content field form group icon icons inner item items link links list media news panel posts section "
+                  "slot stories text title unit".split())
+PLACES = frozenset("article bottom desktop entry fixed global left main mobile page post primary right secondary site sticky sub top wp".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar toolbar".split())
 KEEP = frozenset("html body article main".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<(" + "|".join(RAW) + r")(?=[\s/>])[^>]*(?<!/)>.*?(?:</\1\s*>|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|"
     r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S | re.I)
-_NAMED = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+# one attribute, its value with it, so that a value is never read as names
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?|["']""")
 
 
 _UNQUOTED = re.compile(r"=\s*[^\s\"'>]+/$")  # a slash that ends a value, not the tag
@@ -73,27 +81,26 @@ def _self_closed(attributes: str | None) -> bool:
 
 
 @lru_cache(maxsize=1 << 14)
-def _names_furniture(value: str) -> bool:
-    """Whether a class or id has a furniture word as a whole token, as its
-    first word or as its head word (before plain names of boxes). A token with
-    a modifier (``has-sidebar``, ``with-comments``) tells of a wrapper."""
+def _names_furniture(value: str) -> str:
+    """The furniture word of a class or id: a token that is one, beside plain
+    names of boxes and places only. Other words beside it (``share-prices``)
+    speak of something else; a modifier (``has-sidebar``) tells of a wrapper."""
     for token in value.lower().split():
-        words = [w for w in re.split(r"[_-]+", token) if w]
-        if not words or not MODIFIERS.isdisjoint(words):
-            continue
-        head = len(words) - 1
-        while head and words[head] in BOXES:
-            head -= 1
-        if FURNITURE.fullmatch(token) or FURNITURE.fullmatch(words[0]) or FURNITURE.fullmatch(words[head]) or words[head] == "header" and words[head - 1] == "site":
-            return True
-    return False
+        words = [w for w in re.split(r"[_-]+", token) if w and not w.isdigit()]
+        named = [w for w in words if FURNITURE.fullmatch(w)] or (["header"] if words[:2] == ["site", "header"] else [])
+        if FURNITURE.fullmatch(token) or named and all(w in named or w in BOXES or w in PLACES for w in words) and MODIFIERS.isdisjoint(words):
+            return next(iter(named), token)
+    return ""
+
+
+SOME_TEXT = 100  # characters; what is named furniture and has less says nothing against a short text beside it
 
 
 class Node:
-    __slots__ = ("tag", "parent", "score", "order", "at")
+    __slots__ = ("tag", "parent", "score", "order", "at", "named")
 
     def __init__(self, tag: str, parent: Node | None, at: int) -> None:
-        self.tag, self.parent, self.score, self.at = tag, parent, 0.0, at
+        self.tag, self.parent, self.score, self.at, self.named = tag, parent, 0.0, at, False  # at: where in the page it starts
         self.order: list = []  # nodes and blocks in page order
 
 
@@ -110,21 +117,32 @@ class Block:
         return " ".join(unescape("".join(self.parts)).split())
 
 
-def _is_furniture(tag: str, attributes: str, inside_article: bool) -> bool:
-    if tag in DROPPED or tag == "header" and not inside_article:
-        return True
+def _furniture(tag: str, attributes: str, inside_article: bool, parent: str) -> str:
+    """"sure" (by its element, role or hiding, or comments), "named" (by a
+    class, an id, or as a form: text that is longer than all else says
+    otherwise) or "" (text)."""
+    if tag in DROPPED or tag == "header" and not inside_article and parent in ("", "html", "body"):
+        return "sure"
+    named = "named" if tag == "form" else ""
     if not attributes or tag in KEEP:
-        return False
-    for name, value in _NAMED.findall(attributes):
-        name, value = name.lower(), value.strip("\"'")
-        if name in ("class", "id") and _names_furniture(value) or name == "role" and value.lower() in ROLES or name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
-    return False
-
-
-def parse(html: str) -> tuple[Node, list[tuple[Node, Block]]]:
-    """The tree of a page, and its blocks with the nodes that hold them."""
+        return named
+    for found in _ATTRIBUTE.finditer(attributes):
+        name, value = (found[1] or "").lower(), (found[2] or "").strip("\"'")
+        if name == "role" and value.lower() in ROLES or name == "hidden" or name == "aria-hidden" and value.lower() == "true":
+            return "sure"
+        if name in ("class", "id") and (word := _names_furniture(value)):
+            if word in NEVER_TEXT:
+                return "sure"
+            named = "named"
+    return named
+
+
+def parse(html: str, spared: frozenset[int] | None = frozenset()) -> tuple[Node, list[tuple[Node, Block]], int]:
+    """The tree of a page, its blocks with the nodes that hold them, and how much
+    text was left out in named furniture. Elements that start at ``spared``
+    places (None: all) stay though they are named so."""
     root = here = Node("", None, 0)
+    left_out, named_depth = 0, 0  # the depth in dropped furniture at which a named one began
     blocks: list[tuple[Node, Block]] = []
     block: Block | None = None
     dropped: list[str] = []  # open elements inside dropped furniture
@@ -159,8 +177,10 @@ def parse(html: str) -> tuple[Node, list[tuple[Node, Block]]]:
             undrop(1)
 
     def words(text: str) -> None:
-        nonlocal block
+        nonlocal block, left_out
         if dropped or not text:
+            if dropped and named_depth:
+                left_out += len(text.strip())
             return
         if block is None:
             if text.isspace():
@@ -206,7 +226,8 @@ def parse(html: str) -> tuple[Node, list[tuple[Node, Block]]]:
         if tag in INLINE:
             if tag == "a":
                 link = 0 if closing else 1
-            if not closing and _is_furniture(tag, attributes, articles > 0):
+            if not closing and (kind := _furniture(tag, attributes, articles > 0, here.tag)) and not (kind == "named" and (spared is None or token.start() in spared)):
+                named_depth = kind == "named"
                 drop(tag, attributes)
             continue
         block, link = None, 0
@@ -217,12 +238,18 @@ def parse(html: str) -> tuple[Node, list[tuple[Node, Block]]]:
                 leave()
                 articles -= tag in ("article", "main")
             continue
-        if here.tag in CLOSED_BY_BLOCK or here.tag == tag and tag in ("li", "td", "th", "dd", "dt", "tr"):
+        closes = CLOSES.get(tag, ())
+        if here.tag in CLOSED_BY_BLOCK:
             leave()
-        if _is_furniture(tag, attributes, articles > 0):
+        while here.tag in closes:
+            leave()
+        kind = _furniture(tag, attributes, articles > 0, here.tag)
+        if kind and not (kind == "named" and (spared is None or token.start() in spared)):
+            named_depth = kind == "named"
             drop(tag, attributes)
             continue
-        node = Node(tag, here, len(blocks))
+        node = Node(tag, here, token.start())
+        node.named = kind == "named"
         here.order.append(node)
         here = node
         is_open[tag] += 1
@@ -231,7 +258,7 @@ def parse(html: str) -> tuple[Node, list[tuple[Node, Block]]]:
     if "<" in rest:  # a tag that the page breaks off in
         rest = rest[:rest.rindex("<")] if re.match(r"<[a-zA-Z/!]", rest[rest.rindex("<"):]) else rest
     words(rest)
-    return root, blocks
+    return root, blocks, left_out
 
 
 def _gather(node: Node, out: list[str]) -> None:
@@ -266,12 +293,9 @@ def _points(text: str, linked: int) -> tuple[float, float]:
     return (0.5 + text.count(",") + min(3.0, len(text) / 100)) * (1 - density), density
 
 
-def main_text(html: str | None) -> str:
-    """The article's blocks, joined by line ends."""
-    if not html:
-        return ""
-    root, blocks = parse(html)
-    sizes: dict[Node, list] = {}  # characters, linked ones and the last character of a node's text
+def _score(root: Node, blocks: list[tuple[Node, Block]]) -> tuple[Node, dict[Node, list]]:
+    """The container with the best score, and per node the characters and linked characters right in it."""
+    sizes: dict[Node, list] = {}
     for node, block in blocks:
         text = block.text()
         if not text:
@@ -280,13 +304,10 @@ def main_text(html: str | None) -> str:
         # a paragraph's container is its parent; text right inside a container counts for it
         holder = node.parent if block.paragraph and node.parent is not None else node
         holder.score += points
-        own = sizes.setdefault(node, [0, 0, ""])
+        own = sizes.setdefault(node, [0, 0])
         own[0] += len(text)
         own[1] += block.linked
-    nodes, todo = [], [root]
-    while todo:
-        nodes.append(todo.pop())
-        todo += [x for x in reversed(nodes[-1].order) if isinstance(x, Node)]
+    nodes = _below(root)
     passed: dict[Node, float] = {}  # what a container has from below its own paragraphs
     for node in reversed(nodes):  # children come before their parent
         below = passed.get(node, 0.0)
@@ -300,21 +321,30 @@ def main_text(html: str | None) -> str:
     around = best
     while around is not None and around.tag not in ("article", "main"):
         around = around.parent
-    best = around or best
+    return around or best, sizes
+
 
+def _below(root: Node) -> list[Node]:
+    """``root`` and all nodes in it, in page order."""
+    nodes, todo = [], [root]
+    while todo:
+        nodes.append(todo.pop())
+        todo += [x for x in reversed(nodes[-1].order) if isinstance(x, Node)]
+    return nodes
+
+
+def _kept(best: Node, sizes: dict[Node, list]) -> list[str]:
+    """The container's blocks, and those of its siblings that are text."""
     def sized(item) -> tuple[int, int, str]:
         out: list[str] = []
         if isinstance(item, Block):
             text = item.text()
             return len(text), item.linked, text[-1:]
         _gather(item, out)
-        linked, todo = 0, [item]
-        while todo:
-            node = todo.pop()
-            linked += sizes.get(node, (0, 0))[1]
-            todo += [x for x in node.order if isinstance(x, Node)]
-        return sum(map(len, out)) + max(0, len(out) - 1), linked, out[-1][-1:] if out else ""
+        return sum(map(len, out)) + max(0, len(out) - 1), sum(sizes.get(node, (0, 0))[1] for node in _below(item)), out[-1][-1:] if out else ""
 
+    if best.tag == "main":
+        _drop_link_lists(best, sizes)
     if best.parent is None:
         kept: list = [best]
     else:
@@ -322,6 +352,8 @@ def main_text(html: str | None) -> str:
         for item in best.parent.order:
             chars, linked, last = sized(item)
             density = min(1.0, linked / max(1, chars))
+            if isinstance(item, Node) and item.tag == "header" and item is not best and best.tag not in ("article", "main"):
+                continue  # of what is around the text
             if item is best or chars and (density < 0.25 and chars > 80 or density == 0 and last in ".!?"):
                 kept.append((item, "text"))
             elif chars and density < 0.5:
@@ -335,6 +367,58 @@ def main_text(html: str | None) -> str:
             out.append(item.text())
         else:
             _gather(item, out)
+    return out
+
+
+def _drop_link_lists(main: Node, sizes: dict[Node, list]) -> None:
+    """Take lists of links, each with its heading, out of a page's ``main``:
+    unlike an ``article`` it may hold more than the text."""
+    totals: dict[Node, list] = {}
+    nodes = _below(main)
+    for node in reversed(nodes):
+        own = list(sizes.get(node, (0, 0)))
+        for child in node.order:
+            if isinstance(child, Node):
+                own[0] += totals[child][0]
+                own[1] += totals[child][1]
+        totals[node] = own
+
+    def links(item) -> bool:
+        return isinstance(item, Node) and item.tag not in INLINE | CLOSED_BY_BLOCK and totals[item][1] > 0 and totals[item][1] >= 0.5 * totals[item][0]
+
+    gone: set[int] = set()
+    for node in nodes:
+        if id(node) in gone:
+            gone.update(id(x) for x in node.order)
+            continue
+        kept: list = []
+        for item in node.order:
+            if links(item):
+                gone.add(id(item))
+                if kept and isinstance(kept[-1], Node) and kept[-1].tag in _HEADINGS:
+                    gone.add(id(kept.pop()))
+            else:
+                kept.append(item)
+        node.order = kept
+
+
+def main_text(html: str | None) -> str:
+    """The article's blocks, joined by line ends."""
+    if not html:
+        return ""
+    root, blocks, left_out = parse(html)
+    out = _kept(*_score(root, blocks))
+    if left_out > sum(map(len, out)):
+        # named furniture held more than the text: does what is named so hold the article?
+        best, sizes = _score(*parse(html, None)[:2])
+        spared, node = set(), best
+        while node is not None:
+            if node.named:
+                spared.add(node.at)
+            node = node.parent
+        held = [sizes.get(x, (0, 0)) for x in _below(best)]
+        if spared and sum(n - linked for n, linked in held) > max(2 * sum(map(len, out)), SOME_TEXT if out else 0):
+            out = _kept(*_score(*parse(html, frozenset(spared))[:2]))
     return "\n".join(out)
 
 

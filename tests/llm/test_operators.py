@@ -342,6 +342,29 @@ def test_furniture_ends_where_html_says():
     assert html_text.main_text("<div><nav><table><tr><td>Menu</div>still menu</td></tr></table></nav><p>Text.</p></div>") == "Text."
 
 
+def test_no_article_is_lost_to_a_name():
+    one, two = "A first paragraph, with commas, and quite some words in it, as text has.", "A second paragraph, which goes on, and ends the text."
+    art, want = f"<p>{one}</p><p>{two}</p>", [one, two]
+    around = ('div style="overflow: hidden"', 'div data-note="a hidden thing"', 'div data-x="my class=menu"', "div data-x='role=navigation id=menu'", 'form id="aspnetForm" action="/x"',
+              'div class="bg-navy"', 'div class="social-history"', 'div class="navy-theme share-prices"', 'div class="overlay"', 'section id="tags"', "div title='a > b hidden'")
+    for box in around:
+        name = box.split()[0]
+        for inner in (art, f"<article>{art}</article>", f"<div class=c>{art}</div>"):
+            for page in (f"<{box}>{inner}</{name}>", f"<body><nav><a href=/>Menu</a></nav><{box}><div class=sidebar>Side.</div>{inner}<input value=x></{name}><footer>Imprint</footer>"):
+                assert html_text.main_text(page).split("\n") == want, page
+    for box in ("class=share-prices", "class='social-history'", "id=notice-board-history"):
+        assert html_text.main_text(f"<article>{art}<section {box}><p>Prices rose.</p></section></article>").split("\n") == [*want, "Prices rose."], box
+    assert html_text.main_text(f"<div><div class=post><header><h1>Title</h1></header>{art}</div></div>").split("\n") == ["Title", *want]
+    stories = "<h2>More stories</h2><ul>" + "".join(f"<li><a href=/{i}>Another story, number {i}, is here</a></li>" for i in range(6)) + "</ul>"
+    for main in (f"<main>{art}{stories}</main>", f"<main><div>{art}</div><div>{stories}</div></main>", f"<main><h1>Title</h1>{art}<section>{stories}</section><p>End.</p></main>"):
+        got = html_text.main_text(f"<body><nav>x</nav>{main}<footer>y</footer>").split("\n")
+        assert got in ([*want], ["Title", *want, "End."]), main
+    long = "I, a reader, think, that this is, well, long, and great, and so on, and on. " * 30
+    for box in ("id=comments", "class='post-comments'", "class=comment-list", "class='cookie-consent'"):  # however long
+        assert html_text.main_text(f"<div class=post>{art}<div {box}><p>{long}</p></div></div>").split("\n") == want, box
+    assert html_text.main_text(f"<div>{art}<form><p>Your name, please, and your address, and what you think.</p><input></form></div>").split("\n") == want
+
+
 def test_html_edges(spark):
     for page in (None, "", "<", "<p", "&", "<html><body></body></html>", "<!-- <p>x</p>", "</div></p>"):
         assert html_text.main_text(page) in ("", "<", "&")
