@@ -9,7 +9,7 @@ Defined results
 * Of equal texts in one batch the longest original (code points) stays, then
   the smallest id. A text that an earlier batch brought keeps that batch's id.
 * Rows that repeat an id and a text are one document: all carry ``kept``.
-* A null id sorts after all others, and stays only if no other row has one.
+* Ids are of any type that can be ordered. A null id sorts after all others, and stays only if no other row has one.
 * Adding a batch again changes nothing and gives the same decisions.
 * An empty batch gives no rows. Other columns of the input are ignored.
 """
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import keep_rows, materialize, row_id
 from strata.session import scratch_path
+from strata.sources import files
 
 BLANKS = r"[\x20\x09-\x0D]+"
 
@@ -36,17 +37,23 @@ class DigestIndex:
     """The digests seen so far and the id of the document that stays for each.
 
     ``path`` names the table's folder, on storage that all executors share; a
-    later session that gives the same path and bucket count goes on with it.
-    ``buckets`` (default: the session's shuffle partitions) should make a
-    bucket a few hundred MB at the size the index will reach.
+    later session that gives the same path goes on with it. ``buckets``
+    (default: the session's shuffle partitions) should make a bucket a few
+    hundred MB at the size the index will reach. It and the id type are stored
+    in the folder: an index keeps them, whatever a later session's settings are.
     """
 
     def __init__(self, spark: SparkSession, path: str, id_type: str = "bigint", buckets: int | None = None) -> None:
         self.spark, self.path = spark, path
         self.name = "strata_digests_" + hashlib.md5(path.encode()).hexdigest()[:12]
-        n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        stored = [x.split("-", 1) for x in files.names(spark, f"{path}/_layout")]
+        if stored and stored[0][1] != id_type:
+            raise ValueError(f"the index holds ids of type {stored[0][1]}")
+        n = int(stored[0][0]) if stored else buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets, self.layout = n, f"{path}/_layout/{n}-{id_type}"
         spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} (digest STRING, keep_id {id_type}, n_chars INT) USING parquet "
                   f"CLUSTERED BY (digest) SORTED BY (digest) INTO {n} BUCKETS LOCATION '{path}'")
+        files.touch(spark, self.layout)
 
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
@@ -60,6 +67,13 @@ class DigestIndex:
         return (groups.drop("keep_id", "n_chars").hint("merge")
                 .join(self.read().select("digest", "keep_id"), "digest"))
 
+    def compact(self) -> None:
+        """Write each bucket as one sorted file again, as appends add files. The
+        rows are copied first; if the rewrite breaks off, write them again from that copy."""
+        rows = materialize(self.read(), "digest-copy")
+        rows.repartition(self.buckets, "digest").write.insertInto(self.name, overwrite=True)
+        files.touch(self.spark, self.layout)
+
 
 def dedup(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Add the documents to the index. One row per document: ``doc_id,
@@ -69,10 +83,10 @@ def dedup(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col:
         F.char_length(F.coalesce(F.col(text_col), F.lit(""))).alias("n_chars"),
         row_id(F.col(id_col), F.col(text_col)).alias("rid")), "digests")
     # the partial aggregate leaves one row per digest and task, however large a group is
-    best = F.struct("n_chars", F.col("doc_id").isNotNull().alias("has_id"), (-F.col("doc_id")).alias("first"))
+    best = F.struct((-F.col("n_chars")).alias("shorter"), F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"))
     groups = materialize(
-        rows.groupBy("digest").agg(F.max(best).alias("best"), F.count(F.lit(1)).alias("group_size"))
-        .select("digest", (-F.col("best.first")).alias("keep_id"), F.col("best.n_chars").alias("n_chars"), "group_size"),
+        rows.groupBy("digest").agg(F.min(best).alias("best"), F.count(F.lit(1)).alias("group_size"))
+        .select("digest", F.col("best.id").alias("keep_id"), (-F.col("best.shorter")).alias("n_chars"), "group_size"),
         "digest-groups")
     # written, so that both sides of the last join are shuffled and a hot digest can be split
     decided = materialize(index.add(groups), "digest-decisions")
