@@ -8,8 +8,8 @@ weighs the passages, with weights learned from document labels alone, and a
 logistic unit scores the weighted representation.
 
 The model is fitted on at most ``max_labelled`` documents (in expectation,
-chosen by hash of the text), and of a document's passages on
-``max_passages`` spread evenly over it; scoring reads every passage.
+chosen by hash of the id), each with every passage; rows that share an id and
+texts that are copies of each other count once. Scoring reads every passage.
 
 Defined results
 * Null and blank texts are one passage without words and are scored like any other.
@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -158,7 +159,7 @@ def train(bags: list[np.ndarray], labels: np.ndarray, hidden: int = 24, attentio
     return Model(mean, scale, p)
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 4000, max_passages: int = 64, id_col: str = "doc_id", text_col: str = "text") -> Model:
+def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 4000, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Fit on labelled rows outside the held-out fold. Per label, at most
     ``max_labelled / 2`` documents in expectation are taken."""
     known = (labels.where(F.col("quality").isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col))
@@ -166,20 +167,20 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 4000, max_passag
              .where(F.col("label") == F.col("least")).select(F.col(id_col).alias("i"), "label"))
     share = known.groupBy("label").count().select(F.col("label").alias("l"), (F.lit(float(1 << 30)) * (max_labelled / 2) / F.col("count")).alias("share"))
     chosen = known.join(F.broadcast(share), F.col("label") == F.col("l")).where(F.pmod(F.xxhash64("i"), F.lit(1 << 30)) < F.col("share")).select("i", "label")
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), F.col("id") == F.col("i")).select("id", "label", "text")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), F.col("id") == F.col("i"))
+    texts = (texts.groupBy("id", "label").agg(F.min("text").alias("text"))  # an id may come with several rows, a text with several ids
+             .groupBy("label", F.xxhash64("text").alias("hash")).agg(F.min(F.struct("id", "text")).alias("one")).select("one.id", "label", "one.text"))
 
     def features(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                bags = []
-                for t in part.column("text").to_pylist():
-                    bag = passages(t)
-                    bags.append(bag[np.linspace(0, len(bag) - 1, min(max_passages, len(bag))).astype(int)].ravel())
+                bags = [passages(t).ravel() for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("label"), pa.array(bags, pa.list_(pa.float32()))], names=["id", "label", "bag"])
 
     schema = T.StructType([texts.schema["id"], texts.schema["label"], T.StructField("bag", T.ArrayType(T.FloatType()))])
     sample = texts.mapInArrow(features, schema).toArrow().sort_by([("id", "ascending")])  # the same model whatever order rows came in
-    bags = [np.array(b, np.float32).reshape(-1, N_FEATURES) for b in sample.column("bag").to_pylist()]
+    ends = np.cumsum(pc.list_value_length(sample.column("bag")).to_numpy())
+    bags = [b.reshape(-1, N_FEATURES) for b in np.split(pc.list_flatten(sample.column("bag")).to_numpy(), ends[:-1])] if len(ends) else []
     return train(bags, sample.column("label").to_numpy())
 
 
