@@ -314,9 +314,9 @@ def train(lines: list[str], epochs: int = 250, seed: int = 11) -> Model:
 
 
 def fit(docs: DataFrame, sample_lines: int = 1500, text_col: str = "text") -> Model:
-    """Train with one line each of about ``sample_lines`` documents."""
+    """Train with one line each of about ``sample_lines`` different texts."""
     text = F.col(text_col)
-    total = docs.where(text.isNotNull()).count()
+    total = docs.where(text.isNotNull()).select(F.xxhash64(text)).distinct().count()  # copies count once, here as below
     if not total:
         return train([])
     line = F.split(text, "\n")
