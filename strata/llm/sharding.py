@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strata.llm.common import blocks_for, materialize, number_in_groups
+from strata.llm.common import blocks_for, fresh, materialize, number_in_groups
 
 ROWS_PER_BLOCK = 4096
 NUMPY_LIMIT = 10**9  # fixed value: Generator.hypergeometric takes fewer than this of each kind
@@ -67,9 +67,10 @@ def shard(df: DataFrame, n_shards: int, seed: int = 0) -> DataFrame:
 
     The driver holds one row of counts per input partition, never rows of data.
     """
-    spark, cols = df.sparkSession, [c for c in df.columns if c not in ("shard", "slot")]
+    spark, src = df.sparkSession, df.drop("shard", "slot")
+    carried = F.struct(*(F.col(f"`{c}`") for c in src.columns)).alias("row")  # in one column, so that no name clashes
     # written, so that partition and row numbers stay what they are if a task runs again
-    rows = materialize(df.select(*cols, F.spark_partition_id().alias("_part"),
+    rows = materialize(src.select(carried, F.spark_partition_id().alias("_part"),
                                  F.monotonically_increasing_id().alias("_uid")), "shard-input")
     rows = rows.withColumn("_first", F.xxhash64(F.lit(seed), F.lit(1), "_uid")).withColumn("_second", F.xxhash64(F.lit(seed), F.lit(2), "_uid"))
     counts = [(r[0], r[1]) for r in rows.groupBy("_part").count().orderBy("_part").collect()]
@@ -82,14 +83,15 @@ def shard(df: DataFrame, n_shards: int, seed: int = 0) -> DataFrame:
     sent = (rows.withColumn("_at", F.row_number().over(local) - 1)
             .join(cuts, F.col("_part") == F.col("_p"))
             .withColumn("shard", F.size(F.filter("_cuts", lambda x: x <= F.col("_at"))))
-            .select(*cols, "_uid", "_second", "shard"))
+            .select("row", "_uid", "_second", "shard"))
     blocks = F.lit(blocks_for(max(shard_sizes), ROWS_PER_BLOCK))
-    return number_in_groups(sent, "shard", "_second", blocks, ["_uid"], "slot").select(*cols, "shard", "slot")
+    return number_in_groups(sent, "shard", "_second", blocks, ["_uid"], "slot").select("row.*", "shard", "slot")
 
 
 def write_shards(df: DataFrame, n_shards: int, path: str, seed: int = 0, rows_per_file: int = 100_000) -> None:
     """Write ``df`` as one folder per shard, in slot order within each file;
     ``rows_per_file`` cuts shards, so no task writes a whole one."""
-    (shard(df, n_shards, seed).withColumn("part", F.floor(F.col("slot") / rows_per_file))
-     .repartition("shard", "part").sortWithinPartitions("shard", "part", "slot")
-     .write.partitionBy("shard", "part").parquet(path))
+    part = fresh(df, "part")
+    (shard(df, n_shards, seed).withColumn(part, F.floor(F.col("slot") / rows_per_file))
+     .repartition("shard", part).sortWithinPartitions("shard", part, "slot")
+     .write.partitionBy("shard", part).parquet(path))
