@@ -135,10 +135,12 @@ def _walk(k: int):
                     continue
                 if tree is None:
                     tree = BallTree(np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]))
+                numbers = part.column("qn").to_numpy()
                 floor = part.column("floor").to_numpy(zero_copy_only=False)
                 for at in range(0, len(ids), 1024):
                     rows, found, scores = tree.search(ids[at:at + 1024], vectors[at:at + 1024], floor[at:at + 1024], k)
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[at:at + 1024][rows]), pa.array(found), pa.array(scores)], names=["query_id", "vec_id", "score"])
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[at:at + 1024][rows]), pa.array(numbers[at:at + 1024][rows]), pa.array(found), pa.array(scores)],
+                                                     names=["query_id", "qn", "vec_id", "score"])
 
     return run
 
@@ -147,26 +149,26 @@ def search(rows: DataFrame, queries: DataFrame, k: int, rows_per_shard: int = 16
     """``query_id, rank, vec_id, score``: the best ``k`` of ``rows`` for each
     row of ``queries`` (both ``id`` long, ``v`` array of long, not null)."""
     rows = materialize(rows.select("id", "v", F.size("v").alias("dim")), "vectors")
-    queries = materialize(queries.select("id", "v", F.size("v").alias("dim")), "queries")
+    queries = materialize(queries.select("id", "v", F.size("v").alias("dim"), F.monotonically_increasing_id().alias("qn")), "queries")
     n = blocks_for(rows.count(), rows_per_shard)
     home = F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
-    candidates = rows.select(home.alias("shard"), "dim", F.lit(False).alias("is_query"), "id", "v", F.lit(0).cast("long").alias("floor"))
+    candidates = rows.select(home.alias("shard"), "dim", F.lit(False).alias("is_query"), "id", "v", F.lit(0).cast("long").alias("floor"), F.lit(0).cast("long").alias("qn"))
 
     def walked(asked: DataFrame) -> DataFrame:
-        dealt = (candidates.unionByName(asked.select("shard", "dim", F.lit(True).alias("is_query"), "id", "v", "floor"))
+        dealt = (candidates.unionByName(asked.select("shard", "dim", F.lit(True).alias("is_query"), "id", "v", "floor", "qn"))
                  .repartition("shard").sortWithinPartitions("shard", "dim", "is_query"))
-        return dealt.mapInArrow(_walk(k), "query_id long, vec_id long, score long")
+        return dealt.mapInArrow(_walk(k), "query_id long, qn long, vec_id long, score long")
 
     lowest = F.lit(-(1 << 63) + 1)
     first = materialize(walked(queries.withColumn("shard", home).withColumn("floor", lowest)), "home-shard")
     # the k-th score of the home shard is a floor for all others; a third column counts that there are k
-    floors = first.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("kth"))
+    floors = first.groupBy("qn").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("kth"))
     if n == 1:
         everything = first
     else:
-        asked = (queries.join(floors, F.col("id") == F.col("query_id"), "left")
+        asked = (queries.join(floors, "qn", "left")
                  .withColumn("floor", F.coalesce("kth", lowest)).withColumn("home", home)
                  .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).where("shard <> home"))
         everything = first.unionByName(materialize(walked(asked), "other-shards"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("qn").orderBy(F.desc("score"), "vec_id")
     return everything.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
