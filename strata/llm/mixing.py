@@ -78,6 +78,11 @@ def schedule(weights: Mapping[str, int], blocks: Mapping[str, int]) -> list[dict
     return phases
 
 
+def _identity(id_col: str, text_col: str, source_col: str) -> Column:
+    """A row's identity: one document may come from several sources."""
+    return F.concat_ws("|", row_id(F.col(id_col), F.col(text_col)), F.coalesce(F.col(source_col), F.lit("")))
+
+
 def mix(docs: DataFrame, weights: Mapping[str, int], block_rows: int = 16, seed: int = 0,
         source_col: str = "source", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, source, class, rid, block, place,
@@ -92,7 +97,7 @@ def mix(docs: DataFrame, weights: Mapping[str, int], block_rows: int = 16, seed:
     cls = F.when(F.col(source_col).isin(named), F.col(source_col)).otherwise(F.lit(OTHER)) if named else F.lit(OTHER)
     rows = materialize(docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), cls.alias("class"),
-        row_id(F.col(id_col), F.col(text_col)).alias("rid"),
+        _identity(id_col, text_col, source_col).alias("rid"),
         F.xxhash64(F.lit(seed), F.col(id_col), F.xxhash64(F.col(text_col))).alias("_order")), "mix-rows")
     counts = {r["class"]: r["count"] for r in rows.groupBy("class").count().collect()}  # one row per weight
     n_blocks = {c: blocks_for(counts[c], block_rows) for c in weights if c in counts}
@@ -126,7 +131,7 @@ def with_places(docs: DataFrame, weights: Mapping[str, int], block_rows: int = 1
     places, however they are stored; rows that repeat a document share its first."""
     first = mix(docs, weights, block_rows, seed, source_col, id_col, text_col).groupBy("rid").agg(F.min(F.struct("slot", "place")).alias("at"))
     slots = materialize(first.select(F.col("rid").alias(rid), F.col("at.slot").alias(slot), F.col("at.place").alias(place)), "slots")
-    return docs.withColumn(rid, row_id(F.col(id_col), F.col(text_col))).join(slots, rid)
+    return docs.withColumn(rid, _identity(id_col, text_col, source_col)).join(slots, rid)
 
 
 def in_mixed_order(docs: DataFrame, weights: Mapping[str, int], block_rows: int = 16, seed: int = 0,
