@@ -197,6 +197,42 @@ def c05_stored(spark, sf):
     return dim.read().select("*", F.lit(first).alias("first_call"), F.lit(second).alias("second_call"))
 
 
+@register("s16_c01_digest_change_feed", with_("customers", extra={**_SNAP_SQL, **_FEED_SQL}) + "SELECT * FROM feed")
+def s16_digest(spark, sf):
+    """The change feed through a stored stream that compares only the buckets whose digest differs."""
+    old, new = _snapshots(spark, sf)
+    root = scratch_path(spark, "digest-stream")
+    ChangeStream(spark, f"{root}/stream", ["customer_id"]).create(old).consume(
+        new, lambda feed, batch_id: feed.write.parquet(f"{root}/{batch_id}"))
+    return spark.read.parquet(f"{root}/offset-1")
+
+
+@register("s16_changed_buckets_per_call", with_("customers", extra={"first_id": "SELECT min(customer_id) AS id FROM customers"}) + """
+SELECT 1 AS call, 0 AS buckets_compared, CAST(0 AS BIGINT) AS inserts, CAST(0 AS BIGINT) AS deletes
+UNION ALL
+SELECT 2, count(DISTINCT customer_id)::INT, count(*), count(*) FROM customers, first_id WHERE customer_id = id
+UNION ALL
+SELECT 3, 0, 0, 0
+UNION ALL
+SELECT 4, count(DISTINCT customer_id)::INT, CAST(0 AS BIGINT), count(*) FROM customers, first_id WHERE customer_id = id""")
+def s16_changed(spark, sf):
+    """Four calls of a stream: nothing new, one customer changed, nothing new, that
+    customer gone. Only the customer's bucket is compared."""
+    old, _ = _snapshots(spark, sf)
+    one = F.col("customer_id") == F.lit(old.agg(F.min("customer_id")).first()[0])
+    changed = old.withColumn("tier", F.when(one, F.lit("moved")).otherwise(F.col("tier")))
+    stream = ChangeStream(spark, scratch_path(spark, "digest-stream"), ["customer_id"]).create(old)
+
+    def count(feed, batch_id):
+        return feed.agg(F.count_if(F.col(cdc.ACTION) == "INSERT"), F.count_if(F.col(cdc.ACTION) == "DELETE")).first()
+
+    calls = []
+    for number, state in enumerate([old, changed, changed, changed.filter(~one)], 1):
+        inserts, deletes = stream.consume(state, count)
+        calls.append((number, len(stream.changed), inserts, deletes))
+    return spark.createDataFrame(calls, "call int, buckets_compared int, inserts long, deletes long")
+
+
 @register("m04_upsert_unique_key", with_("customers", extra={**_SNAP_SQL, **_FEED_SQL}) + """
 SELECT coalesce(s.customer_id, t.customer_id) AS customer_id,
        CASE WHEN s.customer_id IS NOT NULL THEN s.name ELSE t.name END AS name,

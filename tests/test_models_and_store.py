@@ -165,6 +165,56 @@ def test_change_stream_consumes_each_change_once(spark, tmp):
     assert ChangeStream(spark, path, ["id"]).consume(at[2], take) == 0
 
 
+def test_change_stream_reads_only_the_buckets_that_differ(spark, tmp):
+    from strata.operators import cdc
+    from strata.sources import change_stream as cs
+    from strata.sources import files
+
+    path = os.path.join(tmp, "digests")
+    old = spark.range(200).selectExpr("id", "cast(id % 3 as string) v", "array(id, null) a").unionByName(
+        spark.sql("SELECT cast(null as bigint) id, 'n' v, array(1L, null) a FROM range(3)"))
+    new = old.withColumn("v", F.when(F.col("id") == 7, F.lit("x")).otherwise(F.col("v")))
+    stream = cs.ChangeStream(spark, path, ["id"], buckets=32).create(old)
+    plans = []
+
+    def take(feed, batch_id):
+        plans.append(feed._jdf.queryExecution().explainString(feed.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")))
+        return rows(feed, "id", "v", cdc.ACTION, cdc.IS_UPDATE)
+
+    assert stream.consume(old, take) == [] and stream.changed == []
+    assert files.names(spark, stream.rows) == [f"{cs.VERSION}=0"]  # nothing was copied
+    assert cs.ChangeStream(spark, path, ["id"], buckets=5).consume(new, take) == [(7, "1", "DELETE", True), (7, "x", "INSERT", True)]
+    assert len(files.names(spark, f"{stream.rows}/{cs.VERSION}=2")) <= 3  # one bucket (and markers)
+    assert plans[-1].count("PartitionFilters") >= 1 and cs.BUCKET in plans[-1].split("PartitionFilters")[1].split("\n")[0]
+    # an empty column changes no digest; a value in it does; nulls that trade places do
+    wider = new.withColumn("w", F.lit(None).cast("int"))
+    assert stream.consume(wider, take) == [] and stream.changed == []
+    filled = wider.withColumn("w", F.when(F.col("id") == 9, F.lit(1)))
+    assert stream.consume(filled, take) == [(9, "0", "DELETE", True), (9, "0", "INSERT", True)]
+    swapped = filled.withColumn("a", F.when(F.col("id") == 3, F.array(F.lit(None).cast("long"), F.col("id"))).otherwise(F.col("a")))
+    assert stream.consume(swapped, take) == [(3, "0", "DELETE", True), (3, "0", "INSERT", True)]
+    # repeated rows count; a type change reaches every bucket; the table may become empty
+    fewer = swapped.filter("id is not null").unionByName(swapped.filter("id is null").limit(1))
+    assert stream.consume(fewer, take) == [(None, "n", "DELETE", False)] * 2
+    assert stream.consume(fewer.withColumn("w", F.col("w").cast("long")), take) == []  # same values in a wider type
+    assert {a for _, _, a, _ in stream.consume(fewer.limit(0), take)} == {"DELETE"}
+    assert stream.consume(fewer.limit(0), take) == []
+    assert stream.consume(fewer, take) and stream.consume(fewer, take) == []
+    with pytest.raises(ValueError):
+        cs.ChangeStream(spark, path + "-clash", ["id"]).create(old.withColumnRenamed("v", cs.BUCKET))
+
+
+def test_change_stream_without_keys_counts_repeated_rows(spark, tmp):
+    from strata.operators import cdc
+    from strata.sources.change_stream import ChangeStream
+
+    df = spark.createDataFrame([(None, "a"), (None, "a"), (1, None)], "id long, v string")
+    stream = ChangeStream(spark, os.path.join(tmp, "bag"), []).create(df)
+    later = spark.createDataFrame([(None, "a"), (1, None), (1, None)], "id long, v string")
+    assert stream.consume(later, lambda f, _: rows(f, "id", "v", cdc.ACTION, cdc.IS_UPDATE)) == [
+        (1, None, "INSERT", False), (None, "a", "DELETE", False)]
+
+
 def test_merge_spreads_rows_without_a_key(spark):
     from strata.operators.merge import When, merge_into
 
