@@ -15,7 +15,13 @@ Defined results
 * Windows of one family that overlap or touch become one span, and so do
   neighbouring paragraphs; spans give code point offsets, the highest
   probability and similarity. Where windows of two families overlap, one that
-  its templates confirm clearly less (a statement cut off) doesn't count.
+  its templates confirm clearly less (a statement cut off) doesn't count, nor
+  does one with words that families share where the other's are its own.
+* Names joined by ``and`` or ``or`` are read one by one; a short line under a
+  heading ``License`` is read with it. Paragraphs are lines otherwise: a
+  statement wrapped inside its name is read in parts.
+* A statement whose verb follows a denial (``not licensed under``) and names of
+  other licences don't count.
 * Equal probabilities go to the family that sorts first.
 * Repeated rows are separate rows; an empty table gives no rows. Other columns
   are carried along, and ``licences`` and ``spans`` replaced.
@@ -24,6 +30,7 @@ Defined results
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from dataclasses import dataclass
 from itertools import accumulate, zip_longest
 
@@ -40,6 +47,7 @@ THRESHOLD = 0.6
 SIMILAR = 0.7
 WINDOW, STRIDE = 48, 24
 SCALES = (12, 24, WINDOW)
+UNDER = 5  # words of a line that are read with the heading above it
 CUT_OFF = 0.1  # less similar by this than an overlapping window of another family
 LINE_CHARS = 2000  # of a line of the corpus that is trained on, from a random place of it
 
@@ -52,7 +60,7 @@ NAMES = {
     "cc-by-nc": ["CC BY-NC", "CC BY-NC 4.0", "CC BY-NC 3.0", "CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International License"],
     "cc-by-sa": ["CC BY-SA", "CC BY-SA 4.0", "CC BY-SA 3.0", "CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International License"],
     "cc0": ["CC0", "CC0 1.0", "CC0-1.0", "CC0 1.0 Universal Public Domain Dedication"],
-    "gpl": ["GNU General Public License", "GNU General Public License, version 3", "GNU General Public License, version 2", "GNU GPL", "GPL", "GPLv3", "GPL-3.0", "GPL-2.0-or-later"],
+    "gpl": ["GNU General Public License", "GNU General Public License, version 3", "GNU General Public License, version 2", "GNU GPL", "GPL", "GPL v3", "GPL v2", "GPLv3", "GPL-3.0", "GPL-2.0-or-later"],
     "isc": ["ISC License", "ISC"],
     "lgpl": ["GNU Lesser General Public License", "GNU Lesser General Public License, version 2.1", "GNU Lesser General Public License, version 3", "LGPL", "LGPL-2.1", "LGPL-3.0"],
     "mit": ["MIT License", "MIT license", "MIT", "Expat License"],
@@ -82,14 +90,24 @@ TEMPLATES = {
 }
 STATEMENTS = ["Released under the {}.", "Licensed under the {}.", "Licensed under {}.", "Released under {}.", "This work is licensed under the {}.", "This work is licensed under {}.",
               "Distributed under the terms of the {}.", "This software is available under the {}.", "This project is made available under {}.", "SPDX-License-Identifier: {}",
-              "License: {}", "The code is covered by the {}; see the file LICENSE for details.", "You may use it under the {}."]
+              "License: {}", "Licence: {}", "It is {} licensed.", "The code is covered by the {}; see the file LICENSE for details.", "You may use it under the {}."]
 OTHER = ["All rights reserved.", "A driving license is required for this job.", "The license plate was covered with mud.", "Terms and conditions apply.", "See the general terms of the public offer.",
          "He was released under the care of his mother.", "The work is released every year in May.", "The restaurant lost its license to sell wine.", "Version 3 of the work is out now.",
          "This work is about the general public and its rights.", "Copyright notices are found on the last page.", "The public licensed the new version of the plan.", "Commons and common land in the north.",
          "This program is on the air at nine.", "Permission to enter is hereby denied.", "She studied at the institute and then moved on.", "The software is sold with a warranty of two years."]
 
+# fixed values: names of licences outside the families, and words that deny or state
+STRANGERS = ["Eclipse Public License, version 2.0", "EPL-2.0", "GNU Free Documentation License", "GFDL", "Artistic License 2.0", "European Union Public Licence",
+             "Common Development and Distribution License", "CDDL-1.0", "Microsoft Public License", "Zlib License", "Boost Software License 1.0", "Python Software Foundation License",
+             "PostgreSQL License", "SIL Open Font License 1.1", "Open Database License", "commercial license", "proprietary license"]
+DENIALS = frozenset("not never no isn aren cannot neither nor".split())
+JOINS = frozenset(("and", "or"))
+HEADINGS = (["license"], ["licence"], ["licensing"])
+VERBS = frozenset("licensed released distributed available covered under".split())
+
 _WORD = re.compile(r"[^\W_]+(?:[.\-][^\W_]+)*")
 _STOP = re.compile(r"[.!?;]")
+_VERSION = re.compile(r"v?\d+(?:\.\d+)*")
 
 
 def grams(words: list[str]) -> set:
@@ -101,6 +119,11 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def denials(words: list[str]) -> set:
+    """Pairs that begin with a denial, where a statement's verb follows within three words."""
+    return {(w, words[k + 1]) for k, w in enumerate(words) if w in DENIALS and not VERBS.isdisjoint(words[k + 1:k + 4])}
+
+
 def paragraphs(text: str):
     """``start, end, words`` of each paragraph."""
     at = 0
@@ -125,7 +148,7 @@ class Model:
     bias: np.ndarray
     temperature: float
     margin: dict             # gram -> how much it can speak for a family, against unknown
-    templates: dict          # family -> grams of each template, and for statements the words that tell the name
+    templates: dict          # family -> grams of each template, and those that confirm it
 
     def classify(self, words: list[str]) -> tuple[str, float]:
         """The family and its calibrated probability (or unknown)."""
@@ -143,6 +166,10 @@ class Model:
 
     def __post_init__(self) -> None:
         self.lead = float((self.bias[:-1] - self.bias[-1]).max()) if len(self.bias) else 0.0
+        held = {f: {g for t, _ in known for g in t} for f, known in self.templates.items()}
+        self.sole = {f: frozenset(own.difference(*(o for other, o in held.items() if other != f))) for f, own in held.items()}
+        named = {f: {w for n in NAMES.get(f, ()) for w in words_of(n)} for f in self.sole}
+        self.teller = {w: f for f, own in self.sole.items() for w in own & named[f] if not _VERSION.fullmatch(w)}
         self.pairs = {g for known in self.templates.values() for t, _ in known for g in t if isinstance(g, tuple)}
 
     def hopeless(self, total: float, words: list[str]) -> bool:
@@ -150,24 +177,27 @@ class Model:
         make w - 1 different pairs at least."""
         return total / max(1, 2 * len(set(words)) - 1) ** 0.5 + self.lead < 0
 
-    def similarity(self, family: str, words: list[str]) -> float:
+    def similarity(self, family: str, words: list[str], denied: set = frozenset()) -> float:
         """Share of words and pairs that the paragraph and the nearest
         template of the family have in common, of the shorter of the two (at
-        least three, so that one common word confirms nothing). A statement
-        counts only with a word that tells the name: in a short window, the
-        words around the name alone would confirm it."""
+        least three, so that one common word confirms nothing). A template
+        counts only with a gram that confirms it: for a statement, one that no
+        other family's name holds. One that doesn't hold the denials itself
+        doesn't count either."""
         own = grams(words)
-        return max((len(own & t) / max(3, min(len(own), len(t))) for t, names in self.templates[family] if not names or not names.isdisjoint(own)), default=0.0)
+        return max((len(own & t) / max(3, min(len(own), len(t))) for t, telling in self.templates[family] if denied <= t and not telling.isdisjoint(own)), default=0.0)
 
-    def hits(self, line: str, words: list[str]) -> list[tuple[int, int, int, int, str, float, float]]:
+    def hits(self, line: str, words: list[str]) -> list[tuple[int, int, int, int, str, float, float, bool]]:
         """``first word, word after the last, start, end, family, probability,
-        similarity`` of the windows of a line that hold a licence."""
+        similarity, sure`` of the windows of a line that hold a licence; sure
+        ones hold a gram of that family's templates alone."""
         n, whole = len(words), (0, len(words))
         places: list[tuple[int, int]] = []
         # without a pair of a template, similarity stays below SIMILAR: words alone are at most two thirds
         shared = [pair in self.pairs for pair in zip(words, words[1:])]
         if True not in shared:
             return []
+        ends = [0]
         if n <= SCALES[0]:
             ranges = [whole]
         else:
@@ -183,21 +213,37 @@ class Model:
             ranges = sorted({(i, j) for i, j in ranges if pairs[j - 1] > pairs[i] and not self.hopeless(sums[j] - sums[i], words[i:j])})
         out = []
         for i, j in ranges:
-            family, p = self.classify(words[i:j])
-            if family != UNKNOWN and p >= THRESHOLD and (near := self.similarity(family, words[i:j])) >= SIMILAR:
+            read = [words[i:j]]
+            named = {self.teller[w] for w in read[0] if w in self.teller}
+            if len(named) > 1 and not JOINS.isdisjoint(read[0]) and not any(i < e < j for e in ends):
+                # a list of names in one sentence: each read without the others
+                read += [[w for w in read[0] if w not in JOINS and self.teller.get(w, f) == f] for f in sorted(named)]
+            out += self._confirmed(line, words, read, i, j, places, max(ends[bisect_right(ends, i) - 1], i - SCALES[0]))
+        return out
+
+    def _confirmed(self, line: str, words: list[str], read: list[list[str]], i: int, j: int, places: list, first: int) -> list[tuple]:
+        """The hits of one window in its readings; denials count from word ``first``."""
+        out: list[tuple] = []
+        no, whole = denials(words[first:j]), (0, len(words))
+        for own in read:
+            family, p = self.classify(own)
+            if family != UNKNOWN and p >= THRESHOLD and family not in {h[4] for h in out} and (near := self.similarity(family, own, no)) >= SIMILAR:
                 start, end = (0, len(line)) if (i, j) == whole else (places[i][0], places[j - 1][1])
-                out.append((i, j, start, end, family, p, near))
+                out.append((i, j, start, end, family, p, near, not self.sole[family].isdisjoint(grams(own))))
         return out
 
     def scan(self, text: str | None) -> list[dict]:
         found: list[dict] = []
-        at, open_before = 0, {}  # spans that end with the line before
+        at, heading, open_before = 0, False, {}  # spans that end with the line before
         for line in (text or "").split("\n"):
             words = words_of(line)
+            heading, under = (words in HEADINGS, heading) if words else (heading, False)
+            if under and len(words) <= UNDER:
+                words = ["license", *words]
             hits = self.hits(line, words)
             spans: dict[str, dict] = {}  # the last span of each family
             reach: dict[str, int] = {}
-            for k, (i, j, start, end, family, p, near) in enumerate(hits):
+            for k, (i, j, start, end, family, p, near, _) in enumerate(hits):
                 if _beaten(hits, k):
                     continue
                 if family in spans and i <= reach[family]:
@@ -215,12 +261,13 @@ class Model:
 
 
 def _beaten(hits: list[tuple], k: int) -> bool:
-    """Whether a window of another family overlaps and is clearly more similar."""
-    i, j, _, _, family, _, near = hits[k]
+    """Whether a window of another family overlaps and is clearly more similar,
+    or is sure where this one isn't (a passage that two families' texts share)."""
+    i, j, _, _, family, _, near, sure = hits[k]
     for step in (-1, 1):
         m = k + step
         while 0 <= m < len(hits) and i - WINDOW < hits[m][0] < j:
-            if hits[m][1] > i and hits[m][4] != family and hits[m][6] > near + CUT_OFF:
+            if hits[m][1] > i and hits[m][4] != family and (hits[m][6] > near + CUT_OFF or hits[m][7] > sure):
                 return True
             m += step
     return False
@@ -234,16 +281,34 @@ def examples() -> list[tuple[str, list[str]]]:
         for text in TEMPLATES[family]:
             words = words_of(text)
             out += [(family, words)] * 4 + [(family, words[i:i + n]) for n in (10, 16, 24) for i in range(0, max(1, len(words) - n + 1), 5)]
+    out += [(UNKNOWN, words_of(s.format(n))) for n in STRANGERS for s in STATEMENTS]
     return out + [(UNKNOWN, words_of(t)) for t in OTHER for _ in range(8)]
 
 
 def templates() -> dict:
-    """Grams of the templates, and of the statements with each name."""
+    """Per family, the grams of its templates and of the statements with each
+    name, and the grams that confirm each.
+
+    What statements share, versions, and what another family's or a stranger's
+    name holds too confirm nothing: a version, ``gnu`` or ``public license``
+    doesn't tell a name, ``gnu general`` does."""
     def pairs(text: str) -> frozenset:
         return frozenset(grams(words_of(text)))
 
-    plain = {w for t in (*STATEMENTS, *OTHER) for w in words_of(t)}
-    return {f: [(pairs(t), frozenset()) for t in TEMPLATES[f]] + [(pairs(s.format(n)), frozenset(words_of(n)) - plain) for n in NAMES[f] for s in STATEMENTS] for f in NAMES}
+    plain = frozenset().union(*(pairs(t) for t in (*STATEMENTS, *OTHER)))
+    names = {f: frozenset().union(*map(pairs, ns)) for f, ns in NAMES.items()}
+    strange = frozenset().union(*map(pairs, STRANGERS))
+
+    def version(gram) -> bool:
+        return any(_VERSION.fullmatch(w) for w in ([gram] if isinstance(gram, str) else gram))
+
+    out = {}
+    for family in NAMES:
+        shared = plain.union(strange, *(grams_ for f, grams_ in names.items() if f != family))
+        own = frozenset(g for g in names[family] - shared if not version(g))
+        out[family] = [(pairs(t), pairs(t) - plain) for t in TEMPLATES[family]]
+        out[family] += [(pairs(s.format(n)), pairs(n) & own) for n in NAMES[family] for s in STATEMENTS]
+    return out
 
 
 def amid_prose(prose: list[str], seed: int) -> list[tuple[str, list[str]]]:

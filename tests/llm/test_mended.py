@@ -114,3 +114,22 @@ def test_scores_equal_a_plain_forward_pass():
         a = np.exp(e) / np.exp(e).sum()
         z = sum(w * v for w, v in zip(a, h))
         assert abs(got - 1 / (1 + np.exp(-(z @ p["c"] + p["d"])))) < 1e-9
+
+
+def test_licence_names_are_told_apart():
+    m = licences.train([])
+    strangers = ["Eclipse Public License, version 2.0", "GNU Free Documentation License", "Licensed under the GNU Free Documentation License.", "Artistic License 2.0",
+                 "Released under the Artistic License 2.0.", "This program is released under the", "not released under the MIT License",
+                 "This software is not released under the MIT License.", "It is never distributed under the terms of the GNU General Public License.",
+                 "MIT and ISC are words in a list of three or more universities.", "Licensing\nthis and that"]
+    assert {t: m.scan(t) for t in strangers} == {t: [] for t in strangers}
+    said = {"It is MIT licensed.": ["mit"], "Apache 2.0 licensed": ["apache"], "licence: GPL v3": ["gpl"], "SPDX-License-Identifier: (MIT OR Apache-2.0)": ["apache", "mit"],
+            "Dual licensed under MIT and GPL": ["gpl", "mit"], "License\n\nMIT": ["mit"]}
+    assert {t: sorted(s["family"] for s in m.scan(t)) for t in said} == said
+
+
+def test_every_statement_and_template_names_its_family_alone():
+    m = licences.train([])
+    told = [(f, s.format(n)) for f, names in licences.NAMES.items() for n in names for s in licences.STATEMENTS]
+    told += [(f, t) for f, texts in licences.TEMPLATES.items() for t in texts]
+    assert [(f, t) for f, t in told if {s["family"] for s in m.scan(t)} != {f}] == []
