@@ -10,12 +10,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strata.functions.udfs import prompt_length_stub
-from strata.operators import approx_vectors
+from strata.operators import approx_vectors, lexicons
+from strata.operators import ml
 from strata.operators import retrieval as RT
 from strata.operators import text as TX
 from strata.plans.registry import register
 from strata.plans.sqlbase import with_
 from strata.sources import derived as D
+from strata.sources.tables import table
 
 DOC_LEXICON = {"the": 0.30, "and": 0.50, "for": -0.40, "with": -0.20, "of": 0.10,
                "le": 0.25, "la": -0.35, "que": 0.40, "des": -0.15, "un": 0.20, "el": -0.45, "die": 0.35}
@@ -23,6 +25,7 @@ DOC_RULES = (("rule_with", (" with ",)), ("rule_que", (" que ", " des ")), ("rul
 DOC_LABEL_KEYWORDS = {"shipping": ("the", "with"), "product_quality": ("and", "que"),
                       "pricing": ("for", "des"), "customer_service": ("of", "le")}
 FILTER_SOURCE = "src3"
+ABUSE_LABELS = ("civil", "abusive")
 
 
 def _tok(x: str) -> str:
@@ -134,6 +137,110 @@ def f17(spark, sf):
                     F.format_string("%+.2f", F.round("s", 2).cast("double")).alias("score_text"))
 
 
+# --------------------------------------------------------- learned words --
+
+def _seen_sql(marked: str) -> dict[str, str]:
+    """Words of the marked documents, each once per document; ``y`` is 1 for abusive."""
+    return {
+        "marked": marked,
+        "md": "SELECT d.doc_id, d.text, m.y FROM documents d JOIN marked m USING (doc_id)",
+        "total": "SELECT CAST(COUNT(*) AS DOUBLE) AS n, CAST(SUM(y) AS DOUBLE) AS k1, CAST(SUM(1 - y) AS DOUBLE) AS k0 FROM md",
+        "seen": f"SELECT y, unnest(list_distinct({_tok('text')})) AS term FROM md",
+        "wc": """SELECT term, COUNT(*) AS n, CAST(SUM(1 - y) AS BIGINT) AS k0, CAST(SUM(y) AS BIGINT) AS k1
+                 FROM seen GROUP BY 1""",
+        "wr": """SELECT w.*, CAST(w.k0 AS DOUBLE) * t.k1 AS good, CAST(w.k1 AS DOUBLE) * t.k0 AS bad,
+                        t.k1 / t.n AS r1, t.k0 / t.n AS r0 FROM wc w CROSS JOIN total t WHERE w.n >= 5""",
+    }
+
+
+_ALL_MARKS = "SELECT doc_id, MAX(toxic) AS y FROM labels WHERE toxic IN (0, 1) GROUP BY 1"
+_HELD_OUT = "substr(md5(CAST(doc_id AS VARCHAR)), 1, 1) IN ('0', '1', '2')"
+
+_POLARITY_SQL = {**_seen_sql(_ALL_MARKS), "pol": """
+SELECT term, k0 AS docs_positive, k1 AS docs_negative,
+       CAST((CASE WHEN good < bad THEN -1 ELSE 1 END) *
+            floor(10000.0::DOUBLE * abs(good - bad) * n / ((good + bad) * (n + 5.0::DOUBLE))) / 10000 AS DECIMAL(6,4)) AS polarity
+FROM wr WHERE good + bad > 0
+  AND (k1 - n * r1) * (k1 - n * r1) >= 9.0::DOUBLE * n * r1 * (1.0::DOUBLE - r1)"""}
+
+
+def _label_words_sql(marked: str) -> dict[str, str]:
+    return {**_seen_sql(marked), "lw": " UNION ALL ".join(f"""
+SELECT term, '{label}' AS label, n AS docs, k{i} AS docs_label FROM wr
+WHERE k{i} > n * r{i} AND (k{i} - n * r{i}) * (k{i} - n * r{i}) >= 36.0::DOUBLE * n * r{i} * (1.0::DOUBLE - r{i})"""
+                                                      for i, label in enumerate(ABUSE_LABELS))}
+
+
+_CLASSIFY_BY_WORDS_SQL = {
+    "dt": f"SELECT doc_id, unnest({_tok('text')}) AS term FROM documents",
+    "lc": "SELECT doc_id, label, COUNT(*) AS score FROM dt JOIN lw USING (term) GROUP BY 1, 2",
+    "best": "SELECT * FROM lc QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, label DESC) = 1",
+    "said": """SELECT d.doc_id, coalesce(b.label, 'civil') AS label, coalesce(b.score, 0) AS score
+               FROM documents d LEFT JOIN best b USING (doc_id)""",
+}
+
+
+def _polarity(spark, sf):
+    return lexicons.polarity_words(table(spark, sf, "documents"), table(spark, sf, "labels"), "toxic")
+
+
+def _abuse_marks(spark, sf):
+    marks = table(spark, sf, "labels").filter(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("y"))
+    return marks.select("doc_id", F.when(F.col("y") == 1, ABUSE_LABELS[1]).otherwise(ABUSE_LABELS[0]).alias("label"))
+
+
+@register("n01_polarity_words", with_(extra=_POLARITY_SQL) + "SELECT * FROM pol WHERE polarity <> 0")
+def n01_words(spark, sf):
+    """Polarity of words, learned from the documents that `labels` marks as toxic or not."""
+    return _polarity(spark, sf)
+
+
+@register("n01_n02_learned_sentiment", with_(extra={**_POLARITY_SQL, "toks": f"SELECT doc_id, unnest({_tok('text')}) AS term FROM documents",
+                                                    "sc": """SELECT doc_id, CAST(CAST(SUM(polarity) AS DECIMAL(18,4)) / COUNT(*) AS DECIMAL(18,6)) AS s
+                                                             FROM toks JOIN pol USING (term) WHERE polarity <> 0 GROUP BY 1""",
+                                                    "scored": """SELECT d.doc_id, coalesce(sc.s, CAST(0 AS DECIMAL(18,6))) AS sentiment_score
+                                                                 FROM documents d LEFT JOIN sc USING (doc_id)"""}) + """
+SELECT doc_id, sentiment_score,
+       CASE WHEN sentiment_score > 0.1 THEN 'positive' WHEN sentiment_score < -0.1 THEN 'negative'
+            ELSE 'neutral' END AS sentiment_label FROM scored""")
+def n01_learned(spark, sf):
+    scored = lexicons.sentiment_by_words(table(spark, sf, "documents"), lexicons.kept(_polarity(spark, sf)))
+    return scored.withColumn("sentiment_label", TX.sentiment_label("sentiment_score"))
+
+
+@register("n04_learned_labels", with_(extra={**_label_words_sql(_ALL_MARKS), **_CLASSIFY_BY_WORDS_SQL}) + "SELECT * FROM said")
+def n04_learned(spark, sf):
+    """Civil or abusive, by words learned from all marked documents."""
+    docs = table(spark, sf, "documents")
+    words = lexicons.label_words(docs, _abuse_marks(spark, sf), ABUSE_LABELS, "label")
+    return lexicons.classify_by_words(docs, lexicons.kept(words), ABUSE_LABELS)
+
+
+@register("n04_x12_learned_label_report",
+          with_(extra={**_label_words_sql(f"{_ALL_MARKS} HAVING NOT {_HELD_OUT}"), **_CLASSIFY_BY_WORDS_SQL,
+                       "test": f"SELECT doc_id, MAX(toxic) AS y FROM labels WHERE toxic IN (0, 1) AND {_HELD_OUT} GROUP BY 1",
+                       "pr": "SELECT t.y, CASE WHEN s.label = 'civil' THEN 0 ELSE 1 END AS p FROM test t JOIN said s USING (doc_id)",
+                       "cells": """SELECT c, SUM(CASE WHEN y = c AND p = c THEN 1.0 ELSE 0 END)::DOUBLE AS tp,
+                                          SUM(CASE WHEN y <> c AND p = c THEN 1.0 ELSE 0 END)::DOUBLE AS fp,
+                                          SUM(CASE WHEN y = c AND p <> c THEN 1.0 ELSE 0 END)::DOUBLE AS fn
+                                   FROM pr, (VALUES (0), (1)) v(c) GROUP BY c""",
+                       "ratios": """SELECT c, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END AS "precision",
+                                           CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END AS recall,
+                                           CAST(tp + fn AS BIGINT) AS support FROM cells"""}) + """
+SELECT c AS class, "precision", recall,
+       CASE WHEN "precision" + recall > 0 THEN 2 * "precision" * recall / ("precision" + recall) ELSE 0 END AS f1_score, support
+FROM ratios""")
+def n04_report(spark, sf):
+    """Words learned from four fifths of the marked documents, judged on the others."""
+    docs, marks = table(spark, sf, "documents"), _abuse_marks(spark, sf)
+    held_out = F.substring(F.md5(F.col("doc_id").cast("string")), 1, 1).isin("0", "1", "2")
+    words = lexicons.kept(lexicons.label_words(docs, marks.filter(~held_out), ABUSE_LABELS, "label"))
+    truth = marks.filter(held_out).select("doc_id", (F.col("label") == ABUSE_LABELS[1]).cast("int").alias("y"))
+    said = lexicons.classify_by_words(docs, words, ABUSE_LABELS)
+    pred = said.join(truth, "doc_id").select("y", (F.col("label") == ABUSE_LABELS[1]).cast("int").alias("prediction"))
+    return ml.classification_report(pred, "y", "prediction")
+
+
 # --------------------------------------------------------------- summary --
 
 _SUM_SQL = {
