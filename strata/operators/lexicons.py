@@ -47,7 +47,7 @@ def _surprising(n: Column, k: Column, rate: Column, z: float) -> Column:
 
 
 def polarity_words(docs: DataFrame, marks: DataFrame, label_col: str, positive=0, negative=1, *, min_docs: int = 5,
-                   z: float = 3.0, shrink: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                   z: float = 6.0, shrink: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Words with their polarity in [-1, 1], learned from marked documents.
 
     With ``p`` and ``q`` the shares of the positive and of the negative

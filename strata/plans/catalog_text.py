@@ -161,7 +161,7 @@ SELECT term, k0 AS docs_positive, k1 AS docs_negative,
        CAST((CASE WHEN good < bad THEN -1 ELSE 1 END) *
             floor(10000.0::DOUBLE * abs(good - bad) * n / ((good + bad) * (n + 5.0::DOUBLE))) / 10000 AS DECIMAL(6,4)) AS polarity
 FROM wr WHERE good + bad > 0
-  AND (k1 - n * r1) * (k1 - n * r1) >= 9.0::DOUBLE * n * r1 * (1.0::DOUBLE - r1)"""}
+  AND (k1 - n * r1) * (k1 - n * r1) >= 36.0::DOUBLE * n * r1 * (1.0::DOUBLE - r1)"""}
 
 
 def _label_words_sql(marked: str) -> dict[str, str]:

@@ -57,7 +57,7 @@ def frames(spark):
 
 def test_polarity_equals_brute_force(frames):
     docs, marks = frames
-    got = {r.term: (r.docs_positive, r.docs_negative, r.polarity) for r in L.polarity_words(docs, marks, "toxic").collect()}
+    got = {r.term: (r.docs_positive, r.docs_negative, r.polarity) for r in L.polarity_words(docs, marks, "toxic", z=3.0).collect()}
     want = _brute_polarity(*_corpus())
     assert got == want
     assert got["vile"][2] < 0 < got["good"][2] and "alpha" not in got
@@ -65,7 +65,7 @@ def test_polarity_equals_brute_force(frames):
 
 def test_scores_count_every_occurrence(frames):
     docs, marks = frames
-    lexicon = L.kept(L.polarity_words(docs, marks, "toxic"))
+    lexicon = L.kept(L.polarity_words(docs, marks, "toxic", z=3.0))
     p = {t: v[2] for t, v in _brute_polarity(*_corpus()).items()}
     got = L.sentiment_by_words(docs, lexicon).collect()
     assert len(got) == len(_corpus()[0])
