@@ -30,13 +30,14 @@ def _label_counts(docs: DataFrame, marks: DataFrame, labels: Sequence, label_col
     label (``k0``, ``k1``, ...); the same of all words as a scalar struct."""
     mark = (marks.filter(F.col(label_col).isin(*labels)).groupBy(F.col(id_col).alias("_mark_id"))
             .agg(F.max(label_col).alias("_y")))
-    marked = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-              .join(mark, F.col("_id") == F.col("_mark_id")).select("_y", "_text"))
+    # spread before the join: asking a joined frame for its partitions would shuffle the texts once more
+    marked = (spread(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")))
+              .join(broadcast_if_small(mark), F.col("_id") == F.col("_mark_id")).select("_y", "_text"))
     counts = [F.count(F.lit(1)).alias("n"),
               *(F.count_if(F.col("_y") == label).alias(f"k{i}") for i, label in enumerate(labels))]
     # counts of all documents as one struct, so that one subquery serves every expression
     total = marked.agg(*counts).select(F.struct("n", *(f"k{i}" for i in range(len(labels))))).scalar()
-    words = spread(marked).select("_y", F.explode(F.array_distinct(tokens("_text"))).alias("term"))
+    words = marked.select("_y", F.explode(F.array_distinct(tokens("_text"))).alias("term"))
     return words.groupBy("term").agg(*counts), total
 
 
