@@ -6,6 +6,11 @@ bucket of every table and into those whose code differs where it lies nearest
 to a plane (``probes``), and the documents met are ranked by their exact cosine.
 A question that meets fewer than ``k`` documents is searched exactly instead.
 
+The probes a recall takes grow with the documents. They are fitted: up to
+``SAMPLE`` questions are searched exactly, and the fewest probes are taken with
+which the tables meet ``WANTED`` of what those found. If none do, all questions
+are searched exactly. Every question is answered from the whole index.
+
 Equal vectors share all buckets; only the ``k`` smallest ids of each can be
 among the best, so only those are indexed and a heap of copies fills no bucket.
 """
@@ -13,6 +18,8 @@ among the best, so only those are indexed and a heap of copies fills no bucket.
 from __future__ import annotations
 
 import math
+from copy import copy
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -24,38 +31,45 @@ from strata.operators.block_search import Vectors
 from strata.operators.retrieval import rank_top_k
 from strata.session import scratch_path
 
-TABLES, PROBES, ROWS_PER_BUCKET = 16, 8, 8
+TABLES, ROWS_PER_BUCKET = 16, 8
+SAMPLE, WANTED = 64, 0.95  # fixed values: questions the probes are fitted on, and the part of their best to be met
+ROWS_AT_ONCE = 64  # bounds the arrays of codes in a task
 
 
 def _planes(dim: int, tables: int, bits: int, seed: int) -> np.ndarray:
     return np.random.default_rng(seed).normal(size=(tables * bits, dim))
 
 
+def flips(bits: int) -> list[tuple[int, ...]]:
+    """All ways to change up to three of a code's bits, by position in the order of distance."""
+    return [f for n in range(min(3, bits) + 1) for f in combinations(range(bits), n)]
+
+
 def codes(rows: DataFrame, id_col: str, tables: int, bits: int, probes: int = 1, seed: int = 1) -> DataFrame:
-    """``id_col, table, code`` of vectors ``v``, with the ``probes`` codes that
+    """``id_col, table, code, probe`` of vectors ``v``, with the ``probes`` codes (numbered from 1) that
     cost least: the sum of the distances to the planes on whose other side they lie."""
     def run(batches):
-        # all ways to change up to two of a code's bits, by position in the order of distance
-        flips = [()] + [(i,) for i in range(bits)] + [(i, j) for i in range(bits) for j in range(i)]
+        changes = flips(bits) if probes > 1 else [()]
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            values, ends = block_search._flat(pa.chunked_array([batch.column("v")]))
-            m = values.reshape(len(ends) - 1, -1)
-            side = (m @ _planes(m.shape[1], tables, bits, seed).T).reshape(len(m), tables, bits)
-            order = np.argsort(np.abs(side), axis=2)
-            near = np.take_along_axis(np.abs(side), order, axis=2)
-            own = ((side > 0) << np.arange(bits)).sum(axis=2)
-            cost = np.stack([sum((near[:, :, i] for i in f), np.zeros(near.shape[:2])) for f in flips], axis=2)
-            found = np.stack([own ^ sum((1 << order[:, :, i] for i in f), np.zeros_like(own)) for f in flips], axis=2)
-            taken = np.argsort(cost, axis=2, kind="stable")[:, :, :probes]
-            found = np.take_along_axis(found, taken, axis=2)
-            n = found.shape[2]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(batch.column(id_col).to_numpy(), tables * n)), pa.array(np.tile(np.repeat(np.arange(tables), n), len(m))), pa.array(found.ravel())],
-                names=[id_col, "table", "code"])
-
-    return rows.select(id_col, "v").mapInArrow(run, f"{id_col} long, table long, code long")
+            for lo in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(lo, ROWS_AT_ONCE)
+                values, ends = block_search._flat(pa.chunked_array([part.column("v")]))
+                m = values.reshape(len(ends) - 1, -1)
+                side = (m @ _planes(m.shape[1], tables, bits, seed).T).reshape(len(m), tables, bits)
+                order = np.argsort(np.abs(side), axis=2)
+                near = np.take_along_axis(np.abs(side), order, axis=2)
+                own = ((side > 0) << np.arange(bits)).sum(axis=2)
+                cost = np.stack([sum((near[:, :, i] for i in f), np.zeros(near.shape[:2])) for f in changes], axis=2)
+                found = np.stack([own ^ sum((1 << order[:, :, i] for i in f), np.zeros_like(own)) for f in changes], axis=2)
+                taken = np.argsort(cost, axis=2, kind="stable")[:, :, :probes]
+                found = np.take_along_axis(found, taken, axis=2)
+                n = found.shape[2]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(part.column(id_col).to_numpy(), tables * n)), pa.array(np.tile(np.repeat(np.arange(tables), n), len(m))),
+                     pa.array(found.ravel()), pa.array(np.tile(np.arange(1, n + 1), len(m) * tables))],
+                    names=[id_col, "table", "code", "probe"])
+
+    return rows.select(id_col, "v").mapInArrow(run, f"{id_col} long, table long, code long, probe long")
 
 
 class ProjectionTables:
@@ -72,19 +86,36 @@ class ProjectionTables:
         few.write.parquet(f"{path}/vectors")
         self.vectors = spark.read.schema(few.schema).parquet(f"{path}/vectors")
         self.bits = max(1, round(math.log2(max(2, self.vectors.count() / rows_per_bucket))))
-        index = codes(self.vectors, "doc", tables, self.bits, seed=seed)
+        index = codes(self.vectors, "doc", tables, self.bits, seed=seed).drop("probe")
         index.write.parquet(f"{path}/codes")
         self.index = spark.read.schema(index.schema).parquet(f"{path}/codes")
 
-    def candidates(self, questions: DataFrame, probes: int = PROBES) -> DataFrame:
+    def fitted_probes(self, vectors: Vectors, sample: int = SAMPLE, wanted: float = WANTED) -> int | None:
+        """The fewest probes with which the tables meet ``wanted`` of the exact best of ``sample`` questions; None if none do."""
+        asked = copy(vectors)
+        asked.questions = vectors.questions.orderBy(F.xxhash64("q"), "q").limit(sample).checkpoint(eager=True)
+        best = rank_top_k(block_search.top_of(block_search.search(asked, self.k)), "q", "doc", self.k).select("q", "doc").checkpoint(eager=True)
+        own = self.index.join(best, "doc")
+        met = (codes(asked.questions, "q", self.tables, self.bits, len(flips(self.bits)), self.seed).join(own, ["q", "table", "code"])
+               .groupBy("q", "doc").agg(F.min("probe").alias("probe")).groupBy("probe").agg(F.count(F.lit(1)).alias("n")))
+        pairs, so_far = best.count(), 0
+        for r in met.orderBy("probe").collect():  # at most a row per probe
+            so_far += r.n
+            if so_far >= wanted * pairs:
+                return r.probe
+        return None
+
+    def candidates(self, questions: DataFrame, probes: int) -> DataFrame:
         """``q, doc``: what each question (q, v) meets in its buckets."""
         asked = codes(questions, "q", self.tables, self.bits, probes, self.seed)
         return asked.join(self.index, ["table", "code"]).select("q", "doc").distinct()
 
-    def top_k(self, queries: DataFrame, q_id: str = "q_id", q_vec: str = "embedding", probes: int = PROBES) -> DataFrame:
-        """``q_id, doc_id, score, rank``: the best that the tables find, exactly ranked."""
+    def top_k(self, queries: DataFrame, q_id: str = "q_id", q_vec: str = "embedding", probes: int | None = None) -> DataFrame:
+        """``q_id, doc_id, score, rank``: the best that the tables find, exactly ranked; fitted ``probes`` if None."""
         vectors = Vectors(self.docs, queries, q_id=q_id, q_vec=q_vec)
         vectors.docs = self.vectors
+        if probes is None and (probes := self.fitted_probes(vectors)) is None:
+            return rank_top_k(block_search.top_of(block_search.search(vectors, self.k)), "q", "doc", self.k).withColumnsRenamed({"q": q_id, "doc": "doc_id"})
         scores = block_search.scores_of(vectors, self.candidates(vectors.questions, probes)).checkpoint(eager=True)
         met = scores.groupBy("q").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= self.k)
         vectors.questions = vectors.questions.join(met, "q", "left_anti")  # these are searched exactly

@@ -187,8 +187,8 @@ def search(index: Lexical | Vectors, k: int, marks: DataFrame | None = None, que
         listed = F.transform(best_first, lambda x: F.struct(x["doc"].alias("doc"), (-x["s"]).alias("score")))
         questions = questions.join(marks.groupBy("q").agg(listed.alias("marks")), "q", "left")
 
-    def number(col: str, blocks: int):
-        return F.pmod(F.xxhash64(F.lit(7), F.col(col)), F.lit(blocks))
+    def number(col: str, blocks: int):  # an int on both sides: as long and int, equal numbers would land in different tasks
+        return F.pmod(F.xxhash64(F.lit(7), F.col(col)), F.lit(blocks)).cast("int")
 
     def each(blocks: int):
         return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
@@ -228,6 +228,8 @@ def scores_of(index: Lexical | Vectors, pairs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
+            if not batch.num_rows:
+                continue
             sides = [pa.Table.from_batches([pa.RecordBatch.from_struct_array(batch.column(c))]) for c in ("d", "x")]
             yield pa.RecordBatch.from_arrays([batch.column("q"), batch.column("doc"), pa.array(score(*sides), pa.float64())], names=["q", "doc", "score"])
 
