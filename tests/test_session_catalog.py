@@ -118,3 +118,22 @@ def test_metadata_survives_projection_filter_and_join(spark, people):
     assert rows(TG.tags_of(out, "q")) == [("q", "mail", "PII_TAG", "EMAIL")]
     again = TG.tagged(t, spark.createDataFrame([("p", "email", "X", "1")], TG.TagTable.SCHEMA))
     assert again.schema["email"].metadata["tags"] == {"PII_TAG": ["EMAIL"], "X": ["1"]}
+
+
+def test_tags_read_their_rows_once(spark, tmp):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    refs = spark.createDataFrame([("t", c, "PII_TAG", "NAME") for c in "abcdef"], TG.TagTable.SCHEMA).repartition(2)
+    TG.TagTable(spark, tmp).set(refs.mapInPandas(counted, TG.TagTable.SCHEMA))
+    assert seen.value == 6 and TG.TagTable(spark, tmp).references().count() == 6
+
+
+def test_profile_looks_for_every_pattern(spark):
+    values = {"EMAIL": "a.b@c.de", "SSN": "123-45-6789", "PHONE": "+1 (555) 555-1234", "NAME": "Customer#000000001", "ADDRESS": "12 Long Street"}
+    df = spark.createDataFrame([(v,) for v in values.values()] + [(f"x, {v} y",) for v in values.values()] + [(None,), ("",)], "t string")
+    assert {r.tag_value: (r.n_values, r.whole, r.part) for r in TG.profile(df, "d").collect()} == {k: (11, 1, 2) for k in values}
