@@ -16,6 +16,11 @@ from pyspark.sql import functions as F
 
 from strata.functions.scalar import first_matching_rule, threshold_label
 from strata.functions.text import SENTENCE_SPLIT, ordered_join, spread, token_rows, tokens
+from strata.operators.joins import broadcast_if_small
+
+# Terms whose document frequencies are broadcast to score sentences (some 100 MB in an executor)
+SUMMARY_TERMS = 1_000_000
+SUMMARY_DOCS = 1000  # documents per task
 
 # The reference's ordered keyword rules and label list.
 FEEDBACK_RULES = (
@@ -129,25 +134,38 @@ def summarize(docs: DataFrame, id_col: str, text_col: str, k: int = 2) -> DataFr
     """Extractive summary — the ``k`` sentences with the highest mean
     TF-IDF of their tokens, in their original order, joined by a space.
 
-    TF is the term count in the whole document, IDF = ln(N / df). Every
-    step is a grouped aggregate or a join on (doc, term); the per-document
-    top-k keeps at most k sentences before they are joined.
+    TF is the term count in the whole document, IDF = ln(N / df). Texts are
+    dealt by document once, and all that belongs to one document is worked out
+    where its text is; only the terms' document frequencies go elsewhere. If
+    they are too many for a broadcast, a row per document and term goes to
+    them. Rows without an id count in the frequencies, as one document.
     """
-    sents = (spread(docs.select(id_col, text_col))
-             .select(id_col, F.posexplode(F.split(F.col(text_col), SENTENCE_SPLIT)).alias("pos", "sentence"))
-             .withColumn("sentence", F.trim(F.col("sentence"), F.lit(" "))).filter(F.length("sentence") > 0))
-    toks = token_rows(sents, "sentence", [id_col, "pos"])
-    tf = toks.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
-    n_docs = docs.agg(F.count(F.lit(1))).scalar()
-    df_ = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    w = tf.join(df_, "term").select(id_col, "term", (F.col("tf") * F.log(n_docs / F.col("df"))).alias("w"))
-    sc = (toks.join(w, [id_col, "term"]).groupBy(id_col, "pos")
+    n_docs = docs.count()
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    # a number of partitions by documents: merged ones would spill the tokens' sorts
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_docs // SUMMARY_DOCS))
+    dealt = texts.filter("_id IS NOT NULL").repartition(parts, "_id")
+    tf = (token_rows(_sentences(dealt), "sentence", ["_id", "pos"]).groupBy("_id", "term")
+          .agg(F.count(F.lit(1)).alias("tf"), F.collect_list("pos").alias("at")))
+    without_id = token_rows(_sentences(spread(texts.filter("_id IS NULL"))), "sentence", []).distinct()
+    df_ = (tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+           .unionByName(without_id.select("term", F.lit(1).cast("long").alias("df")))
+           .groupBy("term").agg(F.sum("df").alias("df")).checkpoint(eager=True))
+    w = tf.join(broadcast_if_small(df_, SUMMARY_TERMS), "term").select(
+        "_id", "at", (F.col("tf") * F.log(F.lit(n_docs) / F.col("df"))).alias("w"))
+    sc = (w.select("_id", F.explode("at").alias("pos"), "w").groupBy("_id", "pos")
           .agg(F.round(F.avg("w"), 9).alias("score")))
     top = (sc.withColumn("r", F.row_number().over(
-        Window.partitionBy(id_col).orderBy(F.col("score").desc(), F.col("pos").asc())))
-           .filter(F.col("r") <= k))
-    chosen = top.join(sents, [id_col, "pos"])
+        Window.partitionBy("_id").orderBy(F.col("score").desc(), F.col("pos").asc())))
+           .filter(F.col("r") <= k).groupBy("_id").agg(F.collect_list("pos").alias("_top")))
+    chosen = _sentences(dealt.join(top, "_id"), "_top").filter(F.array_contains("_top", F.col("pos")))
     # every text has a summary: one without tokens has an empty one
-    summary = ordered_join(chosen, [id_col], "pos", "sentence", " ", "summary").withColumnRenamed(id_col, "_id")
+    summary = ordered_join(chosen, ["_id"], "pos", "sentence", " ", "summary")
     return (docs.select(id_col).join(summary, F.col(id_col) == F.col("_id"), "left")
             .select(id_col, F.coalesce("summary", F.lit("")).alias("summary")))
+
+
+def _sentences(texts: DataFrame, *keep: str) -> DataFrame:
+    """``_id, pos, sentence`` of rows ``_id, _text``, and the columns to ``keep``."""
+    return (texts.select("_id", *keep, F.posexplode(F.split("_text", SENTENCE_SPLIT)).alias("pos", "sentence"))
+            .withColumn("sentence", F.trim(F.col("sentence"), F.lit(" "))).filter(F.length("sentence") > 0))

@@ -371,3 +371,28 @@ def test_block_search_meets_every_block_in_many_tasks(spark, monkeypatch):
         assert AV.recall(AV.ProjectionTables(d, 3).top_k(q), exact).first().recall >= 0.9
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
+def test_summary_sends_no_tokens_around(spark):
+    """No exchange by term; repeated ids and rows without one as in the grouped definition."""
+    import math
+    from collections import Counter
+
+    texts = [(1, "alpha beta. gamma gamma. beta!"), (1, "alpha beta. gamma gamma. beta!"), (2, "beta delta. alpha.  . x"), (None, "delta. beta"),
+             (None, "omega"), (3, "123"), (4, None), (5, "One two? Two one! three\nfour four four")]
+    docs = spark.createDataFrame(texts, "id long, text string").repartition(3)
+    out = TX.summarize(docs, "id", "text", 2)
+    assert not re.search(r"hashpartitioning\([^)]*term", out._jdf.queryExecution().explainString(out._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("extended")))
+    sents = [(i, p, x.strip(" ")) for i, t in texts for p, x in enumerate(re.split(r"[.!?\n]+", t or "")) if x.strip(" ")]
+    toks = [(i, p, w) for i, p, x in sents for w in _tok(x)]
+    tf = Counter((i, w) for i, _, w in toks)
+    df = Counter(w for _, w in tf)
+    want = {}
+    for i in {i for i, _ in texts}:
+        w = {}
+        for j, p, x in toks:
+            if j == i is not None:
+                w.setdefault(p, []).append(tf[i, x] * math.log(len(texts) / df[x]))
+        top = sorted(w, key=lambda p: (-round(sum(w[p]) / len(w[p]), 9), p))[:2]
+        want[i] = " ".join(x for j, p, x in sorted(s for s in sents if s[0] == i is not None) if p in top)
+    assert rows(out) == sorted(((i, want[i]) for i, _ in texts), key=lambda t: tuple((v is None, str(v)) for v in t))
