@@ -3,18 +3,19 @@
 A stream over the raw orders folder drives one ``foreachBatch`` per
 micro-batch that refreshes bronze, silver and gold incrementally:
 
-* bronze: the batch is collapsed to its latest row per order, then upserted
-  into the bucketed bronze table only where it is newer than the stored row
-  (batches need not arrive in event order);
-* silver: re-enriched for the orders of the batch only;
+* bronze: the batch is collapsed to its latest row per order; the rows newer
+  than the stored ones are added (batches need not arrive in event order);
+* silver: re-enriched for the orders that changed in bronze;
 * gold: maintained exactly from deltas. Silver holds one row per order, so
   COUNT(DISTINCT order_id) of a group is its row count and, like the sums,
   changes by +1/-1 rows of the orders that entered or left the group. MAX
-  is not invertible, so a per-(group, date) count table keeps the latest
-  date exact under retractions. A batch therefore reads and rewrites only
-  the buckets its keys touch — never the whole silver table. Groups whose
-  count drops to zero disappear from the published table (the store keeps a
-  zero row, so no bucket is ever emptied by a batch).
+  is not invertible, so counts per (group, date) keep the latest date exact
+  under retractions. Groups whose count drops to zero disappear from the
+  published table.
+
+Every table only appends what a batch changes and merges when read
+(``strata.sources.change_table``): a batch writes in proportion to itself, and
+looks up stored rows bucket by bucket, without moving them.
 
 Gold runs inside silver's batch (it refreshes whenever its input does). Every table
 write is keyed by the batch id, so a replayed batch is skipped (C05), and a
@@ -26,52 +27,44 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators.cdc import change_feed
-from strata.operators.merge import When, merge_into
 from strata.operators.relational import latest_per_key
 from strata.plans import medallion as M
+from strata.sources import files
+from strata.sources.change_table import CHANGE, ChangeTable
 from strata.sources.derived import ORDERS_LATEST
-from strata.sources.store import BucketedTable
 
 GROUP = ("customer_name", "customer_tier")
 SUM, CNT = "_sum_line_total", "_count_line_total"
-TAG = "_tag"  # the last batch added to a gold or dates row
-
 
-def _null_safe_on(a: DataFrame, b: DataFrame, cols: Sequence[str]):
-    cond = None
-    for c in cols:
-        x = a[c].eqNullSafe(b[c])
-        cond = x if cond is None else cond & x
-    return cond
 
-
-def _desc_nulls_first_key(side: str):
+def _desc_nulls_first_key():
     """Comparable key of the batch dedup order: NULL ranks above any value,
     as in ``ORDER BY ... DESC`` with SQL's NULLS FIRST (same as latest_per_key)."""
-    parts = []
-    for c in ORDERS_LATEST:
-        parts += [F.col(f"{side}.{c}").isNull(), F.col(f"{side}.{c}")]
-    return F.struct(*parts)
+    return F.struct(*(x for c in ORDERS_LATEST for x in (F.col(c).isNull(), F.col(c))))
+
 
+def _last_change(silver: DataFrame) -> DataFrame:
+    """The row of each order that came with its last change."""
+    return latest_per_key(silver, ["order_id"], [CHANGE]).drop(CHANGE)
 
-def _full_join(t: DataFrame, s: DataFrame, keys: Sequence[str]):
-    """Null-safe full outer join of target ``t`` and delta ``s`` on ``keys``.
 
-    Returns the joined frame (sides reachable as ``t.*`` / ``s.*``) and the
-    key columns coalesced from both sides (exact, since a NULL key value is
-    NULL on both sides).
-    """
-    cond = None
-    for k in keys:
-        c = F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}"))
-        cond = c if cond is None else cond & c
-    j = t.alias("t").join(s.alias("s"), cond, "full_outer")
-    return j, [F.coalesce(F.col(f"t.{k}"), F.col(f"s.{k}")).alias(k) for k in keys]
+def _summed_dates(dates: DataFrame) -> DataFrame:
+    return dates.groupBy(*GROUP, "order_date").agg(*(F.sum(c).cast(t).alias(c) for c, t in (("n", "long"), (SUM, "decimal(38,2)"), (CNT, "long"))))
+
+
+def _summed_groups(gold: DataFrame) -> DataFrame:
+    """Signed group rows added up; the last date is that of the group's last change."""
+    total = gold.groupBy(*GROUP).agg(
+        F.sum("total_orders").cast("long").alias("total_orders"), F.max_by("last_order_date", CHANGE).alias("last_order_date"),
+        F.sum(SUM).cast("decimal(38,2)").alias(SUM), F.sum(CNT).cast("long").alias(CNT))
+    some, value = F.col(CNT) > 0, F.col(SUM).cast("double")
+    return total.select(*GROUP, "total_orders", F.when(some, value).alias("lifetime_value"),
+                        F.when(some, value / F.col(CNT)).alias("avg_order_value"), "last_order_date", SUM, CNT)
 
 
 class DynamicTables:
@@ -80,10 +73,10 @@ class DynamicTables:
     def __init__(self, spark: SparkSession, root: str, dim_customers: DataFrame, raw_schema,
                  buckets: int = 16, period_grain: str | None = None):
         """``buckets``: hash buckets per table (size them so a bucket is a few
-        hundred MB). ``period_grain`` ('month', 'year', ...): also partition
-        bronze and silver by the order date's period, so a batch of recent
-        orders rewrites only recent partitions. Off by default because the
-        test streams spread every batch over all years."""
+        hundred MB). ``period_grain`` ('month', 'year', ...): look up stored
+        rows of the batch's periods only (an order must keep its date; files
+        of other periods are skipped by their statistics). Off by default
+        because the test streams spread every batch over all years."""
         self.spark, self.root = spark, root.rstrip("/")
         self.dim = dim_customers
         self.raw_schema = raw_schema
@@ -95,23 +88,20 @@ class DynamicTables:
         g_schema = M.gold(M.silver(M.bronze(raw0), dim_customers)).schema
         self.gold_columns = g_schema.fieldNames()
         # gold rows carry the exact decimal sum and the non-null count behind the averages
-        gs_schema = T.StructType(g_schema.fields + [T.StructField(SUM, T.DecimalType(38, 2)),
-                                                    T.StructField(CNT, T.LongType()), T.StructField(TAG, T.StringType())])
-        d_schema = T.StructType([s_schema[c] for c in GROUP] + [s_schema["order_date"],
-                                                                T.StructField("n", T.LongType()),
-                                                                T.StructField(TAG, T.StringType())])
-        period = ("order_date", period_grain) if period_grain else None
-        self.bronze = BucketedTable(spark, f"{self.root}/bronze_orders", ["order_id"], buckets, b_schema,
-                                    period=period)
-        self.silver = BucketedTable(spark, f"{self.root}/silver_orders_enriched", ["order_id"], buckets, s_schema,
-                                    period=period)
-        self.gold = BucketedTable(spark, f"{self.root}/gold_customer_metrics", list(GROUP), buckets, gs_schema)
+        # changes of gold are signed: order count, exact decimal sum and non-null count per group (and date)
+        sums = [T.StructField(SUM, T.DecimalType(38, 2)), T.StructField(CNT, T.LongType())]
+        gs_schema = T.StructType([*(g_schema[c] for c in (*GROUP, "total_orders", "last_order_date")), *sums])
+        d_schema = T.StructType([*(s_schema[c] for c in (*GROUP, "order_date")), T.StructField("n", T.LongType()), *sums])
+        self.period = period_grain
+
+        def table(name: str, keys: Sequence[str], schema: T.StructType, merged) -> ChangeTable:
+            return ChangeTable(spark, f"{self.root}/{name}", keys, buckets, schema, merged)
+
+        self.bronze = table("bronze_orders", ["order_id"], b_schema, lambda rows: latest_per_key(rows.drop(CHANGE), ["order_id"], ORDERS_LATEST))
+        self.silver = table("silver_orders_enriched", ["order_id"], s_schema, _last_change)
+        self.gold = table("gold_customer_metrics", GROUP, gs_schema, _summed_groups)
         # bucketed by group (not date), so one group's dates sit in one bucket
-        self.dates = BucketedTable(spark, f"{self.root}/_gold_dates", list(GROUP), buckets, d_schema)
-        for t, sch in ((self.bronze, b_schema), (self.silver, s_schema), (self.gold, gs_schema),
-                       (self.dates, d_schema)):
-            if not t.exists():
-                t.write(spark.createDataFrame([], sch))
+        self.dates = table("_gold_dates", GROUP, d_schema, _summed_dates)
 
     def gold_table(self) -> DataFrame:
         """The published gold table: non-empty groups, without bookkeeping columns."""
@@ -121,116 +111,72 @@ class DynamicTables:
     def refresh(self, batch: DataFrame, batch_id: int) -> None:
         """Apply one micro-batch of raw order rows to all three layers."""
         tag = f"orders-{batch_id}"
-        latest = latest_per_key(batch.select(*self.bronze_cols), ["order_id"], ORDERS_LATEST)
-        # pinned once: the bronze merge, the touched partitions and silver all read it
-        # (measured: recomputing the batch dedup instead roughly doubles the drain time)
-        latest = latest.checkpoint(eager=True)
-        touched = self.upsert_bronze(latest, tag)
-        if touched:  # else an empty batch
-            self._refresh_orders(latest.select("order_id", "order_date"), tag, touched)
-
-    def upsert_bronze(self, latest: DataFrame, tag: str) -> list[tuple]:
-        """Upsert ``latest`` (one row per order) into bronze where it is newer
-        than the stored row; the partitions it touches."""
-        order_key = _desc_nulls_first_key("s") > _desc_nulls_first_key("t")
-        values = {c: F.col(f"s.{c}") for c in self.bronze_cols}
-        clauses = [When(True, "update", order_key, values), When(False, "insert", None, values)]
-        touched = self.bronze.touched_partitions(latest.select("order_id", "order_date"))  # silver has the same layout
-        if touched:
-            self.bronze.merge(latest, lambda t, s: merge_into(t, s, ["order_id"], clauses), batch_id=tag,
-                              may_delete=False, touched=touched)
-        return touched
-
-    def _done(self, path: str) -> bool:
-        fs, jvm = self.silver._fs()
-        return fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS"))
-
-    def _refresh_orders(self, orders: DataFrame, tag: str, touched: list[tuple] | None = None,
-                        dim: DataFrame | None = None) -> None:
-        """Re-enrich ``orders`` (order_id, order_date) into silver and apply the gold deltas.
-
-        Bronze and silver are read only in the partitions those orders live
-        in. The delta (old silver rows of the orders with -1, new rows with
-        +1) is written once under the batch tag *before* silver changes. A
-        replay never rewrites it (silver may hold the new rows by then), and
-        every gold and dates row carries the tag of the last batch added to
-        it, so a replay adds nothing twice.
+        # dealt before the dedup, which then needs no shuffle of its own
+        self.upsert_bronze(latest_per_key(self.bronze.dealt(batch.select(*self.bronze_cols)), ["order_id"], ORDERS_LATEST), tag)
+        self._refresh_orders(lambda: self.bronze.change(tag), tag)
+
+    def upsert_bronze(self, latest: DataFrame, tag: str) -> None:
+        """Add the rows of ``latest`` (one per order, dealt in bronze's buckets) that are newer than the stored ones."""
+        if self.bronze.applied(tag):
+            return
+        stored = self._of_periods(self.bronze.changes(), latest)
+        stored = stored.groupBy("order_id").agg(F.max(_desc_nulls_first_key()).alias("_stored"))
+        newer = F.col("_stored").isNull() | (_desc_nulls_first_key() > F.col("_stored"))
+        self.bronze.append(latest.join(stored, "order_id", "left").filter(newer), tag)
+
+    def _of_periods(self, rows: DataFrame, orders: DataFrame) -> DataFrame:
+        """With a period grain: only the stored rows from the first to the last period of ``orders``."""
+        if not self.period:
+            return rows
+        first, last = orders.agg(F.trunc(F.min("order_date"), self.period), F.max("order_date")).first()
+        date = F.col("order_date")
+        return rows.filter(date.isNull() | ((date >= F.lit(first)) & (date <= F.lit(last))))
+
+    def _refresh_orders(self, bronze_rows, tag: str, dim: DataFrame | None = None) -> None:
+        """Re-enrich the orders of ``bronze_rows()`` into silver and apply the gold deltas.
+
+        Silver keeps the rows it replaces as earlier changes, so a replay
+        finds the same old rows: nothing has to be stored beside it.
         """
         if self.gold.applied(f"gold-{tag}"):
             return
-        delta_path = f"{self.root}/_delta/{tag}"
-        order_ids = orders.select("order_id")
-        if touched is None:
-            touched = self.bronze.touched_partitions(orders)  # bronze and silver share the layout
-        bronze_now = (self.bronze.read_touched(orders, touched).join(order_ids, "order_id", "left_semi")
-                      .select(*M.BRONZE_COLS))
-        silver_new = M.silver(bronze_now, self.dim if dim is None else dim).checkpoint(eager=True)
-        if not self._done(delta_path):
-            before = self.silver.read_touched(orders, touched).join(order_ids, "order_id", "left_semi")
-            cols = [*GROUP, "order_date", "line_total"]
-
-            def counted(df: DataFrame, sign: int) -> DataFrame:
-                # gold only counts non-cancelled orders; NULL status is dropped too
-                return df.filter(F.col("status") != "CANCELLED").select(*cols, F.lit(sign).alias("sign"))
-
-            counted(silver_new, 1).unionByName(counted(before, -1)).write.mode("overwrite").parquet(delta_path)
-        self.silver.merge(silver_new, lambda t, s: t.join(s.select("order_id"), "order_id", "left_anti")
-                          .unionByName(s), batch_id=f"silver-{tag}", may_delete=False, touched=touched)
-        self.apply_gold_delta(self.spark.read.parquet(delta_path), tag)
-        fs, jvm = self.silver._fs()
-        fs.delete(jvm.org.apache.hadoop.fs.Path(delta_path), True)
+        if not self.silver.applied(f"silver-{tag}"):
+            # an order without an id has no row of its own to replace: it stays in bronze
+            orders = bronze_rows().select(*M.BRONZE_COLS).filter(F.col("order_id").isNotNull())
+            self.silver.append(self.silver.dealt(M.silver(orders, self.dim if dim is None else dim)), f"silver-{tag}")
+        self.apply_gold_delta(self._signed(f"silver-{tag}"), tag)
+
+    def _signed(self, batch_id: str) -> DataFrame:
+        """What a change of silver adds to gold: its rows with +1, those they replaced with -1."""
+        w = Window.partitionBy("order_id").orderBy(F.desc(CHANGE))
+        number = self.silver.number(batch_id)
+        rows = self._of_periods(self.silver.changes(), self.silver.change(batch_id)).filter(F.col(CHANGE) <= number)
+        ranked = rows.select("order_id", *GROUP, "order_date", "status", "line_total", CHANGE).withColumn("_rn", F.row_number().over(w))
+        ranked = ranked.withColumn("_last", F.first(CHANGE).over(w)).filter((F.col("_rn") <= 2) & (F.col("_last") == number))
+        # gold only counts non-cancelled orders; NULL status is dropped too
+        return ranked.filter(F.col("status") != "CANCELLED").select(
+            *GROUP, "order_date", "line_total", F.when(F.col("_rn") == 1, 1).otherwise(-1).alias("sign"))
 
     def apply_gold_delta(self, delta: DataFrame, tag: str) -> None:
         keys = list(GROUP)
-        # 1) per (group, date) order counts: the exact MAX(order_date) under retractions
-        dd = delta.groupBy(*keys, "order_date").agg(F.sum("sign").cast("long").alias("dn"))
-
-        def add_dates(t: DataFrame, s2: DataFrame) -> DataFrame:
-            j, kcols = _full_join(t, s2, keys + ["order_date"])
-            n = F.coalesce(F.col("t.n"), F.lit(0)) + F.coalesce(F.col("s.dn"), F.lit(0))
-            added = F.col(f"t.{TAG}").eqNullSafe(F.lit(tag))
-            # zero counts stay as rows (filtered on read), so no bucket ever empties
-            return j.select(*kcols, F.when(added, F.col("t.n")).otherwise(n).cast("long").alias("n"),
-                            F.when(F.col("s.dn").isNotNull(), F.lit(tag)).otherwise(F.col(f"t.{TAG}")).alias(TAG))
-
-        # 2) per group: row count (= distinct orders), exact sum and non-null count
-        gd = delta.groupBy(*keys).agg(
-            F.sum("sign").cast("long").alias("dc"),
-            F.sum(F.col("sign") * F.col("line_total")).cast("decimal(38,2)").alias("ds"),
-            F.sum(F.when(F.col("line_total").isNotNull(), F.col("sign")).otherwise(0)).cast("long").alias("dcnt"))
-        # gold and the dates table share keys and bucket count: one touched list for both
-        touched = self.gold.touched_partitions(gd)
-        self.dates.merge(dd, add_dates, batch_id=f"dates-{tag}", may_delete=False, touched=touched)
-        dates = self.dates.read_touched(gd, touched)
-        dates = dates.filter(F.col("n") > 0)
-        latest = dates.join(gd.select(*keys), _null_safe_on(dates, gd, keys), "left_semi").groupBy(*keys).agg(
-            F.max("order_date").alias("latest_date"))
-        src = gd.join(latest, _null_safe_on(gd, latest, keys), "left").select(
-            *[gd[k] for k in keys], "dc", "ds", "dcnt", "latest_date")
-        # single consumer below; its inputs (the persisted delta, the merged dates table)
-        # do not change during the gold merge, so no checkpoint is needed
-
-        def add_groups(t: DataFrame, s2: DataFrame) -> DataFrame:
-            j, kcols = _full_join(t, s2, keys)
-            total = F.coalesce(F.col("t.total_orders"), F.lit(0)) + F.coalesce(F.col("s.dc"), F.lit(0))
-            ssum = (F.coalesce(F.col(f"t.{SUM}"), F.lit(0)) + F.coalesce(F.col("s.ds"), F.lit(0))).cast(
-                "decimal(38,2)")
-            cnt = F.coalesce(F.col(f"t.{CNT}"), F.lit(0)) + F.coalesce(F.col("s.dcnt"), F.lit(0))
-            in_batch = F.col("s.dc").isNotNull()
-            added = F.col(f"t.{TAG}").eqNullSafe(F.lit(tag))
-            total = F.when(added, F.col("t.total_orders")).otherwise(total)
-            ssum = F.when(added, F.col(f"t.{SUM}")).otherwise(ssum)
-            cnt = F.when(added, F.col(f"t.{CNT}")).otherwise(cnt)
-            last = F.when(in_batch, F.col("s.latest_date")).otherwise(F.col("t.last_order_date"))
-            return j.select(
-                *kcols, total.cast("long").alias("total_orders"),
-                F.when(cnt > 0, ssum.cast("double")).alias("lifetime_value"),
-                F.when(cnt > 0, ssum.cast("double") / cnt).alias("avg_order_value"),
-                last.alias("last_order_date"), ssum.alias(SUM), cnt.cast("long").alias(CNT),
-                F.when(in_batch, F.lit(tag)).otherwise(F.col(f"t.{TAG}")).alias(TAG),
-            )  # emptied groups keep a zero row; gold_table() hides them
-
-        self.gold.merge(src, add_groups, batch_id=f"gold-{tag}", may_delete=False, touched=touched)
+        # 1) per (group, date): signed order count, exact sum and non-null count. Added up before the
+        # rows are dealt by group, as all orders without a customer are one group
+        if not self.dates.applied(f"dates-{tag}"):
+            dd = delta.groupBy(*keys, "order_date").agg(
+                F.sum("sign").cast("long").alias("n"),
+                F.sum(F.col("sign") * F.col("line_total")).cast("decimal(38,2)").alias(SUM),
+                F.sum(F.when(F.col("line_total").isNotNull(), F.col("sign")).otherwise(0)).cast("long").alias(CNT))
+            self.dates.append(self.dates.dealt(dd), f"dates-{tag}")
+        # 2) per group of this change: what it adds, and the exact MAX(order_date) under retractions
+        now = F.col(CHANGE) == self.dates.number(f"dates-{tag}")
+        per_date = self.dates.changes().groupBy(*keys, "order_date").agg(
+            F.sum("n").alias("_n"), F.max(now).alias("_now"), *(F.sum(F.when(now, F.col(c))).alias(c) for c in ("n", SUM, CNT)))
+        groups = per_date.groupBy(*keys).agg(
+            F.sum("n").cast("long").alias("total_orders"), F.max(F.when(F.col("_n") > 0, F.col("order_date"))).alias("last_order_date"),
+            F.sum(SUM).cast("decimal(38,2)").alias(SUM), F.sum(CNT).cast("long").alias(CNT), F.max("_now").alias("_now"))
+        self.gold.append(groups.filter("_now"), f"gold-{tag}")  # emptied groups read as zero; gold_table() hides them
+        for table in (self.bronze, self.silver, self.dates, self.gold):
+            table.compact()
 
     # -- dimension changes ----------------------------------------------------
     def on_dimension_change(self, new_dim: DataFrame, change_id: str) -> None:
@@ -238,14 +184,12 @@ class DynamicTables:
         cols = ["customer_id", "name", "tier", "is_active"]
         # the changed customers are kept under the change's id: a retry, also by a new process, refreshes the same ones
         path = f"{self.root}/_dim/{change_id}"
-        if not self._done(path):
+        if not files.written(self.spark, path):
             feed = change_feed(self.dim.select(*cols), new_dim.select(*cols), ["customer_id"])
             feed.select("customer_id").distinct().write.mode("overwrite").parquet(path)
         changed = self.spark.read.parquet(path)
         # no index by customer: a dimension change scans bronze once for its orders
-        ids = self.bronze.read().join(changed, "customer_id", "left_semi").select("order_id", "order_date")
-        # bronze does not change below, but pin the id list before silver is rewritten
-        self._refresh_orders(ids.checkpoint(eager=True), f"dim-{change_id}", dim=new_dim)
+        self._refresh_orders(lambda: self.bronze.read().join(changed, "customer_id", "left_semi"), f"dim-{change_id}", dim=new_dim)
         self.dim = new_dim
 
     # -- the stream --------------------------------------------------------

@@ -25,6 +25,7 @@ lock keeps a batch from reading a table that another one rewrites.
 from __future__ import annotations
 
 from threading import RLock
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,9 +101,9 @@ class LayeredTables:
         """Upsert raw order rows; the batch's orders, as published."""
         latest = self._staged_once("bronze", tag, lambda: latest_per_key(
             rows.select(*self.tables.bronze_cols), ["order_id"], ORDERS_LATEST))
-        touched = self.tables.upsert_bronze(latest, tag)
-        if not touched:
+        if latest.isEmpty():
             return None
+        self.tables.upsert_bronze(self.tables.bronze.dealt(latest), tag)
         self._publish("bronze", tag)
         return self._entry("bronze", tag)
 
@@ -124,25 +125,23 @@ class LayeredTables:
         if self._entry("silver", tag) is None:
             changed = self._dimension(customers, f"dim-{tag}")
             parts = [] if orders is None else [orders.select("order_id", "order_date")]
-            if changed is not None:  # bronze has no index by customer: one scan of three columns per batch with changes
+            if changed is not None:  # bronze has no index by customer: one scan per batch with changes
                 parts.append(t.bronze.read().join(changed, "customer_id", "left_semi").select("order_id", "order_date"))
             if not parts:
                 return None
-            wanted = (parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])).dropDuplicates(["order_id"]).checkpoint()
-            touched = t.bronze.touched_partitions(wanted)  # silver has the same layout
-            if not touched:
+            wanted = t.bronze.dealt(parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])).dropDuplicates(["order_id"]).checkpoint()
+            if wanted.isEmpty():
                 return None
 
             def rows() -> DataFrame:
-                ids = wanted.select("order_id")
-                stored = t.bronze.read_touched(wanted, touched).join(ids, "order_id", "left_semi").select(*M.BRONZE_COLS)
-                before = t.silver.read_touched(wanted, touched).join(ids, "order_id", "left_semi")
+                ids = wanted.select("order_id")  # dealt as bronze and silver are
+                stored = t.bronze.read().join(ids, "order_id", "left_semi").select(*M.BRONZE_COLS)
+                before = t.silver.read().join(ids, "order_id", "left_semi")
                 return M.silver(stored, self.dim.read()).withColumn("sign", F.lit(1)).unionByName(before.withColumn("sign", F.lit(-1)))
 
             self._staged_once("silver", tag, rows)
-        signed = self._entry("silver", tag)
-        new = signed.filter(F.col("sign") == 1).drop("sign")
-        t.silver.merge(new, lambda old, s: old.join(s.select("order_id"), "order_id", "left_anti").unionByName(s), batch_id=tag, may_delete=False)
+        new = self._entry("silver", tag).filter(F.col("sign") == 1).drop("sign")
+        t.silver.append(t.silver.dealt(new), tag)
         self._publish("silver", tag)
         return self._entry("silver", tag)
 
@@ -153,47 +152,48 @@ class LayeredTables:
 
     # -- streams ------------------------------------------------------------
     def _read(self, name: str) -> DataFrame:
-        """A log as a stream: its rows as ``row_<name>``, with the change and the time they come from."""
-        schema = self.schemas[name]
-        rows = self.spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(self._log_of(name))
-        path = F.col("_metadata.file_path")
-        return rows.select(F.struct(*schema.fieldNames()).alias(f"row_{name}"),
-                           F.concat(F.lit(f"{name}/"), F.regexp_extract(path, "([^/]+)/[^/]+$", 1)).alias("entry"),
-                           F.col("_metadata.file_modification_time").alias("landed"))
+        """A log as a stream: for each row only the file it is in. The batch reads its files
+        itself, as a batch of the rows would read them whole again for each use."""
+        rows = self.spark.readStream.schema(self.schemas[name]).option("recursiveFileLookup", True).parquet(self._log_of(name))
+        return rows.select(F.lit(name).alias("name"), F.col("_metadata.file_path").alias("file"),
+                           F.unix_micros("_metadata.file_modification_time").alias("landed"))
 
     def _stream(self, names) -> DataFrame:
         stream = self._read(names[0])
-        for name in names[1:]:  # rows of each kind in a column of their own
-            stream = stream.unionByName(self._read(name), allowMissingColumns=True)
+        for name in names[1:]:
+            stream = stream.unionByName(self._read(name))
         return stream
 
-    @staticmethod
-    def _rows(batch: DataFrame, name: str) -> DataFrame:
-        return batch.filter(F.col(f"row_{name}").isNotNull()).select(f"row_{name}.*")
+    def _rows(self, taken: list, name: str) -> DataFrame:
+        """The batch's rows of a log."""
+        paths = [f"{self._log_of(name)}/{unquote('/'.join(r.file.split('/')[-2:]))}" for r in taken if r.name == name]
+        return self.spark.read.schema(self.schemas[name]).parquet(*paths) if paths else self.spark.createDataFrame([], self.schemas[name])
 
     def _apply(self, layer: str, batch: DataFrame, batch_id: int) -> None:
         tag = f"{layer}-{batch_id}"
+        taken = batch.groupBy("name", "file", "landed").agg(F.count(F.lit(1)).alias("rows")).collect()  # a row per file
         with self._lock:
             if layer == "bronze":
-                self._bronze(self._rows(batch, "orders"), tag)
+                self._bronze(self._rows(taken, "orders"), tag)
             elif layer == "silver":
-                self._silver(self._rows(batch, "bronze"), self._rows(batch, "customers"), tag)
+                self._silver(self._rows(taken, "bronze"), self._rows(taken, "customers"), tag)
             elif layer == "gold":
-                self._gold(self._rows(batch, "silver"), tag)
+                self._gold(self._rows(taken, "silver"), tag)
             else:  # all layers in one query
-                orders = self._bronze(self._rows(batch, "orders"), tag)
-                signed = self._silver(orders, self._rows(batch, "customers"), tag)
+                orders = self._bronze(self._rows(taken, "orders"), tag)
+                signed = self._silver(orders, self._rows(taken, "customers"), tag)
                 if signed is not None:
                     self._gold(signed, tag)
-            self._record(layer, batch, batch_id)
+            self._record(layer, taken, batch_id)
 
-    def _record(self, layer: str, batch: DataFrame, batch_id: int) -> None:
+    def _record(self, layer: str, taken: list, batch_id: int) -> None:
         """The refresh as a row: what was consumed, and how old the oldest of it was when the layer had it."""
-        (batch.agg(F.lit(layer).alias("layer"), F.lit(batch_id).cast("long").alias("batch_id"), F.sort_array(F.collect_set("entry")).alias("entries"),
-                   F.count(F.lit(1)).alias("rows"), F.min("landed").alias("oldest"))
-         .withColumn("refreshed_at", F.current_timestamp())
+        entries = sorted({f"{r.name}/{r.file.split('/')[-2]}" for r in taken})
+        row = (layer, batch_id, entries, sum(r.rows for r in taken), min((r.landed for r in taken), default=None))
+        (self.spark.createDataFrame([row], "layer string, batch_id long, entries array<string>, rows long, oldest long")
+         .withColumn("oldest", F.timestamp_micros("oldest")).withColumn("refreshed_at", F.current_timestamp())
          .withColumn("lag_seconds", F.col("refreshed_at").cast("double") - F.col("oldest").cast("double"))
-         .write.mode("overwrite").parquet(f"{self.root}/refreshes/{layer}/{batch_id}"))
+         .coalesce(1).write.mode("overwrite").parquet(f"{self.root}/refreshes/{layer}/{batch_id}"))
 
     def _writer(self, layer: str):
         both = layer == TOGETHER
