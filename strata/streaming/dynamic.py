@@ -49,8 +49,9 @@ def _desc_nulls_first_key():
 
 
 def _last_change(silver: DataFrame) -> DataFrame:
-    """The row of each order that came with its last change."""
-    return latest_per_key(silver, ["order_id"], [CHANGE]).drop(CHANGE)
+    """The rows of each order that came with its last change: more than one if its customer is there twice."""
+    w = Window.partitionBy("order_id").orderBy(F.desc(CHANGE))
+    return silver.withColumn("_rank", F.rank().over(w)).filter(F.col("_rank") == 1).drop("_rank", CHANGE)
 
 
 def _summed_dates(dates: DataFrame) -> DataFrame:
@@ -151,11 +152,11 @@ class DynamicTables:
         w = Window.partitionBy("order_id").orderBy(F.desc(CHANGE))
         number = self.silver.number(batch_id)
         rows = self._of_periods(self.silver.changes(), self.silver.change(batch_id)).filter(F.col(CHANGE) <= number)
-        ranked = rows.select("order_id", *GROUP, "order_date", "status", "line_total", CHANGE).withColumn("_rn", F.row_number().over(w))
-        ranked = ranked.withColumn("_last", F.first(CHANGE).over(w)).filter((F.col("_rn") <= 2) & (F.col("_last") == number))
+        ranked = rows.select("order_id", *GROUP, "order_date", "status", "line_total", CHANGE).withColumn("_rank", F.dense_rank().over(w))
+        ranked = ranked.withColumn("_last", F.first(CHANGE).over(w)).filter((F.col("_rank") <= 2) & (F.col("_last") == number))
         # gold only counts non-cancelled orders; NULL status is dropped too
         return ranked.filter(F.col("status") != "CANCELLED").select(
-            *GROUP, "order_date", "line_total", F.when(F.col("_rn") == 1, 1).otherwise(-1).alias("sign"))
+            *GROUP, "order_date", "line_total", F.when(F.col("_rank") == 1, 1).otherwise(-1).alias("sign"))
 
     def apply_gold_delta(self, delta: DataFrame, tag: str) -> None:
         keys = list(GROUP)

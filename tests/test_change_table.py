@@ -58,6 +58,17 @@ def test_batches_on_every_bucket_add_files_and_equal_the_whole(spark, tmp, dim,
     assert rows(tables.silver.read()) == rows(silver) and rows(tables.gold_table()) == rows(M.gold(silver))
 
 
+def test_a_customer_that_is_there_twice_gives_two_silver_rows(spark, tmp, dim):
+    twice = dim.unionByName(dim.filter("customer_id = 1"))
+    raw = [spark.createDataFrame(b, RAW) for b in BATCHES[:2]]
+    tables = DynamicTables(spark, os.path.join(tmp, "t"), twice, raw[0].schema, buckets=2)
+    for i, batch in enumerate(raw):
+        tables.refresh(batch, i)
+    silver = M.silver(M.bronze(raw[0].unionByName(raw[1])).filter("order_id is not null"), twice)
+    assert rows(tables.silver.read()) == rows(silver)
+    assert rows(tables.gold_table(), "customer_name", "lifetime_value", "last_order_date") == rows(M.gold(silver), "customer_name", "lifetime_value", "last_order_date")
+
+
 def test_an_older_row_changes_nothing(spark, tmp, dim):
     raw = [spark.createDataFrame(b, RAW) for b in ([order(1, 5)], [order(1, 4, "CANCELLED")])]
     tables = DynamicTables(spark, os.path.join(tmp, "t"), dim, raw[0].schema, buckets=2)
